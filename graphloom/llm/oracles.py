@@ -34,4 +34,15 @@ kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS k FROM w ANTI JOIN gone
 n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op5_ngram_join": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {WORDS.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                      WHEN len(ws) > 0 THEN ['<' || array_to_string(ws, ' ')] ELSE [] END) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm import oracles
 from graphloom.llm.line_dedup import dedup_lines
+from graphloom.llm.ngram_join import link_documents
 from graphloom.llm.substring_dedup import dedup_substrings
 
 
@@ -26,8 +27,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_substring_dedup)}
+    return {f.__name__: f for f in (op2_line_dedup, op3_substring_dedup, op5_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
