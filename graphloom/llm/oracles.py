@@ -45,4 +45,19 @@ pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b
 link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
 SELECT a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a""",
+    "op4_source_mix": f"""
+WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 2.0::DOUBLE * source_size AS cap,
+         [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM s),
+l AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT *, least(cap, w * max(level) OVER ()) AS target FROM l),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t)
+SELECT doc_id, size, source_size, target,
+       (floor(rate) + CASE WHEN CAST('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE
+                                < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT * size AS taken
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source""",
 }

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from graphloom.llm import oracles
 from graphloom.llm.line_dedup import dedup_lines
+from graphloom.llm.mixing import mix_sources
 from graphloom.llm.ngram_join import link_documents
+from graphloom.llm.quality_rules import quality_rules
+from graphloom.llm.sharding import shard_documents
 from graphloom.llm.substring_dedup import dedup_substrings
 
 
@@ -17,6 +20,10 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents", "doc_id", "text"), carry=["doc_id"])
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -27,12 +34,21 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix_sources(read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(read(spark, sf_dir, "documents", "doc_id", "text"), shards=24, carry=["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op3_substring_dedup, op5_ngram_join)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
