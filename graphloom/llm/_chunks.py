@@ -7,11 +7,12 @@ The chunk then works out its items again and reads the answers off by position.
 
 A hash reaches a bucket once per chunk at most, however many documents of the chunk hold it: hot lines,
 passages and groups of copies are summed before the shuffle. Chunks and buckets grow in number with the
-text, so a task holds about 16 MB of text or the hashes of as much, at any input size.
+text, so a task holds about 8 MB of text or the hashes of as much, at any input size.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 << 20
-TASK_BYTES = 16 << 20
+TASK_BYTES = 8 << 20
 ASK = "__bucket int, __chunk long, __n int, __asked binary"
 ANSWER = "__chunk long, __bucket int, __answer binary"
 
@@ -47,6 +48,7 @@ class Chunked:
             return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["__bucket", "__chunk", "__n", "__asked"])
 
         def run(docs: pa.Table, *given: np.ndarray) -> pa.Table:
+            released()
             return pack(docs["__chunk"][0].as_py(), *asker(docs, *given))
 
         return self.work(run, ASK, *answers)
@@ -68,6 +70,7 @@ class Chunked:
         """answer(order of the sorted hashes, starts of equal ones, columns as asked) gives a value for each asked hash."""
 
         def run(t: pa.Table) -> pa.Table:
+            released()
             sizes = t["__n"].to_numpy()
             hashes, columns = unpacked(t["__asked"], sizes, kinds)
             order = np.argsort(hashes, kind="stable")
@@ -90,6 +93,15 @@ class Chunked:
         return asked.repartition(self.tasks, "__bucket").groupBy("__bucket").applyInArrow(run, ANSWER)
 
 
+def released() -> None:
+    """Give memory that earlier groups have freed back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def merged(answers: tuple[DataFrame, ...]) -> DataFrame:
     out = None
     for i, a in enumerate(answers):
