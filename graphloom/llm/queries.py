@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import oracles
+from graphloom.llm.decontaminate import find_passages
 from graphloom.llm.line_dedup import dedup_lines
 from graphloom.llm.mixing import mix_sources
 from graphloom.llm.ngram_join import link_documents
 from graphloom.llm.quality_rules import quality_rules
 from graphloom.llm.sharding import shard_documents
 from graphloom.llm.substring_dedup import dedup_substrings
+from graphloom.llm.token_counts import count_tokens
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -47,8 +49,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents", "doc_id", "text"), shards=24, carry=["doc_id"])
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_words", "n_tokens", "n_bytes")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_passages(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op8_token_counts, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
