@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.session import ship
+
 CHUNK_BYTES = 4 << 20
 TASK_BYTES = 8 << 20
 ASK = "__bucket int, __chunk long, __n int, __asked binary"
@@ -32,6 +34,7 @@ class Chunked:
 
     def __init__(self, docs: DataFrame, key: str, text: str):
         spark = docs.sparkSession
+        ship(spark)
         size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
         most = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tasks = max(-(-size // TASK_BYTES), min(most, -(-size // (1 << 20))), 1)

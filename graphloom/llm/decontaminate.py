@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm._text import mix
+from graphloom.session import ship
 
 BLOCK_CHARS = 4 << 20
 SLICE_CHARS = 1 << 18
@@ -146,6 +147,7 @@ class Passages:
 
 def blocks(benchmark: DataFrame, item: str, text: str, q: int, percent: int, least_words: int) -> Iterator[list[Passages]]:
     """Passages, block by block; those too short for q-grams of q by themselves, with shorter ones."""
+    ship(benchmark.sparkSession)
     size = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
     parts = -(-size // BLOCK_CHARS)
     for p in range(parts):

@@ -27,6 +27,7 @@ from graphloom.llm._chunks import SHORT, Chunked, counted, total
 from graphloom.llm._shared import table
 from graphloom.llm._text import Words, mix, span_hashes
 from graphloom.llm.components import components
+from graphloom.session import ship
 
 GROUP_TOKENS = 1 << 17
 
@@ -137,6 +138,8 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
 def _classes(sets: DataFrame, percent: int) -> DataFrame:
     """(set, class) for sets that have more than one member in their class or might have."""
 
+    ship(sets.sparkSession)
+
     def linked(shared: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
         return (100 + percent) * shared >= percent * (n + sizes)
 

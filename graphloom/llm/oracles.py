@@ -60,4 +60,11 @@ SELECT doc_id, size, source_size, target,
        (floor(rate) + CASE WHEN CAST('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE
                                 < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT * size AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS d FROM pages),
+h AS (SELECT d, max(page_id) AS head FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN n >= 1000 AND head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND head <> page_id THEN head END AS refers_to
+FROM p LEFT JOIN h ON p.d = h.d""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +13,12 @@ from graphloom.llm.decontaminate import find_passages
 from graphloom.llm.line_dedup import dedup_lines
 from graphloom.llm.mixing import mix_sources
 from graphloom.llm.ngram_join import link_documents
+from graphloom.llm.quality_classifier import score_quality
 from graphloom.llm.quality_rules import quality_rules
 from graphloom.llm.sharding import shard_documents
 from graphloom.llm.substring_dedup import dedup_substrings
 from graphloom.llm.token_counts import count_tokens
+from graphloom.llm.warc import read_bundles, write_bundles
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -49,16 +52,32 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents", "doc_id", "text"), shards=24, carry=["doc_id"])
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_words", "n_tokens", "n_bytes")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_bundles(write_bundles(read(spark, sf_dir, "pages", "page_id", "url", "html")))
+    number = lambda c: F.regexp_extract(c, r"^urn:page:(.*)$", 1).cast("long")
+    size = F.when(F.col("record_type") == "response", F.length("payload")).otherwise(F.col("payload_bytes")).cast("long")
+    digest = F.when(F.col("record_type") == "response", F.sha1("payload")).otherwise(F.col("payload_digest"))
+    return records.select(number("record_id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_passages(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op8_token_counts, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op7_quality_classifier, op8_token_counts, op9_warc, op10_decontaminate, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from graphloom.llm._shared import without
+from graphloom.session import ship
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 MOST_BYTES = 64 << 20
@@ -105,6 +106,7 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: list[bytes] |
     task, so it may hold 64 MB at most. Texts are counted whole and one by one; repeated rows count alike.
     Columns of docs named like an added one are replaced.
     """
+    ship(docs.sparkSession)
     tokens = read_vocabulary(vocabulary) if isinstance(vocabulary, str) else list(vocabulary)
     if sum(map(len, tokens)) > MOST_BYTES:
         raise ValueError("the vocabulary is too large to go to every task")

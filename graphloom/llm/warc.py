@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm._shared import table
+from graphloom.session import ship
 
 FRAME_BYTES, BUNDLE_BYTES = 64 << 10, 2 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -125,6 +126,7 @@ def write_bundles(pages: DataFrame, key: str = "page_id", url: str = "url", html
     and length. Null keys are never the one that others refer to. Rows with one key make records of one id.
     Payloads that occur once are never moved: only digests are shuffled, and the join reads a written table.
     """
+    ship(pages.sparkSession)
     rows = pages.select(F.col(key).cast("string").alias("id"), F.col(key).alias("__key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     large = rows.where(F.length("payload") >= least)
@@ -156,6 +158,7 @@ def write_bundles(pages: DataFrame, key: str = "page_id", url: str = "url", html
 
 def read_bundles(bundles: DataFrame) -> DataFrame:
     """Every record of the bundles, frame by frame: RECORDS with bundle_id, frame and offset. payload is null for revisits."""
+    ship(bundles.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
