@@ -27,7 +27,8 @@ def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-EDGE = F.concat_ws("|", "predicate", "source", "target")
+def _edge() -> Column:
+    return F.concat_ws("|", "predicate", "source", "target")
 
 
 def _prop(name: str) -> Column:
@@ -92,11 +93,11 @@ def v04_unexplained_nodes(nodes: DataFrame) -> DataFrame:
 
 
 def v05_lost_sources(ends: DataFrame) -> DataFrame:
-    return finding(ends.where("source_type IS NULL"), "V-05", ERROR, EDGE, "source is defined nowhere")
+    return finding(ends.where("source_type IS NULL"), "V-05", ERROR, _edge(), "source is defined nowhere")
 
 
 def v06_lost_targets(ends: DataFrame) -> DataFrame:
-    return finding(ends.where("source_type IS NOT NULL AND target_type IS NULL"), "V-06", ERROR, EDGE, "target is defined nowhere")
+    return finding(ends.where("source_type IS NOT NULL AND target_type IS NULL"), "V-06", ERROR, _edge(), "target is defined nowhere")
 
 
 def licensed_edges(ends: DataFrame, m: Model) -> DataFrame:
@@ -113,24 +114,24 @@ def licensed_edges(ends: DataFrame, m: Model) -> DataFrame:
 def v07_unlicensed(lic: DataFrame, m: Model) -> DataFrame:
     between = m.licensed.groupBy(F.col("source").alias("source_type"), F.col("target").alias("target_type")).agg(F.array_join(F.array_sort(F.collect_set("predicate")), ", ").alias("allowed"))
     bad = lic.where("licensed IS NULL").join(between, ["source_type", "target_type"], "left")
-    return finding(bad, "V-07", ERROR, EDGE, F.concat(F.lit("not licensed; licensed here: "), F.coalesce("allowed", F.lit("nothing"))))
+    return finding(bad, "V-07", ERROR, _edge(), F.concat(F.lit("not licensed; licensed here: "), F.coalesce("allowed", F.lit("nothing"))))
 
 
 def v08_qualifiers(lic: DataFrame) -> DataFrame:
     bad = lic.where("licensed AND qualifier IS NOT NULL AND NOT coalesce(open, false)").where(~F.expr("array_contains(qualifiers, qualifier)"))
-    return finding(bad, "V-08", WARNING, EDGE, F.concat(F.lit("unknown qualifier: "), F.col("qualifier")))
+    return finding(bad, "V-08", WARNING, _edge(), F.concat(F.lit("unknown qualifier: "), F.col("qualifier")))
 
 
 def v09_edge_derivation(lic: DataFrame) -> DataFrame:
-    return finding(lic.where("licensed").where(ids.rank(F.col("derivation")) < ids.rank(F.col("least"))), "V-09", ERROR, EDGE, F.concat(F.lit("must be at least "), F.col("least")))
+    return finding(lic.where("licensed").where(ids.rank(F.col("derivation")) < ids.rank(F.col("least"))), "V-09", ERROR, _edge(), F.concat(F.lit("must be at least "), F.col("least")))
 
 
 def v10_unsigned_edges(lic: DataFrame) -> DataFrame:
-    return finding(lic.where("licensed AND derivation = 'decided' AND (evidence.by IS NULL OR evidence.at IS NULL)"), "V-10", ERROR, EDGE, "decided by nobody or never")
+    return finding(lic.where("licensed AND derivation = 'decided' AND (evidence.by IS NULL OR evidence.at IS NULL)"), "V-10", ERROR, _edge(), "decided by nobody or never")
 
 
 def v11_unexplained_edges(lic: DataFrame) -> DataFrame:
-    return finding(lic.where("licensed").where(_unexplained()), "V-11", ERROR, EDGE, "neither note nor evidence")
+    return finding(lic.where("licensed").where(_unexplained()), "V-11", ERROR, _edge(), "neither note nor evidence")
 
 
 # Properties
@@ -303,15 +304,15 @@ def citation_findings(edges: DataFrame, nodes: DataFrame, kinds: tuple[str, ...]
 def v32_edge_status(edges: DataFrame, m: Model, value_set: str = "resolution-status") -> DataFrame:
     codes = m.codes.where(F.col("value_set") == value_set).select(F.col("code").alias("status"))
     held = edges.withColumn("status", _prop("resolutionStatus")).where("status IS NOT NULL")
-    return finding(held.join(codes, "status", "left_anti"), "V-32", ERROR, EDGE, F.concat(F.lit("unknown status: "), F.col("status")))
+    return finding(held.join(codes, "status", "left_anti"), "V-32", ERROR, _edge(), F.concat(F.lit("unknown status: "), F.col("status")))
 
 
 def v33_unresolved_target(ends: DataFrame) -> DataFrame:
-    return finding(ends.where(_prop("resolutionStatus") == "resolved").where("target_status IS NOT NULL AND target_status <> 'resolved'"), "V-33", ERROR, EDGE, "resolved onto a node that is not")
+    return finding(ends.where(_prop("resolutionStatus") == "resolved").where("target_status IS NOT NULL AND target_status <> 'resolved'"), "V-33", ERROR, _edge(), "resolved onto a node that is not")
 
 
 def v34_resolved_without_place(edges: DataFrame) -> DataFrame:
-    return finding(edges.where(_prop("resolutionStatus") == "resolved").where("derivation IN ('inferred', 'decided') AND evidence.location IS NULL"), "V-34", ERROR, EDGE, "resolved without saying where")
+    return finding(edges.where(_prop("resolutionStatus") == "resolved").where("derivation IN ('inferred', 'decided') AND evidence.location IS NULL"), "V-34", ERROR, _edge(), "resolved without saying where")
 
 
 def join_tally(edges: DataFrame) -> DataFrame:
@@ -347,7 +348,7 @@ def shape_findings(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     n.append((F.exists(F.json_object_keys("properties"), lambda k: ~k.rlike("^[a-z][A-Za-z0-9]*$")), "property key is not in camel case"))
     told = lambda rules: F.array_compact(F.array(*[F.when(c, F.lit(t)) for c, t in rules]))
     bad_n = nodes.select("doc_id", F.coalesce("id", F.lit("")).alias("subject"), F.explode(told(n)).alias("message"))
-    bad_e = edges.select("doc_id", EDGE.alias("subject"), F.explode(told(e)).alias("message"))
+    bad_e = edges.select("doc_id", _edge().alias("subject"), F.explode(told(e)).alias("message"))
     both = bad_n.unionByName(bad_e)
     return finding(both, "T1-01", ERROR, "subject", F.col("message"))
 

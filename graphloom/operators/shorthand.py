@@ -108,7 +108,7 @@ def rulesets(files: DataFrame) -> DataFrame:
     """(name, parameters, body) of each `RuleSet:`."""
     b = files.select(F.explode(F.split("text", r"(?m)^(?=(?:RuleSet|Instance|ValueSet|CodeSystem|Profile|Logical|Alias|Extension|Invariant):)")).alias("b")).where(F.col("b").startswith("RuleSet:"))
     head = r"^RuleSet:\s*(\w+)[ \t]*(?:\(([^)]*)\))?"
-    parameters = F.filter(F.transform(F.split(F.regexp_extract("b", head, 2), ","), F.trim), lambda p: p != "")
+    parameters = F.filter(F.transform(F.split(F.regexp_extract("b", head, 2), ","), lambda p: F.trim(p)), lambda p: p != "")
     return b.select(F.regexp_extract("b", head, 1).alias("name"), parameters.alias("parameters"), F.regexp_replace("b", head + r"[^\n]*\n?", "").alias("body")).dropDuplicates(["name"])
 
 

@@ -1,0 +1,185 @@
+"""Every rule on a small valid graph with one defect each: the rule names it, and the valid graph has no findings."""
+
+import copy
+import hashlib
+import json
+
+import pytest
+
+from graphloom.functions.ids import SPACE  # noqa: F401
+from graphloom.model import check_model, make_model
+from graphloom.operators import rules
+
+EVIDENCE = {"location": "book p. 3", "quote": "q", "by": "ann", "at": "2024-05-01"}
+
+
+def sha(*parts):
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+def node(id_, type_, derivation="derived", note=None, evidence=None, **p):
+    return {"id": id_, "type": type_, "label": id_, "derivation": derivation, "note": note, "evidence": evidence, "p": p}
+
+
+def edge(predicate, source, target, derivation="derived", qualifier=None, note=None, evidence=None, **p):
+    return {"predicate": predicate, "source": source, "target": target, "derivation": derivation, "qualifier": qualifier, "note": note, "evidence": evidence, "p": p}
+
+
+STATEMENT = "Walking daily is advised for adults."
+VALID = {
+    "base": [
+        [
+            node("pub/1", "publication", title="A book", grcStatus="approved", identifiers=[{"type": "isbn", "value": "123"}]),
+            node("sec/1", "publication-section", heading="Moving in primary care"), node("tab/1", "publication-element", columns=["a", "b"], columnMap={"b": "x"}), node("row/1", "publication-element", rowType="data", cells=["kept", None]),
+            node("rec/1", "recommendation", statement=STATEMENT, contentHash=sha(STATEMENT), kind="recommendation", strength="strong", direction="for", overallCertainty="low", intervention="walking", setting="primary care", timing="every morning"),
+            node("rem/1", "remark", text="Best every morning.", contentHash=sha("Best every morning.")), node("ev/1", "evidence", "inferred", "read", EVIDENCE, certainty="low"), node("out/1", "outcome", importance="critical"),
+            node("cit/1", "citation", text="A book (1)", citationKind="reference", resolutionStatus="resolved"), node("cit/2", "citation", text="[later]", citationKind="placeholder", resolutionStatus="unresolved"), node("ref/1", "reference-entry", text="A book.", resolutionStatus="resolved"),
+            node("st/1", "requirement-statement", successCriteria=[{"key": "k"}]),
+        ],
+        [
+            edge("definedIn", "rec/1", "pub/1"), edge("presentedIn", "rec/1", "sec/1"), edge("presentedIn", "rec/1", "row/1"), edge("contains", "tab/1", "row/1"), edge("hasRemark", "rec/1", "rem/1"), edge("supportedBy", "rec/1", "ev/1", "inferred", "main", "read", EVIDENCE),
+            edge("forOutcome", "ev/1", "out/1"), edge("numberedAs", "cit/1", "ref/1"), edge("resolvesTo", "ref/1", "pub/1", "decided", None, "n", EVIDENCE, resolutionStatus="resolved"),
+        ],
+    ],
+    "more": [[node("kit/1", "kit"), node("pub/1", "book")], [edge("uses", "kit/1", "rec/1")]],
+}
+TYPES = ["publication", "publication-section", "publication-element", "recommendation", "remark", "evidence", "outcome", "citation", "reference-entry", "requirement-statement"]
+PROPERTIES = {"publication": ["title", "grcStatus", "identifiers"], "recommendation": ["statement", "contentHash", "kind", "strength", "direction", "overallCertainty", "intervention", "setting", "timing"]}
+
+
+def build(spark, graph, version="1"):
+    docs = [(d, d, version) for d in graph]
+    ev = lambda e: None if e is None else (e.get("location"), e.get("quote"), None, e.get("by"), e.get("at"))
+    nodes = [(d, i, n["id"], n["type"], n["label"], n["derivation"], n["note"], ev(n["evidence"]), json.dumps(n["p"]), None) for d, (ns, _) in graph.items() for i, n in enumerate(ns)]
+    edges = [(d, i, e["predicate"], e["source"], e["target"], e["qualifier"], e["derivation"], e["note"], ev(e["evidence"]), json.dumps(e["p"])) for d, (_, es) in graph.items() for i, e in enumerate(es)]
+    evidence = "evidence struct<location:string,quote:string,artifact:string,by:string,at:string>"
+    return (
+        spark.createDataFrame(docs, "doc_id string, layer string, ontology_version string"),
+        spark.createDataFrame(nodes, f"doc_id string, ord int, id string, type string, label string, derivation string, note string, {evidence}, properties string, flag_ref string"),
+        spark.createDataFrame(edges, f"doc_id string, ord int, predicate string, source string, target string, qualifier string, derivation string, note string, {evidence}, properties string"),
+    )
+
+
+def model(spark):
+    licensed = {(e["predicate"], a, b) for _, (_, es) in VALID.items() for e in es for a in [kind(e["source"])] for b in [kind(e["target"])]}
+    return make_model(
+        spark,
+        classes=[("base", t, "Thing", None, "^[a-z]+/[0-9]+$" if t == "citation" else None, "inferred" if t == "evidence" else None) for t in TYPES] + [("more", "kit", "Thing", None, None, None), ("more", "book", "Thing", "publication", None, None)],
+        class_properties=[(c, p) for c, ps in PROPERTIES.items() for p in ps],
+        content_fields=[("recommendation", 0, "statement"), ("remark", 0, "text")],
+        predicates=[("base", p, p == "contains") for p in sorted({x[0] for x in licensed})],
+        licensed=[("base", p, a, b, "main" if p == "supportedBy" else None, "inferred" if p == "resolvesTo" else None) for p, a, b in sorted(licensed)],
+        codes=[("strength", "strong"), ("strength", "conditional"), ("identifier-type", "isbn"), ("resolution-status", "resolved"), ("resolution-status", "unresolved")],
+        bindings=[("recommendation", "strength", "strength", "error")],
+        imports=[("base", None, "1", "n"), ("more", "base", "1", "n")],
+        kinds=[("base", "Thing", "anything")],
+    )
+
+
+def kind(id_):
+    return {n["id"]: n["type"] for n in VALID["base"][0]}.get(id_) or next(n["type"] for n in VALID["more"][0] if n["id"] == id_)
+
+
+def changed(at, **values):
+    def f(g):
+        for n in g["base"][0] + g["more"][0]:
+            if n["id"] == at:
+                n["p"].update({k: v for k, v in values.items() if k not in ("derivation", "note", "evidence", "type")})
+                n["p"] = {k: v for k, v in n["p"].items() if v != "DROP"}
+                n.update({k: v for k, v in values.items() if k in ("derivation", "note", "evidence", "type")})
+
+    return f
+
+
+def changed_edge(predicate, **values):
+    def f(g):
+        for e in g["base"][1]:
+            if e["predicate"] == predicate:
+                e["p"].update({k: v for k, v in values.items() if k == "resolutionStatus"})
+                e.update({k: v for k, v in values.items() if k != "resolutionStatus"})
+
+    return f
+
+
+def added(*items, doc="base"):
+    return lambda g: [g[doc][0 if "id" in x else 1].append(x) for x in items]
+
+
+CASES = {
+    "V-02": added(node("out/1", "outcome", importance="critical")), "V-03": changed("st/1", type="mystery"), "V-04": added(node("out/2", "outcome", "inferred")),
+    "V-05": added(edge("forOutcome", "ev/9", "out/1")), "V-06": added(edge("forOutcome", "ev/1", "out/9")), "V-07": added(edge("forOutcome", "out/1", "ev/1")), "V-08": changed_edge("supportedBy", qualifier="odd"),
+    "V-09": changed_edge("resolvesTo", derivation="derived"), "V-10": changed_edge("resolvesTo", evidence={"location": "x"}), "V-11": changed_edge("supportedBy", note=None, evidence=None),
+    "V-12": changed("pub/1", colour=None), "V-13": changed("st/1", successCriteria=[]), "V-14": changed("rec/1", strength="huge"), "V-15": changed("pub/1", identifiers=[{"type": "shelf", "value": "1"}]), "V-16": added(node("Cit#9", "citation", text="t", resolutionStatus="unresolved")),
+    "V-17": changed("rem/1", contentHash="DROP"), "V-18": changed("rem/1", contentHash="0" * 64), "V-19": changed("ev/1", derivation="derived"), "V-20": added(node("out/2", "outcome", "decided", "n", {"location": "x"})),
+    "V-21": changed("rec/1", direction="DROP"), "V-22": changed("rec/1", kind="good-practice-statement"), "V-23": changed("pub/1", grcStatus="not-reviewed"), "V-24": changed("pub/1", grcStatus="DROP"), "V-25": changed("rec/1", timing="at night"),
+    "V-26": changed("rec/1", overallCertainty="high"), "V-27": changed("row/1", cells=["kept", "copied"]), "V-28": changed("cit/2", resolutionStatus="resolved"), "V-29": changed("ref/1", resolutionStatus="unresolved"),
+    "V-30": changed("ref/1", resolutionStatus="unresolved"), "V-31": changed("cit/1", text=""), "V-32": changed_edge("resolvesTo", resolutionStatus="perhaps"), "V-33": added(edge("numberedAs", "cit/1", "cit/2", resolutionStatus="resolved")),
+    "V-34": changed_edge("resolvesTo", evidence={"by": "ann", "at": "2024-05-01"}), "V-35": added(node("pub/1", "kit"), doc="more"),
+}
+
+
+def findings(spark, graph, version="1"):
+    d, n, e = build(spark, graph, version)
+    return {r.rule_id for r in rules.validate(d, n, e, model(spark), "1").collect()}
+
+
+def test_valid_graph_has_no_findings_and_reports_so(spark):
+    d, n, e = build(spark, VALID)
+    found = rules.validate(d, n, e, model(spark), "1")
+    assert found.collect() == []
+    assert {(r.doc_id, r.n_nodes, r.n_edges, r.conforms) for r in rules.report(d, found, n, e).collect()} == {("base", 12, 9, True), ("more", 2, 1, True)}
+    assert rules.shape_findings(n, e).collect() == []
+
+
+def test_other_version_is_all_that_is_told(spark):
+    graph = copy.deepcopy(VALID)
+    CASES["V-07"](graph)
+    assert findings(spark, graph, "2") == {"V-01"}
+
+
+@pytest.mark.parametrize("half", [0, 1, 2, 3])
+def test_each_defect_is_named(spark, half):
+    """Defects in documents of their own, so that one run tells a quarter of the rules: node ids are made distinct by a prefix."""
+    graph, want = {}, {}
+    names = sorted(CASES)[half::4]
+    for rule in names:
+        g = copy.deepcopy(VALID)
+        CASES[rule](g)
+        for d, (ns, es) in g.items():
+            for n in ns:
+                n["id"] = f"{n['id']}{rule[2:]}" if rule != "V-16" else n["id"]
+            for e in es:
+                e["source"], e["target"] = (x if rule == "V-16" else f"{x}{rule[2:]}" for x in (e["source"], e["target"]))
+            graph[f"{rule}/{d}"] = (ns, es)
+        want[rule] = rule
+    docs, nodes, edges = build(spark, graph)
+    docs = docs.selectExpr("doc_id", "split(doc_id, '/')[1] AS layer", "ontology_version")
+    out = {}
+    for r in rules.validate(docs, nodes, edges, model(spark), "1").collect():
+        out.setdefault(r.doc_id.split("/")[0], set()).add(r.rule_id)
+    for rule in names:
+        assert rule in out.get(rule, set()), (rule, out.get(rule))
+        assert len(out[rule]) <= 3, (rule, out[rule])
+
+
+def test_shape(spark):
+    graph = {"d": [[node("", "Bad Type", "guessed", **{"Bad": 1}), node("a", "t", "decided", "n")], [edge("Bad", "s", "t"), edge("p", "", "t", "inferred", None, "n", {"by": "x"})]]}
+    _, n, e = build(spark, graph)
+    told = {r.message for r in rules.shape_findings(n, e).collect()}
+    assert told >= {"id is missing", "type is not in kebab case", "unknown derivation", "property key is not in camel case", "predicate is not in camel case", "source is missing", "inferred or decided without note and evidence", "evidence without a location"}
+
+
+def test_model_tables(spark):
+    assert check_model(model(spark)).collect() == []
+    bad = make_model(
+        spark, classes=[("a", "x", "K", None, None, None), ("b", "x", "K", None, None, None)], predicates=[("a", "p", False)], licensed=[("a", "q", "x", "z", None, None)],
+        codes=[("s", "1"), ("s", "1")], bindings=[("x", "p", "s", "error"), ("x", "p", "t", "error")], imports=[("a", "b", "1", "n"), ("b", "a", "2", "n")], kinds=[("a", "L", "")],
+    )
+    assert {r.rule_id for r in check_model(bad).collect()} == {"M-01", "M-02", "M-03", "M-04", "M-05", "M-06", "M-07"}
+    assert {(r.layer, r.in_scope) for r in model(spark).scope().collect()} == {("base", "base"), ("more", "more"), ("more", "base")}
+
+
+def test_unified_nodes_keep_the_specific_type(spark):
+    _, n, _ = build(spark, VALID)
+    one, bad = rules.unify_nodes(n, model(spark))
+    assert {r.id: r.type for r in one.collect()}["pub/1"] == "book" and bad.count() == 0
