@@ -27,14 +27,14 @@ def tree(shards: int, racks: int = RACKS, per_rack: int = PER_RACK) -> list[list
     return [[n for k in range(racks) if (n := size((r * racks + k) * per_rack))] for r in range(regions)]
 
 
-def _winner(key: list[Column], place: list[Column], weights: Column, most: int) -> Column:
-    """Number of the child with the least draw. weights: array, 0 or absent for no child."""
-    draws = []
-    for child in range(most):
-        u = (F.shiftrightunsigned(F.xxhash64(*place, F.lit(child), *key), 11).cast("double") + 0.5) / F.lit(2.0**53)
-        w = F.coalesce(F.get(weights, F.lit(child)), F.lit(0))
-        draws.append(F.struct(F.when(w > 0, -F.log(u) / w).otherwise(F.lit(float("inf"))).alias("d"), F.lit(child).alias("c")))
-    return F.array_min(F.array(*draws))["c"] if most > 1 else F.lit(0)
+def _winner(key: list[Column], place: list[Column], weights: Column) -> Column:
+    """Number of the child with the least draw. weights: one a child, 0 for none."""
+
+    def draw(w: Column, child: Column) -> Column:
+        u = (F.shiftrightunsigned(F.xxhash64(*place, child, *key), 11).cast("double") + 0.5) / F.lit(2.0**53)
+        return F.struct(F.when(w > 0, -F.log(u) / w).otherwise(F.lit(float("inf"))).alias("d"), child.alias("c"))
+
+    return F.array_min(F.transform(weights, draw))["c"]
 
 
 def descend(docs: DataFrame, key: str, shards: int, name: str) -> DataFrame:
@@ -43,10 +43,10 @@ def descend(docs: DataFrame, key: str, shards: int, name: str) -> DataFrame:
     k = [F.col(key)]
     literal = lambda rows: F.array(*[F.array(*[F.lit(x) for x in r]) for r in rows])
     regions = F.array(*[F.lit(sum(r)) for r in layout])
-    out = docs.withColumn("__region", _winner(k, [F.lit(1)], regions, len(layout)))
-    out = out.withColumn("__rack", _winner(k, [F.lit(2), F.col("__region")], F.get(literal(layout), F.col("__region")), max(map(len, layout))))
+    out = docs.withColumn("__region", _winner(k, [F.lit(1)], regions))
+    out = out.withColumn("__rack", _winner(k, [F.lit(2), F.col("__region")], F.get(literal(layout), F.col("__region"))))
     leaves = F.get(F.get(F.array(*[literal([[1] * n for n in r]) for r in layout]), F.col("__region")), F.col("__rack"))
-    out = out.withColumn("__leaf", _winner(k, [F.lit(3), F.col("__region"), F.col("__rack")], leaves, max(n for r in layout for n in r)))
+    out = out.withColumn("__leaf", _winner(k, [F.lit(3), F.col("__region"), F.col("__rack")], leaves))
     return out.withColumn(name, (F.col("__region") * RACKS * PER_RACK + F.col("__rack") * PER_RACK + F.col("__leaf")).cast("int")).drop("__region", "__rack", "__leaf")
 
 
