@@ -116,20 +116,34 @@ def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict | N
     return model
 
 
+def _votes(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
+    whole = measured(without(docs, ADDED), text)
+    return whole.select(*[F.col(f"`{c}`") for c in carry], *BASE, *[v.cast("byte").alias(f"__vote_{n}") for n, v in rules().items()])
+
+
+def _fitted(votes: DataFrame) -> dict | None:
+    names = [f"__vote_{n}" for n in rules()]
+    return fit(table(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1)), list(rules()))
+
+
+def _judged(votes: DataFrame, model: dict | None, threshold: float) -> DataFrame:
+    names = list(rules())
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    out = votes.withColumn("base_failed", failed).withColumn("posterior", _posterior(model, names))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)).drop(*[f"__vote_{n}" for n in names])
+
+
 def quality_rules(docs: DataFrame, text: str = "text", carry: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """docs (or the columns in carry) with the base measures, base_failed, posterior and kept.
 
     base_failed: fewer than 10 words, or over 20 % of the words in 5-word windows found twice or more. kept:
     not base_failed and a posterior of at least the threshold. Null text counts as empty and fails. Repeated
-    rows are judged alike, one by one. Columns of docs named like an added one are replaced. The measures are
-    written once to the shared folder; a table without rows gives none.
+    rows are judged alike, one by one. Columns of docs named like an added one are replaced. A table without
+    rows gives none. With carry the measures are written once to the shared folder beside those columns;
+    without it they are taken twice, so that no second copy of the texts is written.
     """
-    carry = [c for c in (carry or docs.columns) if c.lower() not in ADDED]
-    whole = measured(without(docs, ADDED), text)
-    names = list(rules())
-    votes = table(whole.select(*[F.col(f"`{c}`") for c in carry], *BASE, *[v.cast("byte").alias(f"__vote_{n}") for n, v in rules().items()]))
-    patterns = table(votes.groupBy(*[f"__vote_{n}" for n in names]).agg(F.count("*").alias("n")).coalesce(1))
-    model = fit(patterns, names)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    out = votes.withColumn("base_failed", failed).withColumn("posterior", _posterior(model, names))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)).drop(*[f"__vote_{n}" for n in names])
+    if carry is None:
+        model = _fitted(_votes(docs, text, []))
+        return _judged(_votes(docs, text, [c for c in docs.columns if c.lower() not in ADDED]), model, threshold)
+    votes = table(_votes(docs, text, [c for c in carry if c.lower() not in ADDED]))
+    return _judged(votes, _fitted(votes), threshold)
