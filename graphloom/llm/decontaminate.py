@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from graphloom.llm._text import mix
 from graphloom.session import ship
@@ -173,7 +174,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """
     slim = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     schema = f"`{key}` {slim.schema['__key'].dataType.simpleString()}, `{item}` {benchmark.schema[item].dataType.simpleString()}, edits int, start int, end int, passage string"
-    out = docs.sparkSession.createDataFrame([], schema)
+    out, id_type = docs.sparkSession.createDataFrame([], schema), to_arrow_type(benchmark.schema[item].dataType)
     for passages in blocks(benchmark, item, item_text, q, percent, least_words):
 
         def run(batches: Iterator[pa.RecordBatch], passages: list[Passages] = passages) -> Iterator[pa.RecordBatch]:
@@ -186,8 +187,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                         rows += [(n, p.ids[i], e, s, z, t[s:z]) for i, (e, s, z) in p.best(t).items()]
                 keys = batch["__key"].take(pa.array([r[0] for r in rows], pa.int64()))
                 rest = [pa.array([r[k] for r in rows], kind) for k, kind in ((2, pa.int32()), (3, pa.int32()), (4, pa.int32()), (5, pa.string()))]
-                ids = pa.array([r[1] for r in rows], pa.int64() if not rows else None)
-                yield pa.RecordBatch.from_arrays([keys, ids, *rest], names=names)
+                yield pa.RecordBatch.from_arrays([keys, pa.array([r[1] for r in rows], id_type), *rest], names=names)
 
         out = out.unionByName(slim.mapInArrow(run, schema))
     return out

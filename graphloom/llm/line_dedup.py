@@ -62,7 +62,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
     """Delete lines that lie in a run of `run` or more lines with words that also stands earlier.
 
     Lines are the parts between \\n; two are equal if their words are (white space aside). Earlier: a lower
-    key, or the same key and a lower line; null keys come last. Adds n_lines (lines with a word),
+    key (an integer), or the same key and a lower line; null keys come last. Adds n_lines (lines with a word),
     n_removed_lines, kept_text (the rest, joined by \\n, blank lines kept) and removed_lines (their numbers
     from 0 among all lines). Null texts have no lines and a null kept_text; texts with fewer than `run` lines
     are left alone. Among rows with one key the earlier is a matter of their text's hash. Columns of docs that
