@@ -61,13 +61,18 @@ def edits(passage: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int]
     width = len(region) - len(passage) + 2 * most + 1
     if width <= 0:
         return None
-    j, far = np.arange(width), np.int64(1 << 30)
-    row = np.where((j >= most) & (j - most <= len(region)), 0, far)
+    j, far = np.arange(width, dtype=np.int32), np.int32(1 << 28)
+    held = np.full(width + 1, far, np.int32)  # one more entry, always far: nothing comes from beyond the band
+    row, above = held[:width], held[1:]
+    row[(j >= most) & (j - most <= len(region))] = 0
     padded = np.concatenate([np.full(most, 0xFFFFFFFF, np.uint32), region, np.full(most + 1, 0xFFFFFFFF, np.uint32)])
-    for i, ch in enumerate(passage):
-        best = np.minimum(row + (padded[i : i + width] != ch), np.append(row[1:], far) + 1)
-        row = np.minimum.accumulate(best - j) + j
-        if row.min() > most:
+    for i, ch in enumerate(passage.tolist()):
+        best = above + 1
+        np.minimum(best, row + (padded[i : i + width] != ch), out=best)
+        best -= j
+        np.minimum.accumulate(best, out=best)
+        np.add(best, j, out=row)
+        if i & 7 == 7 and row.min() > most:
             return None
     end = len(passage) - most + j
     row = np.where((end >= 0) & (end <= len(region)), row, far)
@@ -137,12 +142,37 @@ class Passages:
                 out.append((i, found[0], max(a, a + found[1] - len(self.codes[i])), a + found[1]))
         return out
 
-    def best(self, text: str) -> dict[int, tuple[int, int, int]]:
-        """The place with the fewest edits, then the first, for each passage in text."""
-        found: dict[int, tuple[int, int, int]] = {}
-        for a in range(0, max(1, len(text) - self.reach), SLICE_CHARS):
-            for i, e, s, z in self.search(text[a : a + SLICE_CHARS + 2 * self.reach]):
-                found[i] = min(found.get(i, (1 << 30, 0, 0)), (e, s + a, z + a))
+    def best(self, texts: list[str]) -> list[dict[int, tuple[int, int, int]]]:
+        """For each text, the place with the fewest edits, then the first, of each passage in it.
+
+        Short texts are searched together, with more blanks between them than any passage has edits: no placement
+        can reach over. Long ones are searched in slices that overlap by more than a passage.
+        """
+        found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        gap = "\0" * (int(self.budget.max()) + 1)
+        group: list[int] = []
+        filled = 0
+
+        def together() -> None:
+            starts = np.cumsum([0] + [len(texts[n]) + len(gap) for n in group])
+            for i, e, s, z in self.search(gap.join(texts[n] for n in group)):
+                k = int(np.searchsorted(starts, max(s, z - len(self.texts[i]) // 2), "right")) - 1
+                own = found[group[k]]
+                own[i] = min(own.get(i, (1 << 30, 0, 0)), (e, max(0, s - int(starts[k])), z - int(starts[k])))
+
+        for n, text in enumerate(texts):
+            if len(text) > SLICE_CHARS:
+                for a in range(0, max(1, len(text) - self.reach), SLICE_CHARS):
+                    for i, e, s, z in self.search(text[a : a + SLICE_CHARS + 2 * self.reach]):
+                        found[n][i] = min(found[n].get(i, (1 << 30, 0, 0)), (e, s + a, z + a))
+                continue
+            group.append(n)
+            filled += len(text) + len(gap)
+            if filled > SLICE_CHARS:
+                together()
+                group, filled = [], 0
+        if group:
+            together()
         return found
 
 
@@ -180,11 +210,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         def run(batches: Iterator[pa.RecordBatch], passages: list[Passages] = passages) -> Iterator[pa.RecordBatch]:
             names = [key, item, "edits", "start", "end", "passage"]
             for batch in batches:
-                rows = []
-                for n, t in enumerate(batch["__text"]):
-                    t = plain(t.as_py())
-                    for p in passages:
-                        rows += [(n, p.ids[i], e, s, z, t[s:z]) for i, (e, s, z) in p.best(t).items()]
+                texts = [plain(t.as_py()) for t in batch["__text"]]
+                rows = [(n, p.ids[i], e, s, z, texts[n][s:z]) for p in passages for n, found in enumerate(p.best(texts)) for i, (e, s, z) in found.items()]
                 keys = batch["__key"].take(pa.array([r[0] for r in rows], pa.int64()))
                 rest = [pa.array([r[k] for r in rows], kind) for k, kind in ((2, pa.int32()), (3, pa.int32()), (4, pa.int32()), (5, pa.string()))]
                 yield pa.RecordBatch.from_arrays([keys, pa.array([r[1] for r in rows], id_type), *rest], names=names)
@@ -200,7 +227,8 @@ def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         def run(batches: Iterator[pa.RecordBatch], passages: list[Passages] = passages) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 texts = [plain(t.as_py()) for t in batch[text]]
-                yield batch.filter(pa.array([not any(p.best(t) for p in passages) for t in texts], pa.bool_()))
+                held = [p.best(texts) for p in passages]
+                yield batch.filter(pa.array([not any(h[n] for h in held) for n in range(len(texts))], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
