@@ -147,3 +147,13 @@ def quality_rules(docs: DataFrame, text: str = "text", carry: list[str] | None =
         return _judged(_votes(docs, text, [c for c in docs.columns if c.lower() not in ADDED]), model, threshold)
     votes = table(_votes(docs, text, [c for c in carry if c.lower() not in ADDED]))
     return _judged(votes, _fitted(votes), threshold)
+
+
+def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, with its columns, that quality_rules() keeps.
+
+    The row number, which no optimiser may move a filter past, keeps the measures out of the filter: there they
+    would be worked out again for each of its many mentions.
+    """
+    judged = quality_rules(docs, text, threshold=threshold).withColumn("__row", F.monotonically_increasing_id())
+    return judged.where("kept AND __row >= 0").select(docs.columns)
