@@ -10,13 +10,13 @@ from graphloom.llm._shared import table
 from graphloom.llm.decontaminate import without_passages
 from graphloom.llm.mixing import mixed
 from graphloom.llm.ngram_join import keep_one
-from graphloom.llm.quality_rules import quality_rules
+from graphloom.llm.quality_rules import keep_good
 from graphloom.llm.sharding import shard_documents
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules(docs).where("kept").select(docs.columns)
+    return keep_good(docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
