@@ -5,6 +5,9 @@ fingerprint. Any run of w lines that stands in two places has the same fingerpri
 that occur once rule out all windows they stand for. The others are joined by hash and extended both ways:
 all w-line windows that a hit stands for are compared whole, and every window that has an earlier occurrence
 is marked; overlapping marked windows make up the maximal repeated run, which is deleted.
+
+With a bound by content (`words`) every line is a fingerprint (a window of one), and the windows compared whole
+are those of fewer lines that hold so many words, those of w lines, and short texts as wholes.
 """
 
 from __future__ import annotations
@@ -17,13 +20,17 @@ from graphloom.llm._chunks import Chunked, counted, total
 from graphloom.llm._shared import without
 from graphloom.llm._text import Words, span_hashes
 
+WHOLE = np.uint64(0x94D049BB133111EB)
+"""Sets the hash of a whole text apart from that of the same lines within one."""
+
 ADDED = "n_lines long, n_removed_lines long, kept_text string, removed_lines array<long>"
 
 
 class _Lines:
     """Lines with a word: hash of the words, text and number within the text of each."""
 
-    def __init__(self, texts: pa.ChunkedArray, w: int):
+    def __init__(self, texts: pa.ChunkedArray, w: int, least: int | None = None):
+        self.least = least
         words = Words(texts)
         breaks = np.flatnonzero(words.buf == 10)
         line = np.searchsorted(breaks, words.starts) + words.doc  # each text begins a line
@@ -31,6 +38,7 @@ class _Lines:
         new[1:] = line[1:] != line[:-1]
         start = np.flatnonzero(new)
         self.hashes = span_hashes(words.hashes, start, np.append(start[1:], len(line)))
+        self.sizes = np.diff(np.append(start, len(line)))
         self.doc = words.doc[start]
         self.texts = len(words.counts)
         self.first = np.searchsorted(self.doc, np.arange(self.texts + 1))
@@ -38,6 +46,9 @@ class _Lines:
         self.number = (line[start] - self.doc) - breaks_before[self.doc]  # within the text, blank lines counted
         self.words = words
         at = np.arange(len(self.hashes))
+        if least is not None:
+            self.mark = self.hashes
+            return
         self.windows = at[self.first[1:][self.doc] - at >= w] if len(at) else at
         if len(self.windows):
             view = self.hashes[self.windows[:, None] + np.arange(w)]
@@ -45,27 +56,51 @@ class _Lines:
         else:
             self.mark = np.zeros(0, np.uint64)
 
-    def opened(self, w: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def spans(self, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first line, number of lines, is a whole text) of the windows of w lines, those of fewer lines with the least words, and texts that have neither."""
+        at = np.arange(len(self.hashes))
+        left = self.first[1:][self.doc] - at
+        sums = np.concatenate(([0], np.cumsum(self.sizes)))
+        starts, lengths = [at[left >= w]], [np.full(np.count_nonzero(left >= w), w)]
+        for k in range(1, w):
+            some = at[left >= k]
+            some = some[sums[some + k] - sums[some] >= self.least]
+            starts.append(some), lengths.append(np.full(len(some), k))
+        a, b = self.first[:-1], self.first[1:]
+        short = (b > a) & (b - a < w) & (sums[b] - sums[a] < self.least)
+        starts.append(a[short]), lengths.append((b - a)[short])
+        lengths = np.concatenate(lengths)
+        return np.concatenate(starts), lengths, np.arange(len(lengths)) >= len(lengths) - np.count_nonzero(short)
+
+    def opened(self, w: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first line, number of lines, hash) of the windows that may stand in two places."""
         index = np.unique(self.mark)
+        if self.least is not None:
+            at, length, whole = self.spans(w)
+            missed = np.concatenate(([0], np.cumsum(hit[np.searchsorted(index, self.mark)] == 0))) if len(index) else np.zeros(1, np.int64)
+            some = missed[at + length] == missed[at]
+            at, length, whole = at[some], length[some], whole[some]
+            return at, length, span_hashes(self.hashes, at, at + length) ^ np.where(whole, WHOLE, np.uint64(0))
         at = self.windows[hit[np.searchsorted(index, self.mark)].astype(bool)] if len(index) else self.windows
-        return at, span_hashes(self.hashes, at, at + w)
+        return at, np.full(len(at), w), span_hashes(self.hashes, at, at + w)
 
     def fingerprints(self, w: int) -> np.ndarray:
         """Hashes of the selected lines, one for each place."""
-        if not len(self.windows):
+        if self.least is not None or not len(self.windows):
             return self.mark
         view = self.hashes[self.windows[:, None] + np.arange(w)]
         return self.hashes[np.unique(self.windows + w - 1 - view[:, ::-1].argmin(axis=1))]
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: int = 4) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: int = 4, words: int | None = None) -> DataFrame:
     """Delete lines that lie in a run of `run` or more lines with words that also stands earlier.
 
     Lines are the parts between \\n; two are equal if their words are (white space aside). Earlier: a lower
     key (an integer), or the same key and a lower line; null keys come last. Adds n_lines (lines with a word),
     n_removed_lines, kept_text (the rest, joined by \\n, blank lines kept) and removed_lines (their numbers
     from 0 among all lines). Null texts have no lines and a null kept_text; texts with fewer than `run` lines
-    are left alone. Among rows with one key the earlier is a matter of their text's hash. Columns of docs that
+    are left alone unless `words` is given. Then a run of fewer lines is deleted too if it holds `words` or more
+    words and stands earlier, and so is a text of fewer lines and words if an earlier text has just its lines. Among rows with one key the earlier is a matter of their text's hash. Columns of docs that
     have the name of an added one are replaced.
     """
     docs = without(docs, ["n_lines", "n_removed_lines", "kept_text", "removed_lines"])
@@ -79,7 +114,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
         return np.array([last if v is None else v for v in t[key].to_pylist()], np.int64)
 
     def ask_marks(t: pa.Table) -> tuple:
-        lines = _Lines(t[text], run)
+        lines = _Lines(t[text], run, words)
         marks, counts = counted(lines.fingerprints(run))
         return marks, [counts]
 
@@ -95,8 +130,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
 
     def ask_runs(t: pa.Table, hit: np.ndarray) -> tuple:
         t = ordered(t)
-        lines = _Lines(t[text], run)
-        at, hashes = lines.opened(run, hit)
+        lines = _Lines(t[text], run, words)
+        at, _, hashes = lines.opened(run, hit)
         hashes, first = firsts(t, lines, at, hashes)
         chunk = t["__chunk"][0].as_py()
         return hashes, [places(t)[lines.doc[first]], np.full(len(first), chunk, np.int64)]
@@ -112,15 +147,16 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
 
     def cut(t: pa.Table, hit: np.ndarray, keeps: np.ndarray) -> pa.Table:
         t = ordered(t)
-        lines = _Lines(t[text], run)
-        at, hashes = lines.opened(run, hit)
+        lines = _Lines(t[text], run, words)
+        at, length, hashes = lines.opened(run, hit)
         index, first = firsts(t, lines, at, hashes)
         if len(index):
             spot = np.searchsorted(index, hashes)
-            at = at[~(keeps[spot].astype(bool) & (first[spot] == at))]
+            later = ~(keeps[spot].astype(bool) & (first[spot] == at))
+            at, length = at[later], length[later]
         depth = np.zeros(len(lines.hashes) + 1, np.int64)
         np.add.at(depth, at, 1)
-        np.add.at(depth, at + run, -1)
+        np.add.at(depth, at + length, -1)
         gone = np.cumsum(depth[:-1]) > 0
         kept, numbers = [], []
         for d, whole in enumerate(t[text].to_pylist()):

@@ -20,6 +20,28 @@ gone AS (SELECT DISTINCT c.doc_id, c.i FROM (SELECT doc_id, n + k AS n FROM late
 every AS (
   SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM documents),
 kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS k FROM every ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, (SELECT count(*) FROM l WHERE l.doc_id = d.doc_id)::BIGINT AS n_lines,
+       (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id)::BIGINT AS n_removed_lines,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.k, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)""",
+    "op2_content_dedup": r"""
+WITH l AS (
+  SELECT doc_id, i, array_to_string(ws, ' ') AS ws, len(ws) AS size FROM (
+    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i,
+           regexp_extract_all(unnest(string_split(text, chr(10))), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents)
+  WHERE len(ws) > 0),
+c AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM l),
+a AS (SELECT doc_id, list(ws ORDER BY n) AS ls, list(size ORDER BY n) AS sizes, count(*) AS lines FROM c GROUP BY doc_id),
+every_span AS (SELECT a.*, n, k FROM a, range(1, 5) t(k), unnest(range(1, lines - k + 2)) u(n)),
+win AS (
+  SELECT doc_id, n, k, false AS whole, array_to_string(ls[n:n + k - 1], chr(10)) AS w FROM every_span WHERE k = 4 OR list_sum(sizes[n:n + k - 1]) >= 50
+  UNION ALL SELECT doc_id, 1, lines, true, array_to_string(ls, chr(10)) FROM a WHERE lines < 4 AND list_sum(sizes) < 50),
+later AS (SELECT doc_id, n, k FROM (SELECT *, row_number() OVER (PARTITION BY whole, w ORDER BY doc_id, n) AS place FROM win) WHERE place > 1),
+gone AS (SELECT DISTINCT c.doc_id, c.i FROM later JOIN c ON c.doc_id = later.doc_id AND c.n BETWEEN later.n AND later.n + later.k - 1),
+every AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line FROM documents),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS k FROM every ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT d.doc_id, (SELECT count(*) FROM l WHERE l.doc_id = d.doc_id)::BIGINT AS n_lines,
        (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id)::BIGINT AS n_removed_lines,
        CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.k, '')) END AS kept_sha256

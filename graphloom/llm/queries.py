@@ -34,6 +34,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"), words=50)
+    return out.select("doc_id", "n_lines", "n_removed_lines", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_substrings(read(spark, sf_dir, "documents", "doc_id", "text"), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -77,7 +82,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op7_quality_classifier, op8_token_counts, op9_warc, op10_decontaminate, pipeline)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op2_content_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op7_quality_classifier, op8_token_counts, op9_warc, op10_decontaminate, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,8 +4,10 @@ from collections import Counter
 
 import pytest
 
+from graphloom.llm import queries
 from graphloom.llm.line_dedup import dedup_lines
 from graphloom.llm.substring_dedup import dedup_substrings
+from tests.oracle import compare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -71,3 +73,45 @@ def test_lines_against_brute_force(spark, run):
     assert {k: x.removed_lines for k, x in got.items()} == want
     for k, t in rows:
         assert got[k].kept_text == (None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in set(want[k])))
+
+
+def content_expected(rows: list[tuple], run: int, words: int) -> dict:
+    docs = {}
+    for k, t in rows:
+        docs[k] = [(i, tuple(x.encode().split())) for i, x in enumerate((t or "").split("\n")) if x.encode().split()]
+    seen, out = set(), {}
+    for k in sorted(docs):
+        d, gone = docs[k], set()
+        size = lambda part: sum(len(x) for _, x in part)
+        for i in range(len(d)):
+            for n in range(1, min(run, len(d) - i) + 1):
+                part = d[i : i + n]
+                kinds = [False] if n == run or size(part) >= words else [True] if n == len(d) else []
+                for whole in kinds:
+                    window = whole, tuple(x for _, x in part)
+                    if window in seen:
+                        gone |= {j for j, _ in part}
+                    seen.add(window)
+        out[k] = sorted(gone)
+    return out
+
+
+def test_lines_by_content_against_brute_force(spark):
+    r = random.Random(5)
+    rows = [(i, "\n".join(r.choice(["a", "b c", "", " ", "d", "e f g", "é h i j k"]) for _ in range(r.randint(0, 9)))) for i in range(80)]
+    rows += [(80, None), (81, ""), (82, "only here once\nand here"), (83, "only  here once\n\nand here"), (84, "and here")]
+    got = {x.doc_id: x for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), run=4, words=6).collect()}
+    want = content_expected(rows, 4, 6)
+    assert {k: x.removed_lines for k, x in got.items()} == want
+    assert want[83] == [0, 2] and want[84] == []
+
+
+def test_long_line_and_short_copy_are_repeats(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"x\n{long}\ny"), (2, f"z\n{long}"), (3, "short text"), (4, "short text"), (5, None)]
+    got = {x.doc_id: x.kept_text for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), words=50).collect()}
+    assert got == {1: rows[0][1], 2: "z", 3: "short text", 4: "", 5: None}
+
+
+def test_content_query_against_sql(spark):
+    assert compare(spark, "op2_content_dedup", queries.op2_content_dedup, queries.oracle_sql()["op2_content_dedup"], "/root/testdata/sf0.001")
