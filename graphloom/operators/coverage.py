@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from graphloom.functions.ids import squeezed
 
-MARKERS = ["should not", "must not", "should", "must", "shall", "is recommended", "are recommended", "recommend", "recommends"]
-REASONS = ["not-actionable", "background", "out-of-scope", "duplicate-of", "superseded"]
+#: The closed lists of the report contract (docs/COVERAGE.md, sections 1 and 2); another list is another definition of normative.
+MARKERS = [
+    "should", "shall", "must", "recommend", "recommends", "recommended", "recommendation", "recommendations", "should not", "is not a reason", "are not a contraindication",
+    *[f"may be {v}" for v in ("given", "administered", "offered", "considered", "used", "co-administered", "implemented")],
+]
+DUPLICATE = "duplicate-of"
+REASONS = ["background-fact", "manufacturer-statement", DUPLICATE, "editorial", "research-question"]
 BOUNDARY = r"(?<=[.!?])\s+|\n+"
 
 
@@ -27,24 +32,35 @@ def normative(sentences_: DataFrame, markers: list[str] = MARKERS) -> DataFrame:
     return sentences_.withColumn("markers", F.array_distinct(F.transform(found, lambda m: F.lower(F.regexp_replace(m, r"\s+", " "))))).where("size(markers) > 0")
 
 
-def sentence_states(normative_: DataFrame, key: str, captured: DataFrame, exclusions: DataFrame) -> DataFrame:
-    """C-03: captured (a node carries the sentence: captured has column sentence), excluded (a valid exclusion for (key, ordinal)), else unaccounted."""
+def sentence_states(normative_: DataFrame, key: str, captured: DataFrame, exclusions: DataFrame, nodes: DataFrame | None = None, reasons: list[str] = REASONS) -> DataFrame:
+    """C-03: captured (a node carries the sentence: captured has column sentence), excluded (an exclusion for (key, ordinal) that C-04 passes), else unaccounted.
+
+    duplicate-of resolves among the ids of nodes; without nodes it resolves to nothing.
+    """
     held = captured.select(squeezed(F.col("sentence")).alias("__norm")).distinct().withColumn("__captured", F.lit(True))
-    out = exclusions.where("reason IS NOT NULL AND signed_by IS NOT NULL").groupBy(key, "ordinal").agg(F.min("reason").alias("reason"))
+    if nodes is None:
+        nodes = normative_.sparkSession.createDataFrame([], "id string")
+    out = judged(exclusions, nodes, reasons).where("size(messages) = 0").groupBy(key, "ordinal").agg(F.min("reason").alias("reason"))
     joined = normative_.withColumn("__norm", squeezed(F.col("sentence"))).join(held, "__norm", "left").join(out, [key, "ordinal"], "left")
     return joined.withColumn("state", F.when(F.col("__captured"), "captured").when(F.col("reason").isNotNull(), "excluded").otherwise("unaccounted")).drop("__norm", "__captured")
 
 
-def check_exclusions(exclusions: DataFrame, nodes: DataFrame, key: str, reasons: list[str] = REASONS) -> DataFrame:
-    """C-04: exclusions with an unknown reason, a duplicate of nothing, or nobody's signature."""
-    kind, of = F.split_part("reason", F.lit(":"), F.lit(1)), F.split_part("reason", F.lit(":"), F.lit(2))
-    e = exclusions.withColumns({"kind": kind, "of": of}).join(nodes.select(F.col("id").alias("of"), F.lit(True).alias("known")).distinct(), "of", "left")
+def judged(exclusions: DataFrame, nodes: DataFrame, reasons: list[str] = REASONS) -> DataFrame:
+    """exclusions with messages: what is wrong with each. A reason is one of the list as it stands, or duplicate-of:<id>; ids may hold colons."""
+    of = F.when(F.col("reason").rlike(f"^{DUPLICATE}(:|$)"), F.substr("reason", F.lit(len(DUPLICATE) + 2)))
+    e = exclusions.withColumn("of", of).join(nodes.select(F.col("id").alias("of"), F.lit(True).alias("known")).distinct(), "of", "left")
+    listed = F.when(F.col("of").isNotNull(), F.lit(DUPLICATE)).otherwise(F.col("reason")).isin(*reasons)
     told = F.array_compact(F.array(
-        F.when(F.col("reason").isNull() | ~F.col("kind").isin(*reasons), F.lit("unknown reason")),
-        F.when((F.col("kind") == "duplicate-of") & F.col("known").isNull(), F.lit("duplicate of nothing")),
-        F.when(F.col("signed_by").isNull(), F.lit("not signed off")),
+        F.when(F.col("reason").isNull() | ~listed, F.lit("unknown reason")),
+        F.when(F.col("of").isNotNull() & F.col("known").isNull(), F.lit("duplicate of nothing")),
+        F.when(F.trim(F.coalesce("signed_by", F.lit(""))) == "", F.lit("not signed off")),
     ))
-    return e.select(key, "ordinal", F.explode(told).alias("message"))
+    return e.withColumn("messages", told).drop("of", "known")
+
+
+def check_exclusions(exclusions: DataFrame, nodes: DataFrame, key: str, reasons: list[str] = REASONS) -> DataFrame:
+    """C-04: exclusions with an unknown reason, a duplicate of nothing, or nobody's signature."""
+    return judged(exclusions, nodes, reasons).select(key, "ordinal", F.explode("messages").alias("message"))
 
 
 def coverage_numbers(states: DataFrame, key: str) -> DataFrame:

@@ -174,7 +174,7 @@ st AS (SELECT doc_id, ordinal, CASE WHEN trim(regexp_replace(s, '\s+', ' ', 'g')
 
 def _states(spark, d):
     held = read(spark, d, "benchmark").select(F.explode(F.split("text", "\n")).alias("sentence"))
-    out = read(spark, d, "labels").where("toxic = 0").select("doc_id", F.lit(0).alias("ordinal"), F.lit("background").alias("reason"), F.lit("reviewer").alias("signed_by"))
+    out = read(spark, d, "labels").where("toxic = 0").select("doc_id", F.lit(0).alias("ordinal"), F.lit("background-fact").alias("reason"), F.lit("reviewer").alias("signed_by"))
     return coverage.sentence_states(_normative(spark, d), "doc_id", held, out)
 
 
@@ -199,7 +199,7 @@ def coverage_report(spark, d):
 @query("""WITH e AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'background' WHEN 1 THEN 'duplicate-of:' || doc_id WHEN 2 THEN 'whim' END AS reason, CASE WHEN quality = 1 THEN 'r' END AS by_ FROM labels)
 SELECT doc_id, 0 AS ordinal, 'unknown reason' AS message FROM e WHERE reason IS NULL OR reason = 'whim' UNION ALL SELECT doc_id, 0, 'duplicate of nothing' FROM e WHERE reason LIKE 'dup%' AND doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en') UNION ALL SELECT doc_id, 0, 'not signed off' FROM e WHERE by_ IS NULL""")
 def exclusion_checks(spark, d):
-    reason = F.when(F.col("doc_id") % 4 == 0, F.lit("background")).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("duplicate-of:"), "doc_id")).when(F.col("doc_id") % 4 == 2, F.lit("whim"))
+    reason = F.when(F.col("doc_id") % 4 == 0, F.lit("background-fact")).when(F.col("doc_id") % 4 == 1, F.concat(F.lit("duplicate-of:"), "doc_id")).when(F.col("doc_id") % 4 == 2, F.lit("whim"))
     e = read(spark, d, "labels").select("doc_id", F.lit(0).alias("ordinal"), reason.alias("reason"), F.when(F.col("quality") == 1, F.lit("r")).alias("signed_by"))
     return coverage.check_exclusions(e, read(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").cast("string").alias("id")), "doc_id")
 
