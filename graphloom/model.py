@@ -19,6 +19,7 @@ SCHEMAS = {
     "bindings": "class string, property string, value_set string, severity string",
     "imports": "layer string, imported string, schema_version string, namespace string",
     "kinds": "layer string, kind string, description string",
+    "value_sets": "layer string, value_set string",
 }
 
 
@@ -33,18 +34,23 @@ class Model:
     bindings: DataFrame
     imports: DataFrame
     kinds: DataFrame
+    value_sets: DataFrame  # one row a declaration; a set that only codes name is in every layer's scope
+    layered: bool = False  # M-01, M-02 and M-04 ask for the layer and its imports; else for any layer
 
     def scope(self) -> DataFrame:
         """(layer, in_scope): each layer with itself and all that it imports."""
-        layers = self.classes.select("layer").union(self.imports.select("layer")).distinct()
+        layers = self.imports.select("layer")
+        for t in (self.classes, self.predicates, self.licensed, self.value_sets):
+            layers = layers.union(t.select("layer"))
+        layers = layers.distinct()
         own = layers.select("layer", F.col("layer").alias("in_scope"))
         links = self.imports.where("imported IS NOT NULL").select(F.col("layer").alias("source"), F.col("imported").alias("target"))
         return own.union(closure(links).select(F.col("source").alias("layer"), F.col("target").alias("in_scope"))).distinct()
 
 
-def make_model(spark: SparkSession, **rows: list[tuple]) -> Model:
+def make_model(spark: SparkSession, layered: bool = False, **rows: list[tuple]) -> Model:
     """A model from rows in the order of SCHEMAS; tables that are not given are empty."""
-    return Model(**{name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()})
+    return Model(layered=layered, **{name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()})
 
 
 def read_model(spark: SparkSession, path: str) -> Model:
@@ -56,15 +62,17 @@ def read_model(spark: SparkSession, path: str) -> Model:
     raw = spark.read.schema(schema).json(path, multiLine=True)
     c = raw.select("layer", F.explode("classes").alias("c"))
     return Model(
+        layered=True,
         classes=c.select("layer", "c.id", "c.kind", "c.elaborates", F.col("c.iriPattern").alias("iri_pattern"), F.col("c.minDerivation").alias("min_derivation")),
         class_properties=c.select(F.col("c.id").alias("class"), F.explode("c.properties").alias("property")),
         content_fields=c.select(F.col("c.id").alias("class"), F.posexplode("c.contentFields").alias("position", "property")),
         predicates=raw.select("layer", F.explode("predicates").alias("p")).select("layer", "p.predicate", F.coalesce("p.openQualifier", F.lit(False)).alias("open_qualifier")),
         licensed=raw.select("layer", F.explode("edges").alias("e")).select("layer", "e.predicate", "e.source", "e.target", "e.qualifier", F.col("e.minDerivation").alias("min_derivation")),
-        codes=raw.select(F.explode("valueSets").alias("value_set", "v")).select("value_set", F.explode("v").alias("code")),
+        codes=raw.select("layer", F.explode("valueSets").alias("value_set", "v")).select("layer", "value_set", F.explode("v").alias("code")),
         bindings=c.select(F.col("c.id").alias("class"), F.explode("c.valueSets").alias("property", "b")).select("class", "property", F.col("b.set").alias("value_set"), F.coalesce("b.severity", F.lit("error")).alias("severity")),
         imports=raw.select("layer", F.explode_outer("imports").alias("imported"), F.col("schemaVersion").alias("schema_version"), "namespace"),
         kinds=raw.select("layer", F.explode("kinds").alias("kind", "description")),
+        value_sets=raw.select("layer", F.explode("valueSets").alias("value_set", "v")).select("layer", "value_set"),
     )
 
 
@@ -94,20 +102,43 @@ def duplicate_keys(table: DataFrame, keys: list[str], rule: str) -> DataFrame:
     return twice.select(F.lit(rule).alias("rule_id"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("subject"), F.concat(F.lit("declared "), F.col("n").cast("string"), F.lit(" times")).alias("message"))
 
 
+def out_of_scope(child: DataFrame, parent: DataFrame, key: str, parent_key: str, scope: DataFrame, rule: str, message: str) -> DataFrame:
+    """fk_violations of one key within layers: rows of child (with layer) whose key stands in parent, but in no layer that theirs is or imports."""
+    ends = parent.select("layer", F.col(parent_key).alias(key)).distinct()
+    seen = scope.join(ends.withColumnRenamed("layer", "in_scope"), "in_scope").select("layer", key).distinct()
+    lost = child.select("layer", key).distinct().join(seen, ["layer", key], "left_anti").join(ends.select(key).distinct(), key, "left_semi")
+    told = F.concat(F.lit(f"{message} in "), F.col("layer"), F.lit(" and its imports"))
+    return lost.where("layer IS NOT NULL").select(F.lit(rule).alias("rule_id"), F.col(key).alias("subject"), told.alias("message"))
+
+
+def value_set_findings(m: Model, scope: DataFrame) -> DataFrame:
+    """M-03: value sets that are declared twice in scope, have no codes, or repeat a code."""
+    own = ["layer", "value_set"] if "layer" in m.codes.columns else ["value_set"]
+    count = m.value_sets.groupBy("layer", "value_set").agg(F.count("*").alias("n"))
+    visible = scope.join(count.withColumnRenamed("layer", "in_scope"), "in_scope").groupBy("layer", "value_set").agg(F.sum("n").alias("n")).where("n > 1")
+    twice = visible.join(count.select("layer", "value_set"), ["layer", "value_set"], "left_semi")
+    empty = m.value_sets.distinct().join(m.codes.where("code IS NOT NULL").select(*own).distinct(), own, "left_anti")
+    told = lambda t, text: t.select(F.lit("M-03").alias("rule_id"), F.concat_ws("|", "layer", "value_set").alias("subject"), F.lit(text).alias("message"))
+    return duplicate_keys(m.codes, [*own, "code"], "M-03").unionByName(told(twice, "declared twice in scope")).unionByName(told(empty, "declares no codes"))
+
+
 def check_model(m: Model) -> DataFrame:
-    """M-01 to M-07."""
+    """M-01 to M-07; what a layer names must be in its scope if the model is layered, as those that read_model reads are."""
+    every = m.scope()
     ends = m.licensed.select("layer", F.explode(F.array("source", "target")).alias("class"))
-    sets = m.codes.select("value_set").distinct()
+    loose = m.codes.select("value_set").distinct().join(m.value_sets.select("value_set"), "value_set", "left_anti")
+    sets = m.value_sets.select("value_set").union(loose).distinct()
+    bound = m.bindings.join(m.classes.select(F.col("id").alias("class"), "layer").distinct(), "class").select("layer", "value_set")
     links = m.imports.where("imported IS NOT NULL")
     loops = closure(links.select(F.col("layer").alias("source"), F.col("imported").alias("target"))).where("source = target")
     other = links.alias("a").join(m.imports.select("layer", "schema_version", "namespace").distinct().alias("b"), F.col("a.imported") == F.col("b.layer"))
     differs = other.where("a.schema_version <> b.schema_version OR a.namespace <> b.namespace")
-    scope = m.scope().where("layer <> in_scope")
+    scope = every.where("layer <> in_scope")
     again = m.classes.select("layer", "id").join(scope, "layer").join(m.classes.select(F.col("layer").alias("in_scope"), "id"), ["in_scope", "id"])
     parts = [
         fk_violations(ends, m.classes, {"class": "id"}, "M-01", "edge names an undeclared class"),
         fk_violations(m.licensed, m.predicates, {"predicate": "predicate"}, "M-02", "edge uses an undeclared predicate"),
-        duplicate_keys(m.codes, ["value_set", "code"], "M-03"),
+        value_set_findings(m, every),
         fk_violations(m.bindings, m.class_properties, {"class": "class", "property": "property"}, "M-04", "binding names an undeclared property"),
         fk_violations(m.bindings, sets, {"value_set": "value_set"}, "M-04", "binding names an undeclared value set"),
         again.select(F.lit("M-05").alias("rule_id"), F.concat_ws("|", "layer", "id").alias("subject"), F.lit("declared locally and imported").alias("message")).distinct(),
@@ -115,6 +146,12 @@ def check_model(m: Model) -> DataFrame:
         differs.select(F.lit("M-06").alias("rule_id"), F.concat_ws("|", "a.layer", "a.imported").alias("subject"), F.lit("version or namespace differs across an import").alias("message")),
         fk_violations(m.classes, m.kinds, {"kind": "kind"}, "M-07", "kind without a description"),
     ]
+    if m.layered:
+        parts += [
+            out_of_scope(ends, m.classes, "class", "id", every, "M-01", "edge names a class that is not declared"),
+            out_of_scope(m.licensed, m.predicates, "predicate", "predicate", every, "M-02", "edge uses a predicate that is not declared"),
+            out_of_scope(bound, m.value_sets, "value_set", "value_set", every, "M-04", "binding names a value set that is not declared"),
+        ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -398,6 +398,7 @@ def model_check(spark, d):
     m.predicates = o.where("o_orderpriority LIKE '1%'").select(F.lit("trade").alias("layer"), F.col("o_orderpriority").alias("predicate"), F.lit(False).alias("open_qualifier")).distinct()
     m.codes = read(spark, d, "lineitem").select(F.lit("flag").alias("value_set"), F.col("l_returnflag").alias("code"))
     m.kinds = m.kinds.limit(0)
+    m.layered = True
     return check_model(m)
 
 

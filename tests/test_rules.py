@@ -7,7 +7,7 @@ import json
 import pytest
 
 from graphloom.functions.ids import SPACE  # noqa: F401
-from graphloom.model import check_model, make_model
+from graphloom.model import check_model, make_model, read_model
 from graphloom.operators import rules
 
 EVIDENCE = {"location": "book p. 3", "quote": "q", "by": "ann", "at": "2024-05-01"}
@@ -179,6 +179,20 @@ def test_model_tables(spark):
     assert {(r.layer, r.in_scope) for r in model(spark).scope().collect()} == {("base", "base"), ("more", "more"), ("more", "base")}
 
 
+def test_model_keeps_to_its_imports(spark, tmp_path):
+    a_class = lambda id_, **sets: {"id": id_, "kind": "K", "properties": list(sets), "valueSets": {p: {"set": v, "severity": "error"} for p, v in sets.items()}}
+    rel = lambda p, s, t: {"predicate": p, "source": s, "target": t}
+    base = {"layer": "base", "imports": [], "classes": [a_class("b", p="s")], "predicates": [{"predicate": "has"}], "edges": [rel("has", "b", "b")], "valueSets": {"s": ["1", "2"], "none": []}, "kinds": {"K": "kind"}}
+    more = {"layer": "more", "imports": ["base"], "classes": [a_class("m", p="s")], "predicates": [], "edges": [rel("has", "m", "b")], "valueSets": {"s": ["3"]}, "kinds": {}}
+    apart = {"layer": "apart", "imports": [], "classes": [a_class("z", p="s")], "predicates": [], "edges": [rel("has", "z", "b")], "valueSets": {"own": ["1"]}, "kinds": {}}
+    for layer in (base, more, apart):
+        (tmp_path / f"{layer['layer']}.json").write_text(json.dumps(layer | {"schemaVersion": "1", "namespace": "n"}))
+    assert {(r.rule_id, r.subject, r.message) for r in check_model(read_model(spark, str(tmp_path))).collect()} == {
+        ("M-01", "b", "edge names a class that is not declared in apart and its imports"), ("M-02", "has", "edge uses a predicate that is not declared in apart and its imports"),
+        ("M-03", "more|s", "declared twice in scope"), ("M-03", "base|none", "declares no codes"), ("M-04", "s", "binding names a value set that is not declared in apart and its imports"),
+    }
+
+
 def test_unified_nodes_keep_the_specific_type(spark):
     _, n, _ = build(spark, VALID)
     one, bad = rules.unify_nodes(n, model(spark))
