@@ -332,25 +332,87 @@ def unify_nodes(nodes: DataFrame, m: Model) -> tuple[DataFrame, DataFrame]:
     return count.where("size(types) = 1").select("id", "type"), finding(bad, "V-35", ERROR, "id", F.concat(F.lit("types clash: "), F.array_join("types", ", ")))
 
 
-def shape_findings(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """T1-01: form of nodes and edges, before any model."""
+#: Patterns and field sets of shapes/recommendation-graph.schema.json.
+CLASS_ID, PREDICATE, SHA256 = "^[a-z0-9]+(-[a-z0-9]+)*$", "^[a-z][A-Za-z0-9]*$", "^[0-9a-f]{64}$"
+PROPERTY_KEY = r"^[A-Za-z][A-Za-z0-9_]*(\[x\])?(\.[A-Za-z][A-Za-z0-9_]*(\[x\])?)*$"
+DATE_TIME = r"^\d{4}-\d\d-\d\d[Tt]\d\d:\d\d:\d\d(\.\d+)?([Zz]|[+-]\d\d:\d\d)$"
+FIELDS = {
+    "document": (["@context", "id", "type", "ontologyVersion", "generatedAt", "nodes", "edges"], ["wasDerivedFrom", "dak"]),
+    "source": (["path", "sha256"], ["repository", "commit", "note"]),
+    "node": (["id", "type", "label", "derivation"], ["definedBy", "properties", "note", "evidence", "flagRef", "skill"]),
+    "edge": (["type", "predicate", "source", "target", "derivation"], ["qualifier", "note", "evidence", "flagRef", "skill", "properties"]),
+    "evidence": (["location"], ["quote", "artifact", "by", "at"]),
+}
+
+
+def _told(rules_: list[tuple[Column, str | Column]]) -> Column:
+    return F.array_compact(F.array(*[F.when(c, t if isinstance(t, Column) else F.lit(t)) for c, t in rules_]))
+
+
+def _fields(keys: Column, kind: str) -> tuple[Column, Column]:
+    """Fields that an object of the kind does not have."""
+    extra = F.array_except(keys, F.array(*[F.lit(x) for part in FIELDS[kind] for x in part]))
+    return F.size(extra) > 0, F.concat(F.lit(f"unknown field of a {kind}: "), F.array_join(F.array_sort(extra), ", "))
+
+
+def _bad_key(properties: str) -> Column:
+    return F.exists(F.json_object_keys(properties), lambda k: ~k.rlike(PROPERTY_KEY))
+
+
+def shape_findings(nodes: DataFrame, edges: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """T1-01: form of nodes and edges, before any model; with raw (`read_raw`) that of documents too, by `document_findings`.
+
+    A property key that begins with a capital is sound by the schema and gets a warning; keys outside its pattern are errors.
+    """
     n, e = [], []
     for c in ("id", "type", "label", "derivation"):
         n.append((F.coalesce(F.col(c), F.lit("")) == "", f"{c} is missing"))
     for c in ("predicate", "source", "target", "derivation"):
         e.append((F.coalesce(F.col(c), F.lit("")) == "", f"{c} is missing"))
-    n.append((~F.col("type").rlike("^[a-z][a-z0-9]*(-[a-z0-9]+)*$"), "type is not in kebab case"))
-    e.append((~F.col("predicate").rlike("^[a-z][A-Za-z0-9]*$"), "predicate is not in camel case"))
+    n.append((~F.col("type").rlike(CLASS_ID), "type is not in kebab case"))
+    e.append((~F.col("predicate").rlike(PREDICATE), "predicate is not in camel case"))
     for rules in (n, e):
         rules.append((~F.col("derivation").isin("derived", "inferred", "decided"), "unknown derivation"))
         rules.append((F.col("derivation").isin("inferred", "decided") & (F.col("note").isNull() | F.col("evidence").isNull()), "inferred or decided without note and evidence"))
         rules.append((F.col("evidence").isNotNull() & F.col("evidence.location").isNull(), "evidence without a location"))
-    n.append((F.exists(F.json_object_keys("properties"), lambda k: ~k.rlike("^[a-z][A-Za-z0-9]*$")), "property key is not in camel case"))
-    told = lambda rules: F.array_compact(F.array(*[F.when(c, F.lit(t)) for c, t in rules]))
-    bad_n = nodes.select("doc_id", F.coalesce("id", F.lit("")).alias("subject"), F.explode(told(n)).alias("message"))
-    bad_e = edges.select("doc_id", _edge().alias("subject"), F.explode(told(e)).alias("message"))
-    both = bad_n.unionByName(bad_e)
-    return finding(both, "T1-01", ERROR, "subject", F.col("message"))
+    n.append((_bad_key("properties"), "property key has no sound form"))
+    if "properties" in edges.columns:
+        e.append((_bad_key("properties"), "property key has no sound form"))
+    bad_n = nodes.select("doc_id", F.coalesce("id", F.lit("")).alias("subject"), F.explode(_told(n)).alias("message"))
+    bad_e = edges.select("doc_id", _edge().alias("subject"), F.explode(_told(e)).alias("message"))
+    odd = nodes.where(F.exists(F.json_object_keys("properties"), lambda k: k.rlike("^[A-Z]") & k.rlike(PROPERTY_KEY)))
+    out = finding(bad_n.unionByName(bad_e), "T1-01", ERROR, "subject", F.col("message")).unionByName(finding(odd, "T1-01", WARNING, F.coalesce("id", F.lit("")), "property key is not in camel case"))
+    return out if raw is None else out.unionByName(document_findings(raw))
+
+
+def document_findings(raw: DataFrame) -> DataFrame:
+    """T1-01 of documents as text (path, value): can be parsed, required fields, consts, closed field sets of every object, hashes of sources. doc_id is the path where a document has no id."""
+    anything = "map<string,string>"
+    d = raw.select("path", F.try_parse_json("value").isNotNull().alias("parsed"), F.from_json("value", anything).alias("d"), F.json_object_keys("value").alias("keys"))
+    d = d.withColumns({"doc_id": F.coalesce(F.col("d")["id"], "path"), **{k: F.from_json(F.col("d")[k], f"array<{anything}>") for k in ("nodes", "edges", "wasDerivedFrom")}})
+    sound = F.col("parsed") & F.col("keys").isNotNull()
+    field = lambda k: F.col("d")[k]
+    lost = lambda m, kind: [(m[k].isNull(), f"{kind}: {k} is missing") for k in FIELDS[kind][0]]
+    lists = [(field(k).isNotNull() & (F.col(k).isNull() | ~F.ltrim(field(k)).startswith("[") | F.exists(k, lambda x: x.isNull())), f"{k} is no list of objects") for k in ("nodes", "edges", "wasDerivedFrom")]
+    whole = [
+        *[(sound & c, t) for c, t in lost(F.col("d"), "document")], (sound & _fields(F.col("keys"), "document")[0], _fields(F.col("keys"), "document")[1]),
+        (~F.col("parsed"), "document cannot be parsed"), (F.col("parsed") & F.col("keys").isNull(), "document is no object"), (field("type") != "Entity", "document is not of type Entity"),
+        (~field("generatedAt").rlike(DATE_TIME), "generatedAt is no date and time"), (F.exists(F.json_object_keys(field("dak")), lambda k: ~k.rlike(PROPERTY_KEY)), "property key has no sound form"), *lists,
+    ]
+    parts = [finding(d.select("doc_id", F.explode(_told(whole)).alias("message")), "T1-01", ERROR, "doc_id", F.col("message"))]
+    m = F.col("x")
+    for column, kind in (("nodes", "node"), ("edges", "edge"), ("wasDerivedFrom", "source")):
+        rows = d.select("doc_id", F.explode(column).alias("x")).where("x IS NOT NULL")
+        told = [_fields(F.map_keys(m), kind)]
+        subject = m["id"] if kind == "node" else m["path"] if kind == "source" else F.concat_ws("|", m["predicate"], m["source"], m["target"])
+        if kind == "source":
+            told += [*lost(m, kind), (~m["sha256"].rlike(SHA256), "sha256 has no sound form")]
+        else:
+            told.append(_fields(F.json_object_keys(m["evidence"]), "evidence"))
+        if kind == "edge":
+            told.append((F.coalesce(m["type"], F.lit("")) != "Statement", "edge is not of type Statement"))
+        parts.append(finding(rows.select("doc_id", F.coalesce(subject, F.lit("")).alias("subject"), F.explode(_told(told)).alias("message")), "T1-01", ERROR, "subject", F.col("message")))
+    return union(parts)
 
 
 def validate(documents: DataFrame, nodes: DataFrame, edges: DataFrame, m: Model, version: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from graphloom.functions.ids import SPACE  # noqa: F401
 from graphloom.model import check_model, make_model, read_model
 from graphloom.operators import rules
+from graphloom.sources.documents import read_graph, read_raw
 
 EVIDENCE = {"location": "book p. 3", "quote": "q", "by": "ann", "at": "2024-05-01"}
 
@@ -169,6 +170,32 @@ def test_shape(spark):
     assert told >= {"id is missing", "type is not in kebab case", "unknown derivation", "property key is not in camel case", "predicate is not in camel case", "source is missing", "inferred or decided without note and evidence", "evidence without a location"}
 
 
+def test_shape_takes_what_the_schema_takes(spark):
+    graph = {"d": [[node("a", "2d-map", "derived", **{"value[x].code_1": 1, "Upper": 1}), node("b", "t", "derived", **{"1x": 1})], []]}
+    _, n, e = build(spark, graph)
+    assert {(r.subject, r.severity, r.message) for r in rules.shape_findings(n, e).collect()} == {("a", "warning", "property key is not in camel case"), ("b", "error", "property key has no sound form")}
+
+
+def test_shape_of_documents(spark, tmp_path):
+    n = {"id": "n", "type": "t", "label": "l", "derivation": "derived", "evidence": {"location": "p"}}
+    e = {"type": "Statement", "predicate": "p", "source": "n", "target": "n", "derivation": "derived"}
+    sound = {"@context": ["x"], "id": "d", "type": "Entity", "ontologyVersion": "1", "generatedAt": "2024-05-01T10:00:00Z", "wasDerivedFrom": [{"path": "f", "sha256": "a" * 64}], "nodes": [n], "edges": [e], "dak": {"a.b": 1}}
+    bad = sound | {"id": "bad", "type": "Thing", "generatedAt": "May", "more": 1, "dak": {"1": 1}, "wasDerivedFrom": [{"path": "f", "sha256": "A"}, {"sha256": "b" * 64, "size": 1}], "nodes": [n | {"id": "m", "colour": 1, "evidence": {"location": "p", "page": 1}}], "edges": [e | {"type": "S", "weight": 1}]}
+    bare = {"id": "bare", "nodes": {}, "edges": [1]}
+    for name, text in (("sound", json.dumps(sound, indent=1)), ("bad", json.dumps(bad)), ("bare", json.dumps(bare)), ("broken", "{"), ("list", "[1]")):
+        (tmp_path / f"{name}.json").write_text(text)
+    documents, nodes, edges = read_graph(spark, str(tmp_path / "sound.json"))
+    assert rules.shape_findings(nodes, edges, read_raw(spark, str(tmp_path / "sound.json"))).collect() == []
+    told = {(r.doc_id.split("/")[-1], r.subject.split("/")[-1], r.message) for r in rules.document_findings(read_raw(spark, str(tmp_path))).collect()}
+    assert told == {
+        ("bad", "bad", "document is not of type Entity"), ("bad", "bad", "generatedAt is no date and time"), ("bad", "bad", "unknown field of a document: more"), ("bad", "bad", "property key has no sound form"),
+        ("bad", "f", "sha256 has no sound form"), ("bad", "", "source: path is missing"), ("bad", "", "unknown field of a source: size"),
+        ("bad", "m", "unknown field of a node: colour"), ("bad", "m", "unknown field of a evidence: page"), ("bad", "p|n|n", "edge is not of type Statement"), ("bad", "p|n|n", "unknown field of a edge: weight"),
+        *[("bare", "bare", f"document: {k} is missing") for k in ("@context", "type", "ontologyVersion", "generatedAt")], ("bare", "bare", "nodes is no list of objects"), ("bare", "bare", "edges is no list of objects"),
+        ("broken.json", "broken.json", "document cannot be parsed"), ("list.json", "list.json", "document is no object"),
+    }
+
+
 def test_model_tables(spark):
     assert check_model(model(spark)).collect() == []
     bad = make_model(
