@@ -27,6 +27,8 @@ from graphloom.session import ship
 
 BLOCK_CHARS = 4 << 20
 SLICE_CHARS = 1 << 18
+EXACT_WORDS = 5
+"""Passages of fewer words are looked for without edits."""
 _WORD = re.compile(r"\w+")
 _BASE = 0x9E3779B97F4A7C15
 
@@ -183,22 +185,23 @@ def blocks(benchmark: DataFrame, item: str, text: str, q: int, percent: int, lea
     parts = -(-size // BLOCK_CHARS)
     for p in range(parts):
         rows = benchmark.where(F.pmod(F.xxhash64(item, text), F.lit(parts)) == p).select(item, text).collect()
-        by: dict[int, tuple[list, list]] = {}
+        by: dict[tuple[int, int], tuple[list, list]] = {}
         for i, t in rows:
             t = plain(t)
-            if len(t.split()) >= least_words:
-                ids, texts = by.setdefault(min(q, len(t)), ([], []))
+            if len(t.split()) >= max(1, least_words):
+                ids, texts = by.setdefault((min(q, len(t)), percent if len(t.split()) >= EXACT_WORDS else 0), ([], []))
                 ids.append(i), texts.append(t)
         if by:
-            yield [Passages(ids, texts, k, percent) for k, (ids, texts) in sorted(by.items())]
+            yield [Passages(ids, texts, k, most) for (k, most), (ids, texts) in sorted(by.items())]
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 9, percent: int = 10, least_words: int = 5) -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 9, percent: int = 10, least_words: int = 1) -> DataFrame:
     """One row for each document and passage found in it: key, item, edits, start, end, passage.
 
     percent: edits allowed, as a share of the passage's characters (a short passage may get fewer, so that the
     lemma still asks for a q-gram or more). start and end are places in plain(text), passage is what stands there
-    in the document. Passages of fewer than least_words words are not looked for: they say nothing. Null and
+    in the document. Passages of fewer than five words are looked for as they stand, without
+    edits; those of fewer than least_words words, which is to be asked for, are not. Null and
     empty texts hold nothing; rows with one key or a null key are documents of their own and give rows of their
     own. Equal passages under several items each give a row. Other columns of docs are not returned.
     """
@@ -220,7 +223,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     return out
 
 
-def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 9, percent: int = 10, least_words: int = 5) -> DataFrame:
+def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 9, percent: int = 10, least_words: int = 1) -> DataFrame:
     """docs, all columns, without the rows that find_passages() would find a passage in."""
     for passages in blocks(benchmark, item, item_text, q, percent, least_words):
 

@@ -73,6 +73,16 @@ def test_passages_against_brute_force(spark, monkeypatch):
     assert without_passages(docs, bench.limit(0)).count() == len(rows)
 
 
+def test_short_passages_are_found_as_they_stand(spark):
+    items = [(0, "Too short!"), (1, "zebra"), (2, "a"), (3, "?"), (4, "one two three four")]
+    rows = [(0, "This is too  SHORT."), (1, "too shorter, to short"), (2, "a zebra"), (3, "zebras"), (4, "zebra zebra"), (5, "One two three, four"), (6, "one two thee four"), (7, None)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(x.doc_id, x.item_id, x.edits) for x in find_passages(docs, bench).collect()]
+    assert sorted(got) == [(0, 0, 0), (2, 1, 0), (2, 2, 0), (4, 1, 0), (5, 4, 0)]
+    assert sorted(x.doc_id for x in without_passages(docs, bench).collect()) == [1, 3, 6, 7]
+    assert find_passages(docs, bench, least_words=5).count() == 0
+
+
 def greedy(word, tokens):
     n = 0
     while word:
