@@ -21,16 +21,16 @@ def _unicode(form: str):
     return normal
 
 
-def _plain(c: Column) -> Column:
+def is_ascii(c: Column) -> Column:
     return c.rlike(r"^\p{ASCII}*$")
 
 
 def nfc(c: Column) -> Column:
-    return F.when(_plain(c), c).otherwise(_unicode("NFC")(F.when(~_plain(c), c)))
+    return F.when(is_ascii(c), c).otherwise(_unicode("NFC")(F.when(~is_ascii(c), c)))
 
 
 def nfkd(c: Column) -> Column:
-    return F.when(_plain(c), c).otherwise(_unicode("NFKD")(F.when(~_plain(c), c)))
+    return F.when(is_ascii(c), c).otherwise(_unicode("NFKD")(F.when(~is_ascii(c), c)))
 
 
 def sha256_hex(c: Column) -> Column:

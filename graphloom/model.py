@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.operators.frontier import closure
+from graphloom.operators.frontier import closure, written
 
 SCHEMAS = {
     "classes": "layer string, id string, kind string, elaborates string, iri_pattern string, min_derivation string",
@@ -21,10 +21,25 @@ SCHEMAS = {
     "kinds": "layer string, kind string, description string",
     "value_sets": "layer string, value_set string",
 }
+MOST_IMPORTS = 10_000
+STATUSES = ["unresolved", "resolved", "ambiguous"]
+"""What a join can be, where no value set says so."""
+
+
+@dataclass
+class Seen:
+    """What each layer sees of the model, as written tables (small, so Spark broadcasts them by their size)."""
+
+    layers: DataFrame  # layer, schema_version, identifier_codes, status_codes
+    classes: DataFrame  # layer, type, iri_pattern, min_derivation, allowed, fields, bindings
+    licences: DataFrame  # layer, predicate, source_type, target_type, qualifiers, least, open
+    between: DataFrame  # layer, source_type, target_type, allowed
 
 
 @dataclass
 class Model:
+    """Tables of SCHEMAS. Those without a column layer (or with a null in it) hold for every layer."""
+
     classes: DataFrame
     class_properties: DataFrame
     content_fields: DataFrame
@@ -36,16 +51,61 @@ class Model:
     kinds: DataFrame
     value_sets: DataFrame  # one row a declaration; a set that only codes name is in every layer's scope
     layered: bool = False  # M-01, M-02 and M-04 ask for the layer and its imports; else for any layer
+    kept: dict = field(default_factory=dict, repr=False)
 
     def scope(self) -> DataFrame:
-        """(layer, in_scope): each layer with itself and all that it imports."""
+        """(layer, in_scope): each layer with itself and all that it imports.
+
+        Layers and imports are a row for each layer file and what it names. Up to MOST_IMPORTS of them are followed here, more by a Spark loop.
+        """
+        if self.kept.get("imports") is self.imports:
+            return self.kept["scope"]
         layers = self.imports.select("layer")
         for t in (self.classes, self.predicates, self.licensed, self.value_sets):
             layers = layers.union(t.select("layer"))
-        layers = layers.distinct()
-        own = layers.select("layer", F.col("layer").alias("in_scope"))
+        layers = layers.where("layer IS NOT NULL").distinct()
         links = self.imports.where("imported IS NOT NULL").select(F.col("layer").alias("source"), F.col("imported").alias("target"))
-        return own.union(closure(links).select(F.col("source").alias("layer"), F.col("target").alias("in_scope"))).distinct()
+        few, names = ([tuple(r) for r in t.limit(MOST_IMPORTS + 1).collect()] for t in (links, layers))
+        if max(len(few), len(names)) > MOST_IMPORTS:
+            own = layers.select("layer", F.col("layer").alias("in_scope"))
+            out = written(own.union(closure(links)).distinct())
+        else:
+            pairs = {(n, n) for (n,) in names} | set(few)
+            while more := {(a, d) for a, b in pairs for c, d in few if b == c} - pairs:
+                pairs |= more
+            out = self.imports.sparkSession.createDataFrame(sorted(pairs), "layer string, in_scope string")
+        self.kept.update(imports=self.imports, scope=out)
+        return out
+
+    def in_scope(self, table: DataFrame) -> DataFrame:
+        """Rows of a model table once for each layer that sees them; layer is that layer."""
+        t = table if "layer" in table.columns else table.withColumn("layer", F.lit(None).cast("string"))
+        own = self.scope().join(t.withColumnRenamed("layer", "in_scope"), "in_scope").drop("in_scope")
+        everyone = self.scope().select("layer", F.lit(0).alias("__k")).distinct()
+        return own.unionByName(t.where("layer IS NULL").drop("layer").withColumn("__k", F.lit(0)).join(everyone, "__k").drop("__k"))
+
+    def seen(self) -> Seen:
+        """What each layer sees: its own classes, licences and value sets and those of its imports."""
+        listed = lambda t, *by: t.groupBy("layer", *by)
+        codes = listed(self.in_scope(self.codes), "value_set").agg(F.collect_set("code").alias("codes"))
+        of = lambda name, column: codes.where(F.col("value_set") == name).select("layer", F.col("codes").alias(column))
+        versions = listed(self.imports).agg(F.max("schema_version").alias("schema_version"))
+        layers = self.scope().select("layer").distinct().join(versions, "layer", "left").join(of("identifier-type", "identifier_codes"), "layer", "left").join(of("resolution-status", "status_codes"), "layer", "left")
+        layers = layers.withColumn("status_codes", F.coalesce("status_codes", F.array(*[F.lit(s) for s in STATUSES])))
+        given = lambda c: F.col(c) if c in self.classes.columns else F.lit(None).cast("string").alias(c)
+        classes = self.in_scope(self.classes.select("layer", F.col("id").alias("class"), given("iri_pattern"), given("min_derivation"))).dropDuplicates(["layer", "class"])
+        allowed = listed(self.in_scope(self.class_properties), "class").agg(F.collect_set("property").alias("allowed"))
+        fields = listed(self.in_scope(self.content_fields), "class").agg(F.transform(F.array_sort(F.collect_set(F.struct("position", "property"))), lambda x: x["property"]).alias("fields"))
+        bound = self.in_scope(self.bindings).join(codes, ["layer", "value_set"], "left")
+        bindings = listed(bound, "class").agg(F.collect_set(F.struct("property", "value_set", "severity", F.coalesce("codes", F.array().cast("array<string>")).alias("codes"))).alias("bindings"))
+        for t in (allowed, fields, bindings):
+            classes = classes.join(t, ["layer", "class"], "left")
+        rows = self.in_scope(self.licensed).withColumnsRenamed({"source": "source_type", "target": "target_type"})
+        open_ = listed(self.in_scope(self.predicates), "predicate").agg(F.max("open_qualifier").alias("open"))
+        licences = listed(rows, "predicate", "source_type", "target_type").agg(F.collect_set("qualifier").alias("qualifiers"), F.min("min_derivation").alias("least")).join(open_, ["layer", "predicate"], "left")
+        named = F.when(F.col("qualifier").isNull(), F.col("predicate")).otherwise(F.concat("predicate", F.lit(" («"), "qualifier", F.lit("»)")))
+        between = listed(rows, "source_type", "target_type").agg(F.array_join(F.array_sort(F.collect_set(named)), ", ").alias("permitted"))
+        return Seen(*[written(t.coalesce(1)) for t in (layers, classes.withColumnRenamed("class", "type"), licences, between)])
 
 
 def make_model(spark: SparkSession, layered: bool = False, **rows: list[tuple]) -> Model:
@@ -54,36 +114,45 @@ def make_model(spark: SparkSession, layered: bool = False, **rows: list[tuple])
 
 
 def read_model(spark: SparkSession, path: str) -> Model:
-    """From authored layer files (JSON, one layer a file)."""
-    binding = "struct<set:string,severity:string>"
-    one_class = f"struct<id:string,kind:string,elaborates:string,iriPattern:string,minDerivation:string,properties:array<string>,contentFields:array<string>,valueSets:map<string,{binding}>>"
+    """From authored layer files (JSON, one layer a file).
+
+    Layer names have no case. A binding is the name of a value set, then an error, or {set, severity}. Value sets are a
+    list of {id, codes: [{code}]}, or {name: [code]}; kinds are {name: description}, or else those that classes name.
+    """
+    one_class = "struct<id:string,kind:string,elaborates:string,iriPattern:string,minDerivation:string,properties:array<string>,contentFields:array<string>,valueSets:map<string,string>>"
     edge = "struct<predicate:string,source:string,target:string,qualifier:string,minDerivation:string>"
-    schema = f"layer string, schemaVersion string, namespace string, imports array<string>, classes array<{one_class}>, predicates array<struct<predicate:string,openQualifier:boolean>>, edges array<{edge}>, valueSets map<string,array<string>>, kinds map<string,string>"
-    raw = spark.read.schema(schema).json(path, multiLine=True)
+    schema = f"layer string, schemaVersion string, namespace string, imports array<string>, classes array<{one_class}>, predicates array<struct<predicate:string,openQualifier:boolean>>, edges array<{edge}>, valueSets string, kinds map<string,string>"
+    raw = spark.read.schema(schema).json(path, multiLine=True).withColumn("layer", F.lower("layer"))
     c = raw.select("layer", F.explode("classes").alias("c"))
+    each = F.when(F.col("valueSets").startswith("["), F.from_json("valueSets", "array<struct<id:string,codes:array<string>>>"))
+    named = F.transform(F.map_entries(F.when(F.col("valueSets").startswith("{"), F.from_json("valueSets", "map<string,array<string>>"))), lambda e: F.struct(e["key"].alias("id"), e["value"].alias("codes")))
+    sets = raw.select("layer", F.explode(F.coalesce(each, named)).alias("v")).select("layer", F.col("v.id").alias("value_set"), "v.codes")
+    code = F.when(F.col("code").startswith("{"), F.get_json_object("code", "$.code")).otherwise(F.col("code"))
+    bare = ~F.col("b").startswith("{")
     return Model(
         layered=True,
         classes=c.select("layer", "c.id", "c.kind", "c.elaborates", F.col("c.iriPattern").alias("iri_pattern"), F.col("c.minDerivation").alias("min_derivation")),
-        class_properties=c.select(F.col("c.id").alias("class"), F.explode("c.properties").alias("property")),
-        content_fields=c.select(F.col("c.id").alias("class"), F.posexplode("c.contentFields").alias("position", "property")),
+        class_properties=c.select("layer", F.col("c.id").alias("class"), F.explode("c.properties").alias("property")),
+        content_fields=c.select("layer", F.col("c.id").alias("class"), F.posexplode("c.contentFields").alias("position", "property")),
         predicates=raw.select("layer", F.explode("predicates").alias("p")).select("layer", "p.predicate", F.coalesce("p.openQualifier", F.lit(False)).alias("open_qualifier")),
         licensed=raw.select("layer", F.explode("edges").alias("e")).select("layer", "e.predicate", "e.source", "e.target", "e.qualifier", F.col("e.minDerivation").alias("min_derivation")),
-        codes=raw.select("layer", F.explode("valueSets").alias("value_set", "v")).select("layer", "value_set", F.explode("v").alias("code")),
-        bindings=c.select(F.col("c.id").alias("class"), F.explode("c.valueSets").alias("property", "b")).select("class", "property", F.col("b.set").alias("value_set"), F.coalesce("b.severity", F.lit("error")).alias("severity")),
-        imports=raw.select("layer", F.explode_outer("imports").alias("imported"), F.col("schemaVersion").alias("schema_version"), "namespace"),
-        kinds=raw.select("layer", F.explode("kinds").alias("kind", "description")),
-        value_sets=raw.select("layer", F.explode("valueSets").alias("value_set", "v")).select("layer", "value_set"),
+        codes=sets.select("layer", "value_set", F.explode("codes").alias("code")).select("layer", "value_set", code.alias("code")),
+        bindings=c.select("layer", F.col("c.id").alias("class"), F.explode("c.valueSets").alias("property", "b")).select("layer", "class", "property", F.when(bare, F.col("b")).otherwise(F.get_json_object("b", "$.set")).alias("value_set"), F.coalesce(F.when(~bare, F.get_json_object("b", "$.severity")), F.lit("error")).alias("severity")),
+        imports=raw.select("layer", F.explode_outer("imports").alias("imported"), F.col("schemaVersion").alias("schema_version"), "namespace").withColumn("imported", F.lower("imported")),
+        kinds=raw.select("layer", F.explode("kinds").alias("kind", "description")).unionByName(raw.where("kinds IS NULL").select("layer", F.explode("classes").alias("c")).select("layer", "c.kind", F.lit(None).cast("string").alias("description")).distinct()),
+        value_sets=sets.select("layer", "value_set"),
     )
 
 
 def read_cypher_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(classes, licensed) from exported MERGE statements, one a line."""
+    """(classes, licensed) from exported MERGE statements, one a line: classes with layer, id, kind and elaborates."""
     lines = spark.read.text(path).withColumn("layer", F.regexp_extract(F.input_file_name(), r"([^/]+)\.cypher$", 1))
-    take = lambda name: F.nullif(F.regexp_extract("value", rf"\b{name}:'((?:[^'\\]|\\.)*)'", 1), F.lit(""))
+    take = lambda name: F.replace(F.nullif(F.regexp_extract("value", rf"\b{name}:'((?:[^'\\]|\\.)*)'", 1), F.lit("")), F.lit("\\'"), F.lit("'"))
     classes = lines.where(F.col("value").rlike(r"^MERGE \(:\w+:\w+ \{id:")).select(take("layer").alias("layer"), take("id").alias("id"), take("kind").alias("kind"))
     ends = r"^MATCH \(s:\w+ \{id:'([^']*)'\}\), \(t:\w+ \{id:'([^']*)'\}\)"
     edges = lines.where(F.col("value").rlike(ends)).select("layer", take("predicate").alias("predicate"), F.regexp_extract("value", ends, 1).alias("source"), F.regexp_extract("value", ends, 2).alias("target"), take("qualifier").alias("qualifier"))
-    return classes, edges.where("predicate <> 'elaborates'")
+    general = edges.where("predicate IS NULL OR predicate = 'elaborates'").select("layer", F.col("source").alias("id"), F.col("target").alias("elaborates")).distinct()
+    return classes.join(general, ["layer", "id"], "left"), edges.where("predicate <> 'elaborates'")
 
 
 # Table integrity. Each gives (rule_id, subject, message) and runs on tables of any size.

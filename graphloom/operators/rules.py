@@ -1,21 +1,26 @@
-"""Conformance rules. Each takes nodes, edges and the model and gives findings (doc_id, rule_id, severity, subject, message).
+"""Conformance rules: findings (doc_id, rule_id, severity, subject, message) of graph documents against the model of their layer.
 
-Nodes resolve across all documents; a rule about a node's own edges sees those of its document. Model tables are
-small next to the graph: Spark broadcasts them by their size.
+Rules about one node are one pass over the nodes, rules about one edge one pass over the edges: each row gets an array of
+what is wrong with it. An edge's ends are looked up in its own document first, then in all others. What a layer sees of
+the model and where ids are defined (`Index`) are slim written tables; nodes and edges themselves are never copied.
+Nulls in properties count as absent, but for a contentHash or review status that is there and null.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids
-from graphloom.model import Model
+from graphloom.model import Model, Seen
 from graphloom.operators.frontier import written
 
 ERROR, WARNING = "error", "warning"
+TOLD = "array<struct<rule_id:string,severity:string,message:string>>"
+EVIDENCE = "struct<location:string,quote:string,artifact:string,by:string,at:string>"
 
 
 def finding(df: DataFrame, rule: str, severity: str | Column, subject: Column | str, message: str | Column) -> DataFrame:
@@ -35,287 +40,337 @@ def _prop(name: str) -> Column:
     return F.get_json_object("properties", f"$.{name}")
 
 
-def last_definitions(nodes: DataFrame) -> DataFrame:
-    """One node for each id of a document: the last in document order."""
-    own = Window.partitionBy("doc_id", "id").orderBy(F.col("ord").desc())
-    return nodes.withColumn("__n", F.row_number().over(own)).where("__n = 1").drop("__n")
+def _p(name: str) -> Column:
+    return F.col("__p")[name]
 
 
-def everywhere(nodes: DataFrame) -> DataFrame:
-    """(id, type, node_doc, status) for each id of the set of documents: the last definition of the last document."""
-    best = F.max_by(F.struct("type", F.col("doc_id").alias("node_doc"), _prop("resolutionStatus").alias("status")), F.struct("doc_id", "ord"))
-    return nodes.groupBy("id").agg(best.alias("b")).select("id", "b.type", "b.node_doc", "b.status")
+def _bare(c: Column | str) -> Column:
+    """Null or empty."""
+    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")) == ""
 
 
-def with_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """edges with the type, document and status of both ends: the edge's own document first, then any other."""
-    own = last_definitions(nodes).select("doc_id", "id", "type", _prop("resolutionStatus").alias("status"))
-    any_ = everywhere(nodes)
-    out = edges
-    for end in ("source", "target"):
-        a = own.select("doc_id", F.col("id").alias(end), F.col("type").alias("__t"), F.col("status").alias("__s"))
-        b = any_.select(F.col("id").alias(end), F.col("type").alias("__u"), F.col("node_doc").alias("__d"), F.col("status").alias("__v"))
-        out = out.join(a, ["doc_id", end], "left").join(b, end, "left")
-        out = out.withColumns({f"{end}_type": F.coalesce("__t", "__u"), f"{end}_doc": F.when(F.col("__t").isNotNull(), F.col("doc_id")).otherwise(F.col("__d")), f"{end}_status": F.when(F.col("__t").isNotNull(), F.col("__s")).otherwise(F.col("__v"))}).drop("__t", "__u", "__d", "__s", "__v")
-    return out
-
-
-# Documents and nodes
-
-
-def v01_version(documents: DataFrame, version: str) -> DataFrame:
-    return finding(documents.where(~F.col("ontology_version").eqNullSafe(F.lit(version))), "V-01", ERROR, "doc_id", "made with another version of the model")
-
+def _with_properties(t: DataFrame) -> DataFrame:
+    """t with __p: its properties, parsed once."""
+    return t.withColumn("__p", F.when(F.col("properties") != "{}", F.from_json("properties", "map<string,string>")))
 
-def right_version(t: DataFrame, documents: DataFrame, version: str) -> DataFrame:
-    """Rows of the documents that later rules look at."""
-    return t.join(documents.where(F.col("ontology_version") == version).select("doc_id"), "doc_id", "left_semi")
 
+def _with_columns(t: DataFrame, **kinds: str) -> DataFrame:
+    """t with nulls for columns that it lacks."""
+    return t.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in t.columns})
 
-def v02_duplicate_ids(nodes: DataFrame) -> DataFrame:
-    return finding(nodes.groupBy("doc_id", "id").agg(F.count("*").alias("n")).where("n > 1"), "V-02", ERROR, "id", F.concat(F.lit("defined "), F.col("n").cast("string"), F.lit(" times")))
 
-
-def v03_unknown_types(nodes: DataFrame, documents: DataFrame, m: Model) -> DataFrame:
-    known = m.scope().join(m.classes.select(F.col("layer").alias("in_scope"), F.col("id").alias("type")), "in_scope").select("layer", "type").distinct()
-    return finding(nodes.join(documents.select("doc_id", "layer"), "doc_id").join(known, ["layer", "type"], "left_anti"), "V-03", ERROR, "id", F.concat(F.lit("type not in scope: "), F.col("type")))
-
-
-def _unexplained() -> Column:
-    return F.col("derivation").isin("inferred", "decided") & F.col("note").isNull() & F.col("evidence").isNull()
-
-
-def v04_unexplained_nodes(nodes: DataFrame) -> DataFrame:
-    return finding(nodes.where(_unexplained()), "V-04", ERROR, "id", "neither note nor evidence")
+def _struct(rule: str, severity: str | Column, message: str | Column) -> Column:
+    lit = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return F.struct(F.lit(rule).alias("rule_id"), lit(severity).alias("severity"), lit(message).alias("message"))
 
 
-# Edges: each rule looks at edges that the ones before let through
+def _if(rule: str, condition: Column, message: str | Column, severity: str = ERROR) -> tuple[str, Column]:
+    return rule, F.when(condition, F.array(_struct(rule, severity, message)))
 
 
-def v05_lost_sources(ends: DataFrame) -> DataFrame:
-    return finding(ends.where("source_type IS NULL"), "V-05", ERROR, _edge(), "source is defined nowhere")
+def _each(rule: str, items: Column, message, severity=ERROR) -> tuple[str, Column]:
+    """A finding for each item of an array; severity and message may be functions of the item."""
+    told = F.transform(items, lambda x: _struct(rule, severity(x) if callable(severity) else severity, message(x)))
+    return rule, told
 
 
-def v06_lost_targets(ends: DataFrame) -> DataFrame:
-    return finding(ends.where("source_type IS NOT NULL AND target_type IS NULL"), "V-06", ERROR, _edge(), "target is defined nowhere")
+def _found(t: DataFrame, rules: list[tuple[str, Column]], only: set[str] | None, subject: Column) -> DataFrame:
+    """t's findings: the arrays of all rules (or some) put together and exploded."""
+    parts = [F.coalesce(c.cast(TOLD), F.array().cast(TOLD)) for rule, c in rules if only is None or rule in only]
+    each = t.select("doc_id", subject.alias("subject"), F.explode(F.flatten(F.array(*parts))).alias("f"))
+    return each.select("doc_id", "f.rule_id", "f.severity", "subject", "f.message")
 
 
-def licensed_edges(ends: DataFrame, m: Model) -> DataFrame:
-    """ends with whether the triple is licensed, its licensed qualifiers, whether others are open, and the least derivation."""
-    known = ends.where("source_type IS NOT NULL AND target_type IS NOT NULL")
-    classes = m.classes.select("id").distinct()
-    known = known.join(classes.withColumnRenamed("id", "source_type"), "source_type", "left_semi").join(classes.withColumnRenamed("id", "target_type"), "target_type", "left_semi")
-    rules = m.licensed.groupBy("predicate", F.col("source").alias("source_type"), F.col("target").alias("target_type")).agg(F.collect_set("qualifier").alias("qualifiers"), F.first("min_derivation", ignorenulls=True).alias("least"))
-    rules = rules.withColumn("licensed", F.lit(True))
-    open_ = m.predicates.groupBy("predicate").agg(F.max("open_qualifier").alias("open"))
-    return known.join(rules, ["predicate", "source_type", "target_type"], "left").join(open_, "predicate", "left")
+# Where ids are defined
 
 
-def v07_unlicensed(lic: DataFrame, m: Model) -> DataFrame:
-    between = m.licensed.groupBy(F.col("source").alias("source_type"), F.col("target").alias("target_type")).agg(F.array_join(F.array_sort(F.collect_set("predicate")), ", ").alias("allowed"))
-    bad = lic.where("licensed IS NULL").join(between, ["source_type", "target_type"], "left")
-    return finding(bad, "V-07", ERROR, _edge(), F.concat(F.lit("not licensed; licensed here: "), F.coalesce("allowed", F.lit("nothing"))))
+@dataclass
+class Index:
+    """Where each id is defined. All tables hold ids and types only, and are written."""
 
+    best: DataFrame  # id, type, node_doc, status: the elaborating type's, then the first document's
+    own: DataFrame  # doc_id, id, type, status: for ids that several documents define
+    twice: DataFrame  # doc_id, id, last, copies: ids that one document defines more than once
+    clashes: DataFrame  # id, types, doc_id: V-35
 
-def v08_qualifiers(lic: DataFrame) -> DataFrame:
-    bad = lic.where("licensed AND qualifier IS NOT NULL AND NOT coalesce(open, false)").where(~F.expr("array_contains(qualifiers, qualifier)"))
-    return finding(bad, "V-08", WARNING, _edge(), F.concat(F.lit("unknown qualifier: "), F.col("qualifier")))
 
+def indexed(nodes: DataFrame, m: Model | None = None) -> Index:
+    """The index of a set of documents: one shuffle of ids and types, whatever the nodes hold."""
+    t = _with_columns(nodes, ord="int").select("doc_id", "id", "type", "ord", _prop("resolutionStatus").alias("status"))
+    each = written(t.groupBy("doc_id", "id", "type").agg(F.max(F.struct("ord", "status")).alias("last"), F.count("*").alias("copies")))
+    above = None if m is None else m.classes.where("elaborates IS NOT NULL").select(F.col("id").alias("type"), F.col("elaborates").alias("general")).distinct()
+    kinds = each.groupBy("id", "type").agg(F.min(F.struct("doc_id", "last")).alias("f"), F.count("*").alias("docs"))
+    kinds = kinds.withColumn("general", F.lit(None).cast("string")) if above is None else kinds.join(above, "type", "left")
+    listed = kinds.groupBy("id").agg(F.collect_list(F.struct(F.col("f.doc_id").alias("d"), F.col("f.last.ord").alias("o"), "type", F.col("f.last.status").alias("status"), "general")).alias("l"), F.sum("docs").alias("n"))
+    special = F.filter("l", lambda x: ~F.coalesce(F.exists("l", lambda y: y["general"] == x["type"]), F.lit(False)))
+    listed = written(listed.withColumn("s", special).withColumn("b", F.array_min(F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("l")))).select("id", "b.type", F.col("b.d").alias("node_doc"), "b.status", "n", F.when(F.size("s") > 1, F.transform("s", lambda x: x["type"])).alias("types")))
+    several = each.join(listed.where("n > 1").select("id"), "id", "left_semi")
+    own = several.groupBy("doc_id", "id").agg(F.max_by(F.struct("type", F.col("last.status").alias("status")), "last.ord").alias("v")).select("doc_id", "id", "v.type", "v.status")
+    twice = each.groupBy("doc_id", "id").agg(F.max("last.ord").alias("last"), F.sum("copies").alias("copies")).where("copies > 1")
+    bad = listed.where("types IS NOT NULL").select("id", F.array_sort("types").alias("types")).join(each.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "id")
+    return Index(listed.drop("n", "types"), written(own), written(twice), bad)
 
-def v09_edge_derivation(lic: DataFrame) -> DataFrame:
-    return finding(lic.where("licensed").where(ids.rank(F.col("derivation")) < ids.rank(F.col("least"))), "V-09", ERROR, _edge(), F.concat(F.lit("must be at least "), F.col("least")))
 
+def with_endpoints(edges: DataFrame, nodes: DataFrame, m: Model | None = None, index: Index | None = None) -> DataFrame:
+    """JON-01: edges with type, document and status of both ends: the edge's own document first, then any other.
 
-def v10_unsigned_edges(lic: DataFrame) -> DataFrame:
-    return finding(lic.where("licensed AND derivation = 'decided' AND (evidence.by IS NULL OR evidence.at IS NULL)"), "V-10", ERROR, _edge(), "decided by nobody or never")
+    Across documents the type that elaborates the other stands, then that of the first document. The index is
+    joined by id; only ids that several documents define are looked up by document too.
+    """
+    index = index or indexed(nodes, m)
+    out = edges
+    for end in ("source", "target"):
+        best = index.best.select(F.col("id").alias(end), F.col("type").alias("__u"), F.col("node_doc").alias("__d"), F.col("status").alias("__v"))
+        own = index.own.select("doc_id", F.col("id").alias(end), F.col("type").alias("__t"), F.col("status").alias("__s"), F.lit(True).alias("__own"))
+        out = out.join(best, end, "left").join(own, ["doc_id", end], "left")
+        pick = lambda mine, other: F.when(F.col("__own"), F.col(mine)).otherwise(F.col(other))
+        out = out.withColumns({f"{end}_type": pick("__t", "__u"), f"{end}_doc": pick("doc_id", "__d"), f"{end}_status": pick("__s", "__v")}).drop("__t", "__u", "__d", "__s", "__v", "__own")
+    return out
 
 
-def v11_unexplained_edges(lic: DataFrame) -> DataFrame:
-    return finding(lic.where("licensed").where(_unexplained()), "V-11", ERROR, _edge(), "neither note nor evidence")
+# Documents
 
 
-# Properties
+def v01_version(documents: DataFrame, seen: Seen, version: str | None = None) -> DataFrame:
+    """V-01: documents made with another version than that of their layer (or than the one given), or of a layer that there is no model of."""
+    d = documents.select("doc_id", "layer", "ontology_version").join(seen.layers.select("layer", "schema_version", F.lit(True).alias("known")), "layer", "left")
+    wanted = F.col("schema_version") if version is None else F.lit(version)
+    other = finding(d.where("known").where(~F.col("ontology_version").eqNullSafe(wanted)), "V-01", ERROR, "doc_id", "made with another version of the model")
+    return other.unionByName(finding(d.where("known IS NULL"), "V-01", ERROR, "doc_id", F.concat(F.lit("no model of the layer "), F.coalesce("layer", F.lit("null")))))
 
 
-def v12_undeclared_properties(nodes: DataFrame, m: Model) -> DataFrame:
-    shaped = m.class_properties.select(F.col("class").alias("type")).distinct()
-    keys = nodes.join(shaped, "type", "left_semi").select("doc_id", "id", "type", F.explode(F.json_object_keys("properties")).alias("property"))
-    lost = keys.join(m.class_properties.withColumnRenamed("class", "type"), ["type", "property"], "left_anti")
-    return finding(lost, "V-12", ERROR, "id", F.concat(F.lit("undeclared property: "), F.col("property")))
+def checked_documents(documents: DataFrame, seen: Seen, version: str | None = None) -> DataFrame:
+    """(doc_id, layer, identifier_codes, status_codes) of the documents that the other rules look at."""
+    d = documents.select("doc_id", "layer", "ontology_version").join(seen.layers, "layer")
+    return d.where(F.col("ontology_version") == (F.col("schema_version") if version is None else F.lit(version))).select("doc_id", "layer", "identifier_codes", "status_codes")
 
 
-def undeclared_shape(nodes: DataFrame, m: Model) -> DataFrame:
-    """AGG-05: nodes with properties whose class declares none, for each document."""
-    shaped = m.class_properties.select(F.col("class").alias("type")).distinct()
-    return nodes.join(shaped, "type", "left_anti").where("size(json_object_keys(properties)) > 0").groupBy("doc_id").agg(F.count("*").alias("n_nodes"))
+# Nodes
 
 
-def v13_statements_without_criteria(nodes: DataFrame, kind: str = "requirement-statement") -> DataFrame:
-    empty = F.coalesce(F.size(F.from_json(_prop("successCriteria"), "array<string>")), F.lit(0)) <= 0
-    return finding(nodes.where(F.col("type") == kind).where(empty), "V-13", WARNING, "id", "no success criteria")
+def _unexplained() -> Column:
+    """Without a note or without evidence: one of the two is not enough."""
+    return F.col("derivation").isin("inferred", "decided") & (_bare("note") | F.col("evidence").isNull())
+
+
+def _lacks() -> Column:
+    return F.concat("derivation", F.lit(" without "), F.when(_bare("note"), "note").otherwise("evidence"))
+
+
+def _unsigned() -> Column:
+    return (F.col("derivation") == "decided") & (_bare("evidence.by") | _bare("evidence.at"))
+
+
+def node_rules() -> list[tuple[str, Column]]:
+    """V-02 to V-04, V-12 to V-16 and V-19 to V-22, V-31 as arrays of findings on a row of `prepared_nodes`."""
+    known, last = F.col("known"), F.col("__last")
+    kind, is_rec = _p("kind"), F.col("type") == "recommendation"
+    criteria = F.when(_p("successCriteria").startswith("["), F.size(F.from_json(_p("successCriteria"), "array<string>")))
+    types = F.when(_p("identifiers").startswith("["), F.transform(F.from_json(_p("identifiers"), "array<struct<type:string>>"), lambda i: i["type"]))
+    odd_types = F.filter(types, lambda t: t.isNull() | ~F.array_contains("identifier_codes", F.coalesce(t, F.lit(""))))
+    odd_codes = F.filter("bindings", lambda b: F.element_at("__p", b["property"]).isNotNull() & ~F.array_contains(b["codes"], F.coalesce(F.element_at("__p", b["property"]), F.lit(""))))
+    graded = F.array_compact(F.array(*[F.when(_p(k).isNotNull(), F.lit(k)) for k in ("strength", "overallCertainty")], F.when((kind == "no-recommendation") & _p("direction").isNotNull(), F.lit("direction"))))
+    least = F.concat(F.lit("must be at least "), F.col("min_derivation"))
+    rules = [
+        _each("V-12", F.when(F.size("allowed") > 0, F.array_except(F.map_keys("__p"), "allowed")), lambda k: F.concat(F.lit("undeclared property: "), k)),
+        _if("V-02", F.col("__copies") > 1, F.concat(F.lit("defined "), F.col("__copies").cast("string"), F.lit(" times"))),
+        _if("V-13", (F.col("type") == "requirement-statement") & (F.coalesce(criteria, F.lit(0)) <= 0), "no success criteria", WARNING),
+        _each("V-14", odd_codes, lambda b: F.concat(b["property"], F.lit(" is not in "), b["value_set"], F.lit(": "), F.element_at("__p", b["property"])), lambda b: b["severity"]),
+        _each("V-15", F.when(F.col("identifier_codes").isNotNull(), odd_types), lambda t: F.concat(F.lit("identifier type: "), F.coalesce(t, F.lit("none")))),
+        _if("V-16", ~F.expr("id rlike iri_pattern"), "id has another shape than its class asks for"),
+        _if("V-19", ids.rank(F.col("derivation")) < ids.rank(F.col("min_derivation")), least),
+        _if("V-20", _unsigned(), "decided by nobody or never"),
+        _if("V-21", is_rec & _p("strength").isNotNull() & _p("direction").isNull(), "strength without direction"),
+        _if("V-22", is_rec & kind.isin("good-practice-statement", "no-recommendation") & (F.size(graded) > 0), F.concat(kind, F.lit(" carries no grade, but: "), F.array_join(graded, ", "))),
+        _if("V-31", F.col("type").isin("citation", "reference-entry") & _bare(_p("text")), "no verbatim text"),
+    ]
+    rules = [(r, F.when(last, c)) for r, c in rules]
+    return [
+        _if("V-03", ~known, F.concat(F.lit("type not in scope: "), F.coalesce("type", F.lit("none")))),
+        _if("V-04", _unexplained(), _lacks()), *rules,
+    ]
 
 
-def v14_codes(nodes: DataFrame, m: Model) -> DataFrame:
-    bound = m.bindings.withColumnRenamed("class", "type")
-    values = nodes.join(bound, "type").withColumn("value", F.expr("get_json_object(properties, concat('$.', property))")).where("value IS NOT NULL")
-    lost = values.join(m.codes.withColumnRenamed("code", "value"), ["value_set", "value"], "left_anti")
-    return finding(lost, "V-14", F.col("severity"), "id", F.concat("property", F.lit(" is not in "), "value_set", F.lit(": "), "value"))
+def prepared_nodes(nodes: DataFrame, docs: DataFrame, seen: Seen, twice: DataFrame | None = None) -> DataFrame:
+    """nodes of checked documents with what their layer's model says of their type. __last: not defined again further down."""
+    n = _with_columns(nodes, ord="int", note="string", evidence=EVIDENCE, derivation="string", properties="string").join(docs, "doc_id")
+    n = n.join(seen.classes.withColumn("known", F.lit(True)), ["layer", "type"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    if twice is None:
+        n = n.withColumns({"__last": F.lit(True), "__copies": F.lit(1)})
+    else:
+        n = n.join(twice.select("doc_id", "id", F.col("last").alias("__at"), F.col("copies").alias("__copies")), ["doc_id", "id"], "left").withColumn("__last", F.col("__at").isNull() | (F.col("ord") == F.col("__at")))
+    return _with_properties(n)
 
 
-def v15_identifier_types(nodes: DataFrame, m: Model, value_set: str = "identifier-type") -> DataFrame:
-    types = nodes.select("doc_id", "id", F.explode(F.from_json(_prop("identifiers"), "array<struct<type:string,value:string>>")).alias("i")).select("doc_id", "id", F.col("i.type").alias("code"))
-    lost = types.join(m.codes.where(F.col("value_set") == value_set).select("code"), "code", "left_anti")
-    return finding(lost, "V-15", ERROR, "id", F.concat(F.lit("identifier type: "), F.coalesce("code", F.lit("none"))))
+def node_findings(nodes: DataFrame, documents: DataFrame, m: Model, only: set[str] | None = None, version: str | None = None, twice: DataFrame | None = None, seen: Seen | None = None) -> DataFrame:
+    """Findings of the rules that look at one node (or of some of them)."""
+    seen = seen or m.seen()
+    return _found(prepared_nodes(nodes, checked_documents(documents, seen, version), seen, twice), node_rules(), only, F.col("id"))
 
 
-def v16_iri_shape(nodes: DataFrame, m: Model) -> DataFrame:
-    shaped = nodes.join(m.classes.where("iri_pattern IS NOT NULL").select(F.col("id").alias("type"), "iri_pattern").distinct(), "type")
-    return finding(shaped.where(~F.expr("id rlike iri_pattern")), "V-16", ERROR, "id", "id has another shape than its class asks for")
+def undeclared_shape(nodes: DataFrame, documents: DataFrame, m: Model, seen: Seen | None = None) -> DataFrame:
+    """AGG-05: for each document, nodes with properties whose class declares none; unknown types are V-03's."""
+    seen = seen or m.seen()
+    n = prepared_nodes(nodes, checked_documents(documents, seen), seen)
+    return n.where("known AND allowed IS NULL AND properties IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n_nodes"))
 
 
-def contents(nodes: DataFrame, m: Model) -> DataFrame:
-    """Nodes of classes with content fields: stored hash and the hash of what they hold (null without content)."""
-    fields = m.content_fields.groupBy(F.col("class").alias("type")).agg(F.array_sort(F.collect_list(F.struct("position", "property"))).alias("fields"))
-    held = F.from_json("properties", "map<string,string>")
-    each = nodes.join(fields, "type").withColumn("__held", held)
-    each = each.withColumn("__parts", F.array_compact(F.transform("fields", lambda f: F.element_at("__held", f["property"]))))
-    whole = each.withColumn("__text", F.when(F.size("__parts") > 0, F.array_join(F.transform("__parts", ids.squeezed), "\n")))
-    return whole.withColumns({"stored": _prop("contentHash"), "actual": ids.content_hash(ids.nfc(F.col("__text")))})
+# Edges: each rule looks at edges that the ones before let through
 
 
-def v17_missing_hash(held: DataFrame) -> DataFrame:
-    return finding(held.where("actual IS NOT NULL AND stored IS NULL"), "V-17", WARNING, "id", "content without a hash")
+def prepared_edges(ends: DataFrame, docs: DataFrame, seen: Seen) -> DataFrame:
+    """JON-02: edges of checked documents, with whether the layer knows the types at both ends and licenses the triple."""
+    e = _with_columns(ends, qualifier="string", note="string", evidence=EVIDENCE, derivation="string", properties="string").join(docs, "doc_id")
+    for end in ("source", "target"):
+        e = e.join(seen.classes.select("layer", F.col("type").alias(f"{end}_type"), F.lit(True).alias(f"__{end}")), ["layer", f"{end}_type"], "left")
+    e = e.join(seen.licences.withColumn("licensed", F.lit(True)), ["layer", "predicate", "source_type", "target_type"], "left").join(seen.between, ["layer", "source_type", "target_type"], "left")
+    return e.withColumns({"known": F.coalesce(F.col("__source") & F.col("__target"), F.lit(False)), "status": _prop("resolutionStatus")})
+
+
+def edge_rules() -> list[tuple[str, Column]]:
+    """V-05 to V-11 and V-32 to V-34 as arrays of findings on a row of `prepared_edges`."""
+    source, target = F.col("source_doc").isNotNull(), F.col("target_doc").isNotNull()
+    licensed, status = F.col("licensed"), F.col("status")
+    resolved = (status == "resolved") & F.array_contains("status_codes", "resolved")
+    return [
+        _if("V-05", ~source, "source is defined nowhere"),
+        _if("V-06", source & ~target, "target is defined nowhere"),
+        _if("V-07", F.col("known") & licensed.isNull(), F.concat(F.lit("not licensed; licensed here: "), F.coalesce("permitted", F.lit("nothing")))),
+        _if("V-08", licensed & F.col("qualifier").isNotNull() & ~F.coalesce("open", F.lit(False)) & ~F.expr("array_contains(qualifiers, qualifier)"), F.concat(F.lit("unknown qualifier: "), F.col("qualifier")), WARNING),
+        _if("V-09", licensed & (ids.rank(F.col("derivation")) < ids.rank(F.col("least"))), F.concat(F.lit("must be at least "), F.col("least"))),
+        _if("V-10", licensed & _unsigned(), "decided by nobody or never"),
+        _if("V-11", licensed & _unexplained(), _lacks()),
+        _if("V-32", status.isNotNull() & ~F.array_contains("status_codes", status), F.concat(F.lit("unknown status: "), status)),
+        _if("V-33", resolved & ~F.coalesce("target_status", F.lit("")).isin("", "resolved"), "resolved onto a node that is not"),
+        _if("V-34", resolved & F.col("derivation").isin("inferred", "decided") & _bare("evidence.location"), "resolved without saying where"),
+    ]
 
 
-def v18_wrong_hash(held: DataFrame) -> DataFrame:
-    return finding(held.where("actual IS NOT NULL AND stored IS NOT NULL AND stored <> actual"), "V-18", ERROR, "id", "hash is not that of the content")
+def edge_findings(edges: DataFrame, nodes: DataFrame, documents: DataFrame, m: Model, only: set[str] | None = None, version: str | None = None, index: Index | None = None, seen: Seen | None = None) -> DataFrame:
+    """Findings of the rules that look at one edge and its ends (or of some of them)."""
+    seen = seen or m.seen()
+    ends = with_endpoints(edges, nodes, m, index)
+    return _found(prepared_edges(ends, checked_documents(documents, seen, version), seen), edge_rules(), only, _edge())
 
 
-def v19_node_derivation(nodes: DataFrame, m: Model) -> DataFrame:
-    least = m.classes.where("min_derivation IS NOT NULL").select(F.col("id").alias("type"), "min_derivation").distinct()
-    return finding(nodes.join(least, "type").where(ids.rank(F.col("derivation")) < ids.rank(F.col("min_derivation"))), "V-19", ERROR, "id", F.concat(F.lit("must be at least "), F.col("min_derivation")))
+# Content
 
 
-def v20_unsigned_nodes(nodes: DataFrame) -> DataFrame:
-    return finding(nodes.where("derivation = 'decided' AND (evidence.by IS NULL OR evidence.at IS NULL)"), "V-20", ERROR, "id", "decided by nobody or never")
+def content_findings(prepared: DataFrame) -> DataFrame:
+    """V-17, V-18: content without a hash, or with another one. Only texts that are not ASCII go through Python."""
+    parts = F.array_compact(F.transform("fields", lambda f: F.element_at("__p", f)))
+    held = prepared.where("__last AND size(fields) > 0").withColumn("__parts", parts).where("size(__parts) > 0")
+    held = held.select("doc_id", "id", F.array_join(F.transform("__parts", ids.squeezed), "\n").alias("text"), F.map_contains_key("__p", "contentHash").alias("has"), _p("contentHash").alias("stored"))
+    ascii_ = held.where(ids.is_ascii(F.col("text"))).withColumn("actual", ids.content_hash(F.col("text")))
+    other = held.where(~ids.is_ascii(F.col("text"))).withColumn("actual", ids.content_hash(ids.nfc(F.col("text"))))
+    told = ascii_.unionByName(other)
+    return finding(told.where("NOT has"), "V-17", WARNING, "id", "content without a hash").unionByName(finding(told.where("has AND NOT stored <=> actual"), "V-18", ERROR, "id", "hash is not that of the content"))
 
 
 # Recommendations and what they rest on
 
 
-def v21_strength_without_direction(nodes: DataFrame) -> DataFrame:
-    return finding(nodes.where("type = 'recommendation'").where(_prop("strength").isNotNull() & _prop("direction").isNull()), "V-21", ERROR, "id", "strength without direction")
-
-
-def v22_ungraded_kinds(nodes: DataFrame) -> DataFrame:
-    kind = _prop("kind")
-    graded = _prop("strength").isNotNull() | _prop("overallCertainty").isNotNull()
-    bad = (kind == "good-practice-statement") & graded | (kind == "no-recommendation") & (graded | _prop("direction").isNotNull())
-    return finding(nodes.where("type = 'recommendation'").where(bad), "V-22", ERROR, "id", "this kind carries no grade")
-
+SLOTS = ["intervention", "population", "setting", "provider", "timing"]
+CERTAINTY = ["very-low", "low", "moderate", "high"]
+LINKS = ["definedIn", "hasRemark", "presentedIn", "supportedBy", "forOutcome", "resolvesTo", "numberedAs"]
 
-def _publications(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    links = edges.where("predicate = 'definedIn'").select("doc_id", F.col("source").alias("id"), F.col("target").alias("publication"))
-    pubs = nodes.where("type = 'publication'").groupBy(F.col("id").alias("publication")).agg(F.max_by(F.struct(_prop("grcStatus").alias("status")), F.struct("doc_id", "ord")).alias("p"))
-    return nodes.where("type = 'recommendation'").join(links, ["doc_id", "id"]).join(pubs, "publication").withColumn("status", F.col("p.status"))
 
+def near(edges: DataFrame, nodes: DataFrame, m: Model | None = None, index: Index | None = None) -> DataFrame:
+    """The edges that rules about recommendations, rows and citations follow, with both ends' documents. Of `contains` only those into something that their document shows content in."""
+    shown = edges.where("predicate = 'presentedIn'").select("doc_id", "target").distinct()
+    used = edges.where(F.col("predicate").isin(LINKS)).unionByName(edges.where("predicate = 'contains'").join(shown, ["doc_id", "target"], "left_semi"))
+    slim = _with_columns(used, ord="int").select("doc_id", "ord", "predicate", "source", "target")
+    return with_endpoints(slim, nodes, m, index)
 
-def v23_not_reviewed(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    return finding(_publications(edges, nodes).where("status = 'not-reviewed'"), "V-23", ERROR, "id", "defined in a publication that was not reviewed")
 
+def _at(links: DataFrame, nodes: DataFrame, end: str, **columns: Column) -> DataFrame:
+    """links with columns of the node at an end: that of the document which the end was found in.
 
-def v24_review_unknown(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    return finding(_publications(edges, nodes).where("status IS NULL"), "V-24", WARNING, "id", "defined in a publication of unknown review")
+    The rules below take typed nodes of the documents that are checked, and in `at` those of all documents, where edges lead.
+    """
+    held = nodes.select(F.col("doc_id").alias(f"{end}_doc"), F.col("id").alias(end), *[c.alias(n) for n, c in columns.items()])
+    return links.join(held, [f"{end}_doc", end])
 
 
-SLOTS = ["intervention", "population", "setting", "provider", "timing"]
+def publication_findings(links: DataFrame, nodes: DataFrame, at: DataFrame | None = None) -> DataFrame:
+    """V-23, V-24: recommendations of publications that were not reviewed, or whose review is not recorded."""
+    recs = nodes.where("type = 'recommendation'").select("doc_id", F.col("id").alias("source"))
+    own = links.where("predicate = 'definedIn'").join(recs, ["doc_id", "source"], "left_semi")
+    pubs = _at(own, nodes if at is None else at, "target", review=_prop("grcStatus"), recorded=F.array_contains(F.json_object_keys("properties"), "grcStatus"))
+    bad = finding(pubs.where("review = 'not-reviewed'"), "V-23", ERROR, "source", "defined in a publication that was not reviewed")
+    return bad.unionByName(finding(pubs.where("NOT coalesce(recorded, false)"), "V-24", WARNING, "source", "defined in a publication of unknown review"))
 
 
-def v25_unquoted_slots(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Slots whose words stand neither in the statement, its remarks, nor in captions and headings of where it is printed."""
+def slot_findings(links: DataFrame, nodes: DataFrame, at: DataFrame | None = None) -> DataFrame:
+    """V-25: slots whose words stand neither in the statement, the text of its remarks, nor in the captions and headings of where it is printed and of what holds that."""
     recs = nodes.where("type = 'recommendation'")
-    texts = nodes.select("id", F.explode(F.array(*[_prop(p) for p in ("text", "caption", "heading")])).alias("t")).where("t IS NOT NULL").distinct()
-    own = recs.select("doc_id", "id", _prop("statement").alias("t")).where("t IS NOT NULL")
-    remark = edges.where("predicate = 'hasRemark'").select("doc_id", F.col("source").alias("id"), F.col("target").alias("at"))
-    printed = edges.where("predicate = 'presentedIn'").select("doc_id", F.col("source").alias("id"), F.col("target").alias("at"))
-    around = edges.where("predicate = 'contains'").select("doc_id", F.col("source").alias("up"), F.col("target").alias("at"))
-    places = union([remark, printed, printed.join(around, ["doc_id", "at"]).select("doc_id", "id", F.col("up").alias("at"))]).distinct()
-    hay = own.unionByName(places.join(texts.withColumnRenamed("id", "at"), "at").select("doc_id", "id", "t"))
-    hay = hay.groupBy("doc_id", "id").agg(F.array_join(F.array_sort(F.collect_set(ids.norm(F.col("t")))), "\n").alias("hay"))
+    keys = recs.select("doc_id", F.col("id").alias("source"))
+    first = lambda p: links.where(F.col("predicate") == p).join(keys, ["doc_id", "source"], "left_semi")
+    row = lambda t, turn, text: t.select("doc_id", F.col("source").alias("id"), F.struct(F.lit(turn).alias("turn"), F.col("ord").alias("a"), F.coalesce(F.col("up"), F.lit(-1)).cast("long").alias("b"), F.lit(text).alias("f"), F.coalesce(F.col(text), F.lit("")).alias("t")).alias("s"))
+    flat = lambda t, turn, *texts: [row(t, turn, x) for x in texts]
+    none = F.lit(None).cast("long").alias("up")
+    own = recs.select("doc_id", F.col("id").alias("source"), F.lit(0).alias("ord"), none, _prop("statement").alias("statement"))
+    remarks = _at(first("hasRemark"), nodes if at is None else at, "target", text=_prop("text")).withColumn("up", F.lit(None).cast("long"))
+    shown = first("presentedIn")
+    places = _at(shown, nodes if at is None else at, "target", caption=_prop("caption"), heading=_prop("heading")).withColumn("up", F.lit(None).cast("long"))
+    around = links.where("predicate = 'contains'").select("doc_id", "target", F.col("ord").cast("long").alias("up"), F.col("source").alias("holder"), F.col("source_doc").alias("holder_doc"))
+    holders = _at(shown.select("doc_id", "source", "ord", "target").join(around, ["doc_id", "target"]), nodes if at is None else at, "holder", caption=_prop("caption"), heading=_prop("heading"))
+    every = union(flat(own, 0, "statement") + flat(remarks, 1, "text") + flat(places, 2, "caption", "heading") + flat(holders, 2, "caption", "heading"))
+    hay = every.groupBy("doc_id", "id").agg(F.array_sort(F.collect_list("s")).alias("l")).select("doc_id", "id", ids.norm(F.array_join(F.transform("l", lambda x: x["t"]), " \n ")).alias("hay"))
     slots = recs.select("doc_id", "id", F.explode(F.array(*[F.struct(F.lit(s).alias("slot"), _prop(s).alias("v")) for s in SLOTS])).alias("s")).select("doc_id", "id", "s.slot", "s.v").where("v IS NOT NULL")
     bad = slots.join(hay, ["doc_id", "id"], "left").withColumn("needle", ids.norm(F.col("v"))).where("NOT contains(coalesce(hay, ''), needle)")
     return finding(bad, "V-25", WARNING, "id", F.concat("slot", F.lit(" is not quoted from the source")))
 
 
-CERTAINTY = ["very-low", "low", "moderate", "high"]
-
-
-def v26_certainty(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Overall certainty above the lowest over critical outcomes."""
-    level = lambda c: F.nullif(F.array_position(F.array(*[F.lit(x) for x in CERTAINTY]), c), F.lit(0))
-    recs = nodes.where("type = 'recommendation'").select("doc_id", "id", level(_prop("overallCertainty")).alias("overall")).where("overall IS NOT NULL")
-    ev = nodes.where("type = 'evidence'").select(F.col("id").alias("evidence_id"), level(_prop("certainty")).alias("c")).where("c IS NOT NULL").distinct()
-    critical = nodes.where("type = 'outcome'").where(_prop("importance") == "critical").select(F.col("id").alias("outcome")).distinct()
-    on = edges.where("predicate = 'supportedBy'").select("doc_id", F.col("source").alias("id"), F.col("target").alias("evidence_id"))
-    of = edges.where("predicate = 'forOutcome'").select("doc_id", F.col("source").alias("evidence_id"), F.col("target").alias("outcome"))
-    low = on.join(of, ["doc_id", "evidence_id"]).join(critical, "outcome", "left_semi").join(ev, "evidence_id").groupBy("doc_id", "id").agg(F.min("c").alias("lowest"))
-    return finding(recs.join(low, ["doc_id", "id"]).where("overall > lowest"), "V-26", WARNING, "id", "more certain than its least certain critical outcome")
-
-
-def v27_one_copy(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """A data row of a table that stores a cell which the table's column map fills from content printed there."""
-    tables = nodes.where(_prop("columnMap").isNotNull()).select("doc_id", F.col("id").alias("table_id"), F.from_json(_prop("columns"), "array<string>").alias("columns"), F.from_json(_prop("columnMap"), "map<string,string>").alias("map"))
-    columns = tables.select("doc_id", "table_id", "map", F.posexplode("columns").alias("pos", "column")).where("map_contains_key(map, column)").select("doc_id", "table_id", "pos", "column")
-    part = edges.where("predicate = 'contains'").select("doc_id", F.col("source").alias("table_id"), F.col("target").alias("id"))
-    rows = nodes.where(_prop("rowType") == "data").select("doc_id", "id", F.posexplode(F.from_json(_prop("cells"), "array<string>")).alias("pos", "cell")).where("cell IS NOT NULL")
-    printed = edges.where("predicate = 'presentedIn'").select("doc_id", F.col("target").alias("id")).distinct()
-    bad = rows.join(printed, ["doc_id", "id"], "left_semi").join(part, ["doc_id", "id"]).join(columns, ["doc_id", "table_id", "pos"])
-    return finding(bad, "V-27", ERROR, "id", F.concat(F.lit("stores a second copy of "), F.col("column")))
-
-
-# Citations and joins
-
-
-def citation_findings(edges: DataFrame, nodes: DataFrame, kinds: tuple[str, ...] = ("citation", "reference-entry")) -> DataFrame:
-    """V-28 to V-31."""
-    status = _prop("resolutionStatus")
-    cites = nodes.where(F.col("type").isin(*kinds)).withColumns({"status": status, "placeholder": _prop("citationKind") == "placeholder"})
-    direct = edges.where("predicate = 'resolvesTo'").select("doc_id", F.col("source").alias("id")).distinct().withColumn("direct", F.lit(True))
-    cites = cites.join(direct, ["doc_id", "id"], "left")
-    hops = edges.where("predicate = 'numberedAs'").select("doc_id", F.col("source").alias("id"), F.col("target").alias("at"))
-    good = cites.where("direct AND status = 'resolved'").select("doc_id", "id")
-    reached = good
-    while True:  # back along numberedAs from what is resolved; each entry is met once, so cycles end
-        more = hops.join(reached.select("doc_id", F.col("id").alias("at")), ["doc_id", "at"]).select("doc_id", "id").join(cites.where("status = 'resolved'").select("doc_id", "id"), ["doc_id", "id"], "left_semi").distinct().join(reached, ["doc_id", "id"], "left_anti")
-        more = written(more)
-        if more.isEmpty():
+def certainty_findings(links: DataFrame, nodes: DataFrame, at: DataFrame | None = None) -> DataFrame:
+    """V-26: overall certainty above the lowest over critical outcomes; a certainty that there is no such level of is the lowest."""
+    level = lambda c: F.array_position(F.array(*[F.lit(x) for x in CERTAINTY]), c)
+    recs = nodes.where("type = 'recommendation'").select("doc_id", F.col("id").alias("source"), level(_prop("overallCertainty")).alias("overall")).where("overall IS NOT NULL")
+    on = links.where("predicate = 'supportedBy'").join(recs, ["doc_id", "source"])
+    ev = _at(on, nodes if at is None else at, "target", certainty=_prop("certainty")).where("certainty <> ''").select("doc_id", F.col("source").alias("id"), "overall", F.col("target").alias("source"), level(F.col("certainty")).alias("c"))
+    of = _at(links.where("predicate = 'forOutcome'"), nodes if at is None else at, "target", importance=_prop("importance")).where("importance = 'critical'").select("doc_id", "source").distinct()
+    low = ev.join(of, ["doc_id", "source"]).groupBy("doc_id", "id", "overall").agg(F.min("c").alias("lowest"))
+    return finding(low.where("overall > lowest"), "V-26", WARNING, "id", "more certain than its least certain critical outcome")
+
+
+def copy_findings(links: DataFrame, nodes: DataFrame, at: DataFrame | None = None) -> DataFrame:
+    """V-27: data rows of a table that store a cell which the table's column map fills from content shown there."""
+    tables = nodes.where("type = 'publication-element'").where((_prop("elementType") == "table") & _prop("columnMap").isNotNull() & _prop("columns").startswith("["))
+    tables = tables.select("doc_id", F.col("id").alias("source"), F.from_json(_prop("columns"), "array<string>").alias("columns"), F.from_json(_prop("columnMap"), "map<string,string>").alias("map"))
+    columns = tables.select("doc_id", "source", "map", F.posexplode("columns").alias("pos", "column")).where("coalesce(element_at(map, column), '') <> ''").select("doc_id", "source", "pos", "column")
+    held = links.where("predicate = 'contains'").join(tables.select("doc_id", "source"), ["doc_id", "source"], "left_semi")
+    shown = links.where("predicate = 'presentedIn'").select("doc_id", "target").distinct()
+    rows = _at(held.join(shown, ["doc_id", "target"], "left_semi"), nodes if at is None else at, "target", kind=_prop("rowType"), cells=_prop("cells")).where("kind = 'data' AND startswith(cells, '[')")
+    cells = rows.select("doc_id", "source", "target", F.posexplode(F.from_json("cells", "array<string>")).alias("pos", "cell")).where("cell IS NOT NULL")
+    return finding(cells.join(columns, ["doc_id", "source", "pos"]), "V-27", ERROR, "target", F.concat(F.lit("stores a second copy of "), F.col("column")))
+
+
+# Citations
+
+
+def citation_findings(links: DataFrame, nodes: DataFrame, kinds: tuple[str, ...] = ("citation", "reference-entry")) -> DataFrame:
+    """V-28 to V-30. A citation is resolved by an edge of its own, or by numberedAs onto a node marked resolved (in any document) that the same document resolves."""
+    cites = nodes.where(F.col("type").isin(*kinds)).select("doc_id", "id", "type", _prop("resolutionStatus").alias("status"), _prop("citationKind").alias("kind"))
+    direct = links.where("predicate = 'resolvesTo'").select("doc_id", F.col("source").alias("id")).distinct()
+    hops = written(links.where("predicate = 'numberedAs' AND target_status = 'resolved'").select("doc_id", F.col("source").alias("id"), F.col("target").alias("at")).distinct())
+    front = reached = direct
+    while not hops.isEmpty():  # back from what is resolved; each id is met once, so cycles end
+        front = written(hops.join(front.select("doc_id", F.col("id").alias("at")), ["doc_id", "at"]).select("doc_id", "id").distinct().join(reached, ["doc_id", "id"], "left_anti"))
+        if front.isEmpty():
             break
-        reached = written(reached.unionByName(more))
-    via = hops.join(reached.select("doc_id", F.col("id").alias("at")), ["doc_id", "at"]).select("doc_id", "id").distinct().withColumn("via", F.lit(True))
-    cites = cites.join(via, ["doc_id", "id"], "left")
-    return union([
-        finding(cites.where("placeholder AND (direct OR status = 'resolved')"), "V-28", ERROR, "id", "a placeholder cannot be resolved"),
-        finding(cites.where("NOT coalesce(placeholder, false) AND status = 'resolved' AND direct IS NULL AND via IS NULL"), "V-29", ERROR, "id", "claims to be resolved and leads nowhere"),
-        finding(cites.where("NOT coalesce(placeholder, false) AND direct AND NOT status <=> 'resolved'"), "V-30", WARNING, "id", "leads to a source but is not marked resolved"),
-        finding(cites.where(F.length(F.coalesce(_prop("text"), F.lit(""))) == 0), "V-31", ERROR, "id", "no verbatim text"),
-    ])
-
-
-def v32_edge_status(edges: DataFrame, m: Model, value_set: str = "resolution-status") -> DataFrame:
-    codes = m.codes.where(F.col("value_set") == value_set).select(F.col("code").alias("status"))
-    held = edges.withColumn("status", _prop("resolutionStatus")).where("status IS NOT NULL")
-    return finding(held.join(codes, "status", "left_anti"), "V-32", ERROR, _edge(), F.concat(F.lit("unknown status: "), F.col("status")))
-
-
-def v33_unresolved_target(ends: DataFrame) -> DataFrame:
-    return finding(ends.where(_prop("resolutionStatus") == "resolved").where("target_status IS NOT NULL AND target_status <> 'resolved'"), "V-33", ERROR, _edge(), "resolved onto a node that is not")
-
-
-def v34_resolved_without_place(edges: DataFrame) -> DataFrame:
-    return finding(edges.where(_prop("resolutionStatus") == "resolved").where("derivation IN ('inferred', 'decided') AND evidence.location IS NULL"), "V-34", ERROR, _edge(), "resolved without saying where")
+        reached = reached.unionByName(front)
+    cites = cites.join(direct.withColumn("direct", F.lit(True)), ["doc_id", "id"], "left").join(reached.withColumn("reached", F.lit(True)), ["doc_id", "id"], "left")
+    mock = (F.col("type") == "citation") & F.coalesce(F.col("kind") == "placeholder", F.lit(False))
+    resolved, has = F.coalesce(F.col("status") == "resolved", F.lit(False)), F.col("direct").isNotNull()
+    told = [
+        _if("V-28", mock & (has | resolved), "a placeholder cannot be resolved"), _if("V-29", ~mock & resolved & F.col("reached").isNull(), "claims to be resolved and leads nowhere"),
+        _if("V-30", has & ~resolved, "leads to a source but is not marked resolved", WARNING),
+    ]
+    return _found(cites, told, None, F.col("id"))
 
 
 def join_tally(edges: DataFrame) -> DataFrame:
+    """AGG-03"""
     status = _prop("resolutionStatus")
     n = lambda s: F.count_if(status == s).alias(s)
     return edges.groupBy("doc_id", "predicate").agg(n("resolved"), n("unresolved"), n("ambiguous")).where("resolved + unresolved + ambiguous > 0")
@@ -323,16 +378,15 @@ def join_tally(edges: DataFrame) -> DataFrame:
 
 def unify_nodes(nodes: DataFrame, m: Model) -> tuple[DataFrame, DataFrame]:
     """(id, type), and V-35: one id has one type, or two of which one elaborates the other, which then stands."""
-    kinds = nodes.select("id", "type").distinct()
-    above = m.classes.where("elaborates IS NOT NULL").select(F.col("id").alias("type"), F.col("elaborates").alias("general")).distinct()
-    loses = kinds.join(above, "type").select("id", F.col("general").alias("type")).distinct()
-    left = kinds.join(loses, ["id", "type"], "left_anti")
-    count = left.groupBy("id").agg(F.min("type").alias("type"), F.array_sort(F.collect_set("type")).alias("types"))
-    bad = nodes.join(count.where("size(types) > 1").drop("type"), "id").groupBy("id", "types").agg(F.min("doc_id").alias("doc_id"))
-    return count.where("size(types) = 1").select("id", "type"), finding(bad, "V-35", ERROR, "id", F.concat(F.lit("types clash: "), F.array_join("types", ", ")))
+    index = indexed(nodes, m)
+    return index.best.select("id", "type").join(index.clashes.select("id"), "id", "left_anti"), clash_findings(index)
 
 
-#: Patterns and field sets of shapes/recommendation-graph.schema.json.
+def clash_findings(index: Index) -> DataFrame:
+    return finding(index.clashes, "V-35", ERROR, "id", F.concat(F.lit("types clash: "), F.array_join("types", ", ")))
+
+
+#: Patterns and field sets of the schema of graph documents.
 CLASS_ID, PREDICATE, SHA256 = "^[a-z0-9]+(-[a-z0-9]+)*$", "^[a-z][A-Za-z0-9]*$", "^[0-9a-f]{64}$"
 PROPERTY_KEY = r"^[A-Za-z][A-Za-z0-9_]*(\[x\])?(\.[A-Za-z][A-Za-z0-9_]*(\[x\])?)*$"
 DATE_TIME = r"^\d{4}-\d\d-\d\d[Tt]\d\d:\d\d:\d\d(\.\d+)?([Zz]|[+-]\d\d:\d\d)$"
@@ -415,26 +469,46 @@ def document_findings(raw: DataFrame) -> DataFrame:
     return union(parts)
 
 
-def validate(documents: DataFrame, nodes: DataFrame, edges: DataFrame, m: Model, version: str) -> DataFrame:
-    """V-36: findings of all rules. What many rules share is worked out once and written."""
-    ok_nodes, ok_edges = written(right_version(nodes, documents, version)), written(right_version(edges, documents, version))
-    last = written(last_definitions(ok_nodes))
-    ends = written(with_endpoints(ok_edges, ok_nodes))
-    lic = written(licensed_edges(ends, m))
-    held = contents(last, m)
-    return union([
-        v01_version(documents, version), v02_duplicate_ids(ok_nodes), v03_unknown_types(last, documents, m), v04_unexplained_nodes(last),
-        v05_lost_sources(ends), v06_lost_targets(ends), v07_unlicensed(lic, m), v08_qualifiers(lic), v09_edge_derivation(lic), v10_unsigned_edges(lic), v11_unexplained_edges(lic),
-        v12_undeclared_properties(last, m), v13_statements_without_criteria(last), v14_codes(last, m), v15_identifier_types(last, m), v16_iri_shape(last, m),
-        v17_missing_hash(held), v18_wrong_hash(held), v19_node_derivation(last, m), v20_unsigned_nodes(last), v21_strength_without_direction(last), v22_ungraded_kinds(last),
-        v23_not_reviewed(ok_edges, last), v24_review_unknown(ok_edges, last), v25_unquoted_slots(ok_edges, last), v26_certainty(ok_edges, last), v27_one_copy(ok_edges, last),
-        citation_findings(ok_edges, last), v32_edge_status(ok_edges, m), v33_unresolved_target(ends), v34_resolved_without_place(ok_edges), unify_nodes(ok_nodes, m)[1],
-    ])
-
-
-def report(documents: DataFrame, findings: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row a document: counts of nodes, edges, errors and warnings, and whether it conforms."""
-    of = lambda t, name: t.groupBy("doc_id").agg(F.count("*").alias(name))
+def validate(documents: DataFrame, nodes: DataFrame, edges: DataFrame, m: Model, version: str | None = None) -> DataFrame:
+    """Findings of all rules. version: that of the model, if it is one for all layers and not in the model's tables.
+
+    Documents of another version get V-01 only, but their nodes are there for the edges of others.
+    """
+    seen, index = m.seen(), indexed(nodes, m)
+    docs = checked_documents(documents, seen, version)
+    prepared = prepared_nodes(nodes, docs, seen, index.twice)
+    mine = edges.join(docs.select("doc_id"), "doc_id", "left_semi")
+    links = written(near(mine, nodes, m, index))
+    parts = [
+        v01_version(documents, seen, version), _found(prepared, node_rules(), None, F.col("id")), content_findings(prepared),
+        _found(prepared_edges(with_endpoints(edges, nodes, m, index), docs, seen), edge_rules(), None, _edge()), clash_findings(index),
+    ]
+    kinds = ["recommendation", "publication-element", "citation", "reference-entry"]
+    if not links.isEmpty() or not nodes.where(F.col("type").isin(kinds)).isEmpty():  # else none of these rules has anything to look at
+        current = nodes.join(index.twice.select("doc_id", "id", F.col("last").alias("__at")), ["doc_id", "id"], "left").where("__at IS NULL OR ord = __at").drop("__at")
+        own = current.where(F.col("type").isin(kinds)).join(docs.select("doc_id"), "doc_id", "left_semi")
+        parts += [f(links, own, current) for f in (publication_findings, slot_findings, certainty_findings, copy_findings)] + [citation_findings(links, own)]
+    return union(parts)
+
+
+def report(documents: DataFrame, findings: DataFrame, nodes: DataFrame, edges: DataFrame, m: Model | None = None) -> DataFrame:
+    """V-36: a row for each document: nodes (distinct ids) and edges, in all, by class and by predicate; joins by status; errors,
+    warnings and whether it conforms; with a model also edges that reach another document and nodes of classes that declare no properties.
+
+    Maps have one entry a class or predicate. joins is null where no edge has a status.
+    """
+    names = lambda t, by, name: t.groupBy("doc_id", by).agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(by), F.col("n"))))).alias(name), F.sum("n").alias(f"n_{name}"))
+    last = nodes.groupBy("doc_id", "id").agg(F.max_by(F.coalesce("type", F.lit("")), F.col("ord")).alias("type"))
+    by_class = names(last, "type", "by_class").withColumnRenamed("n_by_class", "n_nodes")
+    by_predicate = names(edges.withColumn("predicate", F.coalesce("predicate", F.lit(""))), "predicate", "by_predicate").withColumnRenamed("n_by_predicate", "n_edges")
+    tally = edges.withColumn("s", _prop("resolutionStatus")).groupBy("doc_id").agg(*[F.count_if(F.col("s") == s).alias(s) for s in ("resolved", "unresolved", "ambiguous")]).where("resolved + unresolved + ambiguous > 0")
     f = findings.groupBy("doc_id").agg(F.count_if(F.col("severity") == ERROR).alias("errors"), F.count_if(F.col("severity") == WARNING).alias("warnings"))
-    out = documents.select("doc_id").join(of(nodes, "n_nodes"), "doc_id", "left").join(of(edges, "n_edges"), "doc_id", "left").join(f, "doc_id", "left").na.fill(0)
-    return out.withColumn("conforms", F.col("errors") == 0)
+    parts = [by_class, by_predicate, tally.select("doc_id", F.struct("resolved", "unresolved", "ambiguous").alias("joins")), f]
+    if m is not None:
+        ends = with_endpoints(edges, nodes, m)
+        across = F.count_if((F.col("source_doc") != F.col("doc_id")) | (F.col("target_doc") != F.col("doc_id")))
+        parts += [ends.where("source_doc IS NOT NULL AND target_doc IS NOT NULL").groupBy("doc_id").agg(across.alias("cross_document_edges")), undeclared_shape(nodes, documents, m).withColumnRenamed("n_nodes", "undeclared_shape")]
+    out = documents.select("doc_id")
+    for t in parts:
+        out = out.join(t, "doc_id", "left")
+    return out.na.fill(0).withColumn("conforms", F.col("errors") == 0)

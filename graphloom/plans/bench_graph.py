@@ -75,3 +75,10 @@ def bench_model(spark: SparkSession) -> Model:
         imports=[("geo", None, "1", "n"), ("party", "geo", "1", "n"), ("trade", "party", "1", "n")],
         kinds=[("geo", "Thing", "anything")],
     )
+
+
+def one_layer(spark: SparkSession, layer: str, types: DataFrame) -> tuple[DataFrame, Model]:
+    """(documents, model) of one document and layer with the classes in types (type)."""
+    m = make_model(spark, imports=[(layer, None, VERSION, "n")])
+    m.classes = types.select(F.lit(layer).alias("layer"), F.col("type").alias("id")).distinct().withColumns({c: F.lit(None).cast("string") for c in ("kind", "elaborates", "iri_pattern", "min_derivation")})
+    return spark.createDataFrame([(layer, layer, VERSION)], "doc_id string, layer string, ontology_version string"), m

@@ -11,7 +11,7 @@ from graphloom.model import check_model, duplicate_keys, fk_violations, missing_
 from graphloom.operators import graph as g
 from graphloom.operators import questions, retrieval, rules
 from graphloom.operators.diff import changes, diff_documents, diff_sources, field_changes, last_per_key, normalise
-from graphloom.plans.bench_graph import VERSION, bench_documents, bench_graph, bench_model, graph_sql, read
+from graphloom.plans.bench_graph import bench_documents, bench_graph, bench_model, graph_sql, one_layer, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -112,50 +112,46 @@ _EDGE = "predicate || '|' || source || '|' || target"
 UNION ALL SELECT doc_id, 'V-06', 'error', {_EDGE}, 'target is defined nowhere' FROM ends WHERE st IS NOT NULL AND tt IS NULL"""))
 def dangling_edges(spark, d):
     n, e = bench_graph(spark, d)
-    ends = rules.with_endpoints(e, n.where("NOT (type = 'order' AND derivation = 'decided')"))
-    return rules.v05_lost_sources(ends).unionByName(rules.v06_lost_targets(ends))
+    return rules.edge_findings(e, n.where("NOT (type = 'order' AND derivation = 'decided')"), bench_documents(spark), bench_model(spark), {"V-05", "V-06"})
 
 
 _LIC = "lic(p, st, tt, q, least) AS (VALUES ('partOf', 'nation', 'region', NULL, NULL), ('locatedIn', 'customer', 'nation', NULL, 'inferred'), ('locatedIn', 'supplier', 'nation', NULL, 'inferred'), ('placedBy', 'order', 'customer', NULL, NULL), ('contains', 'order', 'part', 'R', NULL), ('contains', 'order', 'part', 'N', NULL), ('supersedes', 'order', 'order', NULL, NULL))"
 _RANK = lambda c: f"(CASE {c} WHEN 'derived' THEN 0 WHEN 'inferred' THEN 1 WHEN 'decided' THEN 2 END)"
-_UNLICENSED = f"SELECT doc_id, 'V-07' AS rule_id, 'error' AS severity, {_EDGE} AS subject, 'not licensed; licensed here: ' || coalesce((SELECT string_agg(DISTINCT p, ', ' ORDER BY p) FROM lic l WHERE l.st = el.st AND l.tt = el.tt), 'nothing') AS message FROM el WHERE NOT EXISTS (SELECT 1 FROM lic WHERE p = predicate AND lic.st = el.st AND lic.tt = el.tt)"
+_UNLICENSED = f"SELECT doc_id, 'V-07' AS rule_id, 'error' AS severity, {_EDGE} AS subject, 'not licensed; licensed here: ' || coalesce((SELECT string_agg(DISTINCT p || coalesce(' («' || q || '»)', ''), ', ' ORDER BY p || coalesce(' («' || q || '»)', '')) FROM lic l WHERE l.st = el.st AND l.tt = el.tt), 'nothing') AS message FROM el WHERE NOT EXISTS (SELECT 1 FROM lic WHERE p = predicate AND lic.st = el.st AND lic.tt = el.tt)"
 _QUALIFIED = f"SELECT doc_id, 'V-08' AS rule_id, 'warning' AS severity, {_EDGE} AS subject, 'unknown qualifier: ' || qualifier AS message FROM el WHERE predicate = 'contains' AND qualifier NOT IN ('R', 'N')"
 _EXPLAINED = f"""SELECT doc_id, 'V-09' AS rule_id, 'error' AS severity, {_EDGE} AS subject, 'must be at least inferred' AS message FROM el WHERE predicate = 'locatedIn' AND {_RANK('derivation')} < 1
 UNION ALL SELECT doc_id, 'V-10', 'error', {_EDGE}, 'decided by nobody or never' FROM el WHERE predicate <> 'suppliedBy' AND derivation = 'decided' AND ev_by IS NULL
-UNION ALL SELECT doc_id, 'V-11', 'error', {_EDGE}, 'neither note nor evidence' FROM el WHERE predicate <> 'suppliedBy' AND derivation <> 'derived' AND note IS NULL AND ev_location IS NULL"""
-_NODES = f"""SELECT doc_id, 'V-04' AS rule_id, 'error' AS severity, id AS subject, 'neither note nor evidence' AS message FROM nodes WHERE derivation <> 'derived' AND note IS NULL AND ev_location IS NULL
+UNION ALL SELECT doc_id, 'V-11', 'error', {_EDGE}, derivation || ' without ' || CASE WHEN note IS NULL THEN 'note' ELSE 'evidence' END FROM el WHERE predicate <> 'suppliedBy' AND derivation <> 'derived' AND (note IS NULL OR ev_location IS NULL)"""
+_NODES = f"""SELECT doc_id, 'V-04' AS rule_id, 'error' AS severity, id AS subject, derivation || ' without ' || CASE WHEN note IS NULL THEN 'note' ELSE 'evidence' END AS message FROM nodes WHERE derivation <> 'derived' AND (note IS NULL OR ev_location IS NULL)
 UNION ALL SELECT doc_id, 'V-19', 'error', id, 'must be at least inferred' FROM nodes WHERE type = 'customer' AND {_RANK('derivation')} < 1
 UNION ALL SELECT doc_id, 'V-20', 'error', id, 'decided by nobody or never' FROM nodes WHERE derivation = 'decided' AND ev_by IS NULL"""
 _STATUS = f"""SELECT doc_id, 'V-32' AS rule_id, 'error' AS severity, {_EDGE} AS subject, 'unknown status: ' || status AS message FROM edges WHERE status NOT IN ('resolved', 'unresolved', 'ambiguous')
 UNION ALL SELECT doc_id, 'V-34', 'error', {_EDGE}, 'resolved without saying where' FROM edges WHERE status = 'resolved' AND derivation IN ('inferred', 'decided') AND ev_location IS NULL"""
 
 
-def _licensed(spark, d):
+def _edge_rules(spark, d, *only):
     n, e = bench_graph(spark, d)
-    m = bench_model(spark)
-    return rules.licensed_edges(rules.with_endpoints(e, n), m), m
+    return rules.edge_findings(e, n, bench_documents(spark), bench_model(spark), set(only))
 
 
 @query(with_more(f"{_L}, {_LIC} {_UNLICENSED}"))
 def unlicensed_edges(spark, d):
-    return rules.v07_unlicensed(*_licensed(spark, d))
+    return _edge_rules(spark, d, "V-07")
 
 
 @query(with_more(f"{_L}, {_LIC} {_QUALIFIED}"))
 def qualifier_warnings(spark, d):
-    return rules.v08_qualifiers(_licensed(spark, d)[0])
+    return _edge_rules(spark, d, "V-08")
 
 
 @query(with_more(f"{_L} {_EXPLAINED}"))
 def edge_explanations(spark, d):
-    lic, _ = _licensed(spark, d)
-    return rules.union([rules.v09_edge_derivation(lic), rules.v10_unsigned_edges(lic), rules.v11_unexplained_edges(lic)])
+    return _edge_rules(spark, d, "V-09", "V-10", "V-11")
 
 
 @query(_NODES)
 def node_explanations(spark, d):
-    n, _ = bench_graph(spark, d)
-    return rules.union([rules.v04_unexplained_nodes(n), rules.v19_node_derivation(n, bench_model(spark)), rules.v20_unsigned_nodes(n)])
+    return rules.node_findings(bench_graph(spark, d)[0], bench_documents(spark), bench_model(spark), {"V-04", "V-19", "V-20"})
 
 
 @query("SELECT doc_id, 'V-03' AS rule_id, 'error' AS severity, id AS subject, 'type not in scope: ' || type AS message FROM nodes WHERE doc_id = 'party' AND type = 'supplier' UNION ALL SELECT doc_id, 'V-03', 'error', id, 'type not in scope: ' || type FROM nodes WHERE doc_id = 'geo' AND type = 'nation'")
@@ -163,7 +159,7 @@ def unknown_types(spark, d):
     n, _ = bench_graph(spark, d)
     m = bench_model(spark)
     m.classes = m.classes.where("id NOT IN ('supplier', 'nation')")
-    return rules.v03_unknown_types(n, bench_documents(spark), m)
+    return rules.node_findings(n, bench_documents(spark), m, {"V-03"})
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*)::BIGINT AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1", graph=False)
@@ -183,43 +179,44 @@ _EV = "ev AS (SELECT event_id, event_type, json_extract_string(props, '$.k') AS
 @query(f"WITH {_EV} SELECT 'log' AS doc_id, 'V-12' AS rule_id, 'error' AS severity, concat('event/', event_id) AS subject, 'undeclared property: user' AS message FROM ev WHERE u IS NOT NULL AND event_type <> 'error'", graph=False)
 def undeclared_properties(spark, d):
     n = _events_as_nodes(spark, d)
-    m = bench_model(spark)
+    docs, m = one_layer(spark, "log", n)
     m.class_properties = n.where("label <> 'error'").select(F.col("type").alias("class")).distinct().withColumn("property", F.explode(F.array(F.lit("eventType"), F.lit("k"))))
-    return rules.v12_undeclared_properties(n, m)
+    return rules.node_findings(n, docs, m, {"V-12"})
 
 
-@query("SELECT 'log' AS doc_id, count(*)::BIGINT AS n_nodes FROM events WHERE event_type = 'error' HAVING count(*) > 0", graph=False)
+@query("SELECT 'log' AS doc_id, count(*)::BIGINT AS n_nodes FROM events WHERE event_type = 'error' AND event_type <> 'view' HAVING count(*) > 0", graph=False)
 def undeclared_shape(spark, d):
     n = _events_as_nodes(spark, d)
-    m = bench_model(spark)
-    m.class_properties = n.where("label <> 'error'").select(F.col("type").alias("class"), F.lit("k").alias("property")).distinct()
-    return rules.undeclared_shape(n, m)
+    docs, m = one_layer(spark, "log", n.where("label <> 'view'"))
+    m.class_properties = n.where("label NOT IN ('error', 'view')").select(F.col("type").alias("class"), F.lit("k").alias("property")).distinct()
+    return rules.undeclared_shape(n, docs, m)
 
 
 @query(f"WITH {_EV} SELECT 'log' AS doc_id, 'V-14' AS rule_id, 'warning' AS severity, concat('event/', event_id) AS subject, 'eventType is not in event-type: error' AS message FROM ev WHERE event_type = 'error'", graph=False)
 def value_sets(spark, d):
     n = _events_as_nodes(spark, d)
-    m = bench_model(spark)
+    docs, m = one_layer(spark, "log", n)
     kinds = n.select("type", "label").distinct()
     m.bindings = kinds.select(F.col("type").alias("class"), F.lit("eventType").alias("property"), F.lit("event-type").alias("value_set"), F.lit("warning").alias("severity"))
     m.codes = kinds.where("label <> 'error'").select(F.lit("event-type").alias("value_set"), F.col("label").alias("code"))
-    return rules.v14_codes(n, m)
+    return rules.node_findings(n, docs, m, {"V-14"})
 
 
 @query("SELECT 'orders' AS doc_id, 'V-15' AS rule_id, 'error' AS severity, concat('order/', o_orderkey) AS subject, 'identifier type: ' || o_orderpriority AS message FROM orders WHERE o_orderpriority NOT LIKE '1%' AND o_orderpriority NOT LIKE '2%'", graph=False)
 def identifier_types(spark, d):
     o = read(spark, d, "orders")
-    n = o.select(F.lit("orders").alias("doc_id"), F.concat(F.lit("order/"), "o_orderkey").alias("id"), F.to_json(F.struct(F.array(F.struct(F.col("o_orderpriority").alias("type"), F.col("o_orderkey").cast("string").alias("value"))).alias("identifiers"))).alias("properties"))
-    m = bench_model(spark)
+    n = o.select(F.lit("orders").alias("doc_id"), F.concat(F.lit("order/"), "o_orderkey").alias("id"), F.lit("order").alias("type"), F.to_json(F.struct(F.array(F.struct(F.col("o_orderpriority").alias("type"), F.col("o_orderkey").cast("string").alias("value"))).alias("identifiers"))).alias("properties"))
+    docs, m = one_layer(spark, "orders", n)
     m.codes = o.select("o_orderpriority").distinct().where("o_orderpriority LIKE '1%' OR o_orderpriority LIKE '2%'").select(F.lit("identifier-type").alias("value_set"), F.col("o_orderpriority").alias("code"))
-    return rules.v15_identifier_types(n, m)
+    return rules.node_findings(n, docs, m, {"V-15"})
 
 
 @query("SELECT 'web' AS doc_id, 'V-16' AS rule_id, 'error' AS severity, url AS subject, 'id has another shape than its class asks for' AS message FROM pages WHERE NOT regexp_matches(url, '^https?://[a-z.]+/[a-z]+/[0-9]+$')", graph=False)
 def iri_shape(spark, d):
-    m = bench_model(spark)
-    m.classes = spark.createDataFrame([("web", "page", "^https?://[a-z.]+/[a-z]+/[0-9]+$")], "layer string, id string, iri_pattern string")
-    return rules.v16_iri_shape(read(spark, d, "pages").select(F.lit("web").alias("doc_id"), F.col("url").alias("id"), F.lit("page").alias("type")), m)
+    n = read(spark, d, "pages").select(F.lit("web").alias("doc_id"), F.col("url").alias("id"), F.lit("page").alias("type"))
+    docs, m = one_layer(spark, "web", n)
+    m.classes = m.classes.withColumn("iri_pattern", F.lit("^https?://[a-z.]+/[a-z]+/[0-9]+$"))
+    return rules.node_findings(n, docs, m, {"V-16"})
 
 
 _SPACED = r"regexp_replace(regexp_replace(nfc_normalize(text), '[\t\n\x0B\f\r \x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+', ' ', 'g'), '^ | $', '', 'g')"
@@ -229,10 +226,10 @@ _SPACED = r"regexp_replace(regexp_replace(nfc_normalize(text), '[\t\n\x0B\f\r \x
 def content_hash(spark, d):
     stored = F.when(F.col("doc_id") % 5 > 0, F.sha2("text", 256))
     n = read(spark, d, "documents").select(F.lit("d").alias("doc_id"), F.concat(F.lit("doc/"), "doc_id").alias("id"), F.lit("text").alias("type"), F.to_json(F.struct("text", stored.alias("contentHash"))).alias("properties"))
-    m = bench_model(spark)
+    docs, m = one_layer(spark, "d", n)
     m.content_fields = spark.createDataFrame([("text", 0, "text")], "class string, position int, property string")
-    held = rules.contents(n, m)
-    return rules.v17_missing_hash(held).unionByName(rules.v18_wrong_hash(held))
+    seen = m.seen()
+    return rules.content_findings(rules.prepared_nodes(n, rules.checked_documents(docs, seen), seen))
 
 
 def _graded(spark, d):
@@ -243,10 +240,10 @@ def _graded(spark, d):
 
 
 @query("""SELECT 'trade' AS doc_id, 'V-21' AS rule_id, 'error' AS severity, concat('order/', o_orderkey) AS subject, 'strength without direction' AS message FROM orders WHERE o_totalprice > 150000 AND o_orderpriority IS NOT NULL AND o_orderstatus = 'O'
-UNION ALL SELECT 'trade', 'V-22', 'error', concat('order/', o_orderkey), 'this kind carries no grade' FROM orders WHERE (o_orderkey % 3 = 0 AND o_totalprice > 150000) OR (o_orderkey % 3 = 1 AND (o_totalprice > 150000 OR o_orderstatus <> 'O'))""", graph=False)
+UNION ALL SELECT 'trade', 'V-22', 'error', concat('order/', o_orderkey), CASE WHEN o_orderkey % 3 = 0 THEN 'good-practice-statement' ELSE 'no-recommendation' END || ' carries no grade, but: ' || concat_ws(', ', CASE WHEN o_totalprice > 150000 THEN 'strength' END, CASE WHEN o_orderkey % 3 = 1 AND o_orderstatus <> 'O' THEN 'direction' END) FROM orders WHERE (o_orderkey % 3 = 0 AND o_totalprice > 150000) OR (o_orderkey % 3 = 1 AND (o_totalprice > 150000 OR o_orderstatus <> 'O'))""", graph=False)
 def grading_rules(spark, d):
     n = _graded(spark, d)
-    return rules.v21_strength_without_direction(n).unionByName(rules.v22_ungraded_kinds(n))
+    return rules.node_findings(n, *one_layer(spark, "trade", n), {"V-21", "V-22"})
 
 
 @query("""SELECT 'trade' AS doc_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'V-23' ELSE 'V-24' END AS rule_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'error' ELSE 'warning' END AS severity, concat('order/', o_orderkey) AS subject,
@@ -256,18 +253,24 @@ def parent_status(spark, d):
     pubs = read(spark, d, "customer").select(F.lit("party").alias("doc_id"), F.col("c_custkey").alias("ord"), F.concat(F.lit("customer/"), "c_custkey").alias("id"), F.lit("publication").alias("type"), F.to_json(F.struct(status.alias("grcStatus"))).alias("properties"))
     links = read(spark, d, "orders").select(F.lit("trade").alias("doc_id"), F.lit("definedIn").alias("predicate"), F.concat(F.lit("order/"), "o_orderkey").alias("source"), F.concat(F.lit("customer/"), "o_custkey").alias("target"))
     n = _graded(spark, d).unionByName(pubs)
-    return rules.v23_not_reviewed(links, n).unionByName(rules.v24_review_unknown(links, n))
+    return rules.publication_findings(rules.near(links, n), n)
 
 
-@query("""SELECT 'd' AS doc_id, 'V-25' AS rule_id, 'warning' AS severity, concat('part/', p_partkey) AS subject, slot || ' is not quoted from the source' AS message
-FROM (SELECT p_partkey, p_name, p_brand, unnest(['setting', 'timing']) AS slot, unnest([split_part(p_name, ' ', 1), p_type]) AS v FROM part) WHERE NOT contains(lower(p_name || chr(10) || p_brand), lower(v))""", graph=False)
+@query("""WITH s AS (SELECT p_partkey, unnest(['setting', 'timing', 'population', 'provider']) AS slot, unnest([split_part(p_name, ' ', 1), p_type, p_brand, p_partkey || ' ' || p_brand]) AS v,
+lower(p_name || ' ' || CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE '' END || ' ' || CASE WHEN p_partkey % 3 = 0 THEN p_type ELSE '' END || ' ' || CASE WHEN p_partkey % 5 = 0 THEN p_partkey || ' ' || p_brand ELSE '' END) AS hay FROM part)
+SELECT 'd' AS doc_id, 'V-25' AS rule_id, 'warning' AS severity, concat('part/', p_partkey) AS subject, slot || ' is not quoted from the source' AS message FROM s WHERE NOT contains(hay, lower(v))""", graph=False)
 def quoted_slots(spark, d):
     p = read(spark, d, "part")
-    body = F.to_json(F.struct(F.col("p_name").alias("statement"), F.split_part("p_name", F.lit(" "), F.lit(1)).alias("setting"), F.col("p_type").alias("timing")))
-    recs = p.select(F.lit("d").alias("doc_id"), F.concat(F.lit("part/"), "p_partkey").alias("id"), F.lit("recommendation").alias("type"), body.alias("properties"))
-    notes = p.select(F.lit("d").alias("doc_id"), F.concat(F.lit("brand/"), "p_partkey").alias("id"), F.lit("remark").alias("type"), F.to_json(F.struct(F.col("p_brand").alias("text"))).alias("properties"))
-    links = p.select(F.lit("d").alias("doc_id"), F.lit("hasRemark").alias("predicate"), F.concat(F.lit("part/"), "p_partkey").alias("source"), F.concat(F.lit("brand/"), "p_partkey").alias("target"))
-    return rules.v25_unquoted_slots(links, recs.unionByName(notes))
+    row = lambda t, i, kind, ord_, **v: t.select(F.lit("d").alias("doc_id"), ord_.alias("ord"), i.alias("id"), F.lit(kind).alias("type"), F.to_json(F.struct(*[c.alias(k) for k, c in v.items()])).alias("properties"))
+    link = lambda t, name, a, b: t.select(F.lit("d").alias("doc_id"), F.col("p_partkey").alias("ord"), F.lit(name).alias("predicate"), a.alias("source"), b.alias("target"))
+    at = lambda kind: F.concat(F.lit(f"{kind}/"), "p_partkey")
+    key, word = F.col("p_partkey"), F.split_part("p_name", F.lit(" "), F.lit(1))
+    n = row(p, at("part"), "recommendation", key, statement=F.col("p_name"), setting=word, timing=F.col("p_type"), population=F.col("p_brand"), provider=F.concat_ws(" ", F.col("p_partkey"), "p_brand"))
+    n = n.unionByName(row(p, at("note"), "remark", key, text=F.when(key % 2 == 0, F.col("p_brand")), caption=F.col("p_type")))
+    n = n.unionByName(row(p, at("row"), "publication-element", key, caption=F.when(key % 3 == 0, F.col("p_type")), text=F.col("p_brand")))
+    n = n.unionByName(row(p, at("table"), "publication-element", key, heading=F.when(key % 5 == 0, F.concat_ws(" ", F.col("p_partkey"), "p_brand"))))
+    e = link(p, "hasRemark", at("part"), at("note")).unionByName(link(p, "presentedIn", at("part"), at("row"))).unionByName(link(p, "contains", at("table"), at("row")))
+    return rules.slot_findings(rules.near(e, n), n)
 
 
 @query("""WITH l AS (SELECT l_orderkey, min(CASE WHEN l_quantity < 10 THEN 1 WHEN l_quantity < 25 THEN 2 WHEN l_quantity < 40 THEN 3 ELSE 4 END) AS low FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
@@ -284,18 +287,20 @@ def lowest_of_critical(spark, d):
     ev = li.select("c", "l_returnflag").distinct().select(F.lit("d").alias("doc_id"), ev_of(F.col("c")).alias("id"), F.lit("evidence").alias("type"), F.to_json(F.struct(F.col("c").alias("certainty"))).alias("properties"))
     on = li.select(F.lit("d").alias("doc_id"), F.lit("supportedBy").alias("predicate"), F.concat(F.lit("order/"), "l_orderkey").alias("source"), ev_of(F.col("c")).alias("target")).distinct()
     of = li.select("c", "l_returnflag").distinct().select(F.lit("d").alias("doc_id"), F.lit("forOutcome").alias("predicate"), ev_of(F.col("c")).alias("source"), F.concat(F.lit("flag/"), "l_returnflag").alias("target"))
-    return rules.v26_certainty(on.unionByName(of), recs.unionByName(ev).unionByName(out))
+    n = recs.unionByName(ev).unionByName(out)
+    return rules.certainty_findings(rules.near(on.unionByName(of), n), n)
 
 
 @query("""SELECT DISTINCT 'd' AS doc_id, 'V-27' AS rule_id, 'error' AS severity, concat('line/', l_orderkey, '/', l_linenumber, '/', l_partkey, '/', l_suppkey) AS subject, 'stores a second copy of price' AS message FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R'""", graph=False)
 def one_copy(spark, d):
     li, p = read(spark, d, "lineitem"), read(spark, d, "part")
     row = F.concat_ws("/", F.lit("line"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    tables = p.select(F.lit("d").alias("doc_id"), F.concat(F.lit("part/"), "p_partkey").alias("id"), F.lit("element").alias("type"), F.lit('{"columns":["key","price"],"columnMap":{"price":"retail"}}').alias("properties"))
+    tables = p.select(F.lit("d").alias("doc_id"), F.concat(F.lit("part/"), "p_partkey").alias("id"), F.lit("publication-element").alias("type"), F.lit('{"elementType":"table","columns":["key","price"],"columnMap":{"price":"retail"}}').alias("properties"))
     rows = li.select(F.lit("d").alias("doc_id"), row.alias("id"), F.lit("element").alias("type"), F.to_json(F.struct(F.lit("data").alias("rowType"), F.array(F.lit(None).cast("string"), F.col("l_extendedprice").cast("string")).alias("cells")), {"ignoreNullFields": "false"}).alias("properties")).dropDuplicates(["id"])
     held = li.select(F.lit("d").alias("doc_id"), F.lit("contains").alias("predicate"), F.concat(F.lit("part/"), "l_partkey").alias("source"), row.alias("target")).distinct()
     shown = li.where("l_returnflag = 'R'").select(F.lit("d").alias("doc_id"), F.lit("presentedIn").alias("predicate"), F.lit("x").alias("source"), row.alias("target")).distinct()
-    return rules.v27_one_copy(held.unionByName(shown), tables.unionByName(rows)).distinct()
+    n = tables.unionByName(rows)
+    return rules.copy_findings(rules.near(held.unionByName(shown), n), n).distinct()
 
 
 def _citing(spark, d):
@@ -318,7 +323,8 @@ UNION ALL SELECT 'd', 'V-30', 'warning', concat('nation/', n_nationkey), 'leads
 UNION ALL SELECT 'd', 'V-31', 'error', concat('customer/', c_custkey), 'no verbatim text' FROM c WHERE c_custkey % 50 = 0""", graph=False)
 def citation_claims(spark, d):
     nodes, edges = _citing(spark, d)
-    return rules.citation_findings(edges, nodes)
+    bare = rules.node_findings(nodes, *one_layer(spark, "d", nodes), {"V-31"})
+    return rules.citation_findings(rules.near(edges, nodes), nodes).unionByName(bare)
 
 
 @query("SELECT doc_id, predicate, count(*) FILTER (status = 'resolved')::BIGINT AS resolved, count(*) FILTER (status = 'unresolved')::BIGINT AS unresolved, count(*) FILTER (status = 'ambiguous')::BIGINT AS ambiguous FROM edges WHERE status IN ('resolved', 'unresolved', 'ambiguous') GROUP BY ALL")
@@ -328,21 +334,21 @@ def join_tally(spark, d):
 
 @query(_STATUS)
 def join_status(spark, d):
-    _, e = bench_graph(spark, d)
-    return rules.v32_edge_status(e, bench_model(spark)).unionByName(rules.v34_resolved_without_place(e))
+    return _edge_rules(spark, d, "V-32", "V-34")
 
 
 @query("SELECT 'x' AS doc_id, 'V-33' AS rule_id, 'error' AS severity, 'placedBy|' || 'order/' || o_orderkey || '|customer/' || o_custkey AS subject, 'resolved onto a node that is not' AS message FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F' AND c_acctbal < 0", graph=False)
 def resolved_targets(spark, d):
     n = read(spark, d, "customer").select(F.lit("p").alias("doc_id"), F.col("c_custkey").alias("ord"), F.concat(F.lit("customer/"), "c_custkey").alias("id"), F.lit("customer").alias("type"), F.to_json(F.struct(F.when(F.col("c_acctbal") < 0, "unresolved").otherwise("resolved").alias("resolutionStatus"))).alias("properties"))
     e = read(spark, d, "orders").select(F.lit("x").alias("doc_id"), F.col("o_orderkey").alias("ord"), F.lit("placedBy").alias("predicate"), F.concat(F.lit("order/"), "o_orderkey").alias("source"), F.concat(F.lit("customer/"), "o_custkey").alias("target"), F.to_json(F.struct(F.when(F.col("o_orderstatus") == "F", "resolved").otherwise("unresolved").alias("resolutionStatus"))).alias("properties"))
-    return rules.v33_unresolved_target(rules.with_endpoints(e, n))
+    return rules.edge_findings(e, n, *one_layer(spark, "x", n), {"V-33"})
 
 
-@query("""SELECT id, CASE WHEN k % 3 = 1 THEN NULL ELSE 'special' END AS type, k % 3 = 1 AS clash FROM (SELECT concat('customer/', c_custkey) AS id, c_custkey AS k FROM customer) WHERE k % 3 <> 2""", graph=False)
+@query("""SELECT id, CASE k % 3 WHEN 0 THEN 'special' WHEN 2 THEN 'general' END AS type, k % 3 = 1 AS clash FROM (SELECT concat('customer/', c_custkey) AS id, c_custkey AS k FROM customer)""", graph=False)
 def type_clash(spark, d):
-    c = read(spark, d, "customer").withColumn("id", F.concat(F.lit("customer/"), "c_custkey")).where("c_custkey % 3 <> 2")
-    n = c.select(F.lit("a").alias("doc_id"), "id", F.lit("general").alias("type")).union(c.select(F.lit("b"), "id", F.when(F.col("c_custkey") % 3 == 1, "other").otherwise("special")))
+    c = read(spark, d, "customer").withColumn("id", F.concat(F.lit("customer/"), "c_custkey"))
+    second = F.when(F.col("c_custkey") % 3 == 1, "other").when(F.col("c_custkey") % 3 == 0, "special").otherwise("general")
+    n = c.select(F.lit("a").alias("doc_id"), "id", F.lit("general").alias("type"), F.lit("{}").alias("properties")).union(c.select(F.lit("b"), "id", second, F.lit("{}")))
     m = bench_model(spark)
     m.classes = spark.createDataFrame([("x", "special", "general")], "layer string, id string, elaborates string")
     one, bad = rules.unify_nodes(n, m)
@@ -352,25 +358,28 @@ def type_clash(spark, d):
 @query(with_more(f"{_L}, {_LIC} {_UNLICENSED} UNION ALL {_QUALIFIED} UNION ALL {_EXPLAINED} UNION ALL {_NODES} UNION ALL {_STATUS}"))
 def validation_report(spark, d):
     n, e = bench_graph(spark, d)
-    return rules.validate(bench_documents(spark), n, e, bench_model(spark), VERSION)
+    return rules.validate(bench_documents(spark), n, e, bench_model(spark))
 
 
-@query(with_more(f"""{_L}, {_LIC}, f AS ({_UNLICENSED} UNION ALL {_QUALIFIED} UNION ALL {_EXPLAINED} UNION ALL {_NODES} UNION ALL {_STATUS})
+@query(with_more(f"""{_L}, {_LIC}, f AS ({_UNLICENSED} UNION ALL {_QUALIFIED} UNION ALL {_EXPLAINED} UNION ALL {_NODES} UNION ALL {_STATUS}),
+tally AS (SELECT doc_id, count(*) FILTER (status = 'resolved') || '/' || count(*) FILTER (status = 'unresolved') || '/' || count(*) FILTER (status = 'ambiguous') AS joins FROM edges GROUP BY 1 HAVING count(*) FILTER (status IN ('resolved', 'unresolved', 'ambiguous')) > 0)
 SELECT *, errors = 0 AS conforms FROM (SELECT d.doc_id, (SELECT count(*) FROM nodes n WHERE n.doc_id = d.doc_id)::BIGINT AS n_nodes, (SELECT count(*) FROM edges n WHERE n.doc_id = d.doc_id)::BIGINT AS n_edges,
-(SELECT count(*) FROM f WHERE f.doc_id = d.doc_id AND severity = 'error')::BIGINT AS errors, (SELECT count(*) FROM f WHERE f.doc_id = d.doc_id AND severity = 'warning')::BIGINT AS warnings FROM (SELECT DISTINCT doc_id FROM nodes) d)"""))
+(SELECT count(*) FROM f WHERE f.doc_id = d.doc_id AND severity = 'error')::BIGINT AS errors, (SELECT count(*) FROM f WHERE f.doc_id = d.doc_id AND severity = 'warning')::BIGINT AS warnings,
+(SELECT string_agg(k || ':' || c, ' ' ORDER BY k) FROM (SELECT type AS k, count(*) AS c FROM nodes n WHERE n.doc_id = d.doc_id GROUP BY 1)) AS by_class, (SELECT string_agg(k || ':' || c, ' ' ORDER BY k) FROM (SELECT predicate AS k, count(*) AS c FROM edges n WHERE n.doc_id = d.doc_id GROUP BY 1)) AS by_predicate,
+(SELECT joins FROM tally t WHERE t.doc_id = d.doc_id) AS joins, (SELECT count(*) FROM edges x JOIN nodes s ON s.id = x.source JOIN nodes t ON t.id = x.target WHERE x.doc_id = d.doc_id AND (s.doc_id <> d.doc_id OR t.doc_id <> d.doc_id))::BIGINT AS cross_document_edges,
+(SELECT count(*) FROM nodes n WHERE n.doc_id = d.doc_id)::BIGINT AS undeclared_shape FROM (SELECT DISTINCT doc_id FROM nodes) d)"""))
 def conformance_summary(spark, d):
     n, e = bench_graph(spark, d)
-    docs = bench_documents(spark)
-    return rules.report(docs, rules.validate(docs, n, e, bench_model(spark), VERSION), n, e)
+    docs, m = bench_documents(spark), bench_model(spark)
+    flat = lambda c: F.array_join(F.transform(F.map_entries(c), lambda x: F.concat(x["key"], F.lit(":"), x["value"].cast("string"))), " ").alias(c)
+    out = rules.report(docs, rules.validate(docs, n, e, m), n, e, m)
+    return out.select("doc_id", "n_nodes", "n_edges", "errors", "warnings", "conforms", "cross_document_edges", "undeclared_shape", flat("by_class"), flat("by_predicate"), F.concat_ws("/", *[F.col("joins")[s].cast("string") for s in ("resolved", "unresolved", "ambiguous")]).alias("joins")).withColumn("joins", F.nullif("joins", F.lit("")))
 
 
 @query(with_more(f"{_L}, {_LIC}, f AS ({_UNLICENSED} UNION ALL {_EXPLAINED} UNION ALL {_NODES}) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rule_id, subject, message)::INT AS place FROM f) WHERE place <= 6"))
 def top_findings(spark, d):
-    n, e = bench_graph(spark, d)
-    m = bench_model(spark)
-    lic = rules.licensed_edges(rules.with_endpoints(e, n), m)
-    parts = [rules.v07_unlicensed(lic, m), rules.v09_edge_derivation(lic), rules.v10_unsigned_edges(lic), rules.v11_unexplained_edges(lic), rules.v04_unexplained_nodes(n), rules.v19_node_derivation(n, m), rules.v20_unsigned_nodes(n)]
-    return g.top_findings(rules.union(parts))
+    nodes = rules.node_findings(bench_graph(spark, d)[0], bench_documents(spark), bench_model(spark), {"V-04", "V-19", "V-20"})
+    return g.top_findings(nodes.unionByName(_edge_rules(spark, d, "V-07", "V-09", "V-10", "V-11")))
 
 
 @query("""SELECT concat('conv/', conv_id) AS doc_id, 'T1-01' AS rule_id, 'error' AS severity, concat('turn/', turn) AS subject, m AS message FROM (SELECT conv_id, turn, unnest(list_filter([
