@@ -68,11 +68,11 @@ def kit_namespace(c: Column, authority: str = "example.org") -> Column:
     """Where ids of a kit hang: without the last slash and the folder of a file kind, and with https for one authority."""
     bare = F.regexp_replace(F.regexp_replace(c, "/$", ""), "(?i)/(bpmn|dmn|cql|fsh)$", "")
     dots = authority.replace(".", r"\.")
-    return F.coalesce(F.regexp_replace(bare, f"^http://{dots}", f"https://{authority}"), F.lit("urn:unknown"))
+    return F.coalesce(F.regexp_replace(bare, rf"^http://{dots}\b", f"https://{authority}"), F.lit("urn:unknown"))
 
 
 def scheme_normalised(c: Column, authority: str = "example.org") -> Column:
-    return F.coalesce(c.rlike("^http://" + authority.replace(".", r"\.")), F.lit(False))
+    return F.coalesce(c.rlike("^http://" + authority.replace(".", r"\.") + r"\b"), F.lit(False))
 
 
 def path_id(*parts: Column | str) -> Column:
@@ -96,26 +96,82 @@ def num(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(squeezed(c), SPACE + "+", "-"), "[^A-Za-z0-9.-]", "")
 
 
+def persona_id(ns: Column, name: Column) -> Column:
+    return path_id(ns, "persona", slug(name))
+
+
+def data_element_id(ns: Column, name: Column) -> Column:
+    return path_id(ns, "data-element", slug(name))
+
+
+# Ids of published content hang below one namespace for all kits and are made of what is printed.
+
+
 def id_value(kind: Column, value: Column) -> Column:
-    """An identifier's value as it stands in an id."""
+    """An identifier's value as it stands in an id: digits of a number, host and path of an address, else a slug."""
+    value = squeezed(value)
     number = F.upper(F.regexp_replace(value, "[^0-9Xx]", ""))
-    place = F.regexp_replace(value, "^[a-z]+://", "")
-    return F.when(kind.isin("isbn", "issn"), number).when(kind == "url", ascii_slug(F.regexp_replace(place, "[?#].*$", ""))).otherwise(ascii_slug(value))
+    place = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "(?i)^[a-z]+://", ""), "[?#].*$", ""), "/+$", "")
+    return F.when(kind.isin("isbn", "issn"), number).otherwise(slug(F.when(kind == "url", F.regexp_replace(place, r"(?i)^www\.", "")).otherwise(value)))
 
 
 def publication_id(identifiers: Column, ns: str) -> Column:
     """From array<struct<type,value>>: the first kind of IDENTIFIER_ORDER with a value; null if there is none."""
     def of(kind: str) -> Column:
         hit = F.filter(identifiers, lambda x: (x["type"] == kind) & (F.length(F.coalesce(x["value"], F.lit(""))) > 0))
-        return F.when(F.size(hit) > 0, path_id(ns, "publication", kind, id_value(F.lit(kind), F.get(hit, 0)["value"])))
+        return F.when(F.size(hit) > 0, F.struct(F.lit(kind).alias("kind"), F.get(hit, 0)["value"].alias("value")))
+
+    first = F.coalesce(*[of(k) for k in IDENTIFIER_ORDER])
+    return F.when(first.isNotNull(), path_id(ns, "publication", F.concat(first["kind"], F.lit("-"), id_value(first["kind"], first["value"]))))
 
-    return F.coalesce(*[of(k) for k in IDENTIFIER_ORDER])
+
+def section_id(publication: Column, number: Column) -> Column:
+    return path_id(publication, "section", num(number))
+
+
+def publication_element_id(publication: Column, label: Column, *parts: Column) -> Column:
+    """By printed label; a row or footnote within it by place."""
+    return path_id(publication, "element", slug(label), *[slug(p) for p in parts])
 
 
 def recommendation_id(publication: Column, number: Column, statement: Column, normalise=norm) -> Column:
     """By number, or by the hash of the statement where the number is null or empty."""
     by_text = F.concat(F.lit("h-"), short_hash(normalise(statement)))
-    return path_id(publication, "rec", F.when(F.length(F.coalesce(number, F.lit(""))) > 0, num(number)).otherwise(by_text))
+    return path_id(publication, "recommendation", F.when(F.length(F.coalesce(number, F.lit(""))) > 0, num(number)).otherwise(by_text))
+
+
+def sub_recommendation_id(recommendation: Column, letter: Column) -> Column:
+    return path_id(recommendation, num(letter))
+
+
+def remark_id(recommendation: Column, ordinal: Column) -> Column:
+    return path_id(recommendation, "remark", ordinal.cast("string"))
+
+
+def key_question_id(publication: Column, number: Column) -> Column:
+    return path_id(publication, "key-question", num(number))
+
+
+def outcome_id(publication: Column, name: Column) -> Column:
+    return path_id(publication, "outcome", slug(name))
+
+
+def evidence_id(publication: Column, key_question: Column, outcome: Column) -> Column:
+    return path_id(publication, "evidence", num(key_question), slug(outcome))
+
+
+def indicator_id(publication: Column, number: Column) -> Column:
+    return path_id(publication, "indicator", num(number))
+
+
+def health_intervention_id(ns: Column | str, system: Column, code: Column) -> Column:
+    """By the code of a catalogue."""
+    return path_id(ns, "health-intervention", F.concat(slug(system), F.lit("-"), num(code)))
+
+
+def reference_entry_id(artifact: Column, number: Column) -> Column:
+    """A row of an artefact's own list of references."""
+    return path_id(artifact, "reference", num(number))
 
 
 def content_text(*fields: Column, normalise=norm_text) -> Column:

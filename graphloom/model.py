@@ -197,7 +197,8 @@ def check_model(m: Model) -> DataFrame:
     ends = m.licensed.select("layer", F.explode(F.array("source", "target")).alias("class"))
     loose = m.codes.select("value_set").distinct().join(m.value_sets.select("value_set"), "value_set", "left_anti")
     sets = m.value_sets.select("value_set").union(loose).distinct()
-    bound = m.bindings.join(m.classes.select(F.col("id").alias("class"), "layer").distinct(), "class").select("layer", "value_set")
+    bound = m.bindings if "layer" in m.bindings.columns else m.bindings.join(m.classes.select(F.col("id").alias("class"), "layer").distinct(), "class")
+    bound = bound.select("layer", "value_set")
     links = m.imports.where("imported IS NOT NULL")
     loops = closure(links.select(F.col("layer").alias("source"), F.col("imported").alias("target"))).where("source = target")
     other = links.alias("a").join(m.imports.select("layer", "schema_version", "namespace").distinct().alias("b"), F.col("a.imported") == F.col("b.layer"))

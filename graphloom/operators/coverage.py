@@ -33,16 +33,22 @@ def normative(sentences_: DataFrame, markers: list[str] = MARKERS) -> DataFrame:
 
 
 def sentence_states(normative_: DataFrame, key: str, captured: DataFrame, exclusions: DataFrame, nodes: DataFrame | None = None, reasons: list[str] = REASONS) -> DataFrame:
-    """C-03: captured (a node carries the sentence: captured has column sentence), excluded (an exclusion for (key, ordinal) that C-04 passes), else unaccounted.
+    """C-03: captured (a node carries the sentence: captured has columns sentence and, if it is to be named, node), excluded (an
+    exclusion for (key, ordinal) that C-04 passes), else unaccounted; with the node, or the reason and who signed it when.
 
-    duplicate-of resolves among the ids of nodes; without nodes it resolves to nothing.
+    A sentence is carried by a text that is equal but for white space. duplicate-of resolves among the ids of nodes; without nodes it resolves to nothing.
     """
-    held = captured.select(squeezed(F.col("sentence")).alias("__norm")).distinct().withColumn("__captured", F.lit(True))
+    named = F.min("node") if "node" in captured.columns else F.lit(None).cast("string")
+    held = captured.groupBy(squeezed(F.col("sentence")).alias("__norm")).agg(named.alias("node")).withColumn("__captured", F.lit(True))
     if nodes is None:
         nodes = normative_.sparkSession.createDataFrame([], "id string")
-    out = judged(exclusions, nodes, reasons).where("size(messages) = 0").groupBy(key, "ordinal").agg(F.min("reason").alias("reason"))
+    when = F.col("signed_at").cast("string") if "signed_at" in exclusions.columns else F.lit(None).cast("string")
+    one = F.min(F.struct("reason", "signed_by", when.alias("signed_at")))
+    out = judged(exclusions, nodes, reasons).where("size(messages) = 0").groupBy(key, "ordinal").agg(one.alias("__out"))
     joined = normative_.withColumn("__norm", squeezed(F.col("sentence"))).join(held, "__norm", "left").join(out, [key, "ordinal"], "left")
-    return joined.withColumn("state", F.when(F.col("__captured"), "captured").when(F.col("reason").isNotNull(), "excluded").otherwise("unaccounted")).drop("__norm", "__captured")
+    joined = joined.withColumn("state", F.when(F.col("__captured"), "captured").when(F.col("__out").isNotNull(), "excluded").otherwise("unaccounted"))
+    told = lambda c: F.when(F.col("state") == "excluded", F.col(f"__out.{c}"))
+    return joined.withColumns({"reason": told("reason"), "signed_by": told("signed_by"), "signed_at": told("signed_at")}).drop("__norm", "__captured", "__out")
 
 
 def judged(exclusions: DataFrame, nodes: DataFrame, reasons: list[str] = REASONS) -> DataFrame:
@@ -71,6 +77,24 @@ def coverage_numbers(states: DataFrame, key: str) -> DataFrame:
     return out.withColumns({"captured_pct": 100.0 * F.col("captured") / whole, "accounted_pct": 100.0 * (F.col("captured") + F.col("excluded")) / whole})
 
 
+def table_hash(t: DataFrame, columns: list[str]) -> str:
+    """A SHA-256 that stands for the rows of a table in any order: that of the sums of the eight parts of each row's SHA-256.
+
+    Sums are added up where the rows are, so tables of any size end in one row. Repeated rows count.
+    """
+    row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("")) for c in columns]), 256)
+    parts = [F.sum(F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("decimal(20,0)")).cast("string").alias(f"s{i}") for i in range(8)]
+    sums = t.select(row.alias("h")).agg(F.count("*").cast("string").alias("n"), *parts)
+    return sums.select(F.sha2(F.concat_ws("|", "n", *[F.coalesce(f"s{i}", F.lit("0")) for i in range(8)]), 256)).first()[0]
+
+
 def coverage_report(states: DataFrame, key: str, sources: dict[str, str], version: str) -> DataFrame:
-    """C-06: the numbers as rows that name both inputs by hash and the definition of normative by version."""
-    return coverage_numbers(states, key).withColumns({"definition_version": F.lit(version), **{f"{k}_sha256": F.lit(v) for k, v in sources.items()}})
+    """C-06: totals (level total, a null key), pages and sentences as rows that name both inputs by hash and the definition of normative by version.
+
+    Sentence rows have ordinal, text, markers, state and node, or reason and signature; numbers are null there.
+    """
+    numbers = coverage_numbers(states, key).withColumn("level", F.when(F.col(key).isNull(), "total").otherwise("page"))
+    held = [c for c in ("node", "reason", "signed_by", "signed_at") if c in states.columns]
+    rows = states.select(F.lit("sentence").alias("level"), key, "ordinal", F.col("sentence").alias("text"), "markers", "state", *held)
+    out = numbers.unionByName(rows, allowMissingColumns=True)
+    return out.withColumns({"definition_version": F.lit(version), **{f"{k}_sha256": F.lit(v) for k, v in sources.items()}})

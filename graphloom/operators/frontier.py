@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a temporary folder only where that is unset and Spark runs in one process."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.graphloom.folder", None)
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = spark.conf.get("spark.graphloom.folder", None)
+    if folder:
+        return folder
     folder = tempfile.mkdtemp(prefix="graphloom-")
     spark.conf.set("spark.graphloom.folder", folder)
     return folder
@@ -65,15 +68,15 @@ def first_hop(edges: DataFrame, predicates: list[str], order: list[str]) -> Data
     return edges.where(F.col("predicate").isin(predicates)).withColumn("__n", F.row_number().over(own)).where("__n = 1").drop("__n")
 
 
-def follow(seeds: DataFrame, hops: DataFrame) -> DataFrame:
-    """(seed, step, source, predicate, target, derivation): the walk from each seed along one hop a node; it ends at a node met before."""
+def follow(seeds: DataFrame, hops: DataFrame, last: str | None = None) -> DataFrame:
+    """(seed, step, source, predicate, target, derivation): the walk from each seed along one hop a node. It ends after a step of the predicate `last` or onto a node met before."""
     h = hops.select("source", "predicate", "target", "derivation")
     front = written(seeds.select("seed", F.col("seed").alias("at"), F.lit(0).alias("step")).distinct())
     met, walk = front.select("seed", "at"), None
     while not front.isEmpty():
-        step = front.join(h, front["at"] == h["source"]).select("seed", (F.col("step") + 1).alias("step"), "source", "predicate", "target", "derivation")
-        taken = written(step.join(met.select("seed", F.col("at").alias("target")), ["seed", "target"], "left_anti"))
+        taken = written(front.join(h, front["at"] == h["source"]).select("seed", (F.col("step") + 1).alias("step"), "source", "predicate", "target", "derivation"))
         walk = taken if walk is None else walk.unionByName(taken)
-        front = taken.select("seed", F.col("target").alias("at"), "step")
+        on = taken if last is None else taken.where(F.col("predicate") != last)
+        front = written(on.select("seed", F.col("target").alias("at"), "step").join(met, ["seed", "at"], "left_anti"))
         met = met.unionByName(front.select("seed", "at"))
     return walk.select("seed", "step", "source", "predicate", "target", "derivation")

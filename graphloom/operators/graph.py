@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.functions import ids
+
 # Sets and firsts
 
 
@@ -114,9 +116,9 @@ def outbound_edges(layered: DataFrame, layer: str) -> DataFrame:
 
 
 def neighbourhood(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """PRJ-07: each node with what leads out of it and into it, in order."""
-    side = lambda end, other, name: edges.groupBy(F.col(end).alias("id")).agg(F.array_sort(F.collect_list(F.struct("predicate", F.col(other).alias("other"), F.coalesce("qualifier", F.lit("")).alias("qualifier")))).alias(name))
-    return nodes.join(side("source", "target", "outgoing"), "id", "left").join(side("target", "source", "incoming"), "id", "left")
+    """PRJ-07: (id, direction, predicate, other, qualifier): each node with what leads out of it and into it, a row an edge; a node without edges has one row of nulls. Nothing is gathered: a hub is many rows."""
+    side = lambda end, other, name: edges.select(F.col(end).alias("id"), F.lit(name).alias("direction"), "predicate", F.col(other).alias("other"), "qualifier")
+    return nodes.select("id").distinct().join(side("source", "target", "out").unionByName(side("target", "source", "in")), "id", "left")
 
 
 # Joins
@@ -134,14 +136,15 @@ def match_by_name(left: DataFrame, right: DataFrame, name: str, ref: str) -> Dat
 
 
 def placeholders(matched: DataFrame, name: str, kind: str, ns: str) -> DataFrame:
-    """A node for each name that matched nothing."""
-    lost = matched.where("status = 'unresolved'").select(name).distinct()
-    return lost.select(F.concat(F.lit(f"{ns}/{kind}/"), F.col(name)).alias("id"), F.lit(kind).alias("type"), F.col(name).alias("label"), F.lit("unresolved").alias("resolution_status"))
+    """A node for each name that matched nothing; names with one slug share it."""
+    lost = matched.where("status = 'unresolved'").groupBy(ids.slug(F.col(name)).alias("slug")).agg(F.min(name).alias("label"))
+    return lost.select(F.concat(F.lit(f"{ns}/{kind}/"), "slug").alias("id"), F.lit(kind).alias("type"), "label", F.lit("unresolved").alias("resolution_status"))
 
 
 def component_artifacts(nodes: DataFrame, edges: DataFrame, predicate: str = "implementedBy") -> DataFrame:
-    """JON-07: what implements each component."""
-    return edges.where(F.col("predicate") == predicate).groupBy(F.col("source").alias("id")).agg(F.array_sort(F.collect_set("target")).alias("artifacts")).join(nodes.select("id", "type"), "id")
+    """JON-07: (id, type, artifact): what implements each component, a row each."""
+    of = edges.where(F.col("predicate") == predicate).select(F.col("source").alias("id"), F.col("target").alias("artifact")).distinct()
+    return of.join(nodes.select("id", "type"), "id")
 
 
 def two_hops(nodes: DataFrame, edges: DataFrame, kind: str) -> DataFrame:
@@ -213,8 +216,8 @@ def orphan_files(files: DataFrame, declared: DataFrame, path: str = "path") -> D
 
 
 def names_per_kind(t: DataFrame, kind: str, name: str) -> DataFrame:
-    """AGG-12"""
-    return t.groupBy(kind).agg(F.array_sort(F.collect_set(name)).alias("names"))
+    """AGG-12: (kind, name), each once: a row a name, since a kind may have any number."""
+    return t.where(F.col(name).isNotNull()).select(kind, name).distinct()
 
 
 def kit_components(nodes: DataFrame, edges: DataFrame, predicate: str = "hasComponent") -> DataFrame:

@@ -54,13 +54,16 @@ def rule_citation_states(nodes: DataFrame, edges: DataFrame, kind: str = "dmn-ru
 
 
 def resolve_citation(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, open_kinds: tuple[str, ...] = ("citation", "reference-entry")) -> tuple[DataFrame, DataFrame]:
-    """Q-03: (steps, ends): the walk from each seed along its first resolvesTo, else its first numberedAs, and where it
-    ends; target is null if that is a citation or reference entry still."""
-    steps = written(follow(seeds, first_hop(edges, ["resolvesTo", "numberedAs"], ["doc_id", "ord"])))
+    """Q-03: (steps, ends): the walk from each seed along its first resolvesTo, which ends it, else its first numberedAs.
+
+    A step that closes a cycle is the last. target is where the walk ends (a node or an id without one); null without
+    steps, or where that is a citation or reference entry still.
+    """
+    steps = written(follow(seeds, first_hop(edges, ["resolvesTo", "numberedAs"], ["doc_id", "ord"]), last="resolvesTo"))
     last = steps.groupBy("seed").agg(F.max_by("target", "step").alias("end"))
     kinds = nodes.groupBy(F.col("id").alias("end")).agg(F.min_by("type", F.struct("doc_id", "ord")).alias("type"))
-    ends = seeds.distinct().join(last, "seed", "left").select("seed", F.coalesce("end", "seed").alias("end")).join(kinds, "end", "left")
-    return steps, ends.select("seed", F.when(~F.col("type").isin(*open_kinds), F.col("end")).alias("target"))
+    ends = seeds.distinct().join(last, "seed", "left").join(kinds, "end", "left")
+    return steps, ends.select("seed", F.when(~F.coalesce(F.col("type").isin(*open_kinds), F.lit(False)), F.col("end")).alias("target"))
 
 
 def dependents(edges: DataFrame, seeds: DataFrame, predicates: list[str]) -> DataFrame:

@@ -486,8 +486,10 @@ def validate(documents: DataFrame, nodes: DataFrame, edges: DataFrame, m: Model,
     kinds = ["recommendation", "publication-element", "citation", "reference-entry"]
     if not links.isEmpty() or not nodes.where(F.col("type").isin(kinds)).isEmpty():  # else none of these rules has anything to look at
         current = nodes.join(index.twice.select("doc_id", "id", F.col("last").alias("__at")), ["doc_id", "id"], "left").where("__at IS NULL OR ord = __at").drop("__at")
-        own = current.where(F.col("type").isin(kinds)).join(docs.select("doc_id"), "doc_id", "left_semi")
-        parts += [f(links, own, current) for f in (publication_findings, slot_findings, certainty_findings, copy_findings)] + [citation_findings(links, own)]
+        slim = current.select("doc_id", "id", "type", "properties")
+        ends = union([links.select(F.col(f"{e}_doc").alias("doc_id"), F.col(e).alias("id")) for e in ("source", "target")]).distinct()
+        own, at = written(slim.where(F.col("type").isin(kinds)).join(docs.select("doc_id"), "doc_id", "left_semi")), written(slim.join(ends, ["doc_id", "id"], "left_semi"))
+        parts += [f(links, own, at) for f in (publication_findings, slot_findings, certainty_findings, copy_findings)] + [citation_findings(links, own)]
     return union(parts)
 
 

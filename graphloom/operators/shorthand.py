@@ -10,17 +10,23 @@ from pyspark.sql import functions as F
 from graphloom.functions import ids
 from graphloom.operators.graph import first_per_key, match_by_name
 
-RESOURCE_TYPES = [
-    ("ActivityDefinition", "activity-definition"), ("PlanDefinition", "plan-definition"), ("Library", "library"), ("Measure", "measure"), ("Questionnaire(?!Response)", "questionnaire"),
-    ("StructureMap", "structure-map"), ("StructureDefinition", "structure-definition"), ("ValueSet", "value-set"), ("CodeSystem", "code-system"), ("ConceptMap", "concept-map"),
-    ("ActorDefinition", "actor-definition"), ("Requirements", "requirements"),
+CLASSES = {
+    "PlanDefinition": "plan-definition", "ActivityDefinition": "activity-definition", "Library": "library", "Measure": "measure", "Questionnaire": "questionnaire",
+    "StructureMap": "structure-map", "ValueSet": "value-set", "CodeSystem": "code-system", "ConceptMap": "concept-map", "ActorDefinition": "actor-definition", "Requirements": "requirements",
+}
+PROFILE_KINDS = [
+    ("recommendationdefinition|strategydefinition|plandefinition", "PlanDefinition"), ("measure", "Measure"), ("questionnaireresponse", None), ("questionnaire|extr-smap", "Questionnaire"),
+    ("immunizationactivity|communicationactivity|activitydefinition", "ActivityDefinition"), ("structuremap", "StructureMap"), ("actordefinition", "ActorDefinition"), ("requirements", "Requirements"),
+    ("conceptmap", "ConceptMap"), (r"\blibrary\b", "Library"),
 ]
 COMPONENTS = {
-    "plan-definition": "decision-support-logic", "activity-definition": "business-process", "measure": "program-indicator", "questionnaire": "data-element",
-    "structure-definition": "data-element", "structure-map": "data-element", "value-set": "data-element", "code-system": "data-element", "profile": "data-element",
-    "concept-map": "data-element", "actor-definition": "persona", "requirements": "functional-requirement",
+    "Measure": "program-indicator", "Questionnaire": "data-element", "StructureMap": "data-element", "ValueSet": "data-element", "CodeSystem": "data-element", "ConceptMap": "data-element",
+    "Profile": "data-element", "Logical": "data-element", "ActorDefinition": "persona", "Requirements": "functional-requirement", "ActivityDefinition": "decision-support-logic",
 }
-"""Resource kinds by name, and the component that each implements."""
+PLAN_COMPONENTS = [("recommendationdefinition|strategydefinition", "decision-support-logic"), ("workflow|shareableplandefinition", "business-process")]
+LIBRARY_COMPONENTS = [("IndicatorLogic$", "program-indicator"), ("Elements$", "data-element"), ("Logic$", "decision-support-logic")]
+REQUIREMENT = "^SGRequirements?$|Requirement$"
+"""Classes of resource kinds, words in profiles that tell the kind, and the component that each kind implements (by profile or name where the kind leaves it open)."""
 
 
 def _some(c: Column) -> Column:
@@ -51,33 +57,47 @@ def flag(block: Column, field: str) -> Column:
 
 def instances(files: DataFrame) -> DataFrame:
     """EXT-12: (path, pos, id, instance_of, block) of each `Instance:` of a file."""
-    b = files.select("path", F.posexplode(F.split("text", r"(?m)^(?=Instance:\s*\S)")).alias("pos", "block")).where(F.col("block").rlike(r"^Instance:\s*\S"))
-    return b.select("path", "pos", header(F.col("block"), "Instance").alias("id"), header(F.col("block"), "InstanceOf").alias("instance_of"), "block")
+    head = r"^Instance:\s*(\S+)[ \t]*\r?\n\s*InstanceOf:\s*(\S+)"
+    b = files.select("path", F.posexplode(F.split("text", r"(?m)^(?=Instance:\s*\S)")).alias("pos", "block")).where(F.col("block").rlike(head))
+    return b.select("path", "pos", F.regexp_extract("block", head, 1).alias("id"), F.regexp_extract("block", head, 2).alias("instance_of"), "block")
 
 
-def personas(inst: DataFrame) -> DataFrame:
-    """EXT-13: actors with a title; isco: four-digit codes on the lines of the description that name the classification."""
+def actors(inst: DataFrame) -> DataFrame:
+    """Actors, with a title or without; isco: four-digit codes on the line of the description that begins with the classification's name."""
     b = F.col("block")
     about = F.coalesce(multiline(b, "description"), quoted(b, "description"))
-    lines = F.array_join(F.filter(F.split(about, "\n"), lambda x: F.upper(x).contains("ISCO")), "\n")
-    return inst.where(F.col("instance_of").contains("Actor")).select("path", "id", quoted(b, "title").alias("title"), quoted(b, "name").alias("name"), about.alias("description"), F.regexp_extract_all(lines, F.lit(r"\b(\d{4})\b"), F.lit(1)).alias("isco"))
+    line = F.regexp_extract(F.coalesce(about, F.lit("")), r"\*\*ISCO(?:-08)?\*\*:([^\n]*)", 1)
+    kind = _some(F.regexp_extract(b, r"(?m)^\*\s+type\s*=\s*#(\S+)", 1))
+    return inst.where("instance_of = 'ActorDefinition'").select("path", "id", quoted(b, "title").alias("title"), quoted(b, "name").alias("name"), kind.alias("persona_type"), F.coalesce(about, F.lit("")).alias("description"), F.regexp_extract_all(line, F.lit(r"\b(\d{4})\b"), F.lit(1)).alias("isco"))
+
+
+def personas(inst: DataFrame) -> DataFrame:
+    """EXT-13: actors with a title; those without are left to the warnings."""
+    return actors(inst).where("title IS NOT NULL")
 
 
 def requirements(inst: DataFrame) -> DataFrame:
     """EXT-14: functional if it has an actor or says what it is a capability for, else non-functional."""
     b = F.col("block")
-    actors = F.regexp_extract_all(b, F.lit(r"(?m)^\s*\* actor\[[^\]]*\]\s*=\s*Canonical\(([^)]+)\)"), F.lit(1))
-    capability = F.coalesce(multiline(b, "capability"), quoted(b, "capability"))
-    kind = F.when((F.size(actors) > 0) | capability.isNotNull(), "functional-requirement").otherwise("non-functional-requirement")
-    return inst.where(F.col("instance_of").contains("Requirement")).select("path", "id", quoted(b, "title").alias("title"), actors.alias("actors"), capability.alias("capability"), kind.alias("type"), "block")
+    named = F.transform(F.regexp_extract_all(b, F.lit(r"actor\[[+=]\]\s*=\s*Canonical\(([^)]+)\)"), F.lit(1)), lambda a: F.trim(a))
+    value = lambda name: _some(F.regexp_extract(b, rf'extension\[{name}\]\.valueString\s*=\s*"([^"]*)"', 1))
+    out = inst.where(F.col("instance_of").rlike(REQUIREMENT)).select("path", "id", F.col("instance_of").alias("profile"), quoted(b, "title").alias("title"), F.coalesce(multiline(b, "description"), quoted(b, "description")).alias("description"), named.alias("actors"), value("capability").alias("capability"), value("benefit").alias("benefit"), "block")
+    functional = (F.size("actors") > 0) | F.col("capability").isNotNull()
+    return out.withColumns({"type": F.when(functional, "functional-requirement").otherwise("non-functional-requirement"), "benefit": F.when(functional, F.col("benefit"))})
 
 
 def requirement_statements(req: DataFrame) -> DataFrame:
-    """EXT-15: (id, key, label, requirement, conformance), read statement by statement."""
-    parts = F.filter(F.split("block", r"(?m)^(?=\s*\* statement\[\+\])"), lambda x: x.rlike(r"^\s*\* statement\[\+\]"))
-    s = req.select("id", F.posexplode(parts).alias("ordinal", "s"))
-    field = lambda n: _some(F.regexp_extract("s", rf'statement\[[+=]\]\.{n}\s*=\s*"((?:[^"\\]|\\.)*)"', 1))
-    return s.select("id", "ordinal", _some(F.regexp_extract("s", r'statement\[[+=]\]\.key\s*=\s*"([^"]*)"', 1)).alias("key"), field("label").alias("label"), field("requirement").alias("requirement"), _some(F.regexp_extract("s", r"statement\[[+=]\]\.conformance(?:\[[^\]]*\])?\s*=\s*#(\w+)", 1)).alias("conformance"))
+    """EXT-15: (id, ordinal, key, label, requirement, conformance): statements that have all four, in this order."""
+    pattern = r'(?s)statement\[\+\]\.key\s*=\s*"([^"]+)".*?label\s*=\s*"([^"]*)".*?requirement\s*=\s*"((?:[^"\\]|\\.)*)".*?conformance\[\+\]\s*=\s*#(\S+)'
+    part = lambda i: F.regexp_extract_all("block", F.lit(pattern), F.lit(i))
+    fields = ("key", "label", "requirement", "conformance")
+    s = req.select("id", F.posexplode(F.arrays_zip(*[part(i).alias(n) for i, n in enumerate(fields, 1)])).alias("ordinal", "s"))
+    return s.select("id", "ordinal", "s.key", "s.label", F.replace(F.col("s.requirement"), F.lit('\\"'), F.lit('"')).alias("requirement"), "s.conformance")
+
+
+def conformance_tally(statements: DataFrame) -> DataFrame:
+    """EXT-15: statements of each conformance verb."""
+    return statements.groupBy("conformance").agg(F.count("*").alias("n"))
 
 
 def match_actors(req: DataFrame, people: DataFrame) -> DataFrame:
@@ -96,91 +116,125 @@ def kit_membership(kits: DataFrame, components: DataFrame) -> DataFrame:
     return held.select("kit", F.lit("hasComponent").alias("predicate"), F.col("id").alias("target"), "qualifier", F.lit("inferred").alias("derivation"))
 
 
-def resource_type(profile: Column) -> Column:
-    """EXT-18: the kind of resource that a profile or alias names; null if none."""
-    out = F.when(profile.rlike("QuestionnaireResponse"), F.lit(None).cast("string"))
-    for pattern, kind in RESOURCE_TYPES:
-        out = out.when(profile.rlike(pattern), kind)
-    return out
+def aliases(files: DataFrame) -> DataFrame:
+    """(alias, url) of all files; the last in path order stands."""
+    found = lambda i: F.regexp_extract_all("text", F.lit(r"(?m)^Alias:\s*(\$\S+)\s*=\s*(\S+)"), F.lit(i))
+    a = files.select("path", F.posexplode(F.arrays_zip(found(1).alias("alias"), found(2).alias("url"))).alias("pos", "a"))
+    return a.groupBy("a.alias").agg(F.max_by("a.url", F.struct("path", "pos")).alias("url"))
+
+
+def resource_type(instance_of: Column, profile: Column) -> Column:
+    """EXT-18: the kind of resource that a profile (an alias put in) names, or the instance itself; null if none."""
+    word, out = F.lower(profile), None
+    for pattern, kind in PROFILE_KINDS:
+        hit, value = word.rlike(pattern), F.lit(kind).cast("string")
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out.when(instance_of.isin(*CLASSES), instance_of)
+
+
+def class_of(kind: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for k, v in CLASSES.items() for x in (k, v)]), kind)
+
+
+NAME = r"[A-Za-z0-9_.-]+"
 
 
 def rulesets(files: DataFrame) -> DataFrame:
-    """(name, parameters, body) of each `RuleSet:`."""
-    b = files.select(F.explode(F.split("text", r"(?m)^(?=(?:RuleSet|Instance|ValueSet|CodeSystem|Profile|Logical|Alias|Extension|Invariant):)")).alias("b")).where(F.col("b").startswith("RuleSet:"))
-    head = r"^RuleSet:\s*(\w+)[ \t]*(?:\(([^)]*)\))?"
+    """(name, parameters, body) of each `RuleSet:`; the last in path order stands. A body ends at the next rule set, instance or profile."""
+    b = files.select("path", F.posexplode(F.split("text", r"(?m)^(?=RuleSet:\s*\S)")).alias("pos", "b"))
+    head = rf"^RuleSet:\s*({NAME})\s*(?:\(([^)]*)\))?"
     parameters = F.filter(F.transform(F.split(F.regexp_extract("b", head, 2), ","), lambda p: F.trim(p)), lambda p: p != "")
-    return b.select(F.regexp_extract("b", head, 1).alias("name"), parameters.alias("parameters"), F.regexp_replace("b", head + r"[^\n]*\n?", "").alias("body")).dropDuplicates(["name"])
+    body = F.get(F.split(F.regexp_replace("b", r"^[^\n]*\n", ""), r"(?m)^(?=RuleSet:|Instance:|Profile:)"), 0)
+    one = b.where(F.col("b").rlike(head)).select(F.regexp_extract("b", head, 1).alias("name"), F.struct(parameters.alias("parameters"), body.alias("body")).alias("v"), F.struct("path", "pos").alias("at"))
+    return one.groupBy("name").agg(F.max_by("v", "at").alias("v")).select("name", "v.parameters", "v.body")
 
 
 def expand_rulesets(blocks: DataFrame, sets: DataFrame, keys: list[str], levels: int = 4) -> DataFrame:
-    """EXT-19: `* insert Name(a, b)` lines replaced by the body with {parameter} filled in, nested to some levels.
+    """EXT-19: `* insert Name(a, b)` replaced by the body with {parameter} filled in, nested to some levels.
 
-    Each level splits blocks to lines, joins the lines that insert, and puts the lines together again. Arguments are
-    cut at commas outside brackets; [[ ]] around one is dropped. What names no rule set stays as it is.
+    Each level cuts blocks where a call begins, joins the calls and puts the pieces together again. A call may run over
+    lines. Arguments are cut at commas outside brackets; [[ ]] around one is dropped. What names no rule set stays.
     """
     out = blocks.select(*keys, "block")
+    call = rf"(?m)\A\*\s+insert\s+({NAME})\s*(?:\(([\s\S]*?)\))?\s*$"
     for _ in range(levels):
-        lines = out.select(*keys, F.posexplode(F.split("block", "\n")).alias("n", "line"))
-        call = r"^\s*\* insert (\w+)(?:\((.*)\))?\s*$"
-        lines = lines.withColumns({"name": F.regexp_extract("line", call, 1), "raw": F.regexp_extract("line", call, 2)})
-        args = F.transform(F.split("raw", r",(?![^\[]*\]\])(?![^(]*\))"), lambda a: F.regexp_replace(F.trim(a), r"^\[\[|\]\]$", ""))
-        joined = lines.withColumn("args", args).join(sets, "name", "left")
+        pieces = out.select(*keys, F.posexplode(F.split("block", r"(?m)^(?=\*\s+insert\s)")).alias("n", "piece"))
+        pieces = pieces.withColumns({"name": F.regexp_extract("piece", call, 1), "raw": F.regexp_extract("piece", call, 2), "rest": F.regexp_replace("piece", call, "")})
+        args = F.transform(F.split("raw", r",(?![^\[]*\])"), lambda a: F.regexp_replace(F.trim(F.regexp_replace(a, r"^\s+|\s+$", "")), r"^\[\[|\]\]$", ""))
+        joined = pieces.withColumn("args", args).join(sets, "name", "left")
         pairs = F.arrays_zip(F.col("parameters").alias("parameters"), F.col("args").alias("args"))
         filled = F.aggregate(pairs, F.col("body"), lambda acc, p: F.when(p["parameters"].isNull(), acc).otherwise(F.replace(acc, F.concat(F.lit("{"), p["parameters"], F.lit("}")), F.coalesce(p["args"], F.lit("")))))
-        line = F.when(F.col("body").isNotNull(), F.rtrim(filled)).otherwise(F.col("line"))
-        out = joined.select(*keys, "n", line.alias("line")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("n", "line"))).alias("l")).select(*keys, F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("block"))
+        piece = F.when(F.col("body").isNotNull(), F.concat(F.regexp_replace(filled, r"\n$", ""), "rest")).otherwise(F.col("piece"))
+        out = joined.select(*keys, "n", piece.alias("piece")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("n", "piece"))).alias("l")).select(*keys, F.array_join(F.transform("l", lambda x: x["piece"]), "").alias("block"))
     return out
 
 
-def canonical_refs(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """EXT-20: (keys, predicate, target, derivation) for libraries and definitions that a block refers to."""
-    found = F.regexp_extract_all("block", F.lit(r"(?:library(?:\[[^\]]*\])?|definitionCanonical)\s*=\s*(?:Canonical\(([^)]+)\)|\"([^\"]+)\")"), F.lit(1))
-    return blocks.select(*keys, F.explode(found).alias("target")).where("target <> ''").select(*keys, F.lit("uses").alias("predicate"), "target", F.lit("derived").alias("derivation")).distinct()
+def canonical_refs(blocks: DataFrame, keys: list[str], ns: str) -> DataFrame:
+    """EXT-20: (keys, predicate, target, target_path, derivation) for libraries and activities that a block refers to."""
+    found = lambda pattern, kind, path: blocks.select(*keys, F.explode(F.regexp_extract_all("block", F.lit(pattern), F.lit(1))).alias("name")).select(*keys, F.lit("uses").alias("predicate"), F.concat(F.lit(f"{ns}/{kind}/"), F.trim("name")).alias("target"), F.lit(path).cast("string").alias("target_path"), F.lit("derived").alias("derivation"))
+    return found(r"(?m)^\*\s+library\s*=\s*Canonical\(([^)]+)\)", "Library", None).unionByName(found(r"definitionCanonical\s*=\s*Canonical\(([^)]+)\)", "ActivityDefinition", "PlanDefinition.action.definitionCanonical"))
 
 
 def artifact_citations(blocks: DataFrame, keys: list[str]) -> DataFrame:
     """EXT-21: citations of related artefacts, one row each."""
-    found = F.regexp_extract_all("block", F.lit(r'relatedArtifact\[[^\]]*\]\.citation\s*=\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
-    cited = blocks.select(*keys, F.explode(found).alias("citation")).where("citation <> ''").distinct()
+    found = F.regexp_extract_all("block", F.lit(r'citation\s*=\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
+    cited = blocks.select(*keys, F.explode(found).alias("citation")).withColumn("citation", F.replace("citation", F.lit('\\"'), F.lit('"')))
     return cited.withColumns({"kind": F.when(ids.is_placeholder(F.col("citation")), "placeholder").otherwise("reference"), "numbering": ids.citation_number(F.col("citation")), "label": ids.cut_label(F.col("citation"))})
 
 
 def artifact_index(files: DataFrame, canonical: str) -> DataFrame:
-    """EXT-17: one row for each canonical of shorthand instances and definitions, maps, logic and JSON resources; the first in path order wins."""
-    fsh = files.where(F.col("path").endswith(".fsh"))
-    i = instances(fsh).select("path", "pos", resource_type(F.col("instance_of")).alias("type"), "id", quoted(F.col("block"), "title").alias("title"))
-    d = fsh.select("path", F.posexplode(F.split("text", r"(?m)^(?=(?:ValueSet|CodeSystem|Logical|Profile):\s*\S)")).alias("pos", "b")).where(F.col("b").rlike(r"^(ValueSet|CodeSystem|Logical|Profile):"))
-    kinds = F.create_map(*[F.lit(x) for x in ("ValueSet", "value-set", "CodeSystem", "code-system", "Logical", "structure-definition", "Profile", "profile")])
-    d = d.select("path", (F.col("pos") + 100000).alias("pos"), F.element_at(kinds, F.regexp_extract("b", r"^(\w+):", 1)).alias("type"), F.coalesce(header(F.col("b"), "Id"), F.regexp_extract("b", r"^\w+:\s*(\S+)", 1)).alias("id"), _some(F.regexp_extract("b", r'(?m)^Title:\s*"([^"]*)"', 1)).alias("title"))
+    """EXT-17: a row for each canonical of shorthand instances and definitions, maps, logic and JSON resources; the first in path order wins.
+
+    (path, pos, origin, resource_type, type, id, title, profile, canonical). Logic has no resource kind; its canonical is by slug.
+    """
+    fsh, none = files.where(F.col("path").endswith(".fsh")), F.lit(None).cast("string")
+    title = _some(F.trim(F.regexp_extract("block", r'(?m)^Title:\s*"?([^"\n]*)"?', 1)))
+    i = instances(fsh).join(aliases(fsh).withColumnRenamed("alias", "instance_of"), "instance_of", "left").withColumn("profile", F.coalesce("url", "instance_of"))
+    i = i.select("path", "pos", F.lit("instance").alias("origin"), resource_type(F.col("instance_of"), F.col("profile")).alias("resource_type"), "id", title.alias("title"), "profile").withColumn("type", class_of(F.col("resource_type")))
+    keyword = r"^(ValueSet|CodeSystem|Logical|Profile):\s*(\S+)"
+    d = fsh.select("path", F.posexplode(F.split("text", r"(?m)^(?=(?:ValueSet|CodeSystem|Logical|Profile):\s*\S)")).alias("pos", "block")).where(F.col("block").rlike(keyword)).withColumn("word", F.regexp_extract("block", keyword, 1))
+    kind = F.when(F.col("word").isin("Logical", "Profile"), "StructureDefinition").otherwise(F.col("word"))
+    d = d.select("path", (F.col("pos") + 100000).alias("pos"), F.lit("definition").alias("origin"), kind.alias("resource_type"), F.regexp_extract("block", keyword, 2).alias("id"), title.alias("title"), none.alias("profile"), F.when(F.col("word") == "Logical", "structure-definition").when(F.col("word") == "Profile", "profile").otherwise(class_of(F.col("word"))).alias("type"))
     stem = F.regexp_extract("path", r"([^/]+)\.\w+$", 1)
-    plain = files.where(F.col("path").rlike(r"\.(fml|cql)$")).select("path", F.lit(0).alias("pos"), F.when(F.col("path").endswith(".fml"), "structure-map").otherwise("cql-library").alias("type"), stem.alias("id"), stem.alias("title"))
-    j = files.where(F.col("path").endswith(".json")).withColumn("kind", F.get_json_object("text", "$.resourceType")).where("kind IS NOT NULL")
-    j = j.select("path", F.lit(0).alias("pos"), resource_type(F.col("kind")).alias("type"), F.get_json_object("text", "$.id").alias("id"), F.get_json_object("text", "$.title").alias("title"))
-    every = reduce(DataFrame.unionByName, [i, d, plain, j]).where("type IS NOT NULL AND id IS NOT NULL")
-    return first_per_key(every.withColumn("canonical", F.concat(F.lit(canonical + "/"), "type", F.lit("/"), "id")), ["canonical"], ["path", "pos"])
+    row = lambda t, origin, kind, id_, title_, profile, type_: t.select("path", F.lit(0).alias("pos"), F.lit(origin).alias("origin"), kind.alias("resource_type"), id_.alias("id"), title_.alias("title"), profile.alias("profile"), type_.alias("type"))
+    maps = row(files.where(F.col("path").endswith(".fml")), "map", F.lit("StructureMap"), stem, stem, none, F.lit("structure-map"))
+    logic = row(files.where(F.col("path").endswith(".cql")), "logic", F.lit("cql"), ids.slug(stem), stem, none, F.lit("cql-library"))
+    j, got = files.where(F.col("path").endswith(".json")), lambda p: F.get_json_object("text", f"$.{p}")
+    j = row(j.where(got("resourceType").isin(*CLASSES)), "json", got("resourceType"), F.coalesce(got("id"), stem), F.coalesce(got("title"), got("name")), got("meta.profile[0]"), class_of(got("resourceType")))
+    every = reduce(DataFrame.unionByName, [i, d, maps, logic, j]).where("type IS NOT NULL AND id IS NOT NULL")
+    return first_per_key(every.withColumn("canonical", F.concat_ws("/", F.lit(canonical), "resource_type", "id")), ["canonical"], ["path", "pos"])
+
+
+def component_type(index: DataFrame) -> DataFrame:
+    """Instances of an index with component_type: what their kind implements; by profile for plans, by name for libraries, null if nothing decides."""
+    by = lambda c, rules_: F.coalesce(*[F.when(c.rlike("(?i)" + pattern), F.lit(kind)) for pattern, kind in rules_])
+    of = F.element_at(F.create_map(*[F.lit(x) for k, v in COMPONENTS.items() for x in (k, v)]), F.col("resource_type"))
+    kind = F.when(F.col("resource_type") == "PlanDefinition", by(F.coalesce("profile", F.lit("")), PLAN_COMPONENTS)).when(F.col("resource_type") == "Library", by(F.col("id"), LIBRARY_COMPONENTS)).otherwise(of)
+    return index.where("origin = 'instance'").withColumn("component_type", kind)
 
 
-def match_components(index: DataFrame) -> DataFrame:
-    """JON-06: (canonical, type, component_type, component_id, derivation, status): the component that an artefact implements by convention.
+def match_components(index: DataFrame, ns: str) -> DataFrame:
+    """JON-06: (canonical, resource_type, component_type, component_id, component, rule, derivation, status): the component that an instance implements by convention.
 
-    A dotted title is the component's id; a measure named LETTERS + IND + number is LETTERS.IND.number. Always inferred and
-    unresolved. Types without a convention give no row.
+    A title that begins with capitals and a dot is the component's id; a measure titled (or, without a title, named) LETTERS + IND +
+    number is LETTERS.IND.number. All else gives no row. Always inferred and unresolved.
     """
-    of = F.create_map(*[F.lit(x) for k, v in COMPONENTS.items() for x in (k, v)])
-    measure = F.regexp_extract("id", r"^([A-Z]+)IND(\d+)$", 1) != ""
-    by_name = F.regexp_replace("id", r"^([A-Z]+)IND(\d+)$", "$1.IND.$2")
-    name = F.when((F.col("type") == "measure") & measure, by_name).when(F.col("title").rlike(r"^[A-Za-z0-9]+(\.[A-Za-z0-9]+)+$"), F.col("title")).otherwise(F.col("id"))
-    out = index.withColumns({"component_type": F.element_at(of, F.col("type")), "component_id": name}).where("component_type IS NOT NULL")
-    return out.select("canonical", "type", "component_type", "component_id", F.lit("inferred").alias("derivation"), F.lit("unresolved").alias("status"))
+    measure = r"^([A-Z]+)IND(\d+)$"
+    name = F.coalesce("title", "id")
+    dotted = F.coalesce(F.col("title").rlike(r"^[A-Z]{2,}\."), F.lit(False))
+    of_measure = F.when((F.col("resource_type") == "Measure") & name.rlike(measure), F.regexp_replace(name, measure, "$1.IND.$2"))
+    out = component_type(index).where("component_type IS NOT NULL").withColumns({"component_id": F.when(dotted, F.col("title")).otherwise(of_measure), "rule": F.when(dotted, "title is the id").otherwise("id put together from a measure's title")})
+    out = out.where("component_id IS NOT NULL").withColumn("component", F.concat_ws("/", F.lit(ns), "component_type", ids.slug(F.col("component_id"))))
+    return out.select("canonical", "resource_type", "component_type", "component_id", "component", "rule", F.lit("inferred").alias("derivation"), F.lit("unresolved").alias("status"))
 
 
 def undecided_types(index: DataFrame) -> DataFrame:
-    """AGG-09: types that no convention leads from."""
-    return index.where(~F.col("type").isin(*COMPONENTS)).select("type").distinct()
+    """AGG-09: kinds of instances for which no component could be decided."""
+    return component_type(index).where("component_type IS NULL").select(F.col("resource_type").alias("type")).distinct()
 
 
 def extraction_warnings(namespaces: DataFrame, tasks: DataFrame, people: DataFrame, actors: DataFrame, joins: DataFrame, coverage: DataFrame, authority: str, least_cited: float = 0.5) -> DataFrame:
-    """EXT-22: (warning, subject). namespaces: raw. tasks: path, name. people: id, title. actors: id, actor, status. joins: name, status.
+    """EXT-22: (warning, subject). namespaces: raw. tasks: path, name. people: id, title (null too). actors: id, actor, status. joins: name, status.
     coverage: table, rules, cited."""
     row = lambda t, name, subject: t.select(F.lit(name).alias("warning"), subject.cast("string").alias("subject"))
     twice = lambda t, c: t.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n")).where("n > 1")

@@ -84,13 +84,10 @@ def outbound_edges(spark, d):
     return g.outbound_edges(_layered(spark, d)[2], "trade").groupBy("predicate", "target_layer", "source", "target").agg(F.count("*").alias("n"))
 
 
-@query(with_more("""o AS (SELECT source AS id, string_agg(predicate || '>' || target || ':' || coalesce(qualifier, ''), ' ' ORDER BY predicate, target, coalesce(qualifier, '')) AS outgoing FROM edges GROUP BY source),
-i AS (SELECT target AS id, string_agg(predicate || '>' || source || ':' || coalesce(qualifier, ''), ' ' ORDER BY predicate, source, coalesce(qualifier, '')) AS incoming FROM edges GROUP BY target)
-SELECT id, outgoing, md5(incoming) AS incoming_md5 FROM nodes LEFT JOIN o USING (id) LEFT JOIN i USING (id)"""))
+@query(with_more("""x AS (SELECT source AS id, 'out' AS direction, predicate, target AS other, qualifier FROM edges UNION ALL SELECT target, 'in', predicate, source, qualifier FROM edges)
+SELECT id, direction, predicate, other, qualifier, count(*)::BIGINT AS n FROM (SELECT id FROM nodes) LEFT JOIN x USING (id) GROUP BY ALL"""))
 def neighbourhood(spark, d):
-    n, e = bench_graph(spark, d)
-    flat = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["predicate"], F.lit(">"), x["other"], F.lit(":"), x["qualifier"])), " ")
-    return g.neighbourhood(n, e).select("id", flat("outgoing").alias("outgoing"), F.md5(flat("incoming")).alias("incoming_md5"))
+    return g.neighbourhood(*bench_graph(spark, d)).groupBy("id", "direction", "predicate", "other", "qualifier").agg(F.count("*").alias("n"))
 
 
 # Rules
@@ -382,11 +379,15 @@ def top_findings(spark, d):
     return g.top_findings(nodes.unionByName(_edge_rules(spark, d, "V-07", "V-09", "V-10", "V-11")))
 
 
-@query("""SELECT concat('conv/', conv_id) AS doc_id, 'T1-01' AS rule_id, 'error' AS severity, concat('turn/', turn) AS subject, m AS message FROM (SELECT conv_id, turn, unnest(list_filter([
-CASE WHEN coalesce(text, '') = '' THEN 'label is missing' END, CASE WHEN role <> 'user' THEN 'unknown derivation' END], lambda x: x IS NOT NULL)) AS m FROM conversations)""", graph=False)
+@query("""WITH c AS (SELECT *, concat('conv/', conv_id) AS d FROM conversations)
+SELECT d AS doc_id, 'T1-01' AS rule_id, 'error' AS severity, concat('turn/', turn) AS subject, m AS message FROM (SELECT d, turn, unnest(list_filter([
+CASE WHEN coalesce(text, '') = '' THEN 'label is missing' END, CASE WHEN role <> 'user' THEN 'unknown derivation' END], lambda x: x IS NOT NULL)) AS m FROM c)
+UNION ALL SELECT d, 'T1-01', 'error', concat_ws('|', role || 'Of', concat('turn/', turn), CASE WHEN turn > 0 THEN concat('turn/', turn - 1) ELSE '' END), m FROM (SELECT *, unnest(list_filter([CASE WHEN turn = 0 THEN 'target is missing' END, CASE WHEN turn % 2 = 1 THEN 'inferred or decided without note and evidence' END], lambda x: x IS NOT NULL)) AS m FROM c)""", graph=False)
 def shape_check(spark, d):
-    n = read(spark, d, "conversations").select(F.concat(F.lit("conv/"), "conv_id").alias("doc_id"), F.concat(F.lit("turn/"), "turn").alias("id"), F.lit("turn").alias("type"), F.col("text").alias("label"), F.when(F.col("role") == "user", "derived").otherwise(F.col("role")).alias("derivation"), F.lit(None).cast("string").alias("note"), F.lit(None).cast("struct<location:string>").alias("evidence"), F.lit("{}").alias("properties"))
-    e = n.select("doc_id", F.lit("p").alias("predicate"), F.lit("s").alias("source"), F.lit("t").alias("target"), F.lit("derived").alias("derivation"), "note", "evidence").limit(0)
+    c = read(spark, d, "conversations").select(F.concat(F.lit("conv/"), "conv_id").alias("doc_id"), "turn", "role", "text", F.lit(None).cast("string").alias("note"), F.lit(None).cast("struct<location:string>").alias("evidence"), F.lit("{}").alias("properties"))
+    n = c.select("doc_id", F.concat(F.lit("turn/"), "turn").alias("id"), F.lit("turn").alias("type"), F.col("text").alias("label"), F.when(F.col("role") == "user", "derived").otherwise(F.col("role")).alias("derivation"), "note", "evidence", "properties")
+    before = F.when(F.col("turn") > 0, F.concat(F.lit("turn/"), F.col("turn") - 1)).otherwise(F.lit(""))
+    e = c.select("doc_id", F.concat("role", F.lit("Of")).alias("predicate"), F.concat(F.lit("turn/"), "turn").alias("source"), before.alias("target"), F.when(F.col("turn") % 2 == 1, "inferred").otherwise("derived").alias("derivation"), "note", "evidence", "properties")
     return rules.shape_findings(n, e)
 
 
@@ -432,7 +433,7 @@ def task_match(spark, d):
     return g.match_by_name(left, read(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"), "l_partkey"), "id", "l_partkey").select("id", "matches", "status")
 
 
-@query(with_more("st AS (SELECT predicate, source, target, count(*) AS n FROM edges GROUP BY ALL) SELECT a.source, a.predicate, a.target AS middle, b.predicate AS predicate_2, b.target AS \"end\", (a.n * b.n)::BIGINT AS paths FROM st a JOIN nodes x ON x.id = a.source AND x.type = 'supplier' JOIN st b ON b.source = a.target"))
+@query("""SELECT concat('supplier/', s_suppkey) AS source, 'locatedIn' AS predicate, concat('nation/', s_nationkey) AS middle, 'partOf' AS predicate_2, concat('region/', n_regionkey) AS "end", 1::BIGINT AS paths FROM supplier JOIN nation ON n_nationkey = s_nationkey""", graph=False)
 def two_hops(spark, d):
     return g.two_hops(*bench_graph(spark, d), "supplier")
 
@@ -457,7 +458,7 @@ def leaf_check(spark, d):
     return g.leaf_violations(*bench_graph(spark, d), "nation").select("predicate", "source", "target")
 
 
-@query("SELECT source AS id, list_sort(list(DISTINCT target)) AS artifacts, n.type FROM edges e JOIN nodes n ON n.id = e.source WHERE predicate = 'suppliedBy' GROUP BY ALL")
+@query("SELECT DISTINCT source AS id, target AS artifact, n.type FROM edges e JOIN nodes n ON n.id = e.source WHERE predicate = 'suppliedBy'")
 def component_artifacts(spark, d):
     return g.component_artifacts(*bench_graph(spark, d), "suppliedBy")
 
@@ -527,7 +528,7 @@ def layer_counts(spark, d):
     return g.ranked(g.counts(bench_graph(spark, d)[0].select("layer", "type").distinct(), "layer"), [F.col("layer")])
 
 
-@query("SELECT type, list_sort(list(DISTINCT label)) AS names FROM nodes GROUP BY ALL")
+@query("SELECT DISTINCT type, label FROM nodes")
 def kind_names(spark, d):
     return g.names_per_kind(bench_graph(spark, d)[0], "type", "label")
 
@@ -581,10 +582,16 @@ def citation_states(spark, d):
 
 
 @query("""WITH c AS (SELECT * FROM customer JOIN nation ON n_nationkey = c_nationkey)
-SELECT concat('customer/', c_custkey) AS seed, CASE WHEN n_regionkey > 0 THEN concat('region/', n_regionkey) END AS target, (CASE WHEN n_regionkey > 0 THEN 2 ELSE 1 END)::BIGINT AS steps FROM c""", graph=False)
+SELECT concat('customer/', c_custkey) AS seed, CASE WHEN n_regionkey = 1 THEN 'lost/1' WHEN n_regionkey > 1 THEN concat('region/', n_regionkey) END AS target, 2::BIGINT AS steps FROM c
+UNION ALL SELECT concat('nation/', n_nationkey), CASE WHEN n_regionkey = 1 THEN 'lost/1' WHEN n_regionkey > 1 THEN concat('region/', n_regionkey) END, 1 FROM nation WHERE n_regionkey > 0
+UNION ALL SELECT concat('nation/', n_nationkey), NULL, 1 FROM nation WHERE n_regionkey = 0 UNION ALL SELECT concat('region/', r_regionkey), NULL, 0 FROM region""", graph=False)
 def resolve_chain(spark, d):
+    """Nations of region 0 are numbered as themselves (a cycle), those of region 1 resolve to an id without a node, regions have no step."""
     nodes, edges = _citing(spark, d)
-    seeds = nodes.where("type = 'citation'").select(F.col("id").alias("seed"))
+    n = read(spark, d, "nation")
+    loop = n.where("n_regionkey = 0").select(F.lit("d").alias("doc_id"), F.col("n_nationkey").cast("long").alias("ord"), F.lit("numberedAs").alias("predicate"), F.concat(F.lit("nation/"), "n_nationkey").alias("source"), F.concat(F.lit("nation/"), "n_nationkey").alias("target"), F.lit("derived").alias("derivation"))
+    edges = edges.withColumn("target", F.when(F.col("target") == "region/1", "lost/1").otherwise(F.col("target"))).unionByName(loop)
+    seeds = nodes.select(F.col("id").alias("seed"))
     steps, ends = questions.resolve_citation(nodes, edges, seeds)
     return ends.join(steps.groupBy("seed").agg(F.count("*").alias("steps")), "seed", "left").select("seed", "target", F.coalesce("steps", F.lit(0)).cast("long").alias("steps"))
 
@@ -652,9 +659,9 @@ def snapshot_edges(spark, d):
     return field_changes(a, b, keys, ["l_returnflag", "l_linestatus"])
 
 
-@query("SELECT doc_id, 1 AS position, sha256(text) AS old, CASE WHEN doc_id % 2 = 0 THEN sha256(text || '!') END AS new FROM documents WHERE text IS NOT NULL AND doc_id % 3 = 0", graph=False)
+@query("SELECT doc_id, 1 AS position, sha256(text) AS old, CASE WHEN doc_id % 2 = 0 THEN sha256(text || '!') END AS new FROM documents WHERE doc_id % 3 = 0 AND text IS NOT NULL", graph=False)
 def snapshot_sources(spark, d):
-    t = read(spark, d, "documents").where("text IS NOT NULL")
+    t = read(spark, d, "documents")
     a = t.select("doc_id", F.array(F.sha2("lang", 256), F.sha2("text", 256)).alias("hashes"))
     edited = F.array(F.sha2("lang", 256), F.sha2(F.concat("text", F.lit("!")), 256))
     b = t.select("doc_id", F.when(F.col("doc_id") % 3 > 0, F.array(F.sha2("lang", 256), F.sha2("text", 256))).when(F.col("doc_id") % 2 == 0, edited).otherwise(F.array(F.sha2("lang", 256))).alias("hashes"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids
-from graphloom.operators import coverage, markup, shorthand
+from graphloom.operators import coverage, markup
 from graphloom.operators.frontier import closure
 from graphloom.operators.graph import first_per_key, union_distinct, with_ordinal
 from graphloom.plans.bench_graph import bench_graph, graph_sql, read
@@ -28,9 +28,9 @@ NS = "https://example.org/kit"
 
 
 @query(f"""SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' / ' || p_brand), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, substr(sha256(p_name), 1, 12) AS short,
-'{NS}/citation/' || substr(sha256(p_name), 1, 12) AS citation_id, '{NS}/publication/isbn/' || upper(regexp_replace(p_brand || '-' || p_partkey, '[^0-9Xx]', '', 'g')) AS publication_id,
+'{NS}/citation/' || substr(sha256(p_name), 1, 12) AS citation_id, '{NS}/publication/isbn-' || upper(regexp_replace(p_brand || '-' || p_partkey, '[^0-9Xx]', '', 'g')) AS publication_id,
 '{NS}/artifact/' || p_brand || '#' || p_partkey AS element_id, CASE WHEN length(p_name) > 8 THEN substr(p_name, 1, 5) || '...' ELSE p_name END AS cut, replace(replace(p_name, chr(92), chr(92) || chr(92)), '''', chr(92) || '''') AS escaped,
-CASE WHEN p_size % 2 = 0 THEN '{NS}/rec/' || p_size ELSE '{NS}/rec/h-' || substr(sha256(lower(p_name)), 1, 12) END AS recommendation_id FROM part""")
+CASE WHEN p_size % 2 = 0 THEN '{NS}/recommendation/' || p_size ELSE '{NS}/recommendation/h-' || substr(sha256(lower(p_name)), 1, 12) END AS recommendation_id FROM part""")
 def ids_and_slugs(spark, d):
     p = read(spark, d, "part")
     ns, name = F.lit(NS), F.col("p_name")
@@ -47,10 +47,10 @@ def id_collisions(spark, d):
     return ids.mint_ids(c, "customer", ["c_custkey"], F.concat_ws("/", "c_mktsegment", F.col("c_nationkey").cast("string")))[1]
 
 
-@query(r"""SELECT doc_id, regexp_replace(regexp_replace(lower(regexp_replace(nfc_normalize(text), '[\x{00C0}-\x{017F}]', '*', 'g')), '[^a-z0-9*]+', '-', 'g'), '^-|-$', '', 'g') <> '' AS has_slug, strip_accents(lower(lang)) AS lang FROM documents WHERE text IS NOT NULL""")
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(nfc_normalize(text)), '[\x{0300}-\x{036F}]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS slug, strip_accents(lower(lang)) AS lang FROM documents""")
 def text_slugs(spark, d):
-    t = read(spark, d, "documents").where("text IS NOT NULL")
-    return t.select("doc_id", (ids.slug(F.col("text")) != "").alias("has_slug"), ids.slug(F.col("lang")).alias("lang"))
+    t = read(spark, d, "documents")
+    return t.select("doc_id", ids.slug(F.col("text")).alias("slug"), ids.slug(F.col("lang")).alias("lang"))
 
 
 @query("""WITH kin AS (SELECT page_id, url, CASE WHEN url LIKE 'http://%example.com%' THEN 'http://example.com/kit/bpmn/' ELSE url END AS raw FROM pages)
@@ -61,11 +61,11 @@ def kit_namespaces(spark, d):
     return p.select("page_id", ids.kit_namespace(raw, "example.com").alias("ns"), ids.scheme_normalised(raw, "example.com").alias("rewritten"), ids.strip_path(F.col("url")).alias("bare"))
 
 
-_LINES = r"li AS (SELECT doc_id, trim(replace(unnest(string_split(text, chr(10))), chr(13), ''), ' ') AS c FROM documents WHERE text IS NOT NULL), ci AS (SELECT * FROM li WHERE c NOT IN ('', '-', '–'))"
+_LINES = r"li AS (SELECT doc_id, trim(replace(unnest(string_split(text, chr(10))), chr(13), ''), ' ') AS c FROM documents), ci AS (SELECT * FROM li WHERE c NOT IN ('', '-', '–'))"
 
 
 def _cited(spark, d):
-    return markup.citations(read(spark, d, "documents").where("text IS NOT NULL"), ["doc_id"], "text")
+    return markup.citations(read(spark, d, "documents"), ["doc_id"], "text")
 
 
 @query(rf"""WITH {_LINES} SELECT DISTINCT '{NS}/citation/' || substr(sha256(c), 1, 12) AS id, CASE WHEN regexp_matches(c, '^\[.*\]$') THEN 'placeholder' ELSE 'reference' END AS kind,
@@ -124,29 +124,14 @@ def positional_cells(spark, d):
     return with_ordinal(_pages(spark, d).select("path", items.alias("items")), "items")
 
 
-@query("""SELECT DISTINCT event_id, CASE event_id % 3 WHEN 0 THEN event_type ELSE k END AS element, CASE event_id % 3 WHEN 0 THEN 'bare' ELSE 'quoted' END AS rule
-FROM (SELECT event_id, event_type, json_extract_string(props, '$.k') AS k FROM events) WHERE event_id % 3 < 2 AND k <> ''""")
+@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN event_type WHEN 4 THEN '-' ELSE k END AS element, CASE WHEN event_id % 5 IN (0, 4) THEN 'bare-expression' WHEN event_id % 5 = 1 THEN 'quoted-left-of-comparison' ELSE 'quoted-operand' END AS rule
+FROM (SELECT event_id, event_type, coalesce(json_extract_string(props, '$.k'), '') AS k FROM events) WHERE event_id % 5 IN (0, 4) OR (event_id % 5 IN (1, 3) AND k <> '')""")
 def expression_elements(spark, d):
-    k = F.get_json_object("props", "$.k")
-    e = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).when(F.col("event_id") % 3 == 1, F.concat(F.lit('"'), k, F.lit('" > 3'))).otherwise(F.concat(F.lit('> "'), k, F.lit('"')))
-    t = read(spark, d, "events").where(k != "").select("event_id", e.alias("expression"))
-    return markup.data_elements(t, ["event_id"], "expression")
-
-
-@query("""SELECT component_type, component_id, count(*)::BIGINT AS n FROM (SELECT CASE n_regionkey WHEN 0 THEN 'decision-support-logic' WHEN 1 THEN 'program-indicator' ELSE 'data-element' END AS component_type,
-CASE WHEN n_regionkey = 1 THEN 'NAT.IND.' || c_custkey WHEN n_regionkey = 2 THEN 'A.' || c_custkey ELSE 'c' || c_custkey END AS component_id FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey <> 4) GROUP BY ALL""")
-def component_match(spark, d):
-    c = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    kind = F.element_at(F.array(*[F.lit(x) for x in ("plan-definition", "measure", "value-set", "questionnaire", "library")]), F.col("n_regionkey") + 1)
-    key = F.when(F.col("n_regionkey") == 1, F.concat(F.lit("NATIND"), "c_custkey")).otherwise(F.concat(F.lit("c"), "c_custkey"))
-    index = c.select(F.concat(F.lit("u/"), "c_custkey").alias("canonical"), kind.alias("type"), key.alias("id"), F.when(F.col("n_regionkey") == 2, F.concat(F.lit("A."), "c_custkey")).alias("title"))
-    return shorthand.match_components(index).groupBy("component_type", "component_id").agg(F.count("*").alias("n"))
-
-
-@query("SELECT DISTINCT n_name AS type FROM nation WHERE n_regionkey > 1")
-def undecided_types(spark, d):
-    n = read(spark, d, "nation")
-    return shorthand.undecided_types(n.select(F.when(F.col("n_regionkey") > 1, F.col("n_name")).otherwise(F.lit("measure")).alias("type")))
+    """Bare, left of a comparison, a value on the right of one, an operand beside a value, and a dash."""
+    k = F.coalesce(F.get_json_object("props", "$.k"), F.lit(""))
+    part = F.col("event_id") % 5
+    e = F.when(part == 0, F.col("event_type")).when(part == 1, F.concat(F.lit('"'), k, F.lit('" ≥ 3 and "'), k, F.lit('"'))).when(part == 2, F.concat(F.lit('≠ "'), k, F.lit('"'))).when(part == 3, F.concat(F.lit('Today - "'), k, F.lit('" and x <= "no"'))).otherwise(F.lit(" - "))
+    return markup.data_elements(read(spark, d, "events").select("event_id", e.alias("expression")), ["event_id"], "expression")
 
 
 @query("SELECT doc_id, count(*)::BIGINT AS n FROM (SELECT doc_id, unnest(string_split_regex(text, '[.!?]+\\s+|\\n+')) AS s FROM documents) WHERE trim(s, chr(32) || chr(9) || chr(10) || chr(13)) NOT IN ('', '.', '!', '?') GROUP BY ALL")
@@ -191,11 +176,6 @@ def coverage_numbers(spark, d):
     return coverage.coverage_numbers(_states(spark, d), "doc_id")
 
 
-@query(f"WITH {_STATE} SELECT *, 'with-that-1' AS definition_version, 'a' AS text_sha256 FROM ({_NUMBERS})")
-def coverage_report(spark, d):
-    return coverage.coverage_report(_states(spark, d), "doc_id", {"text": "a"}, "with-that-1")
-
-
 @query("""WITH e AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'background' WHEN 1 THEN 'duplicate-of:' || doc_id WHEN 2 THEN 'whim' END AS reason, CASE WHEN quality = 1 THEN 'r' END AS by_ FROM labels)
 SELECT doc_id, 0 AS ordinal, 'unknown reason' AS message FROM e WHERE reason IS NULL OR reason = 'whim' UNION ALL SELECT doc_id, 0, 'duplicate of nothing' FROM e WHERE reason LIKE 'dup%' AND doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en') UNION ALL SELECT doc_id, 0, 'not signed off' FROM e WHERE by_ IS NULL""")
 def exclusion_checks(spark, d):

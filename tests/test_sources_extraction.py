@@ -24,19 +24,21 @@ DMN = """<definitions id="D"><decision id="Dec" label="Give iron?"><question>Is
 [later]
 -</text></annotationEntry></rule>
 <rule id="r2"><inputEntry><text>3</text></inputEntry><outputEntry><text>wait</text></outputEntry></rule></decisionTable></decision></definitions>"""
-FSH = '''Alias: $x = http://x
+FSH = '''Alias: $plan = http://x/recommendationdefinition
 Instance: Nurse
-InstanceOf: ExampleActorDefinition
+InstanceOf: ActorDefinition
 * title = "Nurse \\"A\\""
+* type = #person
 * description = """
-Cares for people.
-ISCO codes 2221, 3221 in 2024
+Cares for people, by the ISCO of 2008.
+**ISCO-08**: 2221, 3221
+Since 2024.
 """
 Instance: Nobody
-InstanceOf: ExampleActorDefinition
+InstanceOf: ActorDefinition
 * name = "n"
 Instance: REQ1
-InstanceOf: ExampleRequirements
+InstanceOf: SGRequirements
 * title = "Record weight"
 * actor[+] = Canonical(Nurse)
 * actor[+] = Canonical(Ghost)
@@ -47,15 +49,22 @@ InstanceOf: ExampleRequirements
 * statement[+].key = "b"
 * statement[=].conformance = #SHOULD
 Instance: REQ2
-InstanceOf: ExampleRequirements
+InstanceOf: ExampleRequirement
 * title = "Be fast"
+* extension[capability].valueString = "be fast"
+* extension[benefit].valueString = "time"
+Instance: REQ3
+InstanceOf: ExampleRequirement
+* title = "Be there"
 Instance: Plan
-InstanceOf: PlanDefinition
-* title = "DT.1"
-* insert Meta(Plan, [[a, b]])
+InstanceOf: $plan
+Title: "DT.1"
+* insert Meta-data.1(Plan,
+   [[a, b]])
 * library = Canonical(Lib)
+* action.definitionCanonical = Canonical(Act)
 * relatedArtifact[+].citation = "Book A (1)"
-RuleSet: Meta(name, more)
+RuleSet: Meta-data.1(name, more)
 * publisher = "{name} {more}"
 * insert Inner
 RuleSet: Inner
@@ -93,7 +102,7 @@ def test_decision_files(spark):
     assert cells["r1", "outputEntry", 1] == ("Note", "n") and cells["r1", "annotationEntry", 0][0] == "Reference(s)" and cells["r2", "annotationEntry", 0] == ("Reference(s)", None) and cells["r2", "inputEntry", 1] == (None, None)
     assert [r.ordinal for r in markup.reference_column(markup.clauses(f).where("side = 'output'"), ["path"]).collect()] == [2]
     expr = {(r.element, r.rule) for r in markup.data_elements(markup.clauses(f).where("side = 'input'"), ["path"], "expression").collect()}
-    assert expr == {("Haemoglobin", "bare"), ("Age", "quoted"), ("Sex", "quoted")}
+    assert expr == {("Haemoglobin", "bare-expression"), ("Age", "quoted-left-of-comparison"), ("Sex", "quoted-left-of-comparison")}
     nodes, edges = markup.decision_graph(f, "ns")
     assert {r.label for r in nodes.where("type = 'citation'").collect()} == {"Book A (1)", "[later]"}
     ends = {r.id for r in nodes.collect()}
@@ -105,26 +114,26 @@ def test_shorthand_files(spark):
     f = files(spark, x__fsh=FSH, m__fml="map", l__cql="library", q__json=json.dumps({"resourceType": "Questionnaire", "id": "q", "title": "A.B.1"}), r__json=json.dumps({"resourceType": "QuestionnaireResponse", "id": "no"}))
     inst = shorthand.instances(f)
     people = shorthand.personas(inst)
-    assert {(r.id, r.title, tuple(r.isco or ())) for r in people.collect()} == {("Nurse", 'Nurse "A"', ("2221", "3221", "2024")), ("Nobody", None, ())}
+    assert {(r.id, r.title, r.persona_type, tuple(r.isco)) for r in people.collect()} == {("Nurse", 'Nurse "A"', "person", ("2221", "3221"))}
     req = shorthand.requirements(inst)
-    assert {r.id: r.type for r in req.collect()} == {"REQ1": "functional-requirement", "REQ2": "non-functional-requirement"}
-    assert [(r.key, r.label, r.requirement, r.conformance) for r in shorthand.requirement_statements(req).orderBy("ordinal").collect()] == [("a", "A", "must weigh", "SHALL"), ("b", None, None, "SHOULD")]
+    assert {r.id: (r.type, r.capability, r.benefit) for r in req.collect()} == {"REQ1": ("functional-requirement", None, None), "REQ2": ("functional-requirement", "be fast", "time"), "REQ3": ("non-functional-requirement", None, None)}
+    assert [(r.key, r.label, r.requirement, r.conformance) for r in shorthand.requirement_statements(req).orderBy("ordinal").collect()] == [("a", "A", "must weigh", "SHALL")]
     assert {(r.actor, r.status, r.match) for r in shorthand.match_actors(req, people).collect()} == {("Nurse", "resolved", "Nurse"), ("Ghost", "unresolved", None)}
     plan = shorthand.expand_rulesets(inst.where("id = 'Plan'"), shorthand.rulesets(f), ["path", "id"])
     text = plan.first().block
     assert '* publisher = "Plan a, b"' in text and "* status = #draft" in text and "insert" not in text
-    assert [r.target for r in shorthand.canonical_refs(plan, ["id"]).collect()] == ["Lib"]
+    assert [(r.target, r.target_path) for r in shorthand.canonical_refs(plan, ["id"], "ns").collect()] == [("ns/Library/Lib", None), ("ns/ActivityDefinition/Act", "PlanDefinition.action.definitionCanonical")]
     assert [(r.citation, r.numbering) for r in shorthand.artifact_citations(plan, ["id"]).collect()] == [("Book A (1)", "1")]
     index = shorthand.artifact_index(f, "http://c")
-    assert {(r.type, r.id) for r in index.collect()} == {("actor-definition", "Nurse"), ("actor-definition", "Nobody"), ("requirements", "REQ1"), ("requirements", "REQ2"), ("plan-definition", "Plan"), ("value-set", "colours"), ("structure-map", "m"), ("cql-library", "l"), ("questionnaire", "q")}
-    linked = {r.canonical: (r.component_type, r.component_id) for r in shorthand.match_components(index).collect()}
-    assert linked["http://c/plan-definition/Plan"] == ("decision-support-logic", "DT.1") and linked["http://c/questionnaire/q"] == ("data-element", "A.B.1")
-    assert [r.type for r in shorthand.undecided_types(index).collect()] == ["cql-library"]
+    assert {(r.type, r.id) for r in index.collect()} == {("actor-definition", "Nurse"), ("actor-definition", "Nobody"), ("requirements", "REQ1"), ("plan-definition", "Plan"), ("value-set", "Colours"), ("structure-map", "m"), ("cql-library", "l"), ("questionnaire", "q")}
+    linked = {r.canonical: (r.component_type, r.component_id, r.component) for r in shorthand.match_components(index, "http://c").collect()}
+    assert linked == {"http://c/PlanDefinition/Plan": ("decision-support-logic", "DT.1", "http://c/decision-support-logic/dt-1")}
+    assert shorthand.undecided_types(index).collect() == []
     kits = spark.createDataFrame([("", "top"), ("a/b", "deep")], "folder string, id string")
     comps = spark.createDataFrame([("a/b/x.fsh", "p1", "personas"), ("c.fsh", "p2", "personas")], "path string, id string, qualifier string")
     assert {(r.kit, r.target) for r in shorthand.kit_membership(kits, comps).collect()} == {("deep", "p1"), ("top", "p2")}
     none = spark.createDataFrame([], "name string, status string")
-    w = shorthand.extraction_warnings(spark.createDataFrame([("http://example.org/x",)], "raw string"), spark.createDataFrame([("p", "T"), ("p", "T")], "path string, name string"), people, shorthand.match_actors(req, people), none, spark.createDataFrame([("t", 10, 1)], "table string, rules int, cited int"), "example.org")
+    w = shorthand.extraction_warnings(spark.createDataFrame([("http://example.org/x",)], "raw string"), spark.createDataFrame([("p", "T"), ("p", "T")], "path string, name string"), shorthand.actors(inst), shorthand.match_actors(req, people), none, spark.createDataFrame([("t", 10, 1)], "table string, rules int, cited int"), "example.org")
     assert {r.warning for r in w.collect()} == {"scheme rewritten", "task name is not unique", "actor without a title", "unknown actor", "few rules are cited"}
 
 
@@ -171,7 +180,15 @@ def test_text_functions(spark):
         ids.slug(F.col("a")).alias("slug"), ids.norm_text(F.col("a")).alias("norm"), (ids.norm_text(F.col("b")) == "é").alias("nfc"), ids.content_text(F.col("c"), F.col("a")).alias("content"), ids.content_text(F.col("c")).alias("none"),
         ids.publication_id(F.array(F.struct(F.lit("url").alias("type"), F.lit("https://a.b/c?x").alias("value")), F.struct(F.lit("isbn").alias("type"), F.lit("978-0x").alias("value"))), "n").alias("pub"), ids.num(F.lit(" 3.A 1*")).alias("num"), ids.decode_entities(F.lit("&amp;lt;")).alias("amp"),
     ).first()
-    assert tuple(row) == ("cafe-du-musee", "Café du Musée!", True, "Café du Musée!", None, "n/publication/isbn/9780X", "3.A-1", "&lt;")
+    assert tuple(row) == ("cafe-du-musee", "Café du Musée!", True, "Café du Musée!", None, "n/publication/isbn-9780X", "3.A-1", "&lt;")
+
+
+def test_ids_of_published_content(spark):
+    row = spark.range(1).select(
+        ids.publication_id(F.array(F.struct(F.lit("url").alias("type"), F.lit("https://www.books.example/a/b---c/?q=1").alias("value"))), "n").alias("url"), ids.publication_element_id(F.lit("p"), F.lit("Table 1"), F.lit("row 2"), F.lit("footnote a")).alias("cell"), ids.persona_id(F.lit("n"), F.lit("Data Clérk")).alias("persona"),
+        ids.health_intervention_id("n", F.lit("UHC x"), F.lit("a b.1")).alias("hi"), ids.remark_id(F.lit("r"), F.lit(1)).alias("remark"), ids.kit_namespace(F.lit("http://example.orgs/x/")).alias("other"), ids.kit_namespace(F.lit("http://example.org/x/bpmn/")).alias("own"),
+    ).first()
+    assert tuple(row) == ("n/publication/url-books-example-a-b-c", "p/element/table-1/row-2/footnote-a", "n/persona/data-clerk", "n/health-intervention/uhc-x-a-b.1", "r/remark/1", "http://example.orgs/x", "https://example.org/x")
 
 
 def test_questions(spark):
@@ -181,7 +198,7 @@ def test_questions(spark):
     want = {("r1", "visited", x) for x in ("r1", "r2", "r3")} | {("r1", "supersededBy", "r2"), ("r1", "supersededBy", "r3"), ("r1", "evidence", "ev"), ("r1", "outcome", "out"), ("r1", "implementedBy", "art"), ("r1", "citedBy", "c"), ("r1", "citedBy", "c0"), ("r1", "indicator", "ind"), ("ghost", "visited", "ghost")}
     assert {tuple(r) for r in questions.impact(nodes, edges, seeds).collect()} == want == {tuple(r) for r in questions.impact_of_all(edges, seeds).collect()}
     steps, ends = questions.resolve_citation(nodes, edges, spark.createDataFrame([("c1",), ("loop",), ("x",)], "seed string"))
-    assert [(r.seed, r.step, r.target) for r in steps.orderBy("seed", "step").collect()] == [("c1", 1, "c0"), ("c1", 2, "c"), ("c1", 3, "r1"), ("loop", 1, "loop2")]
+    assert [(r.seed, r.step, r.target) for r in steps.orderBy("seed", "step").collect()] == [("c1", 1, "c0"), ("c1", 2, "c"), ("c1", 3, "r1"), ("loop", 1, "loop2"), ("loop", 2, "loop")]
     assert {r.seed: r.target for r in ends.collect()} == {"c1": "r1", "loop": None, "x": None}
     assert {r.id for r in questions.uncovered(nodes, edges).collect()} == {"r1"}
     assert {(r.node, r.depth) for r in questions.dependents(edges, spark.createDataFrame([("out",)], "seed string"), ["forOutcome", "supportedBy"]).collect()} == {("ev", 1), ("r3", 2)}
