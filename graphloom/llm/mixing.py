@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm._shared import table, without
+from graphloom.llm._shared import on_plain_names, table
 from graphloom.llm._words_sql import word_count
 
 ADDED = ["size", "source_size", "target", "rate", "copies", "taken"]
@@ -35,24 +35,33 @@ def source_targets(sizes: DataFrame, source: str, weights: tuple[float, ...], sh
     return out.select(source, "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
+def _mixed(docs: DataFrame, key: str, text: str, source: str, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
+    docs = docs.withColumn("size", word_count(F.col(text)))
+    sizes = docs.groupBy(source).agg(F.sum("size").alias("source_size"))
+    targets = table(source_targets(sizes, source, weights, share, most).withColumnRenamed(source, "__source").coalesce(1))
+    out = docs.join(targets, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
+    whole = F.floor("rate")
+    out = out.withColumn("copies", (whole + F.when(draw(F.col(key)) < F.col("rate") - whole, 1).otherwise(0)).cast("long"))
+    return out.withColumn("taken", F.col("copies") * F.col("size"))
+
+
 def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """docs with size (words), source_size, target (words of the source), rate, copies and taken = copies * size.
 
     copies = floor(rate) + 1 with probability rate - floor(rate), drawn from the key alone, so reruns agree and
     rows with one key share a draw. Sources weigh `weights` in turn by code point, null last. Null texts have
     size 0. A source without words has rate 0. Documents are joined to one row a source, read from a written
-    table: Spark broadcasts it only if its known size allows that. Columns of docs named like an added one are replaced.
+    table: Spark broadcasts it only if its known size allows that. Columns of docs named like an added one are
+    replaced, others may have any name.
     """
-    docs = without(docs, ADDED).withColumn("size", word_count(F.col(text)))
-    sizes = docs.groupBy(source).agg(F.sum("size").alias("source_size"))
-    targets = table(source_targets(sizes, source, weights, share, most).withColumnRenamed(source, "__source").coalesce(1))
-    out = docs.join(targets, F.col(source).eqNullSafe(F.col("__source"))).drop("__source")
-    whole = F.floor("rate")
-    out = out.withColumn("copies", (whole + F.when(draw(F.col(key)) < F.col("rate") - whole, 1).otherwise(0)).cast("long"))
-    return out.withColumn("taken", F.col("copies") * F.col("size"))
+    return on_plain_names(docs, lambda d, k, t, s: _mixed(d, k, t, s, weights, share, most), key, text, source, added=ADDED)
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mix itself: each row of docs as often as its copies say, with the columns of docs as they are."""
 
+    def run(d: DataFrame, k: str, t: str, s: str) -> DataFrame:
+        out = _mixed(d, k, t, s, weights, share, most)
+        return out.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of docs as often as its copies say, with the columns of docs."""
-    out = mix_sources(docs, **options)
-    return out.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(docs.columns)
+    return on_plain_names(docs, run, key, text, source)
