@@ -2,9 +2,13 @@
 
 Rules look at one document each and vote good (1), bad (-1) or abstain (0). How far each can be trusted is
 not set by hand: expectation-maximisation over the counts of vote patterns estimates, for good and for bad
-documents, how often each rule that votes is right. An abstention tells nothing. Rules are held to be better
-than chance: a wrong bad vote is at most 1 % of the votes on good documents, and a right one at least 10 % of
-those on bad ones. A document's posterior probability of being good replaces the rule that all must pass. The patterns are at most 3 to the number of rules, whatever the corpus.
+documents, how often each rule that votes is right. An abstention tells nothing. The posterior probability of
+being good replaces the rule that all must pass. The patterns are at most 3 to the number of rules, whatever the corpus.
+
+The base rules decide what they decide: documents that fail them are rejected and not learnt from. Among the others
+estimation starts from "a bad vote makes a bad document likely", which fixes what the two classes stand for; no estimate
+is bounded after that. A smoothing prior worth 100 votes (one of them bad) for good documents and 2 votes (one bad) for
+bad ones keeps rules that never vote from deciding anything. What several thresholds on the same characters say is one vote.
 """
 
 from __future__ import annotations
@@ -14,15 +18,17 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm._shared import table, without
+from graphloom.llm._shared import on_plain_names, table
 from graphloom.llm._words_sql import count_of, word_array
 
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 ADDED = [*BASE, "base_failed", "posterior", "kept"]
-ROUNDS = 12
-WRONG_AT_MOST, RIGHT_AT_LEAST = 0.01, 0.1
+ROUNDS = 40
+GOOD_PRIOR, BAD_PRIOR = (1.0, 99.0), (1.0, 1.0)
+"""Smoothing: bad and good votes added to those counted on good documents, and on bad ones."""
+CLOSE = 1e-4
 
 
 def _per_word(n: str, bad: float, good: float) -> Column:
@@ -34,11 +40,10 @@ def rules() -> dict[str, Column]:
     """Name and vote of each rule, over the columns that measured() adds."""
     mean = F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1))
     variety = F.col("__distinct") / F.greatest(F.col("n_words"), F.lit(1))
+    words = F.greatest(F.col("n_words"), F.lit(1))
+    flooded = (F.col("n_symbols") > 0.1 * words) | (F.col("n_symbols") > 0.1 * F.col("word_chars")) | (F.col("__pipes") > 0.15 * words)
     return {
-        "symbols": _per_word("n_symbols", 0.1, 0.01),
-        "symbol_flood": _per_word("n_symbols", 0.5, 0.1),
-        "symbol_share": F.when(F.col("n_symbols") > 0.1 * F.col("word_chars"), -1).when(F.col("n_symbols") <= 0.02 * F.col("word_chars"), 1).otherwise(0),
-        "pipes": _per_word("__pipes", 0.15, 0.0),
+        "symbols": F.when(flooded, -1).when((F.col("n_symbols") <= 0.01 * words) & (F.col("__pipes") == 0), 1).otherwise(0),
         "shouting": _per_word("__bangs", 0.2, 0.02),
         "capitals": F.when(F.col("__upper") > 0.4 * F.col("word_chars"), -1).when(F.col("__upper") <= 0.15 * F.col("word_chars"), 1).otherwise(0),
         "repeats": _per_word("n_repeat_words", 0.2, 0.0),
@@ -96,7 +101,10 @@ def _posterior(model: dict | None, names: list[str]) -> Column:
 
 
 def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict | None:
-    """{prior, votes: {rule: (share of bad votes on good documents, and on bad ones)}} from rows of votes and n."""
+    """{prior, votes: {rule: (share of bad votes on good documents, and on bad ones)}} from rows of votes and n; None without rows.
+
+    Ends after so many rounds, or when no share moves by more than CLOSE.
+    """
     model = None
     for _ in range(rounds):
         good, bad = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
@@ -108,28 +116,27 @@ def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict | N
         r = patterns.withColumn("p", _posterior(model, names)).agg(*sums).first()
         if r["good"] is None:
             return None
-        share = lambda j, kind: (r[f"{kind}_down{j}"] + 0.5) / (r[f"{kind}_down{j}"] + r[f"{kind}_up{j}"] + 1)
-        model = {
-            "prior": min(max(r["good"] / (r["good"] + r["bad"]), 1e-6), 1 - 1e-6),
-            "votes": {n: (min(share(j, "good"), WRONG_AT_MOST), max(share(j, "bad"), RIGHT_AT_LEAST)) for j, n in enumerate(names)},
-        }
+        share = lambda j, kind, prior: (r[f"{kind}_down{j}"] + prior[0]) / (r[f"{kind}_down{j}"] + r[f"{kind}_up{j}"] + sum(prior))
+        last, model = model, {"prior": (r["good"] + 1) / (r["good"] + r["bad"] + 2), "votes": {n: (share(j, "good", GOOD_PRIOR), share(j, "bad", BAD_PRIOR)) for j, n in enumerate(names)}}
+        if last and max(abs(x - y) for n in names for x, y in zip(last["votes"][n], model["votes"][n], strict=True)) < CLOSE:
+            break
     return model
 
 
-def _votes(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
-    whole = measured(without(docs, ADDED), text)
-    return whole.select(*[F.col(f"`{c}`") for c in carry], *BASE, *[v.cast("byte").alias(f"__vote_{n}") for n, v in rules().items()])
+def _failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def _fitted(votes: DataFrame) -> dict | None:
-    names = [f"__vote_{n}" for n in rules()]
-    return fit(table(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1)), list(rules()))
+def _votes(docs: DataFrame, text: str, carry: list[Column]) -> DataFrame:
+    return measured(docs, text).select(*carry, *BASE, *[v.cast("byte").alias(f"__vote_{n}") for n, v in rules().items()])
 
 
-def _judged(votes: DataFrame, model: dict | None, threshold: float) -> DataFrame:
+def _judged(votes: DataFrame, threshold: float) -> DataFrame:
+    """votes, which are read twice, with base_failed, posterior and kept."""
     names = list(rules())
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    out = votes.withColumn("base_failed", failed).withColumn("posterior", _posterior(model, names))
+    patterns = votes.where(~_failed()).groupBy(*[f"__vote_{n}" for n in names]).agg(F.count("*").alias("n"))
+    model = fit(table(patterns.coalesce(1)), names)
+    out = votes.withColumn("base_failed", _failed()).withColumn("posterior", _posterior(model, names))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)).drop(*[f"__vote_{n}" for n in names])
 
 
@@ -137,23 +144,29 @@ def quality_rules(docs: DataFrame, text: str = "text", carry: list[str] | None =
     """docs (or the columns in carry) with the base measures, base_failed, posterior and kept.
 
     base_failed: fewer than 10 words, or over 20 % of the words in 5-word windows found twice or more. kept:
-    not base_failed and a posterior of at least the threshold. Null text counts as empty and fails. Repeated
-    rows are judged alike, one by one. Columns of docs named like an added one are replaced. A table without
-    rows gives none. With carry the measures are written once to the shared folder beside those columns;
-    without it they are taken twice, so that no second copy of the texts is written.
+    not base_failed and a posterior of at least the threshold. Null text counts as empty and fails. Texts are read
+    whole, of any length; repeated rows are judged alike, one by one. Columns of docs named like an added one are
+    replaced, others may have any name. A table without rows gives none. Measures are taken once and written to the
+    shared folder beside the columns that are carried.
     """
-    if carry is None:
-        model = _fitted(_votes(docs, text, []))
-        return _judged(_votes(docs, text, [c for c in docs.columns if c.lower() not in ADDED]), model, threshold)
-    votes = table(_votes(docs, text, [c for c in carry if c.lower() not in ADDED]))
-    return _judged(votes, _fitted(votes), threshold)
+    names = [c for c in (docs.columns if carry is None else carry) if c.lower() not in ADDED]
+    places = {n: f"c{i}" for i, n in enumerate(docs.columns)}
+    plain = docs.toDF(*places.values())
+    votes = table(_votes(plain, places[text], [F.col(places[n]) for n in names]))
+    return _judged(votes, threshold).select(*[places[n] for n in names], *ADDED).toDF(*names, *ADDED)
 
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of docs, with its columns, that quality_rules() keeps.
 
-    The row number, which no optimiser may move a filter past, keeps the measures out of the filter: there they
-    would be worked out again for each of its many mentions.
+    Measures are taken once and written without the texts; what is rejected is told by the MD5 of the text, which is all
+    that a judgement hangs on. Rows with a null text are rejected.
     """
-    judged = quality_rules(docs, text, threshold=threshold).withColumn("__row", F.monotonically_increasing_id())
-    return judged.where("kept AND __row >= 0").select(docs.columns)
+    md5 = lambda c: F.md5(F.col(c).cast("binary"))
+
+    def run(plain: DataFrame, t: str) -> DataFrame:
+        judged = _judged(table(_votes(plain.where(F.col(t).isNotNull()), t, [md5(t).alias("__md5")])), threshold)
+        rejected = table(judged.where("NOT kept").select("__md5").distinct())
+        return plain.where(F.col(t).isNotNull()).withColumn("__md5", md5(t)).join(rejected, "__md5", "left_anti").drop("__md5")
+
+    return on_plain_names(docs, run, text)
