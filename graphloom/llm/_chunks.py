@@ -7,7 +7,8 @@ The chunk then works out its items again and reads the answers off by position.
 
 A hash reaches a bucket once per chunk at most, however many documents of the chunk hold it: hot lines,
 passages and groups of copies are summed before the shuffle. Chunks and buckets grow in number with the
-text, so a task holds about 8 MB of text or the hashes of as much, at any input size.
+text, so a task holds about 8 MB of text or the hashes of as much; beyond MOST_TASKS tasks (some 400 GB of text) both grow in
+size instead, chunks up to 64 MB, so that the packed rows (chunks times buckets) stay long: at 100 TB about a thousand bytes each.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from graphloom.session import ship
 
 CHUNK_BYTES = 4 << 20
 TASK_BYTES = 8 << 20
+MOST_CHUNK_BYTES, MOST_TASKS = 64 << 20, 50_000
 ASK = "__bucket int, __chunk long, __n int, __asked binary"
 ANSWER = "__chunk long, __bucket int, __answer binary"
 
@@ -37,8 +39,9 @@ class Chunked:
         ship(spark)
         size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
         most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.tasks = max(-(-size // TASK_BYTES), min(most, -(-size // (1 << 20))), 1)
-        self.chunks = max(-(-size // CHUNK_BYTES), self.tasks)
+        self.tasks = min(max(-(-size // TASK_BYTES), min(most, -(-size // (1 << 20))), 1), MOST_TASKS)
+        chunk = max(CHUNK_BYTES, min(MOST_CHUNK_BYTES, CHUNK_BYTES * size // (MOST_TASKS * TASK_BYTES)))
+        self.chunks = max(-(-size // chunk), self.tasks)
         self.docs = docs.withColumn("__chunk", F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(self.chunks))).repartition(self.tasks, "__chunk")
         self.schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
@@ -185,3 +188,25 @@ def total(counts: np.ndarray, order: np.ndarray, starts: np.ndarray, number: np.
         return np.zeros(0, np.uint8)
     sums = np.add.reduceat(counts[order].astype(np.int64), starts)
     return np.minimum(sums, 255).astype(np.uint8)[number]
+
+
+def counted_pairs(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted unique pairs of hashes (as two arrays), how often each occurs, up to 255, and the number of the pair of each item."""
+    order = np.lexsort((two, one))
+    a, b = one[order], two[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(new)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return a[at], b[at], np.minimum(np.diff(np.append(at, len(order))), 255).astype(np.uint8), place
+
+
+def by_pairs(number: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, starts, number) of asked hashes told apart by a second hash too, from the number of the first."""
+    order = np.lexsort((two, number))
+    new = np.ones(len(order), bool)
+    new[1:] = (number[order[1:]] != number[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), out

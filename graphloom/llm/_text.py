@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93}
+_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93, "again": 0xA24BAED4963EE407}
 _SLICE = 1 << 20
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -101,10 +101,12 @@ def words(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
-def span_hashes(items: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of items[start:end] for each span of 64-bit items."""
+def span_hashes(items: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: str = "word") -> np.ndarray:
+    """A hash of items[start:end] for each span of 64-bit items; kind "again" gives one that is independent of the first."""
     n = len(items)
-    p, q = powers("word", n + 1)
+    if kind == "again":
+        items = mix(items + np.uint64(_BASES["again"]))
+    p, q = powers(kind, n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(items * p[:n], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(np.uint64))

@@ -2,9 +2,10 @@
 
 Of every w consecutive lines (lines without a word are passed over), the one with the least hash is a
 fingerprint. Any run of w lines that stands in two places has the same fingerprint in both, so fingerprints
-that occur once rule out all windows they stand for. The others are joined by hash and extended both ways:
-all w-line windows that a hit stands for are compared whole, and every window that has an earlier occurrence
-is marked; overlapping marked windows make up the maximal repeated run, which is deleted.
+that occur once rule out all windows they stand for. The others are joined by position: each place of a window around
+a fingerprint gets the first place in the corpus where the same window stands (document and line), by 128 bits. Windows that
+lie next to each other and whose first places do too are one match, extended up and down as far as that goes; what lies
+in matches with an earlier place is deleted. No pairs are formed within a group: each place is joined to the first only.
 
 With a bound by content (`words`) every line is a fingerprint (a window of one), and the windows compared whole
 are those of fewer lines that hold so many words, those of w lines, and short texts as wholes.
@@ -16,14 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from graphloom.llm._chunks import Chunked, counted, total
+from graphloom.llm._chunks import Chunked, by_pairs, counted, total
 from graphloom.llm._shared import without
 from graphloom.llm._text import Words, span_hashes
 
 WHOLE = np.uint64(0x94D049BB133111EB)
 """Sets the hash of a whole text apart from that of the same lines within one."""
 
-ADDED = "n_lines long, n_removed_lines long, kept_text string, removed_lines array<long>"
+ADDED = "n_lines long, n_removed_lines long, kept_text string, removed_lines array<long>, matches array<struct<line:long,lines:long,first_key:long,first_line:long>>"
+MATCH = pa.list_(pa.struct([("line", pa.int64()), ("lines", pa.int64()), ("first_key", pa.int64()), ("first_line", pa.int64())]))
+FIRST = np.dtype([("here", "u1"), ("key", "<i8"), ("line", "<i8")])
+"""What a window is told: whether its chunk has the first place, and where that is."""
 
 
 class _Lines:
@@ -72,17 +76,18 @@ class _Lines:
         lengths = np.concatenate(lengths)
         return np.concatenate(starts), lengths, np.arange(len(lengths)) >= len(lengths) - np.count_nonzero(short)
 
-    def opened(self, w: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first line, number of lines, hash) of the windows that may stand in two places."""
+    def opened(self, w: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first line, number of lines, hash, second hash) of the windows that may stand in two places."""
         index = np.unique(self.mark)
         if self.least is not None:
             at, length, whole = self.spans(w)
             missed = np.concatenate(([0], np.cumsum(hit[np.searchsorted(index, self.mark)] == 0))) if len(index) else np.zeros(1, np.int64)
             some = missed[at + length] == missed[at]
             at, length, whole = at[some], length[some], whole[some]
-            return at, length, span_hashes(self.hashes, at, at + length) ^ np.where(whole, WHOLE, np.uint64(0))
+            apart = np.where(whole, WHOLE, np.uint64(0))
+            return at, length, span_hashes(self.hashes, at, at + length) ^ apart, span_hashes(self.hashes, at, at + length, "again") ^ apart
         at = self.windows[hit[np.searchsorted(index, self.mark)].astype(bool)] if len(index) else self.windows
-        return at, np.full(len(at), w), span_hashes(self.hashes, at, at + w)
+        return at, np.full(len(at), w), span_hashes(self.hashes, at, at + w), span_hashes(self.hashes, at, at + w, "again")
 
     def fingerprints(self, w: int) -> np.ndarray:
         """Hashes of the selected lines, one for each place."""
@@ -101,9 +106,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
     from 0 among all lines). Null texts have no lines and a null kept_text; texts with fewer than `run` lines
     are left alone unless `words` is given. Then a run of fewer lines is deleted too if it holds `words` or more
     words and stands earlier, and so is a text of fewer lines and words if an earlier text has just its lines. Among rows with one key the earlier is a matter of their text's hash. Columns of docs that
-    have the name of an added one are replaced.
+    have the name of an added one are replaced; others may have any name that does not begin with two underscores. Texts are
+    read whole, of any length. A null key is given as the largest integer in matches.
     """
-    docs = without(docs, ["n_lines", "n_removed_lines", "kept_text", "removed_lines"])
+    docs = without(docs, ["n_lines", "n_removed_lines", "kept_text", "removed_lines", "matches"])
     corpus = Chunked(docs, key, text)
     last = np.iinfo(np.int64).max
 
@@ -121,39 +127,60 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
     def joined(order, starts, number, columns) -> np.ndarray:
         return (total(columns[0], order, starts, number) > 1).astype(np.uint8)
 
-    def firsts(t: pa.Table, lines: _Lines, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted unique hashes, and the first window with each."""
-        by = np.lexsort((lines.number[at], places(t)[lines.doc[at]], hashes))
+    def firsts(t: pa.Table, lines: _Lines, at: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted unique pairs of hashes, the first window with each, and the number of each window's pair."""
+        by = np.lexsort((lines.number[at], places(t)[lines.doc[at]], two, one))
         new = np.ones(len(by), bool)
-        new[1:] = hashes[by[1:]] != hashes[by[:-1]]
-        return hashes[by[new]], at[by[new]]
+        new[1:] = (one[by[1:]] != one[by[:-1]]) | (two[by[1:]] != two[by[:-1]])
+        number = np.empty(len(by), np.int64)
+        number[by] = np.cumsum(new) - 1
+        return one[by[new]], two[by[new]], at[by[new]], number
 
     def ask_runs(t: pa.Table, hit: np.ndarray) -> tuple:
         t = ordered(t)
         lines = _Lines(t[text], run, words)
-        at, _, hashes = lines.opened(run, hit)
-        hashes, first = firsts(t, lines, at, hashes)
+        at, _, one, two = lines.opened(run, hit)
+        one, two, first, _ = firsts(t, lines, at, one, two)
         chunk = t["__chunk"][0].as_py()
-        return hashes, [places(t)[lines.doc[first]], np.full(len(first), chunk, np.int64)]
+        return one, [places(t)[lines.doc[first]], np.full(len(first), chunk, np.int64), lines.number[first].astype(np.int64), two]
 
-    def earliest(order, starts, number, columns) -> np.ndarray:
-        """1 where no other chunk has the run under a lower key."""
+    def joined_places(order, starts, number, columns) -> np.ndarray:
+        """For each window, the first place in the corpus where it stands: by key, then chunk, then line."""
         if not len(order):
-            return np.zeros(0, np.uint8)
-        place, chunk = columns
-        first = np.minimum.reduceat(place[order], starts)[number]
-        least = np.minimum.reduceat(np.where(place == first, chunk, last)[order], starts)[number]
-        return ((place == first) & (chunk == least)).astype(np.uint8)
+            return np.zeros(0, FIRST)
+        place, chunk, line, two = columns
+        _, _, number = by_pairs(number, two)
+        by = np.lexsort((line, chunk, place, number))
+        head = np.ones(len(by), bool)
+        head[1:] = number[by[1:]] != number[by[:-1]]
+        first = by[head][number]
+        out = np.zeros(len(order), FIRST)
+        out["here"], out["key"], out["line"] = (place == place[first]) & (chunk == chunk[first]), place[first], line[first]
+        return out
+
+    def matches_of(lines: _Lines, at: np.ndarray, length: np.ndarray, told: np.ndarray) -> list[list[dict]]:
+        """Windows with an earlier place, put together: next to each other here and there, they are one match."""
+        out: list[list[dict]] = [[] for _ in range(lines.texts)]
+        for i in np.lexsort((length, at)).tolist():
+            d, line, size = int(lines.doc[at[i]]), int(lines.number[at[i]]), int(length[i])
+            end = int(lines.number[at[i] + size - 1]) + 1
+            last = out[d][-1] if out[d] else None
+            same = last and last["first_key"] == int(told["key"][i]) and line - last["line"] == int(told["line"][i]) - last["first_line"] and line <= last["line"] + last["lines"]
+            if same:
+                last["lines"] = max(last["lines"], end - last["line"])
+            else:
+                out[d].append({"line": line, "lines": end - line, "first_key": int(told["key"][i]), "first_line": int(told["line"][i])})
+        return out
 
-    def cut(t: pa.Table, hit: np.ndarray, keeps: np.ndarray) -> pa.Table:
+    def cut(t: pa.Table, hit: np.ndarray, first_places: np.ndarray) -> pa.Table:
         t = ordered(t)
         lines = _Lines(t[text], run, words)
-        at, length, hashes = lines.opened(run, hit)
-        index, first = firsts(t, lines, at, hashes)
-        if len(index):
-            spot = np.searchsorted(index, hashes)
-            later = ~(keeps[spot].astype(bool) & (first[spot] == at))
-            at, length = at[later], length[later]
+        at, length, one, two = lines.opened(run, hit)
+        told = first_places.view(FIRST)
+        _, _, first, number = firsts(t, lines, at, one, two)
+        told = told[number]
+        later = ~(told["here"].astype(bool) & (first[number] == at)) if len(at) else np.zeros(0, bool)
+        at, length, told = at[later], length[later], told[later]
         depth = np.zeros(len(lines.hashes) + 1, np.int64)
         np.add.at(depth, at, 1)
         np.add.at(depth, at + length, -1)
@@ -165,10 +192,10 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
             numbers.append(sorted(drop))
             kept.append(whole if not drop else "\n".join(x for i, x in enumerate(whole.split("\n")) if i not in drop))
         out = t.drop_columns(["__chunk"])
-        for name, values, kind in (("n_lines", np.diff(lines.first), pa.int64()), ("n_removed_lines", [len(x) for x in numbers], pa.int64()), ("kept_text", kept, pa.string()), ("removed_lines", numbers, pa.list_(pa.int64()))):
+        for name, values, kind in (("n_lines", np.diff(lines.first), pa.int64()), ("n_removed_lines", [len(x) for x in numbers], pa.int64()), ("kept_text", kept, pa.string()), ("removed_lines", numbers, pa.list_(pa.int64())), ("matches", matches_of(lines, at, length, told), MATCH)):
             out = out.append_column(name, pa.array(values, kind))
         return out
 
     hits = corpus.answers(corpus.ask(ask_marks), joined, ["uint8"])
-    keeps = corpus.answers(corpus.ask(ask_runs, hits), earliest, ["int64", "int64"])
-    return corpus.work(cut, f"{corpus.schema}, {ADDED}", hits, keeps)
+    first_places = corpus.answers(corpus.ask(ask_runs, hits), joined_places, ["int64", "int64", "int64", "uint64"])
+    return corpus.work(cut, f"{corpus.schema}, {ADDED}", hits, first_places)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from graphloom.llm._chunks import SHORT, Chunked, counted, total
+from graphloom.llm._chunks import SHORT, Chunked, by_pairs, counted, counted_pairs, total
 from graphloom.llm._shared import without
 from graphloom.llm._text import Words, span_hashes
 
@@ -31,15 +31,15 @@ def _anchors(w: Words, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rolling, at[is_block], rolling[is_block]
 
 
-def _open_windows(w: Words, window: int, block: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows whose block is a hit, and their hashes."""
+def _open_windows(w: Words, window: int, block: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows whose block is a hit, and two hashes of each, 128 bits in all."""
     _, at, anchors = _anchors(w, block)
     found = np.zeros(len(w.starts), bool)
     index = np.unique(anchors)
     found[at] = hit[np.searchsorted(index, anchors)].astype(bool) if len(index) else False
     starts = w.windows(window)
     starts = starts[found[starts + (-w.place(starts)) % block]] if len(starts) else starts
-    return starts, span_hashes(w.hashes, starts, starts + window)
+    return starts, span_hashes(w.hashes, starts, starts + window), span_hashes(w.hashes, starts, starts + window, "again")
 
 
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 35) -> DataFrame:
@@ -49,7 +49,8 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     end excluded). Windows are judged on the input; all copies go, the first included. Null and empty texts
     have no words; texts of fewer than `window` words are never touched. Rows with the same key, or a null
     key, are separate documents. Columns of docs that have the name of an added one are replaced.
-    Hashes of whole windows have 64 bits; index and probe hashes have 48 and only rule windows out.
+    Whole windows are compared by 128 bits; index and probe hashes have 48 and only rule windows out. Texts are read whole,
+    of any length; other columns of docs may have any name that does not begin with two underscores.
     """
     if window < 1 or window % 2 == 0:
         raise ValueError("window must be odd")
@@ -68,18 +69,19 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         return ((total(counts, order, starts, number) > 1) & (held > 0)).astype(np.uint8)
 
     def ask_windows(t: pa.Table, hit: np.ndarray) -> tuple:
-        _, hashes = _open_windows(Words(t[text]), window, block, hit)
-        hashes, counts = counted(hashes)
-        return hashes, [counts]
+        _, one, two = _open_windows(Words(t[text]), window, block, hit)
+        one, two, counts, _ = counted_pairs(one, two)
+        return one, [counts, two]
 
     def repeated(order, starts, number, columns) -> np.ndarray:
-        return (total(columns[0], order, starts, number) > 1).astype(np.uint8)
+        counts, two = columns
+        return (total(counts, *by_pairs(number, two)) > 1).astype(np.uint8)
 
     def cut(t: pa.Table, hit: np.ndarray, again: np.ndarray) -> pa.Table:
         w = Words(t[text])
-        starts, hashes = _open_windows(w, window, block, hit)
-        index = np.unique(hashes)
-        starts = starts[again[np.searchsorted(index, hashes)].astype(bool)] if len(index) else starts
+        starts, one, two = _open_windows(w, window, block, hit)
+        if len(starts):
+            starts = starts[again[counted_pairs(one, two)[3]].astype(bool)]
         depth = np.zeros(len(w.starts) + 1, np.int64)
         np.add.at(depth, starts, 1)
         np.add.at(depth, starts + window, -1)
@@ -101,5 +103,5 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
         return out
 
     hits = corpus.answers(corpus.ask(ask_blocks), indexed_and_probed, ["48", "uint8", "flag"])
-    again = corpus.answers(corpus.ask(ask_windows, hits), repeated, ["uint8"])
+    again = corpus.answers(corpus.ask(ask_windows, hits), repeated, ["uint8", "uint64"])
     return corpus.work(cut, f"{corpus.schema}, {ADDED}", hits, again)
