@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm._chunks import SHORT, Chunked, counted, total
-from graphloom.llm._shared import table
+from graphloom.llm._shared import on_plain_names, table
 from graphloom.llm._text import Words, mix, span_hashes
 from graphloom.llm.components import components
 from graphloom.session import ship
@@ -90,9 +90,14 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     distinct `size`-word shingles; a text with fewer words is one shingle of its own kind. component_id is the
     least key reachable by links, the row's own included. Null and empty texts have no shingles and no links.
     Rows with a null key link like others but give no component_id; those linked with null keys alone get null.
-    text_md5 tells rows of one key apart. Other columns of docs are not returned.
+    text_md5 tells rows of one key apart. Other columns of docs are not returned and may have any name. Texts are read whole, of any length.
     """
-    slim = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.md5(F.col(text).cast("binary")).alias("text_md5"))
+    return _linked(docs, key, text, size, percent).drop("class").withColumnRenamed("key", key)
+
+
+def _linked(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
+    """key, text_md5, n_shingles, component_id and class (a name that rows linked with each other share)."""
+    slim = docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text"), F.md5(F.col(f"`{text}`").cast("binary")).alias("text_md5"))
     corpus = Chunked(slim, "__key", "__text")
 
     def distinct_sets(t: pa.Table) -> tuple[list[np.ndarray], list[str | None], list[int]]:
@@ -132,7 +137,7 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     counts = corpus.answers(corpus.ask(ask), answer, ["48", "uint8"])
     profile = table(corpus.work(keep, f"key {kind}, text_md5 string, n_shingles long, set string, tokens binary, prefix array<long>, least long, score double", counts))
     sets = table(profile.where("tokens IS NOT NULL").select("set", F.col("n_shingles").alias("n"), "tokens", "prefix", "least", "score").dropDuplicates(["set"]))
-    return _labelled(profile, _classes(sets, percent)).withColumnRenamed("key", key)
+    return _labelled(profile, _classes(sets, percent))
 
 
 def _classes(sets: DataFrame, percent: int) -> DataFrame:
@@ -199,29 +204,37 @@ def _classes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _labelled(profile: DataFrame, classes: DataFrame) -> DataFrame:
-    """component_id for each row of profile. Counts by set first, so that a large class stays one row per set."""
+    """component_id and class for each row of profile. Counts by set first, so that a large class stays one row per set; classes are
+    joined to their least key as a written table, which is one row a class of several sets."""
     least = profile.where("set IS NOT NULL").groupBy("set").agg(F.min("key").alias("first"))
     placed = table(least.join(classes, "set", "left").select("set", "first", F.coalesce("class", "set").alias("class")))
-    lowest = placed.groupBy("class").agg(F.min("first").alias("component_id"))
-    labels = placed.join(lowest, "class").select("set", "component_id")
+    several = placed.where("set <> class").select("class").distinct()
+    lowest = table(placed.join(several, "class", "left_semi").groupBy("class").agg(F.min("first").alias("lowest")))
+    labels = placed.join(lowest, "class", "left").select("set", "class", F.coalesce("lowest", "first").alias("component_id"))
     out = profile.select("key", "text_md5", "n_shingles", "set").join(labels, "set", "left")
-    return out.select("key", "text_md5", "n_shingles", F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("key", "text_md5", "n_shingles", F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"), "class")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each class: that with the least key (null last), then the least text_md5.
+    """docs, its columns as they are, with one row of each class: that with the least key (null last), then the least MD5 of the text, then of the whole row.
 
-    Rows without words, and those that are in no class with others, stay; of wholly repeated rows (same key and
-    text) one stays.
+    Rows without words stay, as do those that are in no class with others; of wholly repeated rows with words one stays.
+    That row is the one whose key is the class's component_id, so no class is gathered or joined to its rows.
     """
-    linked = link_documents(docs, key, text)
-    row = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.coalesce("text_md5", F.lit("")).alias("md5"))
-    named = linked.where("n_shingles > 0")
-    rows = named.groupBy(key, "text_md5").agg(F.first("component_id").alias("component_id"), F.count("*").alias("same"))
-    best = rows.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min(row).alias("r"))
-    kept = table(rows.join(best, "component_id", "left").where(f"component_id IS NULL OR (`{key}` <=> r.key AND coalesce(text_md5, '') = r.md5)").select(F.col(key).alias("__key"), F.col("text_md5").alias("__md5"), "same"))
-    marked = docs.withColumn("__md5", F.md5(F.col(text).cast("binary")))
-    joined = marked.join(kept, F.col(key).eqNullSafe(F.col("__key")) & (marked["__md5"] == kept["__md5"])).drop("__key", kept["__md5"])
-    once = joined.where("same = 1").unionByName(joined.where("same > 1").dropDuplicates([key, "__md5"]))
-    bare = docs.where(F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]"))
-    return once.select(docs.columns).unionByName(bare)
+
+    def run(plain: DataFrame, k: str, t: str) -> DataFrame:
+        linked = _linked(plain, k, t, 5, 75).where("n_shingles > 0")
+        named = linked.where(F.col("key") == F.col("component_id")).groupBy("key", "class").agg(F.min("text_md5").alias("md5")).select("key", "md5")
+        nameless = linked.where("component_id IS NULL").groupBy("class").agg(F.min("text_md5").alias("md5")).select(F.lit(None).cast(linked.schema["key"].dataType).alias("key"), "md5")
+        kept = table(named.unionByName(nameless).distinct().withColumnsRenamed({"key": "__key", "md5": "__kept"}))
+        marked = plain.where(F.col(t).isNotNull()).withColumn("__md5", F.md5(F.col(t).cast("binary")))
+        held = marked.join(kept, F.col(k).eqNullSafe(F.col("__key")) & (F.col("__md5") == F.col("__kept"))).drop("__kept", "__key").withColumn("__row", F.md5(F.to_json(F.struct(*plain.columns))))
+        first = held.groupBy(k, "__md5").agg(F.min("__row").alias("__first"), F.count("*").alias("__n"))
+        again = table(first.where("__n > 1").select(F.col(k).alias("__key"), F.col("__md5").alias("__kept"), "__first"))
+        once = held.join(again, F.col(k).eqNullSafe(F.col("__key")) & (F.col("__md5") == F.col("__kept")), "left")
+        single = once.where("__first IS NULL").select(plain.columns)
+        several = once.where("__row = __first").dropDuplicates([k, "__md5"]).select(plain.columns)
+        bare = plain.where(F.col(t).isNull() | ~F.col(t).rlike(r"[^\x20\x09-\x0D]"))
+        return single.unionByName(several).unionByName(bare)
+
+    return on_plain_names(docs, run, key, text)
