@@ -2,9 +2,11 @@
 
 The model is linear over measures of a text. Its risk is prior * (loss of positives as positive) +
 max(0, loss of unlabelled as negative - prior * loss of positives as negative): the second part estimates the
-risk on negatives without having any, and cannot fall below zero. The class prior is estimated from the share
-of positives among the rows that may be learnt from. Measures of all texts are taken on Spark and written; the
-fit sees a bounded sample of them; all texts are scored by Spark expressions.
+risk on negatives without having any, and cannot fall below zero. The class prior is estimated from positives and
+unlabelled rows alone: no part of the text space can hold a larger share of the positives than the prior lets it hold of
+all rows, so the least ratio of the two shares over the top scores of a first model, taken on rows it did not see, is the
+prior. Measures of all texts are taken on Spark and written; the fit sees a bounded sample of them; all texts are
+scored by Spark expressions.
 """
 
 from __future__ import annotations
@@ -98,9 +100,30 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return w[:-1] / scale, float(w[-1] - (w[:-1] / scale) @ mean)
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
+    """Share of positives among the unlabelled rows: the least, over thresholds, of the share of unlabelled rows above by that of positives.
+
+    Each half of the rows is scored by a model fit on the other. The threshold is chosen with a margin for chance (delta), so
+    that few rows decide nothing; it lies between 1 % and 99 %.
+    """
+    found = []
+    for i in (0, 1):
+        p, u, p2, u2 = positive[i::2], unlabelled[i::2], positive[1 - i :: 2], unlabelled[1 - i :: 2]
+        if min(len(p), len(u), len(p2), len(u2)) == 0:
+            continue
+        w, b = fit(p, u, 0.5)
+        sp, su = np.sort(p2 @ w + b), np.sort(u2 @ w + b)
+        at = np.unique(sp)
+        above_p, above_u = 1 - np.searchsorted(sp, at) / len(sp), 1 - np.searchsorted(su, at) / len(su)
+        margin = np.sqrt(np.log(4 / delta) / 2 / len(su)) + np.sqrt(np.log(4 / delta) / 2 / len(sp))
+        k = int(np.argmin((above_u + margin) / above_p))
+        found.append(above_u[k] / above_p[k])
+    return float(min(max(np.mean(found), 0.01), 0.99)) if found else 0.5
+
+
 def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     ship(docs.sparkSession)
-    slim = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    slim = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,23 +135,33 @@ def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
     return slim.mapInArrow(run, f"key {slim.schema['key'].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in FEATURES))
 
 
+def sampled(rows: DataFrame, most: int) -> np.ndarray:
+    """FEATURES of about `most` distinct keys of rows at the most: those whose hash lies below a threshold that a count sets, the least first.
+
+    The filter runs where the rows are; only what it leaves, one row a key, goes to the driver.
+    """
+    n = rows.count()
+    if n > most:
+        rows = rows.where(F.xxhash64("key").cast("double") < F.lit(-(2.0**63) + 2.0**64 * most / n))
+    few = rows.dropDuplicates(["key"]).orderBy(F.xxhash64("key"), "key").limit(most)
+    return np.array(few.select(*FEATURES).toPandas(), float).reshape(-1, len(FEATURES))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, threshold: float = 0.7) -> DataFrame:
     """One row per row of docs: key, held_out, score (0 to 1) and predicted (1 at the threshold or above).
 
     Learns from rows that are not held out: at most `sample` positives and `sample` unlabelled ones, the first by
-    a hash of the key. A key with several labels counts as positive if any is. Labels, keys and other columns
-    are never inputs of a score: equal texts score alike, empty and null ones too. Without positives or text to
-    learn from all scores are 0.5.
+    a hash of the key, each key once. A key with several labels counts as positive if any is; other labels are not used.
+    Labels, keys and other columns are never inputs of a score: equal texts score alike, empty and null ones too. Texts are
+    read whole, of any length. Without positives or text to learn from all scores are 0.5. Other columns of docs are not
+    returned and may have any name.
     """
     rows = table(measured(docs, key, text).withColumn("held_out", held_out(F.col("key"))))
-    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    open_rows = rows.where(~F.col("held_out"))
-    learn = open_rows.join(known, "key")
-    first = F.xxhash64("key"), F.col("key")
-    positive = np.array(learn.where("y = 1").orderBy(*first).limit(sample).select(*FEATURES).toPandas(), float)
-    unlabelled = np.array(open_rows.orderBy(*first).limit(sample).select(*FEATURES).toPandas(), float)
-    prior = learn.agg(F.avg(F.col("y").cast("double"))).first()[0]
-    weights, bias = (np.zeros(len(FEATURES)), 0.0) if not len(positive) or not len(unlabelled) else fit(positive, unlabelled, min(max(prior, 0.01), 0.99))
+    good = labels.where(F.col(f"`{label}`").cast("int") == 1).select(F.col(f"`{key}`").alias("key")).where("key IS NOT NULL").distinct()
+    open_rows = rows.where("NOT held_out AND key IS NOT NULL")
+    positive, unlabelled = sampled(open_rows.join(good, "key", "left_semi"), sample), sampled(open_rows, sample)
+    learn = len(positive) and len(unlabelled)
+    weights, bias = fit(positive, unlabelled, class_prior(positive, unlabelled)) if learn else (np.zeros(len(FEATURES)), 0.0)
     z = F.lit(bias)
     for n, w in zip(FEATURES, weights.tolist(), strict=True):
         z = z + F.col(n) * F.lit(w)
