@@ -24,6 +24,7 @@ from graphloom.session import ship
 FRAME_BYTES, BUNDLE_BYTES = 64 << 10, 2 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 """Fixed values of the seekable format: magic numbers of its last frame and of its footer."""
+SALTS = 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 INDEX = pa.list_(pa.struct([("record_id", pa.string()), ("frame", pa.int32()), ("offset", pa.int32()), ("length", pa.int32())]))
@@ -124,7 +125,9 @@ def write_bundles(pages: DataFrame, key: str = "page_id", url: str = "url", html
     Of rows with equal payloads (the html in UTF-8; null: empty) of at least `least` bytes, that with the largest
     key is a response and the others are revisits that refer to it; all else are responses. Equal: the same SHA-1
     and length. Null keys are never the one that others refer to. Rows with one key make records of one id.
-    Payloads that occur once are never moved: only digests are shuffled, and the join reads a written table.
+    Digests of large payloads are counted first, without the payloads. The digests that occur twice are a written table:
+    while that is small, Spark broadcasts it and no payload is moved; beyond that each payload moves once, to
+    one of SALTS tasks of its digest. Empty tables give no bundle; urls may be null, payloads of any size; other columns are not read.
     """
     ship(pages.sparkSession)
     rows = pages.select(F.col(key).cast("string").alias("id"), F.col(key).alias("__key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
@@ -132,7 +135,8 @@ def write_bundles(pages: DataFrame, key: str = "page_id", url: str = "url", html
     large = rows.where(F.length("payload") >= least)
     heads = table(large.groupBy("digest").agg(F.max("__key").cast("string").alias("head"), F.count("*").alias("n")).where("n > 1").select("digest", "head"))
     kept = F.when((F.length("payload") >= least) & ~F.col("head").eqNullSafe(F.col("id")), F.col("head"))
-    rows = rows.join(heads, "digest", "left").withColumn("refers_to", kept).select("id", "url", "payload", "digest", "refers_to")
+    salted = heads.select("digest", "head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left").withColumn("refers_to", kept).select("id", "url", "payload", "digest", "refers_to")
 
     def name(v: str | None) -> str | None:
         return None if v is None else f"urn:page:{v}"
