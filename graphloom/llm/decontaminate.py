@@ -27,8 +27,9 @@ from graphloom.session import ship
 
 BLOCK_CHARS = 4 << 20
 SLICE_CHARS = 1 << 18
-EXACT_WORDS = 5
-"""Passages of fewer words are looked for without edits."""
+POSTINGS = 1 << 22
+"""Shared q-grams that are looked at together."""
+LEAST_SHARED = 4
 _WORD = re.compile(r"\w+")
 _BASE = 0x9E3779B97F4A7C15
 
@@ -82,6 +83,12 @@ def edits(passage: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int]
     return (int(row[at]), int(end[at])) if row[at] <= most else None
 
 
+def gram_length(m: int, q: int, percent: int) -> int:
+    """The longest q-grams, up to q, of which a passage of m characters must share LEAST_SHARED with any place within its budget of edits; else the longest of which it must share one."""
+    most = m * percent // 100 + 1
+    return max(1, min(q, (m + 1 - LEAST_SHARED) // most)) if (m + 1 - LEAST_SHARED) // most >= 3 else max(1, min(q, m // most))
+
+
 @dataclass
 class Passages:
     """A block of passages, indexed by q-gram."""
@@ -94,8 +101,8 @@ class Passages:
     def __post_init__(self):
         self.codes = [codes(t) for t in self.texts]
         m = np.array([len(c) for c in self.codes], np.int64)
-        self.budget = np.maximum(0, np.minimum(m * self.percent // 100, (m - 3) // self.q - 1))
-        self.least = m + 1 - self.q * (self.budget + 1)
+        self.budget = m * self.percent // 100
+        self.least = np.maximum(1, m + 1 - self.q * (self.budget + 1))
         grams = [qgrams(c, self.q) for c in self.codes]
         every = np.concatenate(grams)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
@@ -119,23 +126,23 @@ class Passages:
         n = self.ends[spot] - self.starts[spot]
         if not len(n):
             return []
-        post = np.repeat(self.starts[spot] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        item, diagonal = self.item[post], np.repeat(at, n) - self.place[post]
-        cell = diagonal // (self.budget[item] + 1)
         span = int(len(c) + self.reach) + 2
-        keys, counts = np.unique(item * (2 * span) + cell + span, return_counts=True)
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cut = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), POSTINGS))
+        for a, z in zip(cut, [*cut[1:], len(n)], strict=True):  # so many shared q-grams at a time
+            part = n[a:z]
+            post = np.repeat(self.starts[spot[a:z]] - np.concatenate(([0], np.cumsum(part)[:-1])), part) + np.arange(part.sum())
+            item, diagonal = self.item[post], np.repeat(at[a:z], part) - self.place[post]
+            k, inverse = np.unique(np.concatenate([keys, item * (2 * span) + diagonal // (self.budget[item] + 1) + span]), return_inverse=True)
+            weights = np.concatenate([counts, np.ones(len(item), np.int64)])
+            keys, counts = k, np.bincount(inverse, weights, len(k)).astype(np.int64)
         with_next = counts.copy()
         beside = keys[1:] == keys[:-1] + 1
         with_next[:-1][beside] += counts[1:][beside]
-        good = np.flatnonzero(with_next >= self.least[keys // (2 * span)])
-        out, last = [], (-1, -1)
-        for g in good:
-            i, b = int(keys[g] // (2 * span)), int(keys[g] % (2 * span) - span)
+        out = []
+        for k in keys[with_next >= self.least[keys // (2 * span)]].tolist():  # every band is aligned, also one beside a region that was found
+            i, b = k // (2 * span), k % (2 * span) - span
             step = int(self.budget[i]) + 1
-            if last == (i, b - 1) and out and out[-1][0] == i and out[-1][3] > b * step:
-                last = (i, b)
-                continue  # the region before reached into this one and was found
-            last = (i, b)
             a, z = max(0, b * step - step), min(len(c), (b + 2) * step + len(self.codes[i]) + step)
             exact = text.find(self.texts[i], a, z)
             if exact >= 0:
@@ -179,7 +186,7 @@ class Passages:
 
 
 def blocks(benchmark: DataFrame, item: str, text: str, q: int, percent: int, least_words: int) -> Iterator[list[Passages]]:
-    """Passages, block by block; those too short for q-grams of q by themselves, with shorter ones."""
+    """Passages, block by block; those for which q-grams of q would ask for nothing have shorter ones."""
     ship(benchmark.sparkSession)
     size = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
     parts = -(-size // BLOCK_CHARS)
@@ -189,23 +196,22 @@ def blocks(benchmark: DataFrame, item: str, text: str, q: int, percent: int, lea
         for i, t in rows:
             t = plain(t)
             if len(t.split()) >= max(1, least_words):
-                ids, texts = by.setdefault((min(q, len(t)), percent if len(t.split()) >= EXACT_WORDS else 0), ([], []))
+                ids, texts = by.setdefault(gram_length(len(t), q, percent), ([], []))
                 ids.append(i), texts.append(t)
         if by:
-            yield [Passages(ids, texts, k, most) for (k, most), (ids, texts) in sorted(by.items())]
+            yield [Passages(ids, texts, k, percent) for k, (ids, texts) in sorted(by.items())]
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 9, percent: int = 10, least_words: int = 1) -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 8, percent: int = 10, least_words: int = 1) -> DataFrame:
     """One row for each document and passage found in it: key, item, edits, start, end, passage.
 
-    percent: edits allowed, as a share of the passage's characters (a short passage may get fewer, so that the
-    lemma still asks for a q-gram or more). start and end are places in plain(text), passage is what stands there
-    in the document. Passages of fewer than five words are looked for as they stand, without
-    edits; those of fewer than least_words words, which is to be asked for, are not. Null and
+    percent: edits allowed, as a share of the passage's characters (with the blank before and after), whatever its length: q-grams
+    are shorter where the lemma would else ask for nothing. edits is the least over all places, start and end are places in plain(text), passage is what stands there
+    in the document. Passages of fewer than least_words words, which is to be asked for, are not looked for. Null and
     empty texts hold nothing; rows with one key or a null key are documents of their own and give rows of their
     own. Equal passages under several items each give a row. Other columns of docs are not returned.
     """
-    slim = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+    slim = docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text"))
     schema = f"`{key}` {slim.schema['__key'].dataType.simpleString()}, `{item}` {benchmark.schema[item].dataType.simpleString()}, edits int, start int, end int, passage string"
     out, id_type = docs.sparkSession.createDataFrame([], schema), to_arrow_type(benchmark.schema[item].dataType)
     for passages in blocks(benchmark, item, item_text, q, percent, least_words):
@@ -223,7 +229,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     return out
 
 
-def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 9, percent: int = 10, least_words: int = 1) -> DataFrame:
+def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 8, percent: int = 10, least_words: int = 1) -> DataFrame:
     """docs, all columns, without the rows that find_passages() would find a passage in."""
     for passages in blocks(benchmark, item, item_text, q, percent, least_words):
 
