@@ -113,5 +113,20 @@ def test_long_line_and_short_copy_are_repeats(spark):
     assert got == {1: rows[0][1], 2: "z", 3: "short text", 4: "", 5: None}
 
 
+def test_matches_are_maximal_and_tell_the_first_place(spark):
+    rows = [(1, "a\nb\nc\nd\ne\nf"), (2, "x\na\nb\n\nc\nd\ne\ny"), (3, "b\nc\nd\ne\nz\nb\nc\nd\ne")]
+    got = {x.doc_id: [tuple(m) for m in x.matches] for x in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), run=4).collect()}
+    assert got == {1: [], 2: [(1, 6, 1, 0)], 3: [(0, 4, 1, 1), (5, 4, 1, 1)]}
+
+
+def test_lines_with_null_keys_repeats_and_clashing_names(spark):
+    text = "a\nb\nc\nd"
+    rows = [(None, text, 1), (4, text, 2), (4, text, 3), (None, text, 4), (5, None, 5), (6, "long " * 100_000 + "\n" + text, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, matches int")
+    got = sorted((x.doc_id is None, x.doc_id, x.n_removed_lines) for x in dedup_lines(df).collect())
+    assert [n for _, _, n in got] == [0, 4, 0, 4, 4, 4] and got[2][1] == 5
+    assert dedup_lines(df.limit(0)).collect() == []
+
+
 def test_content_query_against_sql(spark):
     assert compare(spark, "op2_content_dedup", queries.op2_content_dedup, queries.oracle_sql()["op2_content_dedup"], "/root/testdata/sf0.001")

@@ -8,8 +8,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from graphloom.llm.mixing import draw, mix_sources, mixed
-from graphloom.llm.quality_rules import BASE, fit, quality_rules
-from graphloom.llm.sharding import shard_documents, tree
+from graphloom.llm.ngram_join import keep_one
+from graphloom.llm.quality_rules import BASE, fit, keep_good, measured, quality_rules, rules
+from graphloom.llm.sharding import shard_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = [None, "", " \n\t", "one", "a b c d e a b c d e", "x " * 40, "# a\n# a\n\n\n b|c", "é ü d\x0be\ff\rg", "Line one.\nLine one.\nLine one.\n", " lead and trail ", "日本 語" * 3]
@@ -41,16 +42,97 @@ def test_quality_of_nothing(spark):
     assert quality_rules(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_em_recovers_how_good_rules_are(spark):
-    r, rows = random.Random(1), Counter()
-    for _ in range(4000):
+def em(rows, rounds=400):
+    """Two classes of documents, three kinds of votes: expectation-maximisation over single documents, by lists."""
+    docs = [k for k, n in rows.items() for _ in range(n)]
+    p = [0.05 if -1 in d else 0.95 for d in docs]
+    for _ in range(rounds):
+        good = sum(p)
+        prior = (good + 1) / (len(docs) + 2)
+        share = []
+        for j in range(len(docs[0])):
+            bad_on_good, all_on_good = sum(q for q, d in zip(p, docs) if d[j] == -1), sum(q for q, d in zip(p, docs) if d[j])
+            bad_on_bad, all_on_bad = sum(1 - q for q, d in zip(p, docs) if d[j] == -1), sum(1 - q for q, d in zip(p, docs) if d[j])
+            share.append(((bad_on_good + 1) / (all_on_good + 100), (bad_on_bad + 1) / (all_on_bad + 2)))
+        of = {}
+        for d in set(docs):
+            a, b = prior, 1 - prior
+            for v, (g, w) in zip(d, share):
+                a, b = a * (g if v == -1 else 1 - g if v == 1 else 1), b * (w if v == -1 else 1 - w if v == 1 else 1)
+            of[d] = a / (a + b)
+        new = [of[d] for d in docs]
+        if max(abs(x - y) for x, y in zip(p, new)) < 1e-9:
+            break
+        p = new
+    return prior, share, of
+
+
+def drawn(seed, n=1500):
+    """Votes of four rules of very different worth, one of them no better than chance."""
+    r, rows = random.Random(seed), Counter()
+    for _ in range(n):
         good = r.random() < 0.8
-        rows[tuple(0 if r.random() < 0.2 else (-1 if r.random() < ((0.005, 0.005, 0.005) if good else p)[j] else 1) for j, p in enumerate([(0.9, 0.7, 0.5)] * 3))] += 1
-    df = spark.createDataFrame([(*k, n) for k, n in rows.items()], "__vote_a int, __vote_b int, __vote_c int, n long")
-    model = fit(df, ["a", "b", "c"])
-    assert abs(model["prior"] - 0.8) < 0.05
-    for n, p in zip("abc", (0.9, 0.7, 0.5)):
-        assert abs(model["votes"][n][1] - p) < 0.12 and model["votes"][n][0] <= 0.01
+        rows[tuple(0 if r.random() < 0.2 else (-1 if r.random() < (g if good else b) else 1) for g, b in ((0.02, 0.9), (0.05, 0.7), (0.01, 0.5), (0.1, 0.1)))] += 1
+    return rows
+
+
+def test_em_against_an_independent_one(spark):
+    rows = drawn(1)
+    df = spark.createDataFrame([(*k, n) for k, n in rows.items()], "__vote_a int, __vote_b int, __vote_c int, __vote_d int, n long")
+    model = fit(df, list("abcd"), rounds=60)
+    prior, share, _ = em(rows)
+    assert abs(model["prior"] - prior) < 0.01
+    for n, (g, b) in zip("abcd", share):
+        assert abs(model["votes"][n][0] - g) < 0.01 and abs(model["votes"][n][1] - b) < 0.02
+    assert abs(model["votes"]["a"][1] - 0.9) < 0.1 and abs(model["votes"]["d"][1] - model["votes"]["d"][0]) < 0.1  # nothing holds a useless rule up
+
+
+def test_posterior_and_verdict_against_an_independent_em(spark):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdeiou") for _ in range(r.randint(2, 8)))
+    clean = lambda: " ".join(word() for _ in range(r.randint(30, 60))) + "."
+    spoiled = [lambda t: t.replace(" ", " ## "), lambda t: t.upper(), lambda t: t.replace(" ", "! "), lambda t: t[:-1], lambda t: t.upper().replace(" ", "!! ")]
+    texts = [clean() if i % 4 else r.choice(spoiled)(clean()) for i in range(400)] + TEXTS
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    votes = measured(df, "text").select("doc_id", *BASE, *[v.cast("int").alias(n) for n, v in rules().items()]).collect()
+    failed = {x.doc_id: x.n_words < 10 or 100 * x.n_repeat_words > 20 * x.n_words for x in votes}
+    rows = Counter(tuple(x[n] for n in rules()) for x in votes if not failed[x.doc_id])
+    _, _, of = em(rows)
+    out = {x.doc_id: x for x in quality_rules(df).collect()}
+    for x in votes:
+        got, d = out[x.doc_id], tuple(x[n] for n in rules())
+        assert got.base_failed == failed[x.doc_id]
+        if not got.base_failed:
+            assert abs(got.posterior - of[d]) < 0.02 and (got.kept == (of[d] >= 0.5) or abs(of[d] - 0.5) < 0.02)
+        assert not (got.base_failed and got.kept)
+
+
+def clashing(spark):
+    """Columns that operators might use themselves, one with a dot, nulls in all."""
+    names = ["doc_id", "text", "source", "size", "rate", "copies", "taken", "n_words", "posterior", "same", "__part", "__key", "__md5", "class", "a.b", "c0"]
+    long = "x" * 300_000 + " " + " ".join(f"w{i}" for i in range(20_000)) + "."
+    texts = ["one two three four five six seven eight nine ten eleven twelve.", long, None, "", "one two three four five six seven eight nine ten eleven twelve.", "One lone sentence of more than ten words stands in this short text here."]
+    rows = [(i, t, "s1" if i % 2 else None, *[777 + i if i % 3 else None for _ in names[3:]]) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string' if n in ('text', 'source') else 'int'}" for n in names))
+
+
+def test_stages_give_back_any_columns_as_they_were(spark):
+    df = clashing(spark)
+    rows = {x.doc_id: tuple(x) for x in df.collect()}
+    for stage, kept in ((keep_good, {0, 1, 4, 5}), (keep_one, {0, 1, 2, 3, 5})):
+        out = stage(df)
+        assert out.columns == df.columns and {x.doc_id: tuple(x) for x in out.collect()} == {k: rows[k] for k in kept}
+        assert stage(df.limit(0)).collect() == []
+    out = mixed(df)
+    assert out.columns == df.columns and all(tuple(x) == rows[x.doc_id] for x in out.collect())
+    out = shard_documents(df)
+    mine = [c for c in df.columns if c != "size"]
+    assert out.columns[: len(mine)] == mine
+    for x in out.collect():
+        assert tuple(x)[: len(mine)] == tuple(v for v, c in zip(rows[x[0]], df.columns) if c != "size")
+    whole = quality_rules(df)
+    assert whole.columns[:3] == ["doc_id", "text", "source"] and {x["a.b"] for x in whole.collect()} == {x["a.b"] for x in df.collect()}
+    assert mix_sources(df).where("`a.b` = 778").count() == 1
 
 
 def test_mix_targets_and_copies(spark):
@@ -105,11 +187,11 @@ def place(key, shards):
             u = ((spark_hash(*map(four, at), four(c), key) >> 11) + 0.5) / 2.0**53
             best.append((-math.log(u) / w, c))
         return min(best)[1]
-    layout = tree(shards)
+    layout = [[2, 2, 2]] * (shards // 6) + [[1]] * (shards % 6)
     a = pick([1], [sum(r) for r in layout])
-    b = pick([2, a], layout[a]) if max(map(len, layout)) > 1 else 0
+    b = pick([2, a], layout[a])
     c = pick([3, a, b], [1] * layout[a][b])
-    return a * 6 + b * 2 + c
+    return sum(sum(r) for r in layout[:a]) + b * 2 + c
 
 
 def test_shards(spark):
@@ -129,9 +211,22 @@ def test_shards(spark):
         assert x.shard == place(x.doc_id, 24) and x.grown_shard == place(x.doc_id, 25)
 
 
-def test_uneven_tree_confines_movement(spark):
+def test_one_more_shard_takes_rows_only_into_itself(spark):
     df = spark.range(3000).selectExpr("id AS doc_id", "'x' AS text")
-    for n in (7, 12, 13):
-        for x in shard_documents(df, shards=n).collect():
-            assert 0 <= x.shard < n and (x.grown_shard == x.shard or x.grown_shard // 6 == n // 6)
+    for n in (5, 7, 12, 23, 25, 26):
+        out = shard_documents(df, shards=n).collect()
+        assert all(0 <= x.shard < n and x.grown_shard in (x.shard, n) for x in out) and any(x.grown_shard == n for x in out)
+        grown = {x.doc_id: x.shard for x in shard_documents(df, shards=n + 1, opened=n // 6 * 6).collect()}
+        assert all(grown[x.doc_id] == x.grown_shard for x in out)
     assert shard_documents(df.limit(0)).collect() == []
+
+
+def test_slots_hang_on_rows_alone(spark):
+    df = spark.range(2000).selectExpr("id AS doc_id", "'x' AS text")
+    got = []
+    for parts in ("4", "37"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got.append({x.doc_id: (x.shard, x.slot) for x in shard_documents(df).collect()})
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1]

@@ -69,6 +69,13 @@ def test_keep_one(spark):
     assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[4], rows[5], rows[6], rows[7]], key=str)
 
 
+def test_keep_one_of_rows_alike_in_key_and_text(spark):
+    rows = [(1, "a b c d e f", "y", 2), (1, "a b c d e f", "x", 1), (1, "a b c d e f", "x", 1), (1, "u v w x y z", "k", 3), (None, "n m o p q r", "s", 1), (None, "N m o p q r", "t", 1), (2, " ", "x", 1), (2, " ", "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `sour.ce` string, same int")
+    got = [sorted(map(tuple, keep_one(df.repartition(n)).collect()), key=str) for n in (1, 5)]
+    assert got[0] == got[1] and len(got[0]) == 5 and sum(x[0] == 1 for x in got[0]) == 2 and sum(x[0] is None for x in got[0]) == 1
+
+
 def test_components_of_a_long_path(spark):
     r = random.Random(3)
     names = list(range(40))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from graphloom.llm.decontaminate import Passages, codes, edits, find_passages, plain, qgrams, without_passages
+from graphloom.llm.decontaminate import codes, edits, find_passages, plain, qgrams, without_passages
 from graphloom.llm.token_counts import Automaton, count_tokens
 
 
@@ -61,8 +61,8 @@ def test_passages_against_brute_force(spark, monkeypatch):
     rows += [(82, text(900) + " " + items[1][1] + " " + text(900), "s")]
     monkeypatch.setattr("graphloom.llm.decontaminate.SLICE_CHARS", 700)
     docs, bench = spark.createDataFrame(rows, "doc_id long, text string, edits string"), spark.createDataFrame(items, "item_id long, text string")
-    budget = {i: int(p.budget[k]) for q in {min(9, len(plain(t))) for _, t in items if len(plain(t).split()) >= 5} for p in [Passages([i for i, t in items if min(9, len(plain(t))) == q and len(plain(t).split()) >= 5], [plain(t) for _, t in items if min(9, len(plain(t))) == q and len(plain(t).split()) >= 5], q, 10)] for k, i in enumerate(p.ids)}
-    assert budget[0] > 10
+    budget = {i: len(plain(t)) * 10 // 100 for i, t in items if plain(t)}
+    assert budget[0] > 10 and budget[8] == 1
     want = sorted(((k, i, e) for k, t, _ in rows for i, p in items if i in budget and (e := distance(plain(p), plain(t))) <= budget[i]), key=str)
     got = find_passages(docs, bench).collect()
     assert sorted(((x.doc_id, x.item_id, x.edits) for x in got), key=str) == want
@@ -73,16 +73,28 @@ def test_passages_against_brute_force(spark, monkeypatch):
     assert without_passages(docs, bench.limit(0)).count() == len(rows)
 
 
-def test_short_passages_are_found_as_they_stand(spark):
+def test_short_passages_have_their_budget(spark):
     items = [(0, "Too short!"), (1, "zebra"), (2, "a"), (3, "?"), (4, "one two three four")]
-    rows = [(0, "This is too  SHORT."), (1, "too shorter, to short"), (2, "a zebra"), (3, "zebras"), (4, "zebra zebra"), (5, "One two three, four"), (6, "one two thee four"), (7, None)]
+    rows = [(0, "This is too  SHORT."), (1, "two shorter, to short"), (2, "a zebra"), (3, "zebras"), (4, "zebra zebra"), (5, "One two three, four"), (6, "one two thee four"), (7, None), (8, "one to thre fur")]
     docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = [(x.doc_id, x.item_id, x.edits) for x in find_passages(docs, bench).collect()]
-    assert sorted(got) == [(0, 0, 0), (2, 1, 0), (2, 2, 0), (4, 1, 0), (5, 4, 0)]
-    assert sorted(x.doc_id for x in without_passages(docs, bench).collect()) == [1, 3, 6, 7]
+    want = [(k, i, e) for k, t in rows for i, p in items if plain(p) and (e := distance(plain(p), plain(t))) <= len(plain(p)) // 10]
+    assert sorted(got) == sorted(want) and (6, 4, 1) in want and (1, 0, 1) in want and not any(k == 8 for k, *_ in want)
     assert find_passages(docs, bench, least_words=5).count() == 0
 
 
+def test_periodic_passages_have_the_least_edits(spark, monkeypatch):
+    monkeypatch.setattr("graphloom.llm.decontaminate.POSTINGS", 500)
+    r, items, rows = random.Random(8), [], []
+    for i in range(40):
+        period = "".join(r.choice("abc ") for _ in range(r.randint(3, 12)))
+        items.append((i, period * r.randint(5, 25)))
+        rows.append((i, "x y z " + edited(r, items[-1][1], r.randint(0, 8)) + period * r.randint(0, 6) + " " + edited(r, items[-1][1], r.randint(0, 8))))
+    got = {(x.doc_id, x.item_id): x.edits for x in find_passages(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {(k, i): e for k, t in rows for i, p in items if plain(p) and (e := distance(plain(p), plain(t))) <= len(plain(p)) // 10}
+    assert got == want and len(want) > 30
+
+
 def greedy(word, tokens):
     n = 0
     while word:

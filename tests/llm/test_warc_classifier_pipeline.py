@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from graphloom.llm.decontaminate import plain
 from graphloom.llm.mixing import mix_sources
-from graphloom.llm.quality_classifier import FEATURES, crc_held_out, fit, measures, score_quality
+from graphloom.llm.quality_classifier import FEATURES, class_prior, crc_held_out, fit, measures, sampled, score_quality
 from graphloom.llm.warc import Bundle, frame, parsed, read_bundles, read_record, record, seek_table, write_bundles
 from tests.llm.test_native import measures as measures_of
 from tests.llm.test_ngram_join import expected
@@ -66,13 +66,50 @@ def test_pu_fit_finds_the_boundary():
     assert (good @ w + b > 0).mean() > 0.95 and (bad[2500:] @ w + b < 0).mean() > 0.95
 
 
+def risk(w, p, u, prior):
+    """Non-negative risk by its definition, with the last weight as intercept and the decay of the fit."""
+    loss = lambda x, sign: np.log1p(np.exp(-sign * (x @ w[:-1] + w[-1]))).mean()
+    return prior * loss(p, 1) + max(0.0, loss(u, -1) - prior * loss(p, -1))
+
+
+def test_fit_against_an_independent_minimiser():
+    r = np.random.default_rng(3)
+    p, u = r.normal(0.7, 1, (400, 2)), np.vstack([r.normal(0.7, 1, (300, 2)), r.normal(-0.7, 1, (200, 2))])
+    w, b = fit(p, u, prior=0.6)
+    best, step = np.zeros(3), 1.0
+    at = risk(best, p, u, 0.6)
+    while step > 1e-5:  # compass search: no gradient, nothing shared with the fit
+        for move in [s * step * e for e in np.eye(3) for s in (1, -1)]:
+            if risk(best + move, p, u, 0.6) < at:
+                best, at = best + move, risk(best + move, p, u, 0.6)
+                break
+        else:
+            step /= 2
+    assert risk(np.append(w, b), p, u, 0.6) <= at + 0.002
+
+
+def test_prior_from_positives_and_unlabelled_rows():
+    r = np.random.default_rng(5)
+    for share in (0.3, 0.85):
+        good, bad = r.normal(2, 1, (8000, 3)), r.normal(-2, 1, (4000, 3))
+        u = np.vstack([good[4000 : 4000 + int(3000 * share)], bad[: 3000 - int(3000 * share)]])
+        assert abs(class_prior(good[:4000], u[r.permutation(len(u))]) - share) < 0.05
+    assert class_prior(good[:0], u) == 0.5
+
+
+def test_sample_is_bounded_and_takes_each_key_once(spark):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS key", *[f"1.0D AS `{n}`" for n in FEATURES])
+    assert sampled(rows, 5000).shape == (2000, len(FEATURES)) and 100 < len(sampled(rows, 300)) <= 300 and sampled(rows.limit(0), 5).shape == (0, len(FEATURES))
+
+
 def test_scores(spark):
     r = random.Random(4)
     word = lambda: "".join(r.choice("abcdeiou") for _ in range(r.randint(2, 8)))
     good = lambda: " ".join(word() for _ in range(r.randint(10, 60))) + "."
     bad = lambda: " ".join(word().upper() + "!!" for _ in range(r.randint(10, 60)))
     rows = [(i, good() if i % 5 else bad()) for i in range(600)] + [(600, None), (601, ""), (None, "a b c"), (5, "a b c"), (5, "a b c")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows.append((602, "long " * 200_000))
+    docs = spark.createDataFrame([(*r, "k", 1) for r in rows], "doc_id long, text string, key string, `held.out` int")
     labels = spark.createDataFrame([(i, int(bool(i % 5))) for i in range(0, 600, 2)] + [(None, 1), (7, None), (2, 1)], "doc_id long, quality int")
     out = score_quality(docs, labels).collect()
     assert len(out) == len(rows)
