@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.llm._shared import table
+from graphloom.llm._shared import WRITTEN, remove_tables, table
 from graphloom.llm.decontaminate import without_passages
 from graphloom.llm.mixing import mixed
 from graphloom.llm.ngram_join import keep_one
@@ -55,7 +55,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what a stage returns is written and read again as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
+        before = len(WRITTEN)
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = table(docs)
+            mine = WRITTEN.pop()
+            remove_tables(spark, before)  # what the stage wrote on its way; its result stays
+            WRITTEN.append(mine)
     return docs
