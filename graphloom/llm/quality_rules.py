@@ -28,7 +28,6 @@ ADDED = [*BASE, "base_failed", "posterior", "kept"]
 ROUNDS = 40
 GOOD_PRIOR, BAD_PRIOR = (1.0, 99.0), (1.0, 1.0)
 """Smoothing: bad and good votes added to those counted on good documents, and on bad ones."""
-CLOSE = 1e-4
 
 
 def _per_word(n: str, bad: float, good: float) -> Column:
@@ -93,34 +92,47 @@ def _log_odds(model: dict) -> Column:
     return odds
 
 
-def _posterior(model: dict | None, names: list[str]) -> Column:
-    if model is None:  # to begin with, one bad vote makes a bad document likely
-        bad = F.least(*[F.col(f"__vote_{n}") for n in names]) < 0
-        return F.when(bad, F.lit(0.05)).otherwise(F.lit(0.95))
-    return 1 / (1 + F.exp(-_log_odds(model)))
+def _posterior(model: dict | None) -> Column:
+    return F.lit(0.95) if model is None else 1 / (1 + F.exp(-_log_odds(model)))
 
 
 def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict | None:
     """{prior, votes: {rule: (share of bad votes on good documents, and on bad ones)}} from rows of votes and n; None without rows.
 
-    Ends after so many rounds, or when no share moves by more than CLOSE.
+    The patterns, of which there are at most 3 to the number of rules, become one row; all rounds are one expression over it.
     """
-    model = None
-    for _ in range(rounds):
-        good, bad = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
-        sums = [F.sum(good).alias("good"), F.sum(bad).alias("bad")]
-        for j, name in enumerate(names):
-            for v, kind in ((-1, "down"), (1, "up")):
-                is_v = F.col(f"__vote_{name}") == v
-                sums += [F.sum(F.when(is_v, good).otherwise(0.0)).alias(f"good_{kind}{j}"), F.sum(F.when(is_v, bad).otherwise(0.0)).alias(f"bad_{kind}{j}")]
-        r = patterns.withColumn("p", _posterior(model, names)).agg(*sums).first()
-        if r["good"] is None:
-            return None
-        share = lambda j, kind, prior: (r[f"{kind}_down{j}"] + prior[0]) / (r[f"{kind}_down{j}"] + r[f"{kind}_up{j}"] + sum(prior))
-        last, model = model, {"prior": (r["good"] + 1) / (r["good"] + r["bad"] + 2), "votes": {n: (share(j, "good", GOOD_PRIOR), share(j, "bad", BAD_PRIOR)) for j, n in enumerate(names)}}
-        if last and max(abs(x - y) for n in names for x, y in zip(last["votes"][n], model["votes"][n], strict=True)) < CLOSE:
-            break
-    return model
+    votes = F.array(*[F.col(f"__vote_{n}").cast("int") for n in names])
+    rows = patterns.groupBy(votes.alias("v")).agg(F.sum("n").cast("double").alias("n")).agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("all"))
+    none = F.array_repeat(F.lit(0.0), len(names))
+    state = lambda prior, good, bad: F.struct(prior.alias("prior"), good.alias("good"), bad.alias("bad"))
+    fields = ("good_down", "good_up", "bad_down", "bad_up")
+
+    def told(shares: Column, row: Column) -> Column:
+        """Log of the likelihood of a row's votes by the shares of bad votes."""
+        return F.aggregate(F.zip_with(shares, row["v"], lambda s, v: F.when(v == -1, F.log(s)).when(v == 1, F.log(1 - s)).otherwise(0.0)), F.lit(0.0), lambda x, y: x + y)
+
+    def summed(posterior) -> Column:
+        """Votes of all rows by kind, weighted with the posterior of each."""
+
+        def add(acc: Column, row: Column) -> Column:
+            good = row["n"] * posterior(row)
+            grown = lambda f, kind, w: F.zip_with(acc[f], row["v"], lambda t, v: t + F.when(v == kind, w).otherwise(0.0)).alias(f)
+            bad = row["n"] - good
+            return F.struct((acc["good"] + good).alias("good"), (acc["bad"] + bad).alias("bad"), *[grown(f, kind, w) for f, kind, w in zip(fields, (-1, 1, -1, 1), (good, good, bad, bad), strict=True)])
+
+        return F.aggregate("all", F.struct(F.lit(0.0).alias("good"), F.lit(0.0).alias("bad"), *[none.alias(f) for f in fields]), add)
+
+    def estimated(t: Column) -> Column:
+        share = lambda down, up, prior: F.zip_with(t[down], t[up], lambda d, u: (d + prior[0]) / (d + u + sum(prior)))
+        return state((t["good"] + 1) / (t["good"] + t["bad"] + 2), share("good_down", "good_up", GOOD_PRIOR), share("bad_down", "bad_up", BAD_PRIOR))
+
+    def again(m: Column, _: Column) -> Column:
+        return estimated(summed(lambda row: 1 / (1 + F.exp(F.log((1 - m["prior"]) / m["prior"]) + told(m["bad"], row) - told(m["good"], row)))))
+
+    start = estimated(summed(lambda row: F.when(F.array_min(row["v"]) < 0, 0.05).otherwise(0.95)))
+    first = rows.where("size(all) > 0").select("all", start.alias("m"))
+    r = first.select(F.aggregate(F.sequence(F.lit(2), F.lit(max(rounds, 2))), F.col("m"), again).alias("m")).first()
+    return r and {"prior": r.m.prior, "votes": {n: (r.m.good[j], r.m.bad[j]) for j, n in enumerate(names)}}
 
 
 def _failed() -> Column:
@@ -136,7 +148,7 @@ def _judged(votes: DataFrame, threshold: float) -> DataFrame:
     names = list(rules())
     patterns = votes.where(~_failed()).groupBy(*[f"__vote_{n}" for n in names]).agg(F.count("*").alias("n"))
     model = fit(table(patterns.coalesce(1)), names)
-    out = votes.withColumn("base_failed", _failed()).withColumn("posterior", _posterior(model, names))
+    out = votes.withColumn("base_failed", _failed()).withColumn("posterior", _posterior(model))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)).drop(*[f"__vote_{n}" for n in names])
 
 
