@@ -204,12 +204,11 @@ def _classes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _labelled(profile: DataFrame, classes: DataFrame) -> DataFrame:
-    """component_id and class for each row of profile. Counts by set first, so that a large class stays one row per set; classes are
-    joined to their least key as a written table, which is one row a class of several sets."""
+    """component_id and class for each row of profile. Counts by set first, so that a large class stays one row per set, then by class
+    within each task before the shuffle; the least keys are a written table, one row a class of several sets."""
     least = profile.where("set IS NOT NULL").groupBy("set").agg(F.min("key").alias("first"))
     placed = table(least.join(classes, "set", "left").select("set", "first", F.coalesce("class", "set").alias("class")))
-    several = placed.where("set <> class").select("class").distinct()
-    lowest = table(placed.join(several, "class", "left_semi").groupBy("class").agg(F.min("first").alias("lowest")))
+    lowest = table(placed.groupBy("class").agg(F.min("first").alias("lowest"), F.count("*").alias("sets")).where("sets > 1").drop("sets"))
     labels = placed.join(lowest, "class", "left").select("set", "class", F.coalesce("lowest", "first").alias("component_id"))
     out = profile.select("key", "text_md5", "n_shingles", "set").join(labels, "set", "left")
     return out.select("key", "text_md5", "n_shingles", F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"), "class")
