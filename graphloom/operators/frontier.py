@@ -49,15 +49,21 @@ def reach(seeds: DataFrame, edges: DataFrame) -> DataFrame:
 def closure(edges: DataFrame) -> DataFrame:
     """(source, target) for each pair with a path of one edge or more; source = target where a cycle runs through it.
 
-    Paths double each round, so the number of rounds grows with the logarithm of the longest path.
+    Each round doubles the length: paths of exactly n edges are joined with themselves, and those shorter than n with them, so that a
+    pair with one path is formed once. A round that adds no pair ends it; the number of rounds grows with the logarithm of the longest path.
     """
-    pairs = written(edges.select("source", "target").distinct())
-    new = pairs
-    while not new.isEmpty():
-        ahead = new.select("source", F.col("target").alias("mid")).join(pairs.select(F.col("source").alias("mid"), "target"), "mid").select("source", "target")
-        behind = pairs.select("source", F.col("target").alias("mid")).join(new.select(F.col("source").alias("mid"), "target"), "mid").select("source", "target")
-        new = written(ahead.union(behind).distinct().join(pairs, ["source", "target"], "left_anti"))
-        pairs = written(pairs.unionByName(new))
+
+    def through(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.select("source", F.col("target").alias("mid")).join(b.select(F.col("source").alias("mid"), "target"), "mid").select("source", "target")
+
+    power = pairs = written(edges.select("source", "target").distinct())
+    found = pairs.count()
+    while found:
+        power = written(through(power, power).distinct())
+        pairs = written(pairs.union(power).union(through(pairs, power)).distinct())
+        before, found = found, pairs.count()
+        if found == before:
+            break
     return pairs
 
 
