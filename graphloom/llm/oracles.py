@@ -89,4 +89,23 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
        CASE WHEN n >= 1000 AND head <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND head <> page_id THEN head END AS refers_to
 FROM p LEFT JOIN h ON p.d = h.d""",
+    "op13_ranked_search": r"""
+WITH terms AS (
+  SELECT doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT doc_id, text, row_number() OVER () AS row FROM documents)),
+sizes AS (SELECT row, count(*) AS n FROM terms GROUP BY row),
+all_of AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS l FROM sizes),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY item_id, term),
+held AS (SELECT doc_id, row, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, row, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, all_of GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // l))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (row), all_of GROUP BY item_id, doc_id, row),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from graphloom.llm import oracles
 from graphloom.llm.decontaminate import find_passages
+from graphloom.llm.license_scan import scan_licenses
 from graphloom.llm.line_dedup import dedup_lines
 from graphloom.llm.mixing import mix_sources
 from graphloom.llm.ngram_join import link_documents
 from graphloom.llm.quality_classifier import score_quality
 from graphloom.llm.quality_rules import quality_rules
+from graphloom.llm.ranked_search import rank_documents
 from graphloom.llm.sharding import shard_documents
 from graphloom.llm.substring_dedup import dedup_substrings
 from graphloom.llm.token_counts import count_tokens
 from graphloom.llm.warc import read_bundles, write_bundles
+from graphloom.llm.whitening import whiten
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -77,12 +80,27 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_passages(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents", "doc_id", "text"), carry=["doc_id"]).drop("detections")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, fitted = whiten(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=32, carry=["vec_id"])
+    shares = F.array(*[F.lit(float(x)) for x in fitted.explained]) if fitted else F.array().cast("array<double>")
+    long = out.select("vec_id", "n", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return long.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.get(shares, F.col("at")).alias("explained"), F.lit(fitted.identity_error if fitted else 0.0).alias("identity_error"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"), k=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op2_content_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op7_quality_classifier, op8_token_counts, op9_warc, op10_decontaminate, pipeline)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_line_dedup, op2_content_dedup, op3_substring_dedup, op4_source_mix, op5_ngram_join, op6_sharding, op7_quality_classifier, op8_token_counts, op9_warc, op10_decontaminate, op11_license_scan, op12_embedding_whitening, op13_ranked_search, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
