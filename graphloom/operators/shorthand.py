@@ -62,37 +62,39 @@ def instances(files: DataFrame) -> DataFrame:
     return b.select("path", "pos", F.regexp_extract("block", head, 1).alias("id"), F.regexp_extract("block", head, 2).alias("instance_of"), "block")
 
 
-def actors(inst: DataFrame) -> DataFrame:
+def actors(inst: DataFrame, keep: list[str] = []) -> DataFrame:
     """Actors, with a title or without; isco: four-digit codes on the line of the description that begins with the classification's name."""
     b = F.col("block")
     about = F.coalesce(multiline(b, "description"), quoted(b, "description"))
     line = F.regexp_extract(F.coalesce(about, F.lit("")), r"\*\*ISCO(?:-08)?\*\*:([^\n]*)", 1)
     kind = _some(F.regexp_extract(b, r"(?m)^\*\s+type\s*=\s*#(\S+)", 1))
-    return inst.where("instance_of = 'ActorDefinition'").select("path", "id", quoted(b, "title").alias("title"), quoted(b, "name").alias("name"), kind.alias("persona_type"), F.coalesce(about, F.lit("")).alias("description"), F.regexp_extract_all(line, F.lit(r"\b(\d{4})\b"), F.lit(1)).alias("isco"))
+    return inst.where("instance_of = 'ActorDefinition'").select(*keep, "path", "id", quoted(b, "title").alias("title"), quoted(b, "name").alias("name"), kind.alias("persona_type"), F.coalesce(about, F.lit("")).alias("description"), F.regexp_extract_all(line, F.lit(r"\b(\d{4})\b"), F.lit(1)).alias("isco"))
 
 
-def personas(inst: DataFrame) -> DataFrame:
+def personas(inst: DataFrame, keep: list[str] = []) -> DataFrame:
     """EXT-13: actors with a title; those without are left to the warnings."""
-    return actors(inst).where("title IS NOT NULL")
+    return actors(inst, keep).where("title IS NOT NULL")
 
 
-def requirements(inst: DataFrame) -> DataFrame:
+def requirements(inst: DataFrame, keep: list[str] = []) -> DataFrame:
     """EXT-14: functional if it has an actor or says what it is a capability for, else non-functional."""
     b = F.col("block")
     named = F.transform(F.regexp_extract_all(b, F.lit(r"actor\[[+=]\]\s*=\s*Canonical\(([^)]+)\)"), F.lit(1)), lambda a: F.trim(a))
     value = lambda name: _some(F.regexp_extract(b, rf'extension\[{name}\]\.valueString\s*=\s*"([^"]*)"', 1))
-    out = inst.where(F.col("instance_of").rlike(REQUIREMENT)).select("path", "id", F.col("instance_of").alias("profile"), quoted(b, "title").alias("title"), F.coalesce(multiline(b, "description"), quoted(b, "description")).alias("description"), named.alias("actors"), value("capability").alias("capability"), value("benefit").alias("benefit"), "block")
+    out = inst.where(F.col("instance_of").rlike(REQUIREMENT)).select(*keep, "path", "id", F.col("instance_of").alias("profile"), quoted(b, "title").alias("title"), F.coalesce(multiline(b, "description"), quoted(b, "description")).alias("description"), named.alias("actors"), value("capability").alias("capability"), value("benefit").alias("benefit"), "block")
     functional = (F.size("actors") > 0) | F.col("capability").isNotNull()
     return out.withColumns({"type": F.when(functional, "functional-requirement").otherwise("non-functional-requirement"), "benefit": F.when(functional, F.col("benefit"))})
 
 
-def requirement_statements(req: DataFrame) -> DataFrame:
-    """EXT-15: (id, ordinal, key, label, requirement, conformance): statements that have all four, in this order."""
-    pattern = r'(?s)statement\[\+\]\.key\s*=\s*"([^"]+)".*?label\s*=\s*"([^"]*)".*?requirement\s*=\s*"((?:[^"\\]|\\.)*)".*?conformance\[\+\]\s*=\s*#(\S+)'
-    part = lambda i: F.regexp_extract_all("block", F.lit(pattern), F.lit(i))
-    fields = ("key", "label", "requirement", "conformance")
-    s = req.select("id", F.posexplode(F.arrays_zip(*[part(i).alias(n) for i, n in enumerate(fields, 1)])).alias("ordinal", "s"))
-    return s.select("id", "ordinal", "s.key", "s.label", F.replace(F.col("s.requirement"), F.lit('\\"'), F.lit('"')).alias("requirement"), "s.conformance")
+def requirement_statements(req: DataFrame, keep: list[str] = []) -> DataFrame:
+    """EXT-15: (keep, id, ordinal, key, label, requirement, conformance): statements that have all four."""
+    pieces = F.filter(F.split("block", r"statement\[\+\]\."), lambda b, i: i > 0)
+    text = lambda b, name: F.regexp_extract(b, rf'(?m)^(?:\*\s+statement\[=\]\.)?{name}\s*=\s*"((?:[^"\\]|\\.)*)"', 1)
+    has = lambda b, name: b.rlike(rf'(?m)^(?:\*\s+statement\[=\]\.)?{name}\s*=\s*"')
+    verb = lambda b: F.regexp_extract(b, r"(?m)conformance\[\+\]\s*=\s*#(\S+)", 1)
+    whole = F.filter(pieces, lambda b: (text(b, "key") != "") & has(b, "label") & has(b, "requirement") & (verb(b) != ""))
+    s = req.select(*keep, "id", F.posexplode(F.transform(whole, lambda b: F.struct(text(b, "key").alias("key"), text(b, "label").alias("label"), F.replace(text(b, "requirement"), F.lit('\\"'), F.lit('"')).alias("requirement"), verb(b).alias("conformance")))).alias("ordinal", "s"))
+    return s.select(*keep, "id", "ordinal", "s.key", "s.label", "s.requirement", "s.conformance")
 
 
 def conformance_tally(statements: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import ids
 from graphloom.model import check_model, make_model
-from graphloom.operators import coverage, markup, retrieval, rules, shorthand
-from graphloom.operators.frontier import shared_folder
+from graphloom.operators import coverage, extraction, markup, retrieval, rules, shorthand
+from graphloom.operators.frontier import shared_folder, written
 from graphloom.plans.bench_graph import VERSION, bench_documents, bench_graph, bench_model, graph_sql, one_layer, read
 from graphloom.sources import documents
 
@@ -35,30 +35,48 @@ def _files(spark, d, table, path, text):
 # Process files
 
 
-_BPMN = """concat('<bpmn:definitions id="D', c_custkey, '">', CASE WHEN c_custkey % 3 > 0 THEN concat('<bpmn:participant id="P', c_custkey, '" name="', c_name, ' &amp; sons" processRef="R', c_custkey, '"/>') ELSE '' END,
-'<bpmn:process id="R', c_custkey, '"><bpmn:task id="T', c_custkey, '" name="', c_mktsegment, '"/><bpmn:subProcess id="S', c_custkey, '"><bpmn:userTask id="U', c_custkey, '"/></bpmn:subProcess>',
-'<bpmn:sequenceFlow id="F', c_custkey, '" name="', CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE '' END, '" sourceRef="T', c_custkey, '" targetRef="S', c_custkey, '">', CASE WHEN c_custkey % 5 = 0 THEN '<bpmn:conditionExpression>x</bpmn:conditionExpression>' ELSE '' END, '</bpmn:sequenceFlow></bpmn:process><bpmn:messageFlow id="M', c_custkey, '" sourceRef="U', c_custkey, '" targetRef="T', c_custkey, '"/></bpmn:definitions>')"""
+_BPMN = """concat('<bpmn:definitions targetNamespace="', CASE WHEN c_custkey % 2 = 0 THEN 'http://example.org/kit/bpmn' ELSE 'https://other.org/x/' END, '" exporter="E" id="Def', c_custkey, '">', CASE WHEN c_custkey % 3 > 0 THEN concat('<bpmn:participant id="P', c_custkey, '" name="', c_name, ' &amp; sons" processRef="R', c_custkey, '"/>') ELSE '' END,
+'<bpmn:process id="R', c_custkey, '" isExecutable="', CASE WHEN c_custkey % 4 = 0 THEN 'true' ELSE 'false' END, '"><bpmn:task id="T', c_custkey, '" name="', c_mktsegment, '"/><bpmn:subProcess id="S', c_custkey, '"><bpmn:userTask id="U', c_custkey, '"/><bpmn:exclusiveGateway id="G', c_custkey, '"/></bpmn:subProcess>',
+'<bpmn:sequenceFlow id="F', c_custkey, '" name="', CASE WHEN c_custkey % 2 = 0 THEN 'yes' ELSE '' END, '"', CASE WHEN c_custkey % 7 = 0 THEN ' x="conditionExpression"' ELSE '' END, ' sourceRef="T', c_custkey, '" targetRef="S', c_custkey, '">', CASE WHEN c_custkey % 5 = 0 THEN '<bpmn:conditionExpression>x</bpmn:conditionExpression>' ELSE '' END, '</bpmn:sequenceFlow></bpmn:process><bpmn:messageFlow id="M', c_custkey, '" sourceRef="U', c_custkey, '" targetRef="', CASE WHEN c_custkey % 9 = 0 THEN 'gone' ELSE concat('T', c_custkey) END, '"/></bpmn:definitions>')"""
 
 
 def _processes(spark, d):
     return _files(spark, d, "customer", "concat('in/c', c_custkey, '.bpmn')", _BPMN)
 
 
-_OWN = f"'{NS}/artifact/c' || c_custkey || '.bpmn'"
+def _people(spark, d):
+    """Titles of actors: none for a fourth of the customers, two of one title for another."""
+    return read(spark, d, "customer").where("c_custkey % 4 > 0").select(F.concat("c_name", F.lit(" & sons")).alias("title"), F.explode(F.expr("CASE WHEN c_custkey % 4 = 1 THEN array('a.fsh', 'b.fsh') ELSE array('a.fsh') END")).alias("source"))
 
 
-@query(f"""WITH c AS (SELECT *, {_OWN} AS f FROM customer)
-SELECT 'node' AS what, f AS a, 'bpmn-definitions' AS b, 'c' || c_custkey || '.bpmn' AS c FROM c UNION ALL SELECT 'node', f || '#P' || c_custkey, 'bpmn-participant', c_name || ' & sons' FROM c WHERE c_custkey % 3 > 0
-UNION ALL SELECT 'node', f || '#R' || c_custkey, 'bpmn-process', 'R' || c_custkey FROM c UNION ALL SELECT 'node', f || '#T' || c_custkey, 'bpmn-task', c_mktsegment FROM c UNION ALL SELECT 'node', f || '#S' || c_custkey, 'bpmn-task', 'S' || c_custkey FROM c
-UNION ALL SELECT 'node', f || '#U' || c_custkey, 'bpmn-task', 'U' || c_custkey FROM c UNION ALL SELECT 'contains', f, f || '#R' || c_custkey, NULL FROM c UNION ALL SELECT 'contains', f, f || '#P' || c_custkey, NULL FROM c WHERE c_custkey % 3 > 0
-UNION ALL SELECT 'contains', f || '#R' || c_custkey, f || '#T' || c_custkey, NULL FROM c UNION ALL SELECT 'contains', f || '#R' || c_custkey, f || '#S' || c_custkey, NULL FROM c UNION ALL SELECT 'contains', f || '#S' || c_custkey, f || '#U' || c_custkey, NULL FROM c
-UNION ALL SELECT 'flowsTo', f || '#T' || c_custkey, f || '#S' || c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'yes' END FROM c UNION ALL SELECT 'messageTo', f || '#U' || c_custkey, f || '#T' || c_custkey, NULL FROM c""")
+#: The scope that a customer's file names, as SQL.
+_BPMN_SQL = """c AS (SELECT *, ns || '/artifact/Def' || k AS f, 'in/c' || k || '.bpmn' AS path, CASE k % 4 WHEN 0 THEN 'unresolved' WHEN 1 THEN 'ambiguous' ELSE 'resolved' END AS status, ns || '/persona/' || regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g') AS person
+  FROM (SELECT c_custkey AS k, c_mktsegment AS seg, c_name || ' & sons' AS title, CASE WHEN c_custkey % 2 = 0 THEN 'https://example.org/kit' ELSE 'https://other.org/x' END AS ns FROM customer))"""
+
+
+@query(f"""WITH {_BPMN_SQL},
+n AS (SELECT k, f AS a, 'bpmn-definitions' AS b, 'Def' || k AS c, 'derived' AS derivation, json_object('id', 'Def' || k, 'source', path, 'targetNamespace', CASE WHEN k % 2 = 0 THEN 'http://example.org/kit/bpmn' ELSE 'https://other.org/x/' END, 'exporter', 'E', 'exporterVersion', NULL) AS p FROM c
+  UNION ALL SELECT k, f || '#P' || k, 'bpmn-participant', title, 'derived', json_object('id', 'P' || k, 'name', title, 'processRef', 'R' || k) FROM c WHERE k % 3 > 0
+  UNION ALL SELECT k, person, 'persona', title, 'inferred', json_object('title', title, 'resolutionStatus', status) FROM c WHERE k % 3 > 0 AND status <> 'resolved'
+  UNION ALL SELECT k, f || '#R' || k, 'bpmn-process', 'R' || k, 'derived', json_object('id', 'R' || k, 'name', NULL, 'isExecutable', k % 4 = 0) FROM c
+  UNION ALL SELECT k, f || '#T' || k, 'bpmn-task', seg, 'derived', json_object('id', 'T' || k, 'name', seg, 'taskType', 'task', 'isSubProcess', false) FROM c
+  UNION ALL SELECT k, f || '#S' || k, 'bpmn-task', 'S' || k, 'derived', json_object('id', 'S' || k, 'name', NULL, 'taskType', 'subProcess', 'isSubProcess', true) FROM c
+  UNION ALL SELECT k, f || '#U' || k, 'bpmn-task', 'U' || k, 'derived', json_object('id', 'U' || k, 'name', NULL, 'taskType', 'userTask', 'isSubProcess', false, 'parent', f || '#S' || k) FROM c
+  UNION ALL SELECT k, f || '#G' || k, 'bpmn-gateway', 'G' || k, 'derived', json_object('id', 'G' || k, 'name', NULL, 'gatewayType', 'exclusive', 'parent', f || '#S' || k) FROM c),
+e AS (SELECT k, 'contains' AS what, f AS a, f || '#R' || k AS b, NULL AS c, 'derived' AS derivation, NULL AS p FROM c UNION ALL SELECT k, 'contains', f, f || '#P' || k, NULL, 'derived', NULL FROM c WHERE k % 3 > 0
+  UNION ALL SELECT k, 'contains', f || '#R' || k, f || '#' || x || k, NULL, 'derived', NULL FROM c, (VALUES ('T'), ('S')) v(x) UNION ALL SELECT k, 'contains', f || '#S' || k, f || '#' || x || k, NULL, 'derived', NULL FROM c, (VALUES ('U'), ('G')) v(x)
+  UNION ALL SELECT k, 'performedBy', f || '#P' || k, person, NULL, 'inferred', json_object('resolutionStatus', status, 'matchedOn', 'name of the pool = title of the actor') FROM c WHERE k % 3 > 0
+  UNION ALL SELECT k, 'flowsTo', f || '#T' || k, f || '#S' || k, CASE WHEN k % 2 = 0 THEN 'yes' END, 'derived', json_object('flowId', 'F' || k, 'hasConditionExpression', k % 7 = 0) FROM c
+  UNION ALL SELECT k, 'messageTo', f || '#U' || k, f || '#' || CASE WHEN k % 9 = 0 THEN 'gone' ELSE 'T' || k END, NULL, 'derived', json_object('flowId', 'M' || k) FROM c)
+SELECT c.ns || '/kg/l2-bpmn/' || c.path AS doc_id, 'node' AS what, a, b, n.c, derivation, p::VARCHAR AS properties FROM n JOIN c USING (k) UNION ALL SELECT c.ns || '/kg/l2-bpmn/' || c.path, what, a, b, e.c, derivation, p::VARCHAR FROM e JOIN c USING (k)""")
 def process_graph(spark, d):
-    nodes, edges = markup.process_graph(_processes(spark, d), NS)
-    return nodes.select(F.lit("node").alias("what"), F.col("id").alias("a"), F.col("type").alias("b"), F.col("label").alias("c")).unionByName(edges.select(F.col("predicate").alias("what"), F.col("source").alias("a"), F.col("target").alias("b"), F.col("qualifier").alias("c")))
+    g = extraction.processes(_processes(spark, d), _people(spark, d))
+    about = F.when(F.col("type") == "bpmn-definitions", F.regexp_replace("properties", '"sha256":"[0-9a-f]{64}",', "")).otherwise(F.col("properties"))
+    n = g.nodes.select("doc_id", F.lit("node").alias("what"), F.col("id").alias("a"), F.col("type").alias("b"), F.col("label").alias("c"), "derivation", about.alias("properties"))
+    return n.unionByName(g.edges.select("doc_id", F.col("predicate").alias("what"), F.col("source").alias("a"), F.col("target").alias("b"), F.col("qualifier").alias("c"), "derivation", "properties"))
 
 
-@query("""SELECT 'F' || c_custkey AS flow_id, 'flowsTo' AS predicate, 'T' || c_custkey AS source, CASE WHEN c_custkey % 2 = 0 THEN 'yes' END AS qualifier, c_custkey % 5 = 0 AS conditional FROM customer
+@query("""SELECT 'F' || c_custkey AS flow_id, 'flowsTo' AS predicate, 'T' || c_custkey AS source, CASE WHEN c_custkey % 2 = 0 THEN 'yes' END AS qualifier, c_custkey % 7 = 0 AS conditional FROM customer
 UNION ALL SELECT 'M' || c_custkey, 'messageTo', 'U' || c_custkey, NULL, false FROM customer""")
 def process_flows(spark, d):
     return markup.flows(_processes(spark, d)).select("flow_id", "predicate", "source", "qualifier", "conditional")
@@ -72,15 +90,96 @@ def unowned_processes(spark, d):
 # Decision files
 
 
-_DMN = """concat('<definitions><decision id="D', o_orderkey, '" label="Order"><question>', o_orderstatus, ' &lt; 3?</question><usingTask href="x.bpmn#', o_orderpriority, '%20%2B"/><decisionTable id="T', o_orderkey, '"', CASE WHEN o_orderkey % 2 = 0 THEN ' hitPolicy="FIRST"' ELSE '' END,
-'><input id="i" label="Status"><inputExpression><text>', o_orderstatus, '</text></inputExpression></input><output id="o1" label="Action"/><output id="o2" label="', CASE WHEN o_orderkey % 3 = 0 THEN 'Reference' ELSE 'Source' END, '"><description>', CASE WHEN o_orderkey % 3 = 1 THEN 'Reference for the source content (L1)' ELSE 'plain' END, '</description></output>',
-'<rule id="r1"><inputEntry><text>1</text></inputEntry><outputEntry><text>', o_orderpriority, '</text></outputEntry>', CASE WHEN o_orderkey % 2 = 0 THEN concat('<annotationEntry><text>Book ', o_custkey, ' (', o_orderkey, ')</text></annotationEntry>') ELSE '' END, '</rule><rule id="r2"><inputEntry><text>2</text></inputEntry><outputEntry><text>wait</text></outputEntry></rule></decisionTable></decision></definitions>')"""
+_DMN = """concat('<definitions namespace="', CASE WHEN o_orderkey % 2 = 0 THEN 'http://example.org/kit/dmn/' ELSE 'https://other.org/x' END, '"><decision label="Order" id="D', o_orderkey, '"><question>', o_orderstatus, ' &lt; 3?</question><usingTask href="in/x.bpmn#', o_orderpriority, '%20%2B"/><decisionTable id="T', o_orderkey, '"', CASE WHEN o_orderkey % 2 = 0 THEN ' hitPolicy="FIRST"' ELSE '' END,
+'><input id="i" label="Status"><inputExpression typeRef="string"><text>', o_orderstatus, '</text></inputExpression></input><output id="o1" label="Action"/><output id="o2" label="', CASE WHEN o_orderkey % 3 = 0 THEN 'Reference' ELSE 'Source' END, '"><description>', CASE WHEN o_orderkey % 3 = 1 THEN 'Reference for the source content (L1)' ELSE 'plain' END, '</description></output>',
+'<rule id="r1"><inputEntry><text>1</text></inputEntry><outputEntry><text>', o_orderpriority, '</text></outputEntry>', CASE WHEN o_orderkey % 2 = 0 THEN concat('<annotationEntry><text>Book ', o_custkey, ' (', o_orderkey, ')\n[later]\n-</text></annotationEntry>') ELSE '' END, '</rule><rule id="r2"><inputEntry><text>2</text></inputEntry><outputEntry><text>wait</text></outputEntry></rule></decisionTable></decision></definitions>')"""
 
 
 def _decisions(spark, d):
     return _files(spark, d, "orders", "concat('d', o_orderkey, '.dmn')", _DMN)
 
 
+def _tasks(spark, d):
+    """Tasks that decisions are invoked by: one of the name 1-URGENT +, two of the name 2-HIGH +."""
+    each = "inline(filter(array(struct(0, '1-URGENT +', 'urn:task/1'), struct(1, '2-HIGH +', 'urn:task/2'), struct(1, '2-HIGH +', 'urn:task/3')), x -> x.col1 = r_regionkey)) AS (k, name, task)"
+    return read(spark, d, "region").selectExpr(each).select("name", "task")
+
+
+_DMN_SQL = r"""o AS (SELECT *, ns || '/artifact/D' || k AS f, 'd' || k || '.dmn' AS path, k % 3 < 2 AS referred, 'Book ' || cust || ' (' || k || ')' AS book, CASE prio WHEN '1-URGENT' THEN 'resolved' WHEN '2-HIGH' THEN 'ambiguous' ELSE 'unresolved' END AS status,
+  CASE WHEN prio = '1-URGENT' THEN 'urn:task/1' ELSE ns || '/artifact/x.bpmn#' || prio || '%20%2B' END AS task
+  FROM (SELECT o_orderkey AS k, o_custkey AS cust, o_orderstatus AS st, o_orderpriority AS prio, CASE WHEN o_orderkey % 2 = 0 THEN 'https://example.org/kit' ELSE 'https://other.org/x' END AS ns, CASE WHEN o_orderkey % 3 = 0 THEN 'Reference' ELSE 'Source' END AS l, CASE WHEN o_orderkey % 3 = 1 THEN 'Reference for the source content (L1)' ELSE 'plain' END AS descr FROM orders)),
+cited AS (SELECT o.*, x.t AS cite FROM o, unnest([book, '[later]']) x(t) WHERE k % 2 = 0 AND referred)"""
+
+
+@query(f"""WITH {_DMN_SQL},
+n AS (SELECT k, f AS a, 'dmn-definitions' AS b, 'Order' AS c, 'derived' AS derivation, json_object('id', 'D' || k, 'namespace', CASE WHEN k % 2 = 0 THEN 'http://example.org/kit/dmn/' ELSE 'https://other.org/x' END, 'label', 'Order', 'source', path) AS p FROM o
+  UNION ALL SELECT k, f || '#D' || k, 'dmn-decision', 'Order', 'derived', json_object('id', 'D' || k, 'label', 'Order', 'question', st || ' < 3?', 'allowedAnswers', NULL) FROM o
+  UNION ALL SELECT k, task, 'external-artifact', prio || ' +', 'inferred', json_object('iri', task, 'targetKind', 'bpmn') FROM o WHERE status <> 'resolved'
+  UNION ALL SELECT k, f || '#T' || k || '#table', 'dmn-decision-table', 'T' || k, 'derived', json_object('id', 'T' || k, 'hitPolicy', CASE WHEN k % 2 = 0 THEN 'FIRST' END, 'aggregation', NULL) FROM o
+  UNION ALL SELECT k, f || '#i', 'dmn-input-clause', 'Status', 'derived', json_object('id', 'i', 'label', 'Status', 'expression', st, 'typeRef', 'string', 'ordinal', 0) FROM o
+  UNION ALL SELECT k, f || '#o1', 'dmn-output-clause', 'Action', 'derived', json_object('id', 'o1', 'label', 'Action', 'description', NULL, 'ordinal', 0, 'serialisedAs', 'outputEntry', 'isReferenceColumn', false) FROM o
+  UNION ALL SELECT k, f || '#o2', 'dmn-output-clause', l, 'derived', json_object('id', 'o2', 'label', l, 'description', descr, 'ordinal', 1, 'serialisedAs', 'annotationEntry', 'isReferenceColumn', referred) FROM o
+  UNION ALL SELECT k, ns || '/data-element/' || lower(st), 'data-element', st, 'inferred', json_object('name', st, 'extractionRule', 'bare-expression', 'resolutionStatus', 'unresolved') FROM o
+  UNION ALL SELECT k, f || '#r1', 'dmn-rule', 'rule 1', 'derived', json_object('id', 'r1', 'ordinal', 0, 'conditions', [{{'clause': 'Status', 'description': NULL, 'text': '1'}}], 'outputs', [{{'clause': 'Action', 'description': NULL, 'text': prio}}], 'annotations', CASE WHEN k % 2 = 0 THEN [{{'clause': l, 'text': book || chr(10) || '[later]' || chr(10) || '-'}}] ELSE [] END) FROM o
+  UNION ALL SELECT k, f || '#r2', 'dmn-rule', 'rule 2', 'derived', json_object('id', 'r2', 'ordinal', 1, 'conditions', [{{'clause': 'Status', 'description': NULL, 'text': '2'}}], 'outputs', [{{'clause': 'Action', 'description': NULL, 'text': 'wait'}}], 'annotations', []) FROM o),
+e AS (SELECT k, 'contains' AS what, f AS a, f || '#D' || k AS b, 'derived' AS derivation, NULL AS p FROM o UNION ALL SELECT k, 'contains', f || '#D' || k, f || '#T' || k || '#table', 'derived', NULL FROM o
+  UNION ALL SELECT k, 'contains', f || '#T' || k || '#table', f || '#' || x, 'derived', NULL FROM o, (VALUES ('i'), ('o1'), ('o2'), ('r1'), ('r2')) v(x)
+  UNION ALL SELECT k, 'invokedBy', f || '#D' || k, task, 'inferred', json_object('resolutionStatus', status, 'matchedOn', 'name in the reference = name of the task', 'href', 'in/x.bpmn#' || prio || '%20%2B', 'taskName', prio || ' +') FROM o
+  UNION ALL SELECT k, 'reads', f || '#i', ns || '/data-element/' || lower(st), 'inferred', json_object('resolutionStatus', 'unresolved', 'extractionRule', 'bare-expression') FROM o
+  UNION ALL SELECT k, 'citesSource', f || '#r1', ns || '/citation/' || substr(sha256(cite), 1, 12), 'derived', json_object('text', cite) FROM cited),
+a AS (SELECT DISTINCT ns || '/kg/citations/' || path AS doc_id, 'node' AS what, ns || '/citation/' || substr(sha256(cite), 1, 12) AS a, 'citation' AS b, cite AS c, 'derived' AS derivation, CASE WHEN cite = '[later]' THEN json_object('text', cite, 'citationKind', 'placeholder', 'resolutionStatus', 'unresolved') ELSE json_object('text', cite, 'numbering', k::VARCHAR, 'citationKind', 'reference', 'resolutionStatus', 'unresolved') END::VARCHAR AS p FROM cited)
+SELECT o.ns || '/kg/l2-dmn/' || o.path AS doc_id, 'node' AS what, n.a, b, n.c, derivation, p::VARCHAR AS properties FROM n JOIN o USING (k) UNION ALL SELECT o.ns || '/kg/l2-dmn/' || o.path, what, e.a, b, NULL, derivation, p::VARCHAR FROM e JOIN o USING (k)
+UNION ALL SELECT * FROM a UNION ALL SELECT ns || '/kg/citations/' || path, 'appearsIn', ns || '/citation/' || substr(sha256(cite), 1, 12), f, NULL, 'derived', NULL FROM cited
+UNION ALL SELECT ns || '/kg/citations/' || path, 'node', f, 'external-artifact', 'D' || k, 'derived', json_object('iri', f, 'targetKind', 'dmn')::VARCHAR FROM o""")
+def decision_graph(spark, d):
+    files = _decisions(spark, d)
+    g = extraction.union(extraction.decisions(files, _tasks(spark, d)), extraction.citations(files))
+    about = F.when(F.col("type") == "dmn-definitions", F.regexp_replace("properties", ',"sha256":"[0-9a-f]{64}"', "")).otherwise(F.col("properties"))
+    n = g.nodes.select("doc_id", F.lit("node").alias("what"), F.col("id").alias("a"), F.col("type").alias("b"), F.col("label").alias("c"), "derivation", about.alias("properties"))
+    return n.unionByName(g.edges.select("doc_id", F.col("predicate").alias("what"), F.col("source").alias("a"), F.col("target").alias("b"), F.col("qualifier").alias("c"), "derivation", "properties"))
+
+
+@query(f"""WITH {_BPMN_SQL}, {_DMN_SQL}
+SELECT ns || '/kg/l2-bpmn/' || path AS doc_id, 'l2-bpmn' AS layer, 'https://example.org/kg/l2-bpmn.context.jsonld' AS context, path FROM c UNION ALL SELECT ns || '/kg/l2-dmn/' || path, 'l2-dmn', 'https://example.org/kg/l2-dmn.context.jsonld', path FROM o UNION ALL SELECT ns || '/kg/citations/' || path, 'l2', 'https://example.org/kg/l2.context.jsonld', path FROM o""")
+def extracted_documents(spark, d):
+    """SRC-02, SRC-04: files that lie in a folder, read with their hashes, become documents; the layer is read off the context again, and the hash of a source is that of its file."""
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    made = _processes(spark, d).union(_decisions(spark, d))
+    made.select("path", F.col("text").alias("value")).write.parquet(folder)
+    files = spark.read.parquet(folder).select("path", F.col("value").alias("text"), F.sha2("value", 256).alias("sha256"))
+    p, q = files.where("path LIKE '%.bpmn'"), files.where("path LIKE '%.dmn'")
+    g = extraction.union(extraction.processes(p, _people(spark, d)), extraction.decisions(q, _tasks(spark, d)), extraction.citations(q))
+    source = g.documents.select("doc_id", documents.layer_of(F.col("context")).alias("layer"), "context", F.explode("sources").alias("s"))
+    return source.join(files.select("path", F.col("sha256").alias("now")), F.col("s.path") == F.col("path")).where("s.sha256 = now").select("doc_id", "layer", "context", "path")
+
+
+_ALLOWED = {"bpmn-task": ["id", "name", "taskType", "isSubProcess"], "bpmn-process": ["id", "name", "isExecutable"], "dmn-decision": ["id", "label", "question", "allowedAnswers"], "citation": ["text", "numbering", "citationKind", "resolutionStatus"]}
+
+
+def _layers(spark):
+    """A model of the layers that extraction makes documents of."""
+    classes = {"l2": ["persona", "external-artifact", "citation", "data-element"], "l2-bpmn": ["bpmn-definitions", "bpmn-process", "bpmn-participant", "bpmn-task", "bpmn-gateway", "bpmn-event"], "l2-dmn": ["dmn-definitions", "dmn-decision", "dmn-decision-table", "dmn-input-clause", "dmn-output-clause", "dmn-rule"]}
+    bpmn = [("contains", "bpmn-definitions", "bpmn-process"), ("contains", "bpmn-definitions", "bpmn-participant"), ("contains", "bpmn-process", "bpmn-task"), ("contains", "bpmn-process", "bpmn-gateway"), ("contains", "bpmn-process", "bpmn-event"), ("contains", "bpmn-task", "bpmn-task"), ("flowsTo", "bpmn-task", "bpmn-task"), ("messageTo", "bpmn-task", "bpmn-task"), ("performedBy", "bpmn-participant", "persona")]
+    dmn = [("contains", "dmn-definitions", "dmn-decision"), ("contains", "dmn-decision", "dmn-decision-table"), *[("contains", "dmn-decision-table", x) for x in ("dmn-input-clause", "dmn-output-clause", "dmn-rule")], ("invokedBy", "dmn-decision", "external-artifact"), ("reads", "dmn-input-clause", "data-element"), ("citesSource", "dmn-rule", "citation")]
+    licensed = [("l2-bpmn", *e) for e in bpmn] + [("l2-dmn", *e) for e in dmn] + [("l2", "appearsIn", "citation", "external-artifact")]
+    return make_model(
+        spark, classes=[(layer, c, "Thing", "external-artifact" if c.endswith("-definitions") else None, None, None) for layer, cs in classes.items() for c in cs], class_properties=[(c, p) for c, ps in _ALLOWED.items() for p in ps],
+        predicates=sorted({(layer, p, p == "flowsTo") for layer, p, _, _ in licensed}), licensed=[(layer, p, s, t, None, None) for layer, p, s, t in licensed], imports=[("l2", None, "1", "n"), ("l2-bpmn", "l2", "1", "n"), ("l2-dmn", "l2-bpmn", "1", "n")],
+    )
+
+
+@query(f"""WITH {_BPMN_SQL}, {_DMN_SQL}, b AS (SELECT *, ns || '/kg/l2-bpmn/' || path AS doc_id FROM c)
+SELECT doc_id, 'V-12' AS rule_id, f || '#U' || k AS subject FROM b UNION ALL SELECT doc_id, 'V-07', 'contains|' || f || '#S' || k || '|' || f || '#G' || k FROM b
+UNION ALL SELECT doc_id, 'V-06', 'messageTo|' || f || '#U' || k || '|' || f || '#gone' FROM b WHERE k % 9 = 0 UNION ALL SELECT doc_id, 'V-06', 'performedBy|' || f || '#P' || k || '|' || person FROM b WHERE k % 3 > 0 AND status = 'resolved'
+UNION ALL SELECT ns || '/kg/l2-dmn/' || path, 'V-06', 'invokedBy|' || f || '#D' || k || '|' || task FROM o WHERE status = 'resolved'""")
+def extracted_findings(spark, d):
+    """EXT-01 to EXT-10 into V-36: files written by Spark, extracted, and held against the model of their layers."""
+    p, q = _processes(spark, d), _decisions(spark, d)
+    g = extraction.union(extraction.processes(p, _people(spark, d)), extraction.decisions(q, _tasks(spark, d)), extraction.citations(q))
+    g = extraction.Graph(*[written(t) for t in g])
+    return rules.validate(*g, _layers(spark)).select("doc_id", "rule_id", "subject")
+
+
 @query("""SELECT 'D' || o_orderkey AS decision_id, 'Order' AS label, o_orderstatus || ' < 3?' AS question, o_orderpriority || ' +' AS using_task, CASE WHEN o_orderkey % 2 = 0 THEN 'FIRST' END AS hit_policy,
 CASE WHEN o_orderkey % 3 < 2 THEN 1 END::INT AS reference FROM orders""")
 def decision_tables(spark, d):
@@ -92,7 +191,7 @@ def decision_tables(spark, d):
 @query("""WITH o AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 'Reference' ELSE 'Source' END AS l FROM orders)
 SELECT 'D' || o_orderkey AS decision_id, 'r1' AS rule_id, 'inputEntry' AS entry, 0::INT AS ordinal, 'Status' AS label, '1' AS text FROM o UNION ALL SELECT 'D' || o_orderkey, 'r2', 'inputEntry', 0, 'Status', '2' FROM o
 UNION ALL SELECT 'D' || o_orderkey, 'r1', 'outputEntry', 0, 'Action', o_orderpriority FROM o UNION ALL SELECT 'D' || o_orderkey, 'r2', 'outputEntry', 0, 'Action', 'wait' FROM o
-UNION ALL SELECT 'D' || o_orderkey, 'r1', 'annotationEntry', 0, l, CASE WHEN o_orderkey % 2 = 0 THEN 'Book ' || o_custkey || ' (' || o_orderkey || ')' END FROM o UNION ALL SELECT 'D' || o_orderkey, 'r2', 'annotationEntry', 0, l, NULL FROM o""")
+UNION ALL SELECT 'D' || o_orderkey, 'r1', 'annotationEntry', 0, l, CASE WHEN o_orderkey % 2 = 0 THEN 'Book ' || o_custkey || ' (' || o_orderkey || ')' || chr(10) || '[later]' || chr(10) || '-' END FROM o UNION ALL SELECT 'D' || o_orderkey, 'r2', 'annotationEntry', 0, l, NULL FROM o""")
 def decision_cells(spark, d):
     return markup.cells(_decisions(spark, d)).select("decision_id", "rule_id", "entry", "ordinal", "label", "text")
 

@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids
-from graphloom.operators import markup, questions, shorthand
+from graphloom.operators import extraction, markup, questions, shorthand
 from graphloom.sources import documents
 
 BPMN = """<?xml version="1.0"?><bpmn:definitions id="D1" targetNamespace="http://example.org/kit/bpmn/">
@@ -86,11 +86,32 @@ def test_process_files(spark):
     parents = {r.id: (r.parent, r.depth) for r in markup.nesting(f, ["process", "subProcess"], ["task", "userTask", "startEvent"]).collect() if r.path == "a.bpmn"}
     assert parents["T1"] == ("Pr1", 1) and parents["T2"] == ("Sub", 2) and parents["T3"] == ("Deep", 3) and parents["T4"] == ("Sub", 2) and parents["Pr1"] == (None, 0) and parents["Pr2"] == (None, 0)
     flows = {r.flow_id: (r.predicate, r.source, r.target, r.qualifier, r.conditional) for r in markup.flows(f).collect()}
-    assert flows == {"F1": ("flowsTo", "G", "T1", "yes", True), "F2": ("flowsTo", "T1", "E", None, False), "M1": ("messageTo", "T1", "T2", None, False)}
+    assert flows == {"F1": ("flowsTo", "G", "T1", "yes", False), "F2": ("flowsTo", "T1", "E", None, False), "M1": ("messageTo", "T1", "T2", None, False)}
     assert [r.id for r in markup.unowned_processes(f).collect()] == ["Pr2"]
-    nodes, edges = markup.process_graph(f, "ns")
-    assert nodes.where("id = 'ns/artifact/a.bpmn#T2'").count() == 1
-    assert {(r.source, r.predicate) for r in edges.where("target = 'ns/artifact/a.bpmn#T3'").collect()} == {("ns/artifact/a.bpmn#Deep", "contains")}
+    g = extraction.processes(f, spark.createDataFrame([("Nurse", "x.fsh")], "title string, source string"))
+    own = "https://example.org/kit/artifact/D1"
+    nodes = {r.id: r for r in g.nodes.collect() if r.doc_id.endswith("a.bpmn")}
+    assert nodes[f"{own}#T2"].type == "bpmn-task" and json.loads(nodes[f"{own}#T2"].properties)["parent"] == f"{own}#Sub"
+    assert json.loads(nodes[own].properties)["sha256"] == hashlib.sha256(BPMN.encode()).hexdigest()
+    edges = {(r.predicate, r.source, r.target): r for r in g.edges.collect()}
+    assert ("contains", f"{own}#Deep", f"{own}#T3") in edges and ("contains", own, f"{own}#P1") in edges and ("contains", f"{own}#Pr1", f"{own}#T1") in edges
+    held = {r.source.split("#")[1]: (json.loads(r.properties)["resolutionStatus"], r.target, r.evidence.location) for r in edges.values() if r.predicate == "performedBy"}
+    assert held == {"P1": ("resolved", "https://example.org/kit/persona/nurse", "x.fsh"), "P2": ("unresolved", "https://example.org/kit/persona/nobody", "a.bpmn")}
+    assert nodes["https://example.org/kit/persona/nobody"].derivation == "inferred" and "https://example.org/kit/persona/nurse" not in nodes
+    assert {r.sources[0].path for r in g.documents.collect()} == {r.path for r in f.collect()}
+
+
+def test_tasks_for_decisions(spark):
+    f = files(spark, a__bpmn=BPMN, d__dmn=DMN.replace('<definitions id="D">', '<definitions namespace="http://example.org/kit/dmn">').replace("Weigh%20+%20measure", "Weigh%20%26%20measure"))
+    t = extraction.process_tags(f.where("path = 'a.bpmn'"))
+    names = extraction.task_names(t)
+    assert {(r.name, r.task) for r in names.collect()} == {("Weigh & measure", "https://example.org/kit/artifact/D1#T1"), ("Inner", "https://example.org/kit/artifact/D1#T2")}
+    dmn = f.where("path = 'd.dmn'")
+    for known, status, target in ((names, "resolved", "https://example.org/kit/artifact/D1#T1"), (names.union(names), "ambiguous", "https://example.org/kit/artifact/x.bpmn#Weigh%20%26%20measure"), (None, "unresolved", "https://example.org/kit/artifact/x.bpmn#Weigh%20%26%20measure")):
+        g = extraction.decisions(dmn, known)
+        e = g.edges.where("predicate = 'invokedBy'").first()
+        assert (json.loads(e.properties)["resolutionStatus"], e.target) == (status, target)
+        assert g.nodes.where("type = 'external-artifact'").count() == (0 if status == "resolved" else 1)
 
 
 def test_decision_files(spark):
@@ -103,11 +124,32 @@ def test_decision_files(spark):
     assert [r.ordinal for r in markup.reference_column(markup.clauses(f).where("side = 'output'"), ["path"]).collect()] == [2]
     expr = {(r.element, r.rule) for r in markup.data_elements(markup.clauses(f).where("side = 'input'"), ["path"], "expression").collect()}
     assert expr == {("Haemoglobin", "bare-expression"), ("Age", "quoted-left-of-comparison"), ("Sex", "quoted-left-of-comparison")}
-    nodes, edges = markup.decision_graph(f, "ns")
-    assert {r.label for r in nodes.where("type = 'citation'").collect()} == {"Book A (1)", "[later]"}
-    ends = {r.id for r in nodes.collect()}
-    assert all(r.target in ends and r.source in ends for r in edges.collect())
-    assert {r.type for r in nodes.collect()} == {"dmn-definitions", "dmn-decision", "dmn-decision-table", "dmn-input-clause", "dmn-output-clause", "dmn-rule", "citation", "data-element"}
+    g = extraction.union(extraction.decisions(f), extraction.citations(f))
+    nodes, edges = g.nodes.collect(), g.edges.collect()
+    assert {r.label for r in nodes if r.type == "citation"} == {"Book A (1)", "[later]"}
+    ends = {r.id for r in nodes}
+    assert all(r.target in ends and r.source in ends for r in edges)
+    assert {r.type for r in nodes} == {"dmn-definitions", "dmn-decision", "dmn-decision-table", "dmn-input-clause", "dmn-output-clause", "dmn-rule", "citation", "data-element", "external-artifact"}
+    rule = json.loads(next(r.properties for r in nodes if r.id == "urn:unknown/artifact/Dec#r1"))
+    assert rule["conditions"] == [{"clause": "Hb", "description": None, "text": "1"}, {"clause": None, "description": None, "text": "2"}] and rule["annotations"][0]["clause"] == "Reference(s)"
+    table = next(r for r in nodes if r.type == "dmn-decision-table")
+    assert table.id == "urn:unknown/artifact/Dec#DT#table" and json.loads(table.properties) == {"id": "DT", "hitPolicy": "FIRST", "aggregation": None}
+
+
+def test_kit_files(spark):
+    kit = json.dumps({"id": "k", "title": "Kit", "canonicalUrl": "http://example.org/kit/", "copyrightYear": 2024, "publisher": {"name": "P"}})
+    f = files(spark, x__fsh=FSH).union(files(spark, **{"kit__json": kit}))
+    g = extraction.kit_components(f, extraction.kits(f))
+    nodes, edges = {r.id: r for r in g.nodes.collect()}, g.edges.collect()
+    ns = "https://example.org/kit"
+    assert json.loads(nodes[f"{ns}/kg/dak"].properties) == {"id": "k", "title": "Kit", "canonicalUrl": "http://example.org/kit/", "copyrightYear": 2024, "publisherName": "P"}
+    assert nodes[f"{ns}/persona/nurse-a"].type == "persona" and nodes[f"{ns}/persona/ghost"].derivation == "inferred"
+    assert nodes[f"{ns}/requirement/req1"].type == "functional-requirement" and nodes[f"{ns}/requirement/req3"].type == "non-functional-requirement" and "capability" not in json.loads(nodes[f"{ns}/requirement/req3"].properties)
+    assert json.loads(nodes[f"{ns}/requirement/req1/statement/a"].properties) == {"key": "a", "label": "A", "requirement": "must weigh", "conformance": "SHALL"}
+    assert {(r.source, r.target, json.loads(r.properties)["resolutionStatus"]) for r in edges if r.predicate == "fulfilledBy"} == {(f"{ns}/requirement/req1", f"{ns}/persona/nurse-a", "resolved"), (f"{ns}/requirement/req1", f"{ns}/persona/ghost", "unresolved")}
+    assert {(r.target, r.qualifier) for r in edges if r.predicate == "hasComponent"} == {(f"{ns}/persona/nurse-a", "personas"), *[(f"{ns}/requirement/req{i}", "requirements") for i in (1, 2, 3)]}
+    assert all(r.note and r.evidence.location for r in edges if r.derivation == "inferred") and all(r.target in nodes and r.source in nodes for r in edges)
+    assert g.documents.count() == 2
 
 
 def test_shorthand_files(spark):
