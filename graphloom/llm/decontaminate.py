@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from graphloom.llm._shared import on_plain_names
 from graphloom.llm._text import mix
 from graphloom.session import ship
 
@@ -188,6 +189,8 @@ class Passages:
 def blocks(benchmark: DataFrame, item: str, text: str, q: int, percent: int, least_words: int) -> Iterator[list[Passages]]:
     """Passages, block by block; those for which q-grams of q would ask for nothing have shorter ones."""
     ship(benchmark.sparkSession)
+    benchmark = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{text}`").alias("text"))
+    item, text = "item", "text"
     size = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
     parts = -(-size // BLOCK_CHARS)
     for p in range(parts):
@@ -212,12 +215,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     own. Equal passages under several items each give a row. Other columns of docs are not returned.
     """
     slim = docs.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").alias("__text"))
-    schema = f"`{key}` {slim.schema['__key'].dataType.simpleString()}, `{item}` {benchmark.schema[item].dataType.simpleString()}, edits int, start int, end int, passage string"
+    schema = f"key {slim.schema['__key'].dataType.simpleString()}, item {benchmark.schema[item].dataType.simpleString()}, edits int, start int, end int, passage string"
     out, id_type = docs.sparkSession.createDataFrame([], schema), to_arrow_type(benchmark.schema[item].dataType)
     for passages in blocks(benchmark, item, item_text, q, percent, least_words):
 
         def run(batches: Iterator[pa.RecordBatch], passages: list[Passages] = passages) -> Iterator[pa.RecordBatch]:
-            names = [key, item, "edits", "start", "end", "passage"]
+            names = ["key", "item", "edits", "start", "end", "passage"]
             for batch in batches:
                 texts = [plain(t.as_py()) for t in batch["__text"]]
                 rows = [(n, p.ids[i], e, s, z, texts[n][s:z]) for p in passages for n, found in enumerate(p.best(texts)) for i, (e, s, z) in found.items()]
@@ -226,18 +229,23 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays([keys, pa.array([r[1] for r in rows], id_type), *rest], names=names)
 
         out = out.unionByName(slim.mapInArrow(run, schema))
-    return out
+    return out.toDF(key, item, *out.columns[2:])
 
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", q: int = 8, percent: int = 10, least_words: int = 1) -> DataFrame:
-    """docs, all columns, without the rows that find_passages() would find a passage in."""
-    for passages in blocks(benchmark, item, item_text, q, percent, least_words):
+    """docs, all columns of any names, without the rows that find_passages() would find a passage in."""
+    parts = blocks(benchmark, item, item_text, q, percent, least_words)
 
-        def run(batches: Iterator[pa.RecordBatch], passages: list[Passages] = passages) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = [plain(t.as_py()) for t in batch[text]]
-                held = [p.best(texts) for p in passages]
-                yield batch.filter(pa.array([not any(h[n] for h in held) for n in range(len(texts))], pa.bool_()))
+    def clean(kept: DataFrame, column: str) -> DataFrame:
+        for passages in parts:
+
+            def run(batches: Iterator[pa.RecordBatch], passages: list[Passages] = passages) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    texts = [plain(t.as_py()) for t in batch[column]]
+                    held = [p.best(texts) for p in passages]
+                    yield batch.filter(pa.array([not any(h[n] for h in held) for n in range(len(texts))], pa.bool_()))
+
+            kept = kept.mapInArrow(run, kept.schema)
+        return kept
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return on_plain_names(docs, clean, text)

@@ -219,7 +219,7 @@ RULES = r"""
 3 cc-by-2.0       cc              cc by 2 0
 4 apache          apache          apache (?:software )?(?:license|licence)
 4 mit             license|licence mit (?:license|licence)
-4 mit             license|licence mit licensed
+4 mit             licensed        mit licensed
 4 isc             isc             isc (?:license|licence)
 4 bsd             bsd             bsd (?:style )?(?:license|licence|licensed)
 4 gpl             gpl             (?:gnu )?gpl (?:license|licence|licensed|compatible)
@@ -267,7 +267,7 @@ RULES = r"""
 4 license         licensed        licensed under (?:the )?(?:same |following )?(?:terms|license|licence)
 4 license         license         see (?:the )?license (?:file )?for (?:details|more information|terms)
 4 license         licence         see (?:the )?licence (?:file )?for (?:details|more information|terms)
-4 license         license         all content (?:on this (?:site|page) )?is licensed
+4 license         licensed        all content (?:on this (?:site|page) )?is licensed
 4 license         licencia        bajo (?:la|una) licencia
 4 license         licence         sous (?:la )?licence
 4 license         lizenz          unter (?:der|einer) (?:\S+ )?lizenz

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from graphloom.llm._chunks import Chunked, by_pairs, counted, total
-from graphloom.llm._shared import without
+from graphloom.llm._shared import on_plain_names
 from graphloom.llm._text import Words, span_hashes
 
 WHOLE = np.uint64(0x94D049BB133111EB)
@@ -106,10 +106,17 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: i
     from 0 among all lines). Null texts have no lines and a null kept_text; texts with fewer than `run` lines
     are left alone unless `words` is given. Then a run of fewer lines is deleted too if it holds `words` or more
     words and stands earlier, and so is a text of fewer lines and words if an earlier text has just its lines. Among rows with one key the earlier is a matter of their text's hash. Columns of docs that
-    have the name of an added one are replaced; others may have any name that does not begin with two underscores. Texts are
-    read whole, of any length. A null key is given as the largest integer in matches.
+    have the name of an added one are replaced; others may have any name. Texts are
+    read whole, of any length. A null key is given as the largest integer in matches. A key that is no integer raises ValueError.
     """
-    docs = without(docs, ["n_lines", "n_removed_lines", "kept_text", "removed_lines", "matches"])
+    if docs.schema[key].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"{key} has to be an integer: lower keys come first")
+    added = ["n_lines", "n_removed_lines", "kept_text", "removed_lines", "matches"]
+    return on_plain_names(docs, lambda plain, k, t: _dedup(plain, k, t, run, words), key, text, added=added)
+
+
+def _dedup(docs: DataFrame, key: str, text: str, run: int, words: int | None) -> DataFrame:
+    """dedup_lines() of docs with plain names."""
     corpus = Chunked(docs, key, text)
     last = np.iinfo(np.int64).max
 

@@ -147,7 +147,7 @@ def _judged(votes: DataFrame, threshold: float) -> DataFrame:
     """votes, which are read twice, with base_failed, posterior and kept."""
     names = list(rules())
     patterns = votes.where(~_failed()).groupBy(*[f"__vote_{n}" for n in names]).agg(F.count("*").alias("n"))
-    model = fit(table(patterns.coalesce(1)), names)
+    model = fit(table(patterns), names)
     out = votes.withColumn("base_failed", _failed()).withColumn("posterior", _posterior(model))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)).drop(*[f"__vote_{n}" for n in names])
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from graphloom.llm._chunks import SHORT, Chunked, by_pairs, counted, counted_pairs, total
-from graphloom.llm._shared import without
+from graphloom.llm._shared import on_plain_names
 from graphloom.llm._text import Words, span_hashes
 
 ADDED = "n_words long, n_removed long, kept_text string, removed_spans array<struct<start:long,end:long>>"
@@ -50,12 +50,16 @@ def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", w
     have no words; texts of fewer than `window` words are never touched. Rows with the same key, or a null
     key, are separate documents. Columns of docs that have the name of an added one are replaced.
     Whole windows are compared by 128 bits; index and probe hashes have 48 and only rule windows out. Texts are read whole,
-    of any length; other columns of docs may have any name that does not begin with two underscores.
+    of any length; other columns of docs may have any name.
     """
     if window < 1 or window % 2 == 0:
         raise ValueError("window must be odd")
+    return on_plain_names(docs, lambda plain, k, t: _dedup(plain, k, t, window), key, text, added=["n_words", "n_removed", "kept_text", "removed_spans"])
+
+
+def _dedup(docs: DataFrame, key: str, text: str, window: int) -> DataFrame:
+    """dedup_substrings() of docs with plain names."""
     block = (window + 1) // 2
-    docs = without(docs, ["n_words", "n_removed", "kept_text", "removed_spans"])
     corpus = Chunked(docs, key, text)
 
     def ask_blocks(t: pa.Table) -> tuple:

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from graphloom.llm._shared import without
+from graphloom.llm._shared import on_plain_names
 from graphloom.session import ship
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -104,7 +104,7 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: list[bytes] |
 
     vocabulary: tokens, or the path of a byte-level vocabulary file that the driver reads. It goes to every
     task, so it may hold 64 MB at most. Texts are counted whole and one by one; repeated rows count alike.
-    Columns of docs named like an added one are replaced.
+    Columns of docs named like an added one are replaced, others may have any name.
     """
     ship(docs.sparkSession)
     tokens = read_vocabulary(vocabulary) if isinstance(vocabulary, str) else list(vocabulary)
@@ -112,9 +112,8 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: list[bytes] |
         raise ValueError("the vocabulary is too large to go to every task")
     name = hashlib.sha256(b"\0".join(tokens)).hexdigest()
     sent = docs.sparkSession.sparkContext.broadcast(tokens)
-    docs = without(docs, ["n_words", "n_tokens", "n_bytes"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
         if name not in _built:
             _built.clear()
             _built[name] = Automaton(sent.value)
@@ -128,5 +127,8 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: list[bytes] |
             columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "n_words", "n_tokens", "n_bytes"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, n_words long, n_tokens long, n_bytes long")
+    def counted(plain: DataFrame, column: str) -> DataFrame:
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        return plain.mapInArrow(lambda batches: run(batches, column), f"{schema}, n_words long, n_tokens long, n_bytes long")
+
+    return on_plain_names(docs, counted, text, added=["n_words", "n_tokens", "n_bytes"])

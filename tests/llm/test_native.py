@@ -4,13 +4,19 @@ import re
 import zlib
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+from graphloom.llm.decontaminate import find_passages, without_passages
+from graphloom.llm.line_dedup import dedup_lines
 from graphloom.llm.mixing import draw, mix_sources, mixed
 from graphloom.llm.ngram_join import keep_one
 from graphloom.llm.quality_rules import BASE, fit, keep_good, measured, quality_rules, rules
 from graphloom.llm.sharding import shard_documents
+from graphloom.llm.substring_dedup import dedup_substrings
+from graphloom.llm.token_counts import count_tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TEXTS = [None, "", " \n\t", "one", "a b c d e a b c d e", "x " * 40, "# a\n# a\n\n\n b|c", "é ü d\x0be\ff\rg", "Line one.\nLine one.\nLine one.\n", " lead and trail ", "日本 語" * 3]
@@ -230,3 +236,38 @@ def test_slots_hang_on_rows_alone(spark):
         got.append({x.doc_id: (x.shard, x.slot) for x in shard_documents(df).collect()})
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got[0] == got[1]
+
+
+def test_other_operators_give_back_any_columns_as_they_were(spark):
+    """Columns with dots, of the names that an operator adds or uses itself, and nulls in all; a very long text; repeated rows."""
+    df = clashing(spark).withColumns({"__chunk": F.lit(5), "__bucket": F.lit(None).cast("int"), "x.y": F.lit("k"), "Kept_Text": F.lit(1), "edits": F.lit(2)})
+    df = df.union(df.where("doc_id = 4"))
+    rows = sorted(map(repr, df.collect()))
+    item = spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, `t.x` string").withColumn("text", F.lit("zz"))
+    for run in (dedup_lines, lambda d: dedup_lines(d, words=50), dedup_substrings, count_tokens):
+        out = run(df)
+        added = [c for c in out.columns if c not in df.columns]
+        mine = [c for c in df.columns if c.lower() not in {a.lower() for a in out.columns[-6:]} or c in out.columns]
+        names = [c for c in df.columns if c in out.columns and c not in ("n_words",)]
+        assert added and {"__chunk", "x.y", "a.b"} <= set(mine)
+        assert sorted(map(repr, out.select(*[F.col(f"`{c}`") for c in names]).collect())) == sorted(map(repr, df.select(*[F.col(f"`{c}`") for c in names]).collect()))
+        assert run(df.limit(0)).collect() == []
+    out = without_passages(df, item, item_text="t.x")
+    assert out.columns == df.columns and sorted(map(repr, out.collect())) == sorted(x for x, y in zip(map(repr, df.collect()), df.collect()) if y.doc_id not in (0, 4)) and len(rows) == 7
+    assert without_passages(df.limit(0), item, item_text="t.x").collect() == [] and without_passages(df, item.limit(0), item_text="t.x").count() == 7
+    found = find_passages(df.withColumnRenamed("doc_id", "d.k"), item.withColumnRenamed("item_id", "i.k"), key="d.k", item="i.k", item_text="t.x")
+    assert found.columns[:2] == ["d.k", "i.k"] and sorted(x[0] for x in found.collect()) == [0, 4, 4]
+
+
+def test_string_keys_of_lines_are_refused(spark):
+    with pytest.raises(ValueError):
+        dedup_lines(spark.createDataFrame([("k0", "a")], "doc_id string, text string"))
+
+
+def test_pipeline_over_nothing_and_over_dotted_names(spark, tmp_path):
+    df = clashing(spark).withColumn("x.y", F.lit(1))
+    spark.createDataFrame([(1, "one two three four five six seven eight")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, d in (("all", df), ("none", df.limit(0))):
+        for _, stage in corpus_pipeline.STAGES:
+            d = stage(spark, d, str(tmp_path))
+        assert d.count() == (0 if name == "none" else d.count()) and "x.y" in d.columns
