@@ -38,7 +38,10 @@ class Seen:
 
 @dataclass
 class Model:
-    """Tables of SCHEMAS. Those without a column layer (or with a null in it) hold for every layer."""
+    """Tables of SCHEMAS. Those without a column layer (or with a null in it) hold for every layer.
+
+    Of several licences of one triple the first that asks for a derivation stands: a layer's own come first, then by position.
+    """
 
     classes: DataFrame
     class_properties: DataFrame
@@ -100,17 +103,21 @@ class Model:
         bindings = listed(bound, "class").agg(F.collect_set(F.struct("property", "value_set", "severity", F.coalesce("codes", F.array().cast("array<string>")).alias("codes"))).alias("bindings"))
         for t in (allowed, fields, bindings):
             classes = classes.join(t, ["layer", "class"], "left")
-        rows = self.in_scope(self.licensed).withColumnsRenamed({"source": "source_type", "target": "target_type"})
+        declared = self.licensed if "position" in self.licensed.columns else self.licensed.withColumn("position", F.lit(0))
+        rows = self.in_scope(declared.withColumn("home", F.col("layer"))).withColumnsRenamed({"source": "source_type", "target": "target_type"})
+        turn = F.struct((F.coalesce("home", F.lit("")) != F.col("layer")).alias("borrowed"), "home", "position", "min_derivation")
         open_ = listed(self.in_scope(self.predicates), "predicate").agg(F.max("open_qualifier").alias("open"))
-        licences = listed(rows, "predicate", "source_type", "target_type").agg(F.collect_set("qualifier").alias("qualifiers"), F.min("min_derivation").alias("least")).join(open_, ["layer", "predicate"], "left")
+        licences = listed(rows, "predicate", "source_type", "target_type").agg(F.collect_set("qualifier").alias("qualifiers"), F.min_by("min_derivation", F.when(F.col("min_derivation").isNotNull(), turn)).alias("least")).join(open_, ["layer", "predicate"], "left")
         named = F.when(F.col("qualifier").isNull(), F.col("predicate")).otherwise(F.concat("predicate", F.lit(" («"), "qualifier", F.lit("»)")))
         between = listed(rows, "source_type", "target_type").agg(F.array_join(F.array_sort(F.collect_set(named)), ", ").alias("permitted"))
         return Seen(*[written(t.coalesce(1)) for t in (layers, classes.withColumnRenamed("class", "type"), licences, between)])
 
 
 def make_model(spark: SparkSession, layered: bool = False, **rows: list[tuple]) -> Model:
-    """A model from rows in the order of SCHEMAS; tables that are not given are empty."""
-    return Model(layered=layered, **{name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()})
+    """A model from rows in the order of SCHEMAS; tables that are not given are empty. Licences keep the order that they are given in."""
+    tables = {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()}
+    tables["licensed"] = spark.createDataFrame([(*r, i) for i, r in enumerate(rows.get("licensed", []))], SCHEMAS["licensed"] + ", position int")
+    return Model(layered=layered, **tables)
 
 
 def read_model(spark: SparkSession, path: str) -> Model:
@@ -135,7 +142,7 @@ def read_model(spark: SparkSession, path: str) -> Model:
         class_properties=c.select("layer", F.col("c.id").alias("class"), F.explode("c.properties").alias("property")),
         content_fields=c.select("layer", F.col("c.id").alias("class"), F.posexplode("c.contentFields").alias("position", "property")),
         predicates=raw.select("layer", F.explode("predicates").alias("p")).select("layer", "p.predicate", F.coalesce("p.openQualifier", F.lit(False)).alias("open_qualifier")),
-        licensed=raw.select("layer", F.explode("edges").alias("e")).select("layer", "e.predicate", "e.source", "e.target", "e.qualifier", F.col("e.minDerivation").alias("min_derivation")),
+        licensed=raw.select("layer", F.posexplode("edges").alias("position", "e")).select("layer", "e.predicate", "e.source", "e.target", "e.qualifier", F.col("e.minDerivation").alias("min_derivation"), "position"),
         codes=sets.select("layer", "value_set", F.explode("codes").alias("code")).select("layer", "value_set", code.alias("code")),
         bindings=c.select("layer", F.col("c.id").alias("class"), F.explode("c.valueSets").alias("property", "b")).select("layer", "class", "property", F.when(bare, F.col("b")).otherwise(F.get_json_object("b", "$.set")).alias("value_set"), F.coalesce(F.when(~bare, F.get_json_object("b", "$.severity")), F.lit("error")).alias("severity")),
         imports=raw.select("layer", F.explode_outer("imports").alias("imported"), F.col("schemaVersion").alias("schema_version"), "namespace").withColumn("imported", F.lower("imported")),

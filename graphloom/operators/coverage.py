@@ -88,13 +88,16 @@ def table_hash(t: DataFrame, columns: list[str]) -> str:
     return sums.select(F.sha2(F.concat_ws("|", "n", *[F.coalesce(f"s{i}", F.lit("0")) for i in range(8)]), 256)).first()[0]
 
 
-def coverage_report(states: DataFrame, key: str, sources: dict[str, str], version: str) -> DataFrame:
-    """C-06: totals (level total, a null key), pages and sentences as rows that name both inputs by hash and the definition of normative by version.
+def coverage_report(states: DataFrame, key: str, sources: dict[str, tuple[str, str]], version: str, publication: str, generated_at: str) -> DataFrame:
+    """C-06: totals (level total, a null key), pages and sentences as rows that name the publication, both inputs by path and hash
+    ({input: (path, hash)}), the definition of normative by version, and when the report was made.
 
-    Sentence rows have ordinal, text, markers, state and node, or reason and signature; numbers are null there.
+    Sentence rows have location, ordinal, text, markers, state and node, or reason and signature; numbers are null there.
     """
     numbers = coverage_numbers(states, key).withColumn("level", F.when(F.col(key).isNull(), "total").otherwise("page"))
     held = [c for c in ("node", "reason", "signed_by", "signed_at") if c in states.columns]
-    rows = states.select(F.lit("sentence").alias("level"), key, "ordinal", F.col("sentence").alias("text"), "markers", "state", *held)
+    location = F.concat_ws("#", F.col(key).cast("string"), F.col("ordinal").cast("string"))
+    rows = states.select(F.lit("sentence").alias("level"), key, location.alias("location"), "ordinal", F.col("sentence").alias("text"), "markers", "state", *held)
     out = numbers.unionByName(rows, allowMissingColumns=True)
-    return out.withColumns({"definition_version": F.lit(version), **{f"{k}_sha256": F.lit(v) for k, v in sources.items()}})
+    inputs = {f"{k}_{what}": F.lit(v) for k, pair in sources.items() for what, v in zip(("path", "sha256"), pair, strict=True)}
+    return out.withColumns({"publication": F.lit(publication), "generated_at": F.to_timestamp(F.lit(generated_at)), "definition_version": F.lit(version), **inputs})

@@ -17,6 +17,12 @@ def first_per_key(t: DataFrame, keys: list[str], order: list[str | Column]) -> D
     return t.withColumn("__n", F.row_number().over(own)).where("__n = 1").drop("__n")
 
 
+def first_of(nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """(id, columns) of the first definition of each id, by document and place: added up where the rows are, then by id."""
+    order = F.struct(*[F.col(c) for c in ("doc_id", "ord") if c in nodes.columns], *columns)
+    return nodes.groupBy("id").agg(F.min_by(F.struct(*columns), order).alias("f")).select("id", "f.*")
+
+
 def with_ordinal(t: DataFrame, array: str, item: str = "item") -> DataFrame:
     """WIN-04: a row for each element, with its place from 0."""
     return t.select("*", F.posexplode(array).alias("ordinal", item)).drop(array)
@@ -73,8 +79,9 @@ def into(edges: DataFrame, node: str, predicate: str) -> DataFrame:
 
 
 def with_layers(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """edges with type and layer of both ends; nodes have a column layer."""
-    of = lambda end: nodes.select(F.col("id").alias(end), F.col("type").alias(f"{end}_type"), F.col("layer").alias(f"{end}_layer"))
+    """edges with type and layer of both ends; nodes have a column layer. An id that several documents define counts by its first definition."""
+    first = first_of(nodes, ["type", "layer"])
+    of = lambda end: first.select(F.col("id").alias(end), F.col("type").alias(f"{end}_type"), F.col("layer").alias(f"{end}_layer"))
     return edges.join(of("source"), "source").join(of("target"), "target")
 
 

@@ -168,7 +168,8 @@ def node_rules() -> list[tuple[str, Column]]:
     criteria = F.when(_p("successCriteria").startswith("["), F.size(F.from_json(_p("successCriteria"), "array<string>")))
     types = F.when(_p("identifiers").startswith("["), F.transform(F.from_json(_p("identifiers"), "array<struct<type:string>>"), lambda i: i["type"]))
     odd_types = F.filter(types, lambda t: t.isNull() | ~F.array_contains("identifier_codes", F.coalesce(t, F.lit(""))))
-    odd_codes = F.filter("bindings", lambda b: F.element_at("__p", b["property"]).isNotNull() & ~F.array_contains(b["codes"], F.coalesce(F.element_at("__p", b["property"]), F.lit(""))))
+    coded = lambda b: F.array_contains("__texts", b["property"]) & F.array_contains(b["codes"], F.coalesce(F.element_at("__p", b["property"]), F.lit("")))
+    odd_codes = F.filter("bindings", lambda b: F.element_at("__p", b["property"]).isNotNull() & ~coded(b))  # a number is no code, even one that reads alike
     graded = F.array_compact(F.array(*[F.when(_p(k).isNotNull(), F.lit(k)) for k in ("strength", "overallCertainty")], F.when((kind == "no-recommendation") & _p("direction").isNotNull(), F.lit("direction"))))
     least = F.concat(F.lit("must be at least "), F.col("min_derivation"))
     rules = [
@@ -199,7 +200,10 @@ def prepared_nodes(nodes: DataFrame, docs: DataFrame, seen: Seen, twice: DataFra
         n = n.withColumns({"__last": F.lit(True), "__copies": F.lit(1)})
     else:
         n = n.join(twice.select("doc_id", "id", F.col("last").alias("__at"), F.col("copies").alias("__copies")), ["doc_id", "id"], "left").withColumn("__last", F.col("__at").isNull() | (F.col("ord") == F.col("__at")))
-    return _with_properties(n)
+    n = _with_properties(n)
+    typed = F.from_json("properties", "map<string,variant>")
+    texts = F.map_keys(F.map_filter(typed, lambda k, v: F.schema_of_variant(v) == "STRING"))
+    return n.withColumn("__texts", F.when(F.col("bindings").isNotNull() & F.col("__p").isNotNull(), texts))
 
 
 def node_findings(nodes: DataFrame, documents: DataFrame, m: Model, only: set[str] | None = None, version: str | None = None, twice: DataFrame | None = None, seen: Seen | None = None) -> DataFrame:

@@ -70,7 +70,7 @@ def bench_model(spark: SparkSession) -> Model:
         spark,
         classes=[(layer, k, "Thing", None, None, "inferred" if k == "customer" else None) for layer, k in kinds],
         predicates=[(layer, p, False) for layer, p in (("geo", "partOf"), ("party", "locatedIn"), ("trade", "placedBy"), ("trade", "contains"), ("trade", "supersedes"), ("trade", "refines"))],
-        licensed=[("geo", "partOf", "nation", "region", None, None), ("party", "locatedIn", "customer", "nation", None, "inferred"), ("party", "locatedIn", "supplier", "nation", None, "inferred"), ("trade", "placedBy", "order", "customer", None, None), ("trade", "contains", "order", "part", "R", None), ("trade", "contains", "order", "part", "N", None), ("trade", "supersedes", "order", "order", None, None)],
+        licensed=[("geo", "partOf", "nation", "region", None, None), ("party", "locatedIn", "customer", "nation", None, "inferred"), ("party", "locatedIn", "customer", "nation", None, "decided"), ("party", "locatedIn", "supplier", "nation", None, "inferred"), ("trade", "placedBy", "order", "customer", None, None), ("trade", "contains", "order", "part", "R", None), ("trade", "contains", "order", "part", "N", None), ("trade", "supersedes", "order", "order", None, None)],
         codes=[("resolution-status", c) for c in ("resolved", "unresolved", "ambiguous")],
         imports=[("geo", None, "1", "n"), ("party", "geo", "1", "n"), ("trade", "party", "1", "n")],
         kinds=[("geo", "Thing", "anything")],

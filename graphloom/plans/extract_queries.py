@@ -351,19 +351,20 @@ def model_layers(spark, d):
 _RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 
 
-@query(f"""WITH {graph_sql()}, n AS (SELECT * FROM nodes WHERE doc_id = 'geo'), e AS (SELECT *, '<urn:statement:' || sha256(doc_id || '|' || ord || '|' || predicate || '|' || source || '|' || target) || '>' AS s FROM edges WHERE doc_id = 'geo')
+@query(f"""WITH {graph_sql()}, n AS (SELECT * FROM nodes), e AS (SELECT *, '<urn:statement:' || sha256(doc_id || '|' || ord || '|' || predicate || '|' || source || '|' || target) || '>' AS s FROM edges)
 SELECT '<' || id || '> <{_RDF}type> <http://v/' || type || '> .' AS value FROM n UNION ALL SELECT '<' || id || '> <http://www.w3.org/2000/01/rdf-schema#label> "' || label || '" .' FROM n
-UNION ALL SELECT unnest([s || ' <{_RDF}type> <{_RDF}Statement> .', s || ' <{_RDF}subject> <' || source || '> .', s || ' <{_RDF}predicate> <http://v/' || predicate || '> .', s || ' <{_RDF}object> <' || target || '> .', s || ' <http://v/derivation> "' || derivation || '" .']) FROM e""")
+UNION ALL SELECT unnest([s || ' <{_RDF}type> <{_RDF}Statement> .', s || ' <{_RDF}subject> <' || source || '> .', s || ' <{_RDF}predicate> <http://v/' || predicate || '> .', s || ' <{_RDF}object> <' || target || '> .', s || ' <http://v/derivation> "' || derivation || '" .']) FROM e
+UNION ALL SELECT s || ' <http://v/' || k || '> "' || v || '" .' FROM (SELECT s, unnest(['note', 'qualifier', 'evidence']) AS k, unnest([note, qualifier, ev_location]) AS v FROM e) WHERE v IS NOT NULL""")
 def triples(spark, d):
     n, e = bench_graph(spark, d)
-    return documents.ntriples(n.where("doc_id = 'geo'"), e.where("doc_id = 'geo'"), "http://v/")
+    return documents.ntriples(n, e, "http://v/")
 
 
-@query(f"""WITH {graph_sql()} SELECT 0 AS part, 'MERGE (:Node {{id:''' || id || ''', type:''' || type || ''', label:''' || label || '''}});' AS value FROM nodes WHERE doc_id <> 'trade'
-UNION ALL SELECT 1, 'MATCH (s:Node {{id:''' || source || '''}}), (t:Node {{id:''' || target || '''}}) MERGE (s)-[:' || upper(predicate) || ' {{predicate:''' || predicate || '''' || coalesce(', qualifier:''' || qualifier || '''', '') || '}}]->(t);' FROM edges WHERE doc_id <> 'trade'""")
+@query(f"""WITH {graph_sql()} SELECT 0 AS part, 'MERGE (:Node {{id:''' || id || ''', type:''' || type || ''', label:''' || label || '''}});' AS value FROM nodes
+UNION ALL SELECT 1, 'MATCH (s:Node {{id:''' || source || '''}}), (t:Node {{id:''' || target || '''}}) MERGE (s)-[:' || upper(predicate) || ' {{predicate:''' || predicate || '''' || coalesce(', qualifier:''' || qualifier || '''', '') || '}}]->(t);' FROM edges""")
 def merge_statements(spark, d):
     n, e = bench_graph(spark, d)
-    return documents.cypher(n.where("doc_id <> 'trade'"), e.where("doc_id <> 'trade'"))
+    return documents.cypher(n, e)
 
 
 @query(f"WITH {graph_sql()} SELECT 'node' AS what, doc_id, id AS a, type AS b, label AS c, note FROM nodes WHERE doc_id <> 'trade' UNION ALL SELECT 'edge', doc_id, source, target, predicate, note FROM edges WHERE doc_id <> 'trade'")
@@ -407,13 +408,14 @@ _HASH = lambda t, cols: "(SELECT sha256(concat_ws('|', count(*)::VARCHAR, " + ",
 @query(f"""WITH {_TOLD}, st AS (SELECT doc_id, ordinal, t, CASE WHEN ordinal = 0 AND doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0) THEN 'excluded' ELSE 'unaccounted' END AS state FROM no WHERE hit), g AS (
 SELECT CASE WHEN doc_id IS NULL THEN 'total' ELSE 'page' END AS level, doc_id, NULL::INT AS ordinal, count(*)::BIGINT AS normative, count(*) FILTER (state = 'excluded')::BIGINT AS excluded, NULL AS state, NULL AS reason FROM st GROUP BY ROLLUP (doc_id)
 UNION ALL SELECT 'sentence', doc_id, ordinal, NULL, NULL, state, CASE WHEN state = 'excluded' THEN 'editorial' END FROM st)
-SELECT *, 'lists-1' AS definition_version, {_HASH('documents', ['doc_id', 'text'])} AS source_sha256, {_HASH('labels', ['doc_id', 'toxic'])} AS graph_sha256 FROM g""")
+SELECT *, CASE WHEN level = 'sentence' THEN doc_id || '#' || ordinal END AS location, 'lists-1' AS definition_version, 'urn:publication/1' AS publication, TIMESTAMP '2024-01-02 03:04:05' AS generated_at, 'documents.parquet' AS source_path, 'labels.parquet' AS graph_path, {_HASH('documents', ['doc_id', 'text'])} AS source_sha256, {_HASH('labels', ['doc_id', 'toxic'])} AS graph_sha256 FROM g""")
 def coverage_report(spark, d):
     docs, labels = read(spark, d, "documents"), read(spark, d, "labels")
     out = labels.where("toxic = 0").select("doc_id", F.lit(0).alias("ordinal"), F.lit("editorial").alias("reason"), F.lit("reviewer").alias("signed_by"))
     states = coverage.sentence_states(coverage.normative(_told(spark, d)), "doc_id", spark.createDataFrame([], "sentence string"), out)
-    hashes = {"source": coverage.table_hash(docs, ["doc_id", "text"]), "graph": coverage.table_hash(labels, ["doc_id", "toxic"])}
-    return coverage.coverage_report(states, "doc_id", hashes, "lists-1").select("level", "doc_id", "ordinal", "normative", "excluded", "state", "reason", "definition_version", "source_sha256", "graph_sha256")
+    inputs = {"source": ("documents.parquet", coverage.table_hash(docs, ["doc_id", "text"])), "graph": ("labels.parquet", coverage.table_hash(labels, ["doc_id", "toxic"]))}
+    report = coverage.coverage_report(states, "doc_id", inputs, "lists-1", "urn:publication/1", "2024-01-02T03:04:05Z")
+    return report.select("level", "doc_id", "location", "ordinal", "normative", "excluded", "state", "reason", "definition_version", "publication", "generated_at", "source_path", "source_sha256", "graph_path", "graph_sha256")
 
 
 # Retrieval units
@@ -421,22 +423,21 @@ def coverage_report(spark, d):
 
 @query(f"""WITH {graph_sql()}, x AS (SELECT source AS id, 'out' AS direction, * FROM edges UNION ALL SELECT target, 'in', * FROM edges)
 SELECT x.id, x.direction, x.predicate, coalesce(x.qualifier, '') AS qualifier, CASE WHEN x.direction = 'out' THEN x.target ELSE x.source END AS other, o.label AS other_label, x.derivation, coalesce(x.note, '') AS note, coalesce(x.ev_location, '') AS location, repeat('0', 64) AS sha256, count(*)::BIGINT AS n
-FROM x JOIN nodes n ON n.id = x.id LEFT JOIN nodes o ON o.id = CASE WHEN x.direction = 'out' THEN x.target ELSE x.source END WHERE n.doc_id <> 'trade' GROUP BY ALL""")
+FROM x JOIN nodes n ON n.id = x.id LEFT JOIN nodes o ON o.id = CASE WHEN x.direction = 'out' THEN x.target ELSE x.source END GROUP BY ALL""")
 def retrieval_edges(spark, d):
     n, e = bench_graph(spark, d)
     docs = bench_documents(spark).withColumn("sources", F.array(F.struct(F.lit("p").alias("path"), F.lit("0" * 64).alias("sha256"))))
-    units = retrieval.retrieval_units(n.where("doc_id <> 'trade'"), e, documents=docs)
+    again = n.where("type = 'nation'").withColumns({"doc_id": F.lit("zz"), "label": F.upper("label")})  # ids that two documents define: the first counts, once
+    units = retrieval.retrieval_units(n.unionByName(again), e, documents=docs)
     one = units.select("id", F.explode("edges").alias("e"), F.get("sources", 0)["sha256"].alias("sha256"))
-    labels = n.select(F.col("id").alias("other"), F.col("label").alias("other_label"))
-    flat = one.select("id", "e.direction", "e.predicate", "e.qualifier", "e.other", "e.derivation", F.coalesce("e.note", F.lit("")).alias("note"), F.coalesce(F.get_json_object("e.evidence", "$.location"), F.lit("")).alias("location"), "sha256")
-    return flat.join(labels, "other", "left").groupBy("id", "direction", "predicate", "qualifier", "other", "other_label", "derivation", "note", "location", "sha256").agg(F.count("*").alias("n"))
+    flat = one.select("id", "e.direction", "e.predicate", "e.qualifier", "e.other", "e.other_label", "e.derivation", F.coalesce("e.note", F.lit("")).alias("note"), F.coalesce(F.get_json_object("e.evidence", "$.location"), F.lit("")).alias("location"), "sha256")
+    return flat.groupBy("id", "direction", "predicate", "qualifier", "other", "other_label", "derivation", "note", "location", "sha256").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {graph_sql()} SELECT id, type FROM nodes WHERE doc_id = 'party' AND note IS NOT NULL")
+@query(f"WITH {graph_sql()} SELECT id, type FROM nodes WHERE note IS NOT NULL")
 def open_units(spark, d):
     n, e = bench_graph(spark, d)
-    flagged = n.where("doc_id = 'party'").withColumn("flag_ref", F.col("note"))
-    return retrieval.open_flags(retrieval.retrieval_units(flagged, e.where("predicate = 'locatedIn'"))).where("part = 0").select("id", "type")
+    return retrieval.open_flags(retrieval.retrieval_units(n.withColumn("flag_ref", F.col("note")), e)).where("part = 0").select("id", "type")
 
 
 @query(f"WITH {graph_sql()} SELECT e.predicate, e.source, e.target FROM edges e WHERE (e.source = 'nation/1' AND e.predicate = 'partOf') OR (e.target = 'nation/1' AND e.predicate = 'locatedIn')")
