@@ -184,25 +184,41 @@ def artifact_citations(blocks: DataFrame, keys: list[str]) -> DataFrame:
     return cited.withColumns({"kind": F.when(ids.is_placeholder(F.col("citation")), "placeholder").otherwise("reference"), "numbering": ids.citation_number(F.col("citation")), "label": ids.cut_label(F.col("citation"))})
 
 
-def artifact_index(files: DataFrame, canonical: str) -> DataFrame:
+ABOUT = "struct<status:string,version:string,name:string,publisher:string,experimental:boolean,kind:string,base:string>"
+
+
+def _about(**fields: Column) -> Column:
+    """What an artefact says of itself, in the fields of ABOUT."""
+    names = [f.split(":")[0] for f in ABOUT[7:-1].split(",")]
+    return F.struct(*[fields.get(n, F.lit(None)).alias(n) for n in names]).cast(ABOUT)
+
+
+def artifact_index(files: DataFrame, canonical: str, version: str | None = None) -> DataFrame:
     """EXT-17: a row for each canonical of shorthand instances and definitions, maps, logic and JSON resources; the first in path order wins.
 
-    (path, pos, origin, resource_type, type, id, title, profile, canonical). Logic has no resource kind; its canonical is by slug.
+    (path, pos, origin, resource_type, type, id, title, profile, canonical, about). Logic has no resource kind; its canonical is by slug.
+    version: that of the guide, where an artefact has none.
     """
-    fsh, none = files.where(F.col("path").endswith(".fsh")), F.lit(None).cast("string")
+    fsh, none, guide = files.where(F.col("path").endswith(".fsh")), F.lit(None).cast("string"), F.lit(version).cast("string")
     title = _some(F.trim(F.regexp_extract("block", r'(?m)^Title:\s*"?([^"\n]*)"?', 1)))
+    b = F.col("block")
+    told = F.regexp_extract(b, r"(?m)^\s*\* experimental\s*=\s*(true|false)", 1)
+    of_instance = _about(status=F.coalesce(quoted(b, "status"), code(b, "status")), version=F.coalesce(quoted(b, "version"), guide), name=F.coalesce(quoted(b, "name"), "id"), publisher=quoted(b, "publisher"), experimental=F.when(told != "", told == "true"))
     i = instances(fsh).join(aliases(fsh).withColumnRenamed("alias", "instance_of"), "instance_of", "left").withColumn("profile", F.coalesce("url", "instance_of"))
-    i = i.select("path", "pos", F.lit("instance").alias("origin"), resource_type(F.col("instance_of"), F.col("profile")).alias("resource_type"), "id", title.alias("title"), "profile").withColumn("type", class_of(F.col("resource_type")))
+    i = i.select("path", "pos", F.lit("instance").alias("origin"), resource_type(F.col("instance_of"), F.col("profile")).alias("resource_type"), "id", title.alias("title"), "profile", of_instance.alias("about")).withColumn("type", class_of(F.col("resource_type")))
     keyword = r"^(ValueSet|CodeSystem|Logical|Profile):\s*(\S+)"
     d = fsh.select("path", F.posexplode(F.split("text", r"(?m)^(?=(?:ValueSet|CodeSystem|Logical|Profile):\s*\S)")).alias("pos", "block")).where(F.col("block").rlike(keyword)).withColumn("word", F.regexp_extract("block", keyword, 1))
     kind = F.when(F.col("word").isin("Logical", "Profile"), "StructureDefinition").otherwise(F.col("word"))
-    d = d.select("path", (F.col("pos") + 100000).alias("pos"), F.lit("definition").alias("origin"), kind.alias("resource_type"), F.regexp_extract("block", keyword, 2).alias("id"), title.alias("title"), none.alias("profile"), F.when(F.col("word") == "Logical", "structure-definition").when(F.col("word") == "Profile", "profile").otherwise(class_of(F.col("word"))).alias("type"))
+    own = F.regexp_extract("block", keyword, 2)
+    of_definition = _about(status=_some(F.regexp_extract(b, r"\^status\s*=\s*#(\S+)", 1)), version=guide, name=own, kind=F.when(F.col("word") == "Logical", "logical"), base=F.when(F.col("word") == "Profile", _some(F.regexp_extract(b, r"(?m)^Parent:\s*(\S+)", 1))))
+    d = d.select("path", (F.col("pos") + 100000).alias("pos"), F.lit("definition").alias("origin"), kind.alias("resource_type"), own.alias("id"), title.alias("title"), none.alias("profile"), F.when(F.col("word") == "Logical", "structure-definition").when(F.col("word") == "Profile", "profile").otherwise(class_of(F.col("word"))).alias("type"), of_definition.alias("about"))
     stem = F.regexp_extract("path", r"([^/]+)\.\w+$", 1)
-    row = lambda t, origin, kind, id_, title_, profile, type_: t.select("path", F.lit(0).alias("pos"), F.lit(origin).alias("origin"), kind.alias("resource_type"), id_.alias("id"), title_.alias("title"), profile.alias("profile"), type_.alias("type"))
-    maps = row(files.where(F.col("path").endswith(".fml")), "map", F.lit("StructureMap"), stem, stem, none, F.lit("structure-map"))
-    logic = row(files.where(F.col("path").endswith(".cql")), "logic", F.lit("cql"), ids.slug(stem), stem, none, F.lit("cql-library"))
+    row = lambda t, origin, kind, id_, title_, profile, type_, about: t.select("path", F.lit(0).alias("pos"), F.lit(origin).alias("origin"), kind.alias("resource_type"), id_.alias("id"), title_.alias("title"), profile.alias("profile"), type_.alias("type"), about.alias("about"))
+    maps = row(files.where(F.col("path").endswith(".fml")), "map", F.lit("StructureMap"), stem, stem, none, F.lit("structure-map"), _about(version=guide))
+    logic = row(files.where(F.col("path").endswith(".cql")), "logic", F.lit("cql"), ids.slug(stem), stem, none, F.lit("cql-library"), _about(name=stem))
     j, got = files.where(F.col("path").endswith(".json")), lambda p: F.get_json_object("text", f"$.{p}")
-    j = row(j.where(got("resourceType").isin(*CLASSES)), "json", got("resourceType"), F.coalesce(got("id"), stem), F.coalesce(got("title"), got("name")), got("meta.profile[0]"), class_of(got("resourceType")))
+    of_json = _about(status=got("status"), version=F.coalesce(got("version"), guide), name=got("name"), publisher=got("publisher"), experimental=got("experimental") == "true")
+    j = row(j.where(got("resourceType").isin(*CLASSES)), "json", got("resourceType"), F.coalesce(got("id"), stem), F.coalesce(got("title"), got("name")), got("meta.profile[0]"), class_of(got("resourceType")), of_json)
     every = reduce(DataFrame.unionByName, [i, d, maps, logic, j]).where("type IS NOT NULL AND id IS NOT NULL")
     return first_per_key(every.withColumn("canonical", F.concat_ws("/", F.lit(canonical), "resource_type", "id")), ["canonical"], ["path", "pos"])
 
@@ -227,7 +243,7 @@ def match_components(index: DataFrame, ns: str) -> DataFrame:
     of_measure = F.when((F.col("resource_type") == "Measure") & name.rlike(measure), F.regexp_replace(name, measure, "$1.IND.$2"))
     out = component_type(index).where("component_type IS NOT NULL").withColumns({"component_id": F.when(dotted, F.col("title")).otherwise(of_measure), "rule": F.when(dotted, "title is the id").otherwise("id put together from a measure's title")})
     out = out.where("component_id IS NOT NULL").withColumn("component", F.concat_ws("/", F.lit(ns), "component_type", ids.slug(F.col("component_id"))))
-    return out.select("canonical", "resource_type", "component_type", "component_id", "component", "rule", F.lit("inferred").alias("derivation"), F.lit("unresolved").alias("status"))
+    return out.select("canonical", "path", "pos", "id", "title", "resource_type", "component_type", "component_id", "component", "rule", F.lit("inferred").alias("derivation"), F.lit("unresolved").alias("status"))
 
 
 def undecided_types(index: DataFrame) -> DataFrame:

@@ -241,6 +241,29 @@ def kit_membership(spark, d):
     return shorthand.kit_membership(kits, parts).select("kit", "target")
 
 
+_KIT = '{"id":"kit","title":"The kit","canonicalUrl":"http://example.org/kit/","copyrightYear":2024,"publisher":{"name":"P"}}'
+
+
+def _kit_files(spark, d):
+    """The shorthand files of all customers below a folder with a kit's own file."""
+    fsh = _shorthand(spark, d).select(F.concat(F.lit("kits/one/"), "path").alias("path"), "text")
+    return fsh.union(read(spark, d, "region").where("r_regionkey = 0").select(F.lit("kits/one/kit.json"), F.lit(_KIT)))
+
+
+@query(f"""WITH c AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS seg, c_custkey % 4 > 0 AS titled, '{NS}/requirement/need' || c_custkey AS req, '{NS}/persona/' || CASE WHEN c_custkey % 4 > 0 THEN regexp_replace(lower(c_name || '-' || c_mktsegment), '[^a-z0-9]+', '-', 'g') ELSE 'actor' || c_custkey END AS person, '{NS}/kg/l2/kits/one/c' || c_custkey || '.fsh' AS doc FROM customer), kit AS (SELECT '{NS}/kg/dak' AS kit)
+SELECT '{NS}/kg/l2/kits/one/kit.json' AS doc_id, 'dak' AS what, kit AS a, 'The kit' AS b, NULL AS c, 'derived' AS derivation FROM kit UNION ALL SELECT doc, 'persona', person, name || ' "' || seg || '"', 'resolved', 'derived' FROM c WHERE titled
+UNION ALL SELECT doc, CASE WHEN k % 3 < 2 THEN 'functional-requirement' ELSE 'non-functional-requirement' END, req, 'Need', NULL, 'derived' FROM c UNION ALL SELECT doc, 'requirement-statement', req || '/statement/k' || k, 'k' || k, NULL, 'derived' FROM c
+UNION ALL SELECT doc, 'persona', '{NS}/persona/ghost', 'Ghost', 'unresolved', 'inferred' FROM c WHERE k % 3 = 0 UNION ALL SELECT doc, 'persona', person, 'Actor' || k, 'unresolved', 'inferred' FROM c WHERE k % 12 = 0
+UNION ALL SELECT doc, 'hasComponent', kit, person, 'personas', 'inferred' FROM c, kit WHERE titled UNION ALL SELECT doc, 'hasComponent', kit, req, 'requirements', 'inferred' FROM c, kit UNION ALL SELECT doc, 'hasStatement', req, req || '/statement/k' || k, NULL, 'derived' FROM c
+UNION ALL SELECT doc, 'fulfilledBy', req, person, CASE WHEN titled THEN 'resolved' ELSE 'unresolved' END, 'inferred' FROM c WHERE k % 3 = 0 UNION ALL SELECT doc, 'fulfilledBy', req, '{NS}/persona/ghost', 'unresolved', 'inferred' FROM c WHERE k % 3 = 0""")
+def kit_graph(spark, d):
+    files = _kit_files(spark, d)
+    g = extraction.kit_components(files, extraction.kits(files))
+    status = F.get_json_object("properties", "$.resolutionStatus")
+    n = g.nodes.select("doc_id", F.col("type").alias("what"), F.col("id").alias("a"), F.col("label").alias("b"), status.alias("c"), "derivation")
+    return n.unionByName(g.edges.select("doc_id", F.col("predicate").alias("what"), F.col("source").alias("a"), F.col("target").alias("b"), F.coalesce("qualifier", status).alias("c"), "derivation"))
+
+
 _INDEX = f"""ix(canonical, resource_type, type, title) AS (
 SELECT '{NS}/ActorDefinition/Actor' || c_custkey, 'ActorDefinition', 'actor-definition', NULL FROM customer UNION ALL SELECT '{NS}/PlanDefinition/Plan' || c_custkey, 'PlanDefinition', 'plan-definition', CASE WHEN c_custkey % 2 = 0 THEN 'KIT.D' || c_custkey ELSE 'Plan' END FROM customer
 UNION ALL SELECT '{NS}/Measure/KITIND' || c_custkey, 'Measure', 'measure', NULL FROM customer UNION ALL SELECT '{NS}/Library/Thing' || c_custkey || 'Elements', 'Library', 'library', 'KIT.E' FROM customer UNION ALL SELECT '{NS}/Library/Odd' || c_custkey, 'Library', 'library', 'KIT.O' FROM customer
@@ -248,10 +271,14 @@ UNION ALL SELECT '{NS}/ValueSet/Set' || c_custkey, 'ValueSet', 'value-set', 'Col
 UNION ALL SELECT '{NS}/StructureMap/m' || s_suppkey, 'StructureMap', 'structure-map', 'm' || s_suppkey FROM supplier)"""
 
 
-def _index(spark, d):
+def _index_files(spark, d):
     more = _files(spark, d, "supplier", "concat('q', s_suppkey, '.json')", """concat('{"resourceType":"Questionnaire","id":"q', s_suppkey, '","title":"', s_name, '"}')""")
     more = more.union(_files(spark, d, "supplier", "concat('r', s_suppkey, '.json')", """'{"resourceType":"QuestionnaireResponse","id":"no"}'""")).union(_files(spark, d, "supplier", "concat('x/Logic ', s_suppkey, '.cql')", "'library'")).union(_files(spark, d, "supplier", "concat('m', s_suppkey, '.fml')", "'map'"))
-    return shorthand.artifact_index(_shorthand(spark, d).union(more), NS)
+    return _shorthand(spark, d).union(more)
+
+
+def _index(spark, d):
+    return shorthand.artifact_index(_index_files(spark, d), NS)
 
 
 @query(f"WITH {_INDEX} SELECT canonical, resource_type, type, title FROM ix")
@@ -265,6 +292,21 @@ def component_match(spark, d):
     return shorthand.match_components(_index(spark, d), NS).select("canonical", "component_id", "component")
 
 
+@query(f"""WITH c AS (SELECT c_custkey AS k, '{NS}/PlanDefinition/Plan' || c_custkey AS plan, '{NS}/kg/l3/c' || c_custkey || '.fsh' AS doc FROM customer), {_INDEX},
+m AS (SELECT doc, plan AS canonical, 'KIT.D' || k AS id, 'decision-support-logic/kit-d' || k AS slug FROM c WHERE k % 2 = 0 UNION ALL SELECT doc, '{NS}/Measure/KITIND' || k, 'KIT.IND.' || k, 'program-indicator/kit-ind-' || k FROM c UNION ALL SELECT doc, '{NS}/Library/Thing' || k || 'Elements', 'KIT.E', 'data-element/kit-e' FROM c)
+SELECT type AS what, canonical AS a, coalesce(title, regexp_extract(canonical, '[^/]+$')) AS b, NULL AS c, 'derived' AS derivation FROM ix UNION ALL SELECT 'citation', '{NS}/citation/' || substr(sha256('Book x, y (3)'), 1, 12), 'Book x, y (3)', doc, 'derived' FROM c
+UNION ALL SELECT regexp_extract(slug, '^[^/]+'), '{NS}/' || slug, id, doc, 'inferred' FROM m UNION ALL SELECT 'implementedBy', '{NS}/' || slug, canonical, 'unresolved', 'inferred' FROM m
+UNION ALL SELECT 'uses', plan, '{NS}/Library/Lib' || k || 'Logic', NULL, 'derived' FROM c UNION ALL SELECT 'uses', plan, '{NS}/ActivityDefinition/Act', NULL, 'derived' FROM c UNION ALL SELECT 'citesSource', plan, '{NS}/citation/' || substr(sha256('Book x, y (3)'), 1, 12), NULL, 'derived' FROM c
+UNION ALL SELECT 'uses', '{NS}/Library/Odd' || k, '{NS}/' || x, NULL, 'derived' FROM c, (VALUES ('Library/{{lib}}Logic'), ('ActivityDefinition/Act'), ('ActivityDefinition/Act')) v(x)
+UNION ALL SELECT 'citesSource', '{NS}/Library/Odd' || k, '{NS}/citation/' || substr(sha256('Book {{more}} (3)'), 1, 12), NULL, 'derived' FROM c UNION ALL SELECT 'citation', '{NS}/citation/' || substr(sha256('Book {{more}} (3)'), 1, 12), 'Book {{more}} (3)', doc, 'derived' FROM c""")
+def guide_graph(spark, d):
+    """EXT-17 to EXT-21 and JON-06 as nodes and edges; what stands behind the last instance of a file, its rule sets here, is read as its own."""
+    g = extraction.guide_artifacts(_index_files(spark, d), NS)
+    minted = (F.col("derivation") == "inferred") | (F.col("type") == "citation")
+    n = g.nodes.select(F.col("type").alias("what"), F.col("id").alias("a"), F.col("label").alias("b"), F.when(minted, F.col("doc_id")).alias("c"), "derivation")
+    return n.unionByName(g.edges.select(F.col("predicate").alias("what"), F.col("source").alias("a"), F.col("target").alias("b"), F.get_json_object("properties", "$.resolutionStatus").alias("c"), "derivation"))
+
+
 @query("SELECT DISTINCT 'Library' AS type FROM customer")
 def undecided_types(spark, d):
     return shorthand.undecided_types(_index(spark, d))

@@ -152,6 +152,23 @@ def test_kit_files(spark):
     assert g.documents.count() == 2
 
 
+def test_guide_files(spark):
+    f = files(spark, x__fsh=FSH, m__fml="map", l__cql="library", q__json=json.dumps({"resourceType": "Questionnaire", "id": "q", "title": "A.B.1", "status": "draft", "experimental": False, "meta": {"profile": ["p"]}}))
+    g = extraction.guide_artifacts(f, "http://example.org/kit", "9")
+    ns = "https://example.org/kit"
+    nodes, edges = {(r.doc_id, r.id): r for r in g.nodes.collect()}, g.edges.collect()
+    by = {k[1]: r for k, r in nodes.items()}
+    assert json.loads(by[f"{ns}/Questionnaire/q"].properties) == {"canonical": f"{ns}/Questionnaire/q", "resourceType": "Questionnaire", "profile": "p", "status": "draft", "version": "9", "title": "A.B.1", "name": None, "publisher": None, "experimental": False, "source": "q.json", "sha256": hashlib.sha256(f.where("path = 'q.json'").first().text.encode()).hexdigest()}
+    assert by[f"{ns}/cql/l"].type == "cql-library" and by[f"{ns}/StructureMap/m"].type == "structure-map" and by[f"{ns}/ValueSet/Colours"].label == "Colours"
+    plan = f"{ns}/PlanDefinition/Plan"
+    assert json.loads(by[plan].properties)["profile"] == "http://x/recommendationdefinition"
+    assert {(r.predicate, r.source, r.target) for r in edges if r.predicate != "citesSource"} == {("uses", plan, f"{ns}/Library/Lib"), ("uses", plan, f"{ns}/ActivityDefinition/Act"), ("implementedBy", f"{ns}/decision-support-logic/dt-1", plan)}
+    (c,) = [r for r in edges if r.predicate == "citesSource"]
+    assert c.source == plan and by[c.target].type == "citation" and json.loads(by[c.target].properties) == {"text": "Book A (1)", "numbering": "1", "citationKind": "reference", "resolutionStatus": "unresolved"}
+    assert by[f"{ns}/decision-support-logic/dt-1"].derivation == "inferred" and by[f"{ns}/decision-support-logic/dt-1"].evidence.location == "x.fsh#Plan"
+    assert {r.doc_id.rsplit("/", 1)[1] for r in g.documents.collect()} == {"x.fsh", "m.fml", "l.cql", "q.json"}
+
+
 def test_shorthand_files(spark):
     f = files(spark, x__fsh=FSH, m__fml="map", l__cql="library", q__json=json.dumps({"resourceType": "Questionnaire", "id": "q", "title": "A.B.1"}), r__json=json.dumps({"resourceType": "QuestionnaireResponse", "id": "no"}))
     inst = shorthand.instances(f)
