@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.frontier import closure, first_hop, follow, reach, written
+from graphloom.operators.frontier import first_hop, follow, reach, written
+from graphloom.operators.lines import lines_of, reached
 
 
 def impact(nodes: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -18,13 +19,15 @@ def impact(nodes: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def impact_of_all(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Q-01 for many seeds at once: replacement lines by doubling instead of step by step."""
+    """Q-01 for many seeds at once: nodes are ranked on their replacement lines once, and what replaces a seed is read off its line."""
     back = edges.where("predicate = 'supersedes'").select(F.col("target").alias("source"), F.col("source").alias("target"))
-    line = seeds.select("seed", F.col("seed").alias("node")).union(closure(back).select(F.col("source").alias("seed"), F.col("target").alias("node")).join(seeds, "seed", "left_semi")).distinct()
+    seeds = seeds.select("seed").distinct()
+    line = seeds.select("seed", F.col("seed").alias("node")).unionByName(reached(lines_of(back), seeds).where("seed <> node"))
     return _hangs_on(edges, line, "supersededBy")
 
 
 def _hangs_on(edges: DataFrame, line: DataFrame, replaced: str) -> DataFrame:
+    """line: (seed, node), each once."""
     pick = lambda p, a, b: edges.where(F.col("predicate") == p).select(F.col(a).alias("node"), F.col(b).alias("target"))
     evidence = pick("supportedBy", "source", "target")
     outcomes = evidence.withColumnRenamed("target", "e").join(pick("forOutcome", "source", "target").withColumnRenamed("node", "e"), "e").select("node", "target")
@@ -36,8 +39,8 @@ def _hangs_on(edges: DataFrame, line: DataFrame, replaced: str) -> DataFrame:
         ("citedBy", cited), ("citedBy", numbered),
     ]
     hung = reduce(DataFrame.unionByName, [t.withColumn("relation", F.lit(name)) for name, t in ways])
-    lists = line.join(hung, "node").select("seed", "relation", "target")
-    return line.select("seed", F.lit("visited").alias("relation"), F.col("node").alias("target")).union(line.where("seed <> node").select("seed", F.lit(replaced), "node")).union(lists).distinct()
+    lists = line.join(hung, "node").select("seed", "relation", "target").distinct()
+    return line.select("seed", F.lit("visited").alias("relation"), F.col("node").alias("target")).union(line.where("seed <> node").select("seed", F.lit(replaced), "node")).union(lists)
 
 
 def uncovered(nodes: DataFrame, edges: DataFrame, kind: str = "recommendation", predicate: str = "implementedBy") -> DataFrame:

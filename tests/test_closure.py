@@ -3,6 +3,7 @@
 import random
 
 from graphloom.operators.frontier import closure
+from graphloom.operators.lines import lines_of, reached
 
 
 def brute(edges):
@@ -25,3 +26,30 @@ def test_chains_cycles_and_random_graphs(spark):
 
 def test_no_edges(spark):
     assert closure(spark.createDataFrame([], "source string, target string")).isEmpty()
+
+
+def test_reached_along_lines(spark):
+    """Chains, rings, rings with tails, trees both ways, a self-loop, repeated edges and random graphs, from all nodes and from some."""
+    draw = random.Random(5)
+    graphs = [[("a", "a")], [("a", "a"), ("b", "a"), ("a", "c")], [("a", "b"), ("b", "c"), ("c", "a")], [(i, i + 1) for i in range(37)], [(i, (i + 1) % 16) for i in range(16)], [(i, (i + 1) % 7) for i in range(7)] + [(3, "x"), ("x", "y"), ("z", 1)]]
+    graphs += [[(i, i // 2) for i in range(1, 20)], [(i // 3, i) for i in range(1, 20)], [("a", "b"), ("a", "b"), ("b", "c")]]
+    graphs += [[(draw.randrange(n), draw.randrange(n)) for _ in range(m)] for n, m in ((9, 8), (9, 11), (14, 12), (20, 18), (20, 22), (6, 14))]
+    edges = [(f"{n}/{a}", f"{n}/{b}") for n, g in enumerate(graphs) for a, b in g]
+    want = brute(edges)
+    lines = lines_of(spark.createDataFrame(edges, "source string, target string"))
+    seeds = sorted({x for e in edges for x in e}) + ["nowhere"]
+    for some in (seeds, seeds[::5]):
+        got = [tuple(r) for r in reached(lines, spark.createDataFrame([(s,) for s in some], "seed string")).collect()]
+        assert len(got) == len(set(got)) and set(got) == {p for p in want if p[0] in some}
+
+
+def test_a_long_ring_is_one_line(spark):
+    n = 3000
+    lines = lines_of(spark.range(n).selectExpr("id AS source", f"(id + 1) % {n} AS target"))
+    assert lines.members.count() == n and lines.members.select("line", "loop").distinct().count() == 1 and lines.leads.isEmpty()
+    assert reached(lines, spark.createDataFrame([(5,), (7,)], "seed long")).count() == 2 * n
+
+
+def test_no_lines(spark):
+    lines = lines_of(spark.createDataFrame([], "source string, target string"))
+    assert lines.members.isEmpty() and reached(lines, spark.createDataFrame([("a",)], "seed string")).isEmpty()
