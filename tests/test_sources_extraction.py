@@ -261,3 +261,40 @@ def test_questions(spark):
     assert {r.seed: r.target for r in ends.collect()} == {"c1": "r1", "loop": None, "x": None}
     assert {r.id for r in questions.uncovered(nodes, edges).collect()} == {"r1"}
     assert {(r.node, r.depth) for r in questions.dependents(edges, spark.createDataFrame([("out",)], "seed string"), ["forOutcome", "supportedBy"]).collect()} == {("ev", 1), ("r3", 2)}
+
+
+def test_documents_in_parts(spark, tmp_path):
+    """Many parts of one document, one behind the other, are its JSON; what is read has all in order."""
+    none, ev = "CAST(NULL AS STRING)", "IF(id % 5 = 0, named_struct('location', concat('l', id), 'quote', CAST(NULL AS STRING), 'artifact', CAST(NULL AS STRING), 'by', CAST(NULL AS STRING), 'at', CAST(NULL AS STRING)), NULL) AS evidence"
+    base = spark.range(500).selectExpr("IF(id % 50 = 0, 'small/one', 'http://x/large') AS doc_id", "CAST(500 - id AS INT) AS ord", "id", ev)
+    nodes = base.selectExpr("doc_id", "ord", "concat('n', id, ',') AS id", "'t' AS type", "concat('a\\n\"],\"edges\":[', id) AS label", f"{none} AS defined_by", "concat('{\"k\":', id, ',\"l\":[1,\"é\"]}') AS properties", "'derived' AS derivation", f"{none} AS note", "evidence", f"{none} AS flag_ref", f"{none} AS skill")
+    edges = base.selectExpr("doc_id", "ord", "'knows' AS predicate", "concat('n', id) AS source", "concat('n', id + 1) AS target", f"{none} AS qualifier", "'derived' AS derivation", f"{none} AS note", "evidence", f"{none} AS flag_ref", f"{none} AS skill", f"{none} AS properties")
+    docs = spark.createDataFrame([(d, f"http://x/{d[0]}/l2-bpmn.context.jsonld", "1") for d in ("small/one", "http://x/large", "empty")], "doc_id string, context string, ontology_version string").withColumns({"generated_at": F.lit("2024-01-02 03:04:05").cast("timestamp"), "sources": F.array(F.struct(F.lit("p").alias("path"), F.lit("s").alias("sha256")))})
+    path = tmp_path / "out"
+    documents.write_parts(docs, nodes, edges, str(path), parts=9)
+    folders = {p.name: sorted(p.glob("part-*")) for p in path.iterdir() if p.is_dir()}
+    assert len(folders) == 3 and max(map(len, folders.values())) > 4
+    for parts in folders.values():
+        whole = json.loads("".join(p.read_text() for p in parts))
+        own = [r for r in nodes.where(F.col("doc_id") == whole["id"]).orderBy("ord").collect()]
+        assert [n["id"] for n in whole["nodes"]] == [r.id for r in own] and [n["label"] for n in whole["nodes"]] == [r.label for r in own] and len(whole["edges"]) == len(own)
+        assert all(n["properties"] == json.loads(r.properties) for n, r in zip(whole["nodes"], own))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        d, n, e = documents.read_parts(spark, str(path))
+        assert {(r.doc_id, r.layer, r.sources[0].path) for r in d.collect()} == {(x, "l2-bpmn", "p") for x in ("small/one", "http://x/large", "empty")}
+        for doc in ("small/one", "http://x/large"):
+            for back, made, by in ((n, nodes, "id"), (e, edges, "source")):
+                got = [(r[by], r.evidence and r.evidence.location) for r in back.where(F.col("doc_id") == doc).orderBy("ord").collect()]
+                assert got == [(r[by], r.evidence and r.evidence.location) for r in made.where(F.col("doc_id") == doc).orderBy("ord").collect()]
+        assert n.where("id = 'n7,'").first().properties == '{"k":7,"l":[1,"é"]}'
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tree_hash_goes_by_in_pieces(spark):
+    content = {"a/x": b"", "a/y": bytes(range(256)) * 200, "a/z": b"1" * documents.PIECE, "b/x": b"q", "B/x": b"r"}
+    t = spark.createDataFrame([(k, bytearray(v)) for k, v in content.items()], "path string, content binary")
+    got = {r.folder: (r.n_files, r.sha256) for r in documents.tree_hash(t, F.regexp_extract("path", "^[^/]*", 0)).collect()}
+    want = {f: (sum(k.startswith(f + "/") for k in content), hashlib.sha256(b"".join(k.encode() + b"\0" + content[k] for k in sorted(content) if k.startswith(f + "/"))).hexdigest()) for f in ("a", "b", "B")}
+    assert got == want
