@@ -155,9 +155,12 @@ def expand_rulesets(blocks: DataFrame, sets: DataFrame, keys: list[str], levels:
     """EXT-19: `* insert Name(a, b)` replaced by the body with {parameter} filled in, nested to some levels.
 
     Each level cuts blocks where a call begins, joins the calls and puts the pieces together again. A call may run over
-    lines. Arguments are cut at commas outside brackets; [[ ]] around one is dropped. What names no rule set stays.
+    lines. Arguments are cut at commas outside brackets; [[ ]] around one is dropped. What names no rule set stays. Blocks
+    without a call stay where they are.
     """
-    out = blocks.select(*keys, "block")
+    calls = r"(?m)^\*\s+insert\s"
+    bare = blocks.where(~F.coalesce(F.col("block").rlike(calls), F.lit(False))).select(*keys, "block")
+    out = blocks.where(F.col("block").rlike(calls)).select(*keys, "block")
     call = rf"(?m)\A\*\s+insert\s+({NAME})\s*(?:\(([\s\S]*?)\))?\s*$"
     for _ in range(levels):
         pieces = out.select(*keys, F.posexplode(F.split("block", r"(?m)^(?=\*\s+insert\s)")).alias("n", "piece"))
@@ -168,7 +171,7 @@ def expand_rulesets(blocks: DataFrame, sets: DataFrame, keys: list[str], levels:
         filled = F.aggregate(pairs, F.col("body"), lambda acc, p: F.when(p["parameters"].isNull(), acc).otherwise(F.replace(acc, F.concat(F.lit("{"), p["parameters"], F.lit("}")), F.coalesce(p["args"], F.lit("")))))
         piece = F.when(F.col("body").isNotNull(), F.concat(F.regexp_replace(filled, r"\n$", ""), "rest")).otherwise(F.col("piece"))
         out = joined.select(*keys, "n", piece.alias("piece")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("n", "piece"))).alias("l")).select(*keys, F.array_join(F.transform("l", lambda x: x["piece"]), "").alias("block"))
-    return out
+    return bare.unionByName(out)
 
 
 def canonical_refs(blocks: DataFrame, keys: list[str], ns: str) -> DataFrame:

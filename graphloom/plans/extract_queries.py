@@ -460,6 +460,20 @@ def coverage_report(spark, d):
     return report.select("level", "doc_id", "location", "ordinal", "normative", "excluded", "state", "reason", "definition_version", "publication", "generated_at", "source_path", "source_sha256", "graph_path", "graph_sha256")
 
 
+@query("""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'p' || c_custkey ELSE 'd/' || c_custkey END AS doc FROM customer)
+SELECT doc AS doc_id, doc AS subject, 'document: id is missing' AS message FROM c WHERE k % 5 = 0 UNION ALL SELECT doc, doc, 'unknown field of a document: extra' FROM c WHERE k % 3 = 0 UNION ALL SELECT doc, doc, 'document is not of type Entity' FROM c WHERE k % 7 = 0
+UNION ALL SELECT doc, 'f', 'sha256 has no sound form' FROM c WHERE k % 4 = 0 UNION ALL SELECT doc, 'n', 'unknown field of a node: colour' FROM c WHERE k % 11 = 0 UNION ALL SELECT doc, 'p|n|n', 'edge is not of type Statement' FROM c WHERE k % 13 = 0
+UNION ALL SELECT doc, doc, 'generatedAt is no date and time' FROM c WHERE k % 17 = 0 UNION ALL SELECT 'bad' || n_nationkey, 'bad' || n_nationkey, 'document cannot be parsed' FROM nation""")
+def raw_documents(spark, d):
+    """T1-01 on documents as they stand in files."""
+    text = """concat('{"@context":"http://x/l1.context.jsonld",', CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('"id":"d/', c_custkey, '",') END, CASE WHEN c_custkey % 3 = 0 THEN '"extra":1,' ELSE '' END, '"type":"', CASE WHEN c_custkey % 7 = 0 THEN 'Thing' ELSE 'Entity' END,
+'","ontologyVersion":"1","generatedAt":"', CASE WHEN c_custkey % 17 = 0 THEN 'today' ELSE '2024-01-01T00:00:00Z' END, '","wasDerivedFrom":[{"path":"f","sha256":"', CASE WHEN c_custkey % 4 = 0 THEN 'zz' ELSE sha2(c_name, 256) END, '"}],"nodes":[{"id":"n","type":"t","label":"l","derivation":"derived"', CASE WHEN c_custkey % 11 = 0 THEN ',"colour":"red"' ELSE '' END,
+'}],"edges":[{"type":"', CASE WHEN c_custkey % 13 = 0 THEN 'Edge' ELSE 'Statement' END, '","predicate":"p","source":"n","target":"n","derivation":"derived"}]}')"""
+    raw = read(spark, d, "customer").select(F.expr("concat('p', c_custkey)").alias("path"), F.expr(text).alias("value"))
+    bad = read(spark, d, "nation").select(F.expr("concat('bad', n_nationkey)").alias("path"), F.lit('{"id":').alias("value"))
+    return rules.document_findings(raw.union(bad)).select("doc_id", "subject", "message")
+
+
 # Retrieval units
 
 
