@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.operators.frontier import closure, written
+from graphloom.operators.frontier import closure, kept, written
 
 SCHEMAS = {
     "classes": "layer string, id string, kind string, elaborates string, iri_pattern string, min_derivation string",
@@ -28,7 +29,7 @@ STATUSES = ["unresolved", "resolved", "ambiguous"]
 
 @dataclass
 class Seen:
-    """What each layer sees of the model, as written tables (small, so Spark broadcasts them by their size)."""
+    """What each layer sees of the model, as tables that are worked out once (`kept`; small, so Spark broadcasts them by their size)."""
 
     layers: DataFrame  # layer, schema_version, identifier_codes, status_codes
     classes: DataFrame  # layer, type, iri_pattern, min_derivation, allowed, fields, bindings
@@ -76,7 +77,7 @@ class Model:
             pairs = {(n, n) for (n,) in names} | set(few)
             while more := {(a, d) for a, b in pairs for c, d in few if b == c} - pairs:
                 pairs |= more
-            out = self.imports.sparkSession.createDataFrame(sorted(pairs), "layer string, in_scope string")
+            out = rows_of(self.imports.sparkSession, sorted(pairs), "layer string, in_scope string")
         self.kept.update(imports=self.imports, scope=out)
         return out
 
@@ -110,14 +111,22 @@ class Model:
         licences = listed(rows, "predicate", "source_type", "target_type").agg(F.collect_set("qualifier").alias("qualifiers"), F.min_by("min_derivation", F.when(F.col("min_derivation").isNotNull(), turn)).alias("least")).join(open_, ["layer", "predicate"], "left")
         named = F.when(F.col("qualifier").isNull(), F.col("predicate")).otherwise(F.concat("predicate", F.lit(" («"), "qualifier", F.lit("»)")))
         between = listed(rows, "source_type", "target_type").agg(F.array_join(F.array_sort(F.collect_set(named)), ", ").alias("permitted"))
-        return Seen(*[written(t.coalesce(1)) for t in (layers, classes.withColumnRenamed("class", "type"), licences, between)])
+        return Seen(*[kept(t) for t in (layers, classes.withColumnRenamed("class", "type"), licences, between)])
 
 
 def make_model(spark: SparkSession, layered: bool = False, **rows: list[tuple]) -> Model:
     """A model from rows in the order of SCHEMAS; tables that are not given are empty. Licences keep the order that they are given in."""
-    tables = {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SCHEMAS.items()}
-    tables["licensed"] = spark.createDataFrame([(*r, i) for i, r in enumerate(rows.get("licensed", []))], SCHEMAS["licensed"] + ", position int")
-    return Model(layered=layered, **tables)
+    given = {name: (rows.get(name, []), schema) for name, schema in SCHEMAS.items()}
+    given["licensed"] = ([(*r, i) for i, r in enumerate(rows.get("licensed", []))], SCHEMAS["licensed"] + ", position int")
+    return Model(layered=layered, **{name: rows_of(spark, r, schema) for name, (r, schema) in given.items()})
+
+
+def rows_of(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of some rows that is part of the plan: Spark knows its size."""
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32()}
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in fields]
+    return spark.createDataFrame(pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields]))
 
 
 def read_model(spark: SparkSession, path: str) -> Model:

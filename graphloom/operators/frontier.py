@@ -31,6 +31,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MOST_LOCAL = 10_000
+"""Rows of a table that `kept` holds in the plan itself."""
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df worked out once: a table of few rows becomes part of the plan, so that Spark knows its size and joins it without a shuffle; others are written."""
+    few = df.limit(MOST_LOCAL + 1).toArrow()
+    return written(df) if few.num_rows > MOST_LOCAL else df.sparkSession.createDataFrame(few, df.schema)
+
+
 def reach(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(seed, node, depth): all nodes on paths along edges (source, target) from each seed (seed), the seed itself at depth 0.
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import ids
 from graphloom.model import Model, Seen
-from graphloom.operators.frontier import written
+from graphloom.operators.frontier import kept, written
 
 ERROR, WARNING = "error", "warning"
 TOLD = "array<struct<rule_id:string,severity:string,message:string>>"
@@ -86,7 +86,7 @@ def _found(t: DataFrame, rules: list[tuple[str, Column]], only: set[str] | None,
 
 @dataclass
 class Index:
-    """Where each id is defined. All tables hold ids and types only, and are written."""
+    """Where each id is defined. All tables hold ids and types only, and are worked out once."""
 
     best: DataFrame  # id, type, node_doc, status: the elaborating type's, then the first document's
     own: DataFrame  # doc_id, id, type, status: for ids that several documents define
@@ -99,16 +99,18 @@ def indexed(nodes: DataFrame, m: Model | None = None) -> Index:
     t = _with_columns(nodes, ord="int").select("doc_id", "id", "type", "ord", _prop("resolutionStatus").alias("status"))
     each = written(t.groupBy("doc_id", "id", "type").agg(F.max(F.struct("ord", "status")).alias("last"), F.count("*").alias("copies")))
     above = None if m is None else m.classes.where("elaborates IS NOT NULL").select(F.col("id").alias("type"), F.col("elaborates").alias("general")).distinct()
-    kinds = each.groupBy("id", "type").agg(F.min(F.struct("doc_id", "last")).alias("f"), F.count("*").alias("docs"))
+    kinds = each.groupBy("id", "type").agg(F.min(F.struct("doc_id", "last")).alias("f"), F.count("*").alias("docs"), F.max("copies").alias("most"))
     kinds = kinds.withColumn("general", F.lit(None).cast("string")) if above is None else kinds.join(above, "type", "left")
-    listed = kinds.groupBy("id").agg(F.collect_list(F.struct(F.col("f.doc_id").alias("d"), F.col("f.last.ord").alias("o"), "type", F.col("f.last.status").alias("status"), "general")).alias("l"), F.sum("docs").alias("n"))
+    listed = kinds.groupBy("id").agg(F.collect_list(F.struct(F.col("f.doc_id").alias("d"), F.col("f.last.ord").alias("o"), "type", F.col("f.last.status").alias("status"), "general")).alias("l"), F.sum("docs").alias("n"), F.max("most").alias("most"))
     special = F.filter("l", lambda x: ~F.coalesce(F.exists("l", lambda y: y["general"] == x["type"]), F.lit(False)))
-    listed = written(listed.withColumn("s", special).withColumn("b", F.array_min(F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("l")))).select("id", "b.type", F.col("b.d").alias("node_doc"), "b.status", "n", F.when(F.size("s") > 1, F.transform("s", lambda x: x["type"])).alias("types")))
-    several = each.join(listed.where("n > 1").select("id"), "id", "left_semi")
+    listed = written(listed.withColumn("s", special).withColumn("b", F.array_min(F.when(F.size("s") > 0, F.col("s")).otherwise(F.col("l")))).select("id", "b.type", F.col("b.d").alias("node_doc"), "b.status", "n", "most", F.when(F.size("s") > 1, F.transform("s", lambda x: x["type"])).alias("types")))
+    several = each.join(listed.where("n > 1 OR most > 1").select("id"), "id", "left_semi")  # mostly few, or none
     own = several.groupBy("doc_id", "id").agg(F.max_by(F.struct("type", F.col("last.status").alias("status")), "last.ord").alias("v")).select("doc_id", "id", "v.type", "v.status")
-    twice = each.groupBy("doc_id", "id").agg(F.max("last.ord").alias("last"), F.sum("copies").alias("copies")).where("copies > 1")
+    twice = several.groupBy("doc_id", "id").agg(F.max("last.ord").alias("last"), F.sum("copies").alias("copies")).where("copies > 1")
+    if listed.where("n > 1 OR most > 1").isEmpty():
+        own, twice = own.limit(0), twice.limit(0)
     bad = listed.where("types IS NOT NULL").select("id", F.array_sort("types").alias("types")).join(each.groupBy("id").agg(F.min("doc_id").alias("doc_id")), "id")
-    return Index(listed.drop("n", "types"), written(own), written(twice), bad)
+    return Index(listed.drop("n", "most", "types"), kept(own), kept(twice), bad)
 
 
 def with_endpoints(edges: DataFrame, nodes: DataFrame, m: Model | None = None, index: Index | None = None) -> DataFrame:
