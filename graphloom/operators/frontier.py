@@ -25,12 +25,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+WRITTEN: list[str] = []
+"""Paths of the tables that this process has written on its way and not yet removed."""
+
+
 def written(df: DataFrame) -> DataFrame:
+    """df in the shared folder, read again: cuts the lineage and outlives executors. `remove_written` clears it away."""
     path = f"{shared_folder(df.sparkSession)}/graphloom-{uuid.uuid4().hex}"
+    WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_written(spark: SparkSession, since: int = 0) -> None:
+    """Remove what was written on the way since a length of WRITTEN: call it when results that read it have been stored."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(WRITTEN) > since:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 MOST_LOCAL = 10_000
 """Rows of a table that `kept` holds in the plan itself."""
 

@@ -83,7 +83,8 @@ def _at(store: Store, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def refresh(store: Store, gone: DataFrame, documents: DataFrame, nodes: DataFrame, edges: DataFrame, model: Model | None = None, most_edges: int = 50) -> dict[str, DataFrame]:
-    """The documents in gone (doc_id) go, others come; what comes out is what `build` would give. Returns (id) units and (doc_id) findings that were done again.
+    """The documents in gone (doc_id) go, others come; what comes out is what `build` would give. Returns (id) units and (doc_id) findings that were done again,
+    as tables in the shared folder; `remove_written` clears them and all others on the way.
 
     Units that may change: those of ids that the documents define or refer to, before or after, and those with an edge to an id that they
     define, since they hold its label. Findings: those of the documents, and of all that define, or refer to, an id that they define.

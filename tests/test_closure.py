@@ -1,7 +1,9 @@
 """Paths by doubling, against brute force."""
 
 import random
+from pathlib import Path
 
+from graphloom.operators import frontier
 from graphloom.operators.frontier import closure
 from graphloom.operators.lines import lines_of, reached
 
@@ -53,3 +55,12 @@ def test_a_long_ring_is_one_line(spark):
 def test_no_lines(spark):
     lines = lines_of(spark.createDataFrame([], "source string, target string"))
     assert lines.members.isEmpty() and reached(lines, spark.createDataFrame([("a",)], "seed string")).isEmpty()
+
+
+def test_written_tables_can_be_removed(spark):
+    before = len(frontier.WRITTEN)
+    t = frontier.written(spark.range(3))
+    path = Path(frontier.WRITTEN[-1])
+    assert t.count() == 3 and path.exists()
+    frontier.remove_written(spark, before)
+    assert not path.exists() and len(frontier.WRITTEN) == before
