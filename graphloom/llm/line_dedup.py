@@ -7,8 +7,8 @@ a fingerprint gets the first place in the corpus where the same window stands (d
 lie next to each other and whose first places do too are one match, extended up and down as far as that goes; what lies
 in matches with an earlier place is deleted. No pairs are formed within a group: each place is joined to the first only.
 
-With a bound by content (`words`) every line is a fingerprint (a window of one), and the windows compared whole
-are those of fewer lines that hold so many words, those of w lines, and short texts as wholes.
+With a bound by content (`words`) the windows are, besides those of w lines, those of fewer lines that hold so many words,
+and short texts as wholes. Each has its minimum, so any of these runs holds a fingerprint wherever it stands.
 """
 
 from __future__ import annotations
@@ -49,52 +49,42 @@ class _Lines:
         breaks_before = np.searchsorted(breaks, words.offsets[:-1])
         self.number = (line[start] - self.doc) - breaks_before[self.doc]  # within the text, blank lines counted
         self.words = words
+        self.at, self.length, self.whole = self._spans(w)
+        self.place = np.zeros(len(self.at), np.int64)  # of the least line of each window, the last of equals
+        for k in range(1, w + 1):
+            some = np.flatnonzero(self.length == k)
+            if len(some):
+                view = self.hashes[self.at[some, None] + np.arange(k)]
+                self.place[some] = self.at[some] + k - 1 - view[:, ::-1].argmin(axis=1)
+
+    def _spans(self, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first line, number of lines, is a whole text) of the windows of w lines and, with a bound by words, of those of fewer lines that reach it and of texts that have neither."""
         at = np.arange(len(self.hashes))
-        if least is not None:
-            self.mark = self.hashes
-            return
-        self.windows = at[self.first[1:][self.doc] - at >= w] if len(at) else at
-        if len(self.windows):
-            view = self.hashes[self.windows[:, None] + np.arange(w)]
-            self.mark = view.min(axis=1)
-        else:
-            self.mark = np.zeros(0, np.uint64)
-
-    def spans(self, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first line, number of lines, is a whole text) of the windows of w lines, those of fewer lines with the least words, and texts that have neither."""
-        at = np.arange(len(self.hashes))
-        left = self.first[1:][self.doc] - at
-        sums = np.concatenate(([0], np.cumsum(self.sizes)))
-        starts, lengths = [at[left >= w]], [np.full(np.count_nonzero(left >= w), w)]
-        for k in range(1, w):
-            some = at[left >= k]
-            some = some[sums[some + k] - sums[some] >= self.least]
-            starts.append(some), lengths.append(np.full(len(some), k))
-        a, b = self.first[:-1], self.first[1:]
-        short = (b > a) & (b - a < w) & (sums[b] - sums[a] < self.least)
-        starts.append(a[short]), lengths.append((b - a)[short])
+        left = self.first[1:][self.doc] - at if len(at) else at
+        starts, lengths, short = [at[left >= w]], [np.full(np.count_nonzero(left >= w), w)], np.zeros(0, bool)
+        if self.least is not None:
+            sums = np.concatenate(([0], np.cumsum(self.sizes)))
+            for k in range(1, w):
+                some = at[left >= k]
+                some = some[sums[some + k] - sums[some] >= self.least]
+                starts.append(some), lengths.append(np.full(len(some), k))
+            a, b = self.first[:-1], self.first[1:]
+            short = (b > a) & (b - a < w) & (sums[b] - sums[a] < self.least)
+            starts.append(a[short]), lengths.append((b - a)[short])
         lengths = np.concatenate(lengths)
         return np.concatenate(starts), lengths, np.arange(len(lengths)) >= len(lengths) - np.count_nonzero(short)
 
-    def opened(self, w: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first line, number of lines, hash, second hash) of the windows that may stand in two places."""
-        index = np.unique(self.mark)
-        if self.least is not None:
-            at, length, whole = self.spans(w)
-            missed = np.concatenate(([0], np.cumsum(hit[np.searchsorted(index, self.mark)] == 0))) if len(index) else np.zeros(1, np.int64)
-            some = missed[at + length] == missed[at]
-            at, length, whole = at[some], length[some], whole[some]
-            apart = np.where(whole, WHOLE, np.uint64(0))
-            return at, length, span_hashes(self.hashes, at, at + length) ^ apart, span_hashes(self.hashes, at, at + length, "again") ^ apart
-        at = self.windows[hit[np.searchsorted(index, self.mark)].astype(bool)] if len(index) else self.windows
-        return at, np.full(len(at), w), span_hashes(self.hashes, at, at + w), span_hashes(self.hashes, at, at + w, "again")
-
-    def fingerprints(self, w: int) -> np.ndarray:
+    def fingerprints(self) -> np.ndarray:
         """Hashes of the selected lines, one for each place."""
-        if self.least is not None or not len(self.windows):
-            return self.mark
-        view = self.hashes[self.windows[:, None] + np.arange(w)]
-        return self.hashes[np.unique(self.windows + w - 1 - view[:, ::-1].argmin(axis=1))]
+        return self.hashes[np.unique(self.place)]
+
+    def opened(self, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first line, number of lines, hash, second hash) of the windows that may stand in two places: their fingerprint does. hit: by sorted unique fingerprint."""
+        mark = self.hashes[self.place]
+        some = hit[np.searchsorted(np.unique(mark), mark)].astype(bool) if len(mark) else np.zeros(0, bool)
+        at, length = self.at[some], self.length[some]
+        apart = np.where(self.whole[some], WHOLE, np.uint64(0))
+        return at, length, span_hashes(self.hashes, at, at + length) ^ apart, span_hashes(self.hashes, at, at + length, "again") ^ apart
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: int = 4, words: int | None = None) -> DataFrame:
@@ -128,7 +118,7 @@ def _dedup(docs: DataFrame, key: str, text: str, run: int, words: int | None) ->
 
     def ask_marks(t: pa.Table) -> tuple:
         lines = _Lines(t[text], run, words)
-        marks, counts = counted(lines.fingerprints(run))
+        marks, counts = counted(lines.fingerprints())
         return marks, [counts]
 
     def joined(order, starts, number, columns) -> np.ndarray:
@@ -146,7 +136,7 @@ def _dedup(docs: DataFrame, key: str, text: str, run: int, words: int | None) ->
     def ask_runs(t: pa.Table, hit: np.ndarray) -> tuple:
         t = ordered(t)
         lines = _Lines(t[text], run, words)
-        at, _, one, two = lines.opened(run, hit)
+        at, _, one, two = lines.opened(hit)
         one, two, first, _ = firsts(t, lines, at, one, two)
         chunk = t["__chunk"][0].as_py()
         return one, [places(t)[lines.doc[first]], np.full(len(first), chunk, np.int64), lines.number[first].astype(np.int64), two]
@@ -182,7 +172,7 @@ def _dedup(docs: DataFrame, key: str, text: str, run: int, words: int | None) ->
     def cut(t: pa.Table, hit: np.ndarray, first_places: np.ndarray) -> pa.Table:
         t = ordered(t)
         lines = _Lines(t[text], run, words)
-        at, length, one, two = lines.opened(run, hit)
+        at, length, one, two = lines.opened(hit)
         told = first_places.view(FIRST)
         _, _, first, number = firsts(t, lines, at, one, two)
         told = told[number]
