@@ -1,9 +1,10 @@
 """Lines of a graph: stretches in which each node has one way in and one way out, and what can be reached along them.
 
 A line is named by its first node, and each node has a place in it. Ways that branch or join lead from the end of a line to the begin of
-another, so what a node reaches is the rest of its own line and, as a whole, every line that its own leads to. Places are found by
-pointer jumping: each round doubles how far back a node looks, on as many rows as are still looking. Pairs are formed between lines
-only; between nodes they are formed on demand, for the seeds that are asked for. A ring of n nodes is one line of n rows.
+another. Lines that lie on circles together are a knot; any other line is a knot of its own. What a node reaches is its own knot if that is
+a circle, else the rest of its line, and, as a whole, every knot that its own leads to. Places are found by pointer jumping: each
+round doubles how far back a node looks, on as many rows as are still looking. Pairs are formed between knots only; between nodes they
+are formed on demand, for the seeds that are asked for. Circles of n nodes, however they are knit, are n rows.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.cycles import strong_components
 from graphloom.operators.frontier import closure, written
 
 
 class Lines(NamedTuple):
-    members: DataFrame  # node, line, place, loop: the nodes of a loop all reach each other
-    leads: DataFrame  # source, target: pairs of lines, by one way or more; a line is no pair with itself
+    members: DataFrame  # node, line, place, knot, loop: the nodes of a knot that is a loop all reach each other
+    leads: DataFrame  # source, target: pairs of knots, by one way or more; a knot is no pair with itself
 
 
 def lines_of(edges: DataFrame) -> Lines:
@@ -48,10 +50,14 @@ def lines_of(edges: DataFrame) -> Lines:
     members = written(_all(known).select("node", F.col("ptr").alias("line"), F.col("dist").alias("place"), F.lit(False).alias("loop")).unionByName(on_rings))
     of = lambda end: members.select(F.col("node").alias(end), F.col("line").alias(f"__{end}"))
     ways = e.join(inner, ["source", "target"], "left_anti").join(of("source"), "source").join(of("target"), "target")
-    pairs = closure(ways.select(F.col("__source").alias("source"), F.col("__target").alias("target")))
-    again = pairs.where("source = target").select(F.col("source").alias("line"), F.lit(True).alias("__again"))
-    members = members.join(again, "line", "left").select("node", "line", "place", (F.col("loop") | F.coalesce("__again", F.lit(False))).alias("loop"))
-    return Lines(written(members), pairs.where("source <> target"))
+    ways = written(ways.select(F.col("__source").alias("source"), F.col("__target").alias("target")).distinct())
+    knots = strong_components(ways).withColumnsRenamed({"node": "line", "component": "__knot"})
+    again = ways.where("source = target").select(F.col("source").alias("line"), F.lit(True).alias("__again"))
+    members = members.join(knots, "line", "left").join(again, "line", "left")
+    members = members.select("node", "line", "place", F.coalesce("__knot", "line").alias("knot"), (F.col("loop") | F.coalesce("__again", F.lit(False)) | F.col("__knot").isNotNull()).alias("loop"))
+    of = lambda end: knots.select(F.col("line").alias(end), F.col("__knot").alias(f"__{end}"))
+    between = ways.join(of("source"), "source", "left").join(of("target"), "target", "left").select(F.coalesce("__source", "source").alias("source"), F.coalesce("__target", "target").alias("target"))
+    return Lines(written(members), closure(between.where("source <> target")))
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -64,6 +70,13 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 def reached(lines: Lines, seeds: DataFrame) -> DataFrame:
     """(seed, node), each once: what a path of one edge or more leads to from each seed (seed); the seed itself where it lies on a circle."""
     at = seeds.select("seed").distinct().join(lines.members.withColumnRenamed("node", "seed"), "seed").withColumnsRenamed({"place": "from"})
-    own = at.join(lines.members.select("node", "line", "place"), "line").where("loop OR place > `from`").select("seed", "node")
-    beyond = at.select("seed", F.col("line").alias("source")).join(lines.leads, "source").select("seed", F.col("target").alias("line")).join(lines.members.select("node", "line"), "line").select("seed", "node")
+    own = at.join(lines.members.select("node", "knot", "place"), "knot").where("loop OR place > `from`").select("seed", "node")
+    beyond = at.select("seed", F.col("knot").alias("source")).join(lines.leads, "source").select("seed", F.col("target").alias("knot")).join(lines.members.select("node", "knot"), "knot").select("seed", "node")
     return own.unionByName(beyond)
+
+
+def closure_of(edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """Q-05: (source, target) as `closure` gives them, for all nodes or some (seed); circles are put together first, so that they cost rows in their length until the pairs are asked for."""
+    if seeds is None:
+        seeds = edges.where("target IS NOT NULL").select(F.col("source").alias("seed"))
+    return reached(lines_of(edges), seeds).withColumnsRenamed({"seed": "source", "node": "target"})

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 HEADS = "name string, bucket int, place string"
@@ -22,6 +23,10 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def _with_bucket(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("__bucket", IntegerType())])
+
+
 @dataclass
 class Store:
     """keys: the column that each table is dealt by. buckets: a number for the life of the store; a bucket is the least that a change rewrites."""
@@ -75,8 +80,8 @@ class Store:
                 rows = self.read(name, hit).join(keys.select(key).distinct(), key, "left_anti").unionByName(rows)
             out = f"{made}/{name}"
             rows.withColumn("__bucket", bucket_of(key, self.buckets)).repartition("__bucket").write.partitionBy("__bucket").parquet(out)
-            there = self.spark.read.parquet(out) if hit else None
-            full = {r[0] for r in there.select("__bucket").distinct().collect()} if there is not None and "__bucket" in there.columns else set()
+            there = self.spark.read.schema(_with_bucket(self.schemas[name])).parquet(out)  # of an empty table there is no file
+            full = {r[0] for r in there.select("__bucket").distinct().collect()}
             for b in hit:
                 heads.pop((name, b), None)
                 if b in full:

@@ -4,8 +4,9 @@ import random
 from pathlib import Path
 
 from graphloom.operators import frontier
+from graphloom.operators.cycles import strong_components
 from graphloom.operators.frontier import closure
-from graphloom.operators.lines import lines_of, reached
+from graphloom.operators.lines import closure_of, lines_of, reached
 
 
 def brute(edges):
@@ -52,6 +53,31 @@ def test_a_long_ring_is_one_line(spark):
     assert reached(lines, spark.createDataFrame([(5,), (7,)], "seed long")).count() == 2 * n
 
 
+def test_components_against_brute_force(spark):
+    draw = random.Random(8)
+    graphs = [[("a", "a")], [("a", "b"), ("b", "a"), ("b", "b")], [(i, i + 1) for i in range(9)], [(i, (i + 1) % 5) for i in range(5)] + [(2, "t"), ("t", "u"), ("u", "t"), ("v", 0)]]
+    graphs += [[(draw.randrange(n), draw.randrange(n)) for _ in range(m)] for n, m in ((8, 10), (12, 15), (20, 26), (20, 50))]
+    edges = [(f"{n}/{a}", f"{n}/{b}") for n, g in enumerate(graphs) for a, b in g]
+    pairs = brute(edges)
+    want = {}
+    for a, b in pairs:
+        if a != b and (b, a) in pairs:
+            want[a] = min(want.get(a, a), b)
+    rows = [tuple(r) for r in strong_components(spark.createDataFrame([*edges, *edges[:3], (None, "0/a"), ("0/a", None)], "source string, target string")).collect()]
+    assert len(rows) == len(want) and dict(rows) == want
+    assert {tuple(r) for r in closure_of(spark.createDataFrame(edges, "source string, target string")).collect()} == pairs
+
+
+def test_a_knit_circle_costs_rows_in_its_length(spark):
+    """A tree of ways out and ways home from each leaf: everything reaches everything, and no pair of nodes or lines is formed."""
+    n = 2000
+    at = spark.range(1, n + 1)
+    e = at.selectExpr("id AS source", "explode(IF(2 * id + 1 <= 2000, array(2 * id, 2 * id + 1), array(1L))) AS target").unionByName(spark.createDataFrame([(1000, 2000), (2000, n + 5), (0, 3)], "source long, target long"))
+    lines = lines_of(e)
+    assert lines.members.where("loop").count() == n and lines.members.where("loop").select("knot").distinct().count() == 1 and lines.leads.count() <= 3
+    assert reached(lines, spark.createDataFrame([(7,), (n + 5,), (0,)], "seed long")).count() == 2 * n + 2
+
+
 def test_no_lines(spark):
     lines = lines_of(spark.createDataFrame([], "source string, target string"))
     assert lines.members.isEmpty() and reached(lines, spark.createDataFrame([("a",)], "seed string")).isEmpty()
