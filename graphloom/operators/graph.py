@@ -195,7 +195,7 @@ def undefined_references(nodes: DataFrame, edges: DataFrame, kinds: list[str]) -
 
 def unused(declared: DataFrame, used: DataFrame, key: str) -> DataFrame:
     """JON-16"""
-    return declared.select(key).distinct().join(used.select(key), key, "left_anti")
+    return declared.select(key).distinct().join(used.select(key).distinct(), key, "left_anti")  # once each: a key may stand in most rows
 
 
 # Counts
