@@ -24,10 +24,11 @@ def node_texts() -> Column:
 
 
 def grams_of(rows: DataFrame, key: str, texts: Column) -> DataFrame:
-    """(gram, key), each once a row."""
-    each = rows.select(F.col(key).alias("key"), F.posexplode(texts).alias("n", "t")).select("key", F.split(F.lower("t"), "").alias("c")).where(F.size("c") >= 3)
-    three = F.transform(F.sequence(F.lit(0), F.size("c") - 3), lambda i: F.concat(F.get("c", i), F.get("c", i + 1), F.get("c", i + 2)))
-    return each.select(F.explode(F.array_distinct(three)).alias("gram"), "key").distinct()
+    """(gram, key), each once a row; rows of one key may repeat it. No shuffle: a row's texts are all there."""
+    letters = F.transform(texts, lambda t: F.split(F.lower(t), ""))  # once a text, each then bound to c
+    three = lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)))
+    held = F.flatten(F.array_compact(F.transform(letters, lambda c: F.when(F.size(c) >= 3, three(c)))))
+    return rows.select(F.explode(F.array_distinct(held)).alias("gram"), F.col(key).alias("key"))
 
 
 @dataclass
@@ -46,7 +47,7 @@ class TextIndex:
         if not grams:
             return None
         there = self.store.spark.read.parquet(self.postings).where(F.col("gram").isin(grams))
-        return there.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") == len(grams)).select(F.col("key").alias(self.key))
+        return there.groupBy("key").agg(F.count_distinct("gram").alias("n")).where(F.col("n") == len(grams)).select(F.col("key").alias(self.key))
 
     def search(self, text: str) -> DataFrame:
         """Rows with the text in one of their texts, whatever the case: what a scan gives."""
