@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import ids
+from graphloom.operators.frontier import written
+
+MOST_SENT = 500_000
+"""Ids that are sent to every task: some 50 MB there."""
 
 # Sets and firsts
 
@@ -102,9 +106,12 @@ def search(nodes: DataFrame, edges: DataFrame, text: str) -> tuple[DataFrame, Da
     word = text.lower()
     named = F.exists(F.coalesce(F.json_object_keys("properties"), F.array().cast("array<string>")), lambda k: F.lower(k).contains(word))
     hits = nodes.where(F.lower("id").contains(word) | F.lower("label").contains(word) | F.lower("type").contains(word) | named)
-    at = hits.select("id")
-    touched = edges.join(at.withColumnRenamed("id", "source"), "source", "left_semi").unionByName(edges.join(at.withColumnRenamed("id", "target"), "target", "left_semi").join(at.withColumnRenamed("id", "source"), "source", "left_anti"))
-    return hits, touched
+    at = written(hits.select("id").distinct())  # once; up to MOST_SENT ids go to every task, so that edges, mostly far more, are not dealt
+    at = at.hint("broadcast" if at.count() <= MOST_SENT else "merge")
+    met = edges
+    for end in ("source", "target"):
+        met = met.join(at.select(F.col("id").alias(end), F.lit(True).alias(f"__{end}")), end, "left")
+    return hits, met.where("__source OR __target").select(*edges.columns)
 
 
 def search_comments(t: DataFrame, column: str, word: str) -> DataFrame:
