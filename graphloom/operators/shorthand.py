@@ -223,7 +223,9 @@ def artifact_index(files: DataFrame, canonical: str, version: str | None = None)
     of_json = _about(status=got("status"), version=F.coalesce(got("version"), guide), name=got("name"), publisher=got("publisher"), experimental=got("experimental") == "true")
     j = row(j.where(got("resourceType").isin(*CLASSES)), "json", got("resourceType"), F.coalesce(got("id"), stem), F.coalesce(got("title"), got("name")), got("meta.profile[0]"), class_of(got("resourceType")), of_json)
     every = reduce(DataFrame.unionByName, [i, d, maps, logic, j]).where("type IS NOT NULL AND id IS NOT NULL")
-    return first_per_key(every.withColumn("canonical", F.concat_ws("/", F.lit(canonical), "resource_type", "id")), ["canonical"], ["path", "pos"])
+    every = every.withColumn("canonical", F.concat_ws("/", F.lit(canonical), "resource_type", "id"))
+    every = every.repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "canonical")  # rows of words that repeat are few MB as files and many as rows: Spark would join them to a few tasks
+    return first_per_key(every, ["canonical"], ["path", "pos"])
 
 
 def component_type(index: DataFrame) -> DataFrame:
