@@ -19,15 +19,36 @@ def impact(nodes: DataFrame, edges: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def impact_of_all(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Q-01 for many seeds at once: nodes are ranked on their replacement lines once, and what replaces a seed is read off its line."""
+    """Q-01 for many seeds at once: nodes are ranked on their replacement lines once, and what replaces a seed is read off its line.
+
+    What hangs on a line is made distinct once for the line, with the last place that it hangs on: a seed has what hangs at its place or
+    behind. Pairs have to be made distinct by seed only where lines lead to others.
+    """
     back = edges.where("predicate = 'supersedes'").select(F.col("target").alias("source"), F.col("source").alias("target"))
+    lines = lines_of(back)
     seeds = seeds.select("seed").distinct()
-    line = seeds.select("seed", F.col("seed").alias("node")).unionByName(reached(lines_of(back), seeds).where("seed <> node"))
-    return _hangs_on(edges, line, "supersededBy")
+    line = seeds.select("seed", F.col("seed").alias("node")).unionByName(reached(lines, seeds).where("seed <> node"))
+    placed = lambda t, node: t.join(lines.members.select(F.col("node").alias(node), "knot", "place", "loop"), node, "left").withColumns({"knot": F.coalesce("knot", node), "place": F.coalesce("place", F.lit(0)), "loop": F.coalesce("loop", F.lit(False))})
+    held = placed(_hung(edges), "node").groupBy("knot", "relation", "target").agg(F.max("place").alias("last"))
+    at = placed(seeds, "seed")
+    lists = at.join(held, "knot").where("loop OR last >= place").select("seed", "relation", "target")
+    if not lines.leads.isEmpty():
+        beyond = at.select("seed", F.col("knot").alias("source")).join(lines.leads, "source").select("seed", F.col("target").alias("knot"))
+        lists = lists.unionByName(beyond.join(held, "knot").select("seed", "relation", "target")).distinct()
+    return _replaced(line, "supersededBy").unionByName(lists)
+
+
+def _replaced(line: DataFrame, name: str) -> DataFrame:
+    return line.select("seed", F.lit("visited").alias("relation"), F.col("node").alias("target")).union(line.where("seed <> node").select("seed", F.lit(name), "node"))
 
 
 def _hangs_on(edges: DataFrame, line: DataFrame, replaced: str) -> DataFrame:
     """line: (seed, node), each once."""
+    return _replaced(line, replaced).union(line.join(_hung(edges), "node").select("seed", "relation", "target").distinct())
+
+
+def _hung(edges: DataFrame) -> DataFrame:
+    """(node, relation, target): what hangs on a node itself."""
     pick = lambda p, a, b: edges.where(F.col("predicate") == p).select(F.col(a).alias("node"), F.col(b).alias("target"))
     evidence = pick("supportedBy", "source", "target")
     outcomes = evidence.withColumnRenamed("target", "e").join(pick("forOutcome", "source", "target").withColumnRenamed("node", "e"), "e").select("node", "target")
@@ -38,9 +59,7 @@ def _hangs_on(edges: DataFrame, line: DataFrame, replaced: str) -> DataFrame:
         ("indicator", pick("justifiedBy", "target", "source")), ("indicator", pick("measures", "target", "source")), ("implementedBy", pick("implementedBy", "source", "target")),
         ("citedBy", cited), ("citedBy", numbered),
     ]
-    hung = reduce(DataFrame.unionByName, [t.withColumn("relation", F.lit(name)) for name, t in ways])
-    lists = line.join(hung, "node").select("seed", "relation", "target").distinct()
-    return line.select("seed", F.lit("visited").alias("relation"), F.col("node").alias("target")).union(line.where("seed <> node").select("seed", F.lit(replaced), "node")).union(lists)
+    return reduce(DataFrame.unionByName, [t.withColumn("relation", F.lit(name)) for name, t in ways])
 
 
 def uncovered(nodes: DataFrame, edges: DataFrame, kind: str = "recommendation", predicate: str = "implementedBy") -> DataFrame:
