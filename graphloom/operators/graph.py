@@ -12,6 +12,9 @@ from graphloom.operators.frontier import written
 MOST_SENT = 500_000
 """Ids that are sent to every task: some 50 MB there."""
 
+ROWS_OF_A_TASK = 250_000
+"""Edges that a task sorts, joins and counts: some 300 MB there. Spark goes by packed bytes, of which a few MB are millions of rows."""
+
 # Sets and firsts
 
 
@@ -235,8 +238,11 @@ def names_per_kind(t: DataFrame, kind: str, name: str) -> DataFrame:
 
 
 def kit_components(nodes: DataFrame, edges: DataFrame, predicate: str = "hasComponent") -> DataFrame:
-    """AGG-13: components of each kit with the qualifier they hang by."""
-    return edges.where(F.col("predicate") == predicate).join(nodes.select(F.col("id").alias("target"), "type", "layer"), "target").select(F.col("source").alias("kit"), F.col("target").alias("component"), "qualifier", "type", "layer")
+    """AGG-13: components of each kit with the qualifier they hang by. Edges are counted, and dealt by component over as many tasks as they fill."""
+    of = edges.where(F.col("predicate") == predicate).select("source", "target", "qualifier")
+    tasks = max(edges.sparkSession.sparkContext.defaultParallelism, -(-of.count() // ROWS_OF_A_TASK))
+    kinds = nodes.select(F.col("id").alias("target"), "type", "layer").repartition(tasks, "target")
+    return of.repartition(tasks, "target").join(kinds, "target").select(F.col("source").alias("kit"), F.col("target").alias("component"), "qualifier", "type", "layer")
 
 
 def merge_parallel(edges: DataFrame) -> DataFrame:
