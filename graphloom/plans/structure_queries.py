@@ -15,7 +15,7 @@ from graphloom.plans.bench_graph import bench_graph, read
 from graphloom.plans.graph_queries import QUERIES, SQL, query, with_more  # noqa: F401
 
 
-def _circles(spark, d) -> tuple[DataFrame, DataFrame]:
+def _circles(spark, d, parts: bool = True) -> tuple[DataFrame, DataFrame]:
     """(edges, heads): the customers of a nation are a tree with ways home from its leaves, and nations of a region follow each other; the parts of a size are a ring."""
     for name in ("customer", "nation", "part"):
         read(spark, d, name).createOrReplaceTempView(f"circle_{name}")
@@ -25,7 +25,7 @@ def _circles(spark, d) -> tuple[DataFrame, DataFrame]:
     edges = spark.sql(f"""WITH {c}, {h}, {p}
 SELECT a.id AS source, b.id AS target FROM (SELECT *, explode(CASE WHEN 2 * i > n THEN array(1) WHEN 2 * i = n THEN array(2 * i) ELSE array(2 * i, 2 * i + 1) END) AS j FROM c) a JOIN c b ON b.k = a.k AND b.i = a.j WHERE a.n > 1
 UNION ALL SELECT id, nx FROM (SELECT id, lead(id) OVER (PARTITION BY r ORDER BY k) AS nx FROM h) WHERE nx IS NOT NULL
-UNION ALL SELECT id, concat('part/', nx) FROM p""")
+{"UNION ALL SELECT id, concat('part/', nx) FROM p" if parts else ""}""")
     return edges, spark.sql(f"WITH {c}, {p} SELECT id AS seed FROM c WHERE i = 1 UNION ALL SELECT id FROM p WHERE i = 1")
 
 
@@ -42,8 +42,8 @@ def circle_components(spark, d):
 
 @query(f"WITH {_CIRCLES} SELECT id AS node, min(id) OVER (PARTITION BY k) AS component FROM c WHERE n > 1", graph=False)
 def labelled_components(spark, d):
-    """The customers' circles by labels alone."""
-    return strong_components(_circles(spark, d)[0].where("source LIKE 'customer/%'"))
+    """The customers' circles by folds and labels, without lines."""
+    return strong_components(_circles(spark, d, parts=False)[0])
 
 
 @query(with_more("ends AS (SELECT e.predicate, e.source, e.target, t.type AS target_type, t.label AS target_label FROM edges e LEFT JOIN nodes t ON t.id = e.target) SELECT *, count(*)::BIGINT AS n FROM ends GROUP BY ALL"))
